@@ -1,0 +1,5 @@
+"""Registered queries, their domain tables and their oracle SQL."""
+
+
+def load_all() -> None:
+    from . import q_sources  # noqa: F401

@@ -19,7 +19,7 @@ def _node(path: Column, value: Column, still_open: bool) -> Column:
 
 
 def _below(path: Column, segment: Column) -> Column:
-    return F.when(path == "", segment).otherwise(F.concat(path, F.lit("."), segment))
+    return F.concat_ws(".", path, segment)  # the root path is NULL and drops out
 
 
 def _open_one(node: Column, lone_lists: bool) -> Column:
@@ -52,7 +52,12 @@ def _truthy(text: Column, kind: Column) -> Column:
     )
 
 
-def leaves(doc: Column, text: Column, lone_lists: bool = False) -> Column:
+def _brackets(text: Column) -> Column:
+    """Opening brackets in a JSON text: no document nests deeper than that."""
+    return sum((F.length(text) - F.length(F.replace(text, F.lit(b), F.lit(""))) for b in "{["), F.lit(1))
+
+
+def leaves(doc: Column, text: Column, lone_lists: bool = False, segments: bool = False) -> Column:
     """All leaves of a document as an array of structs.
 
     ``path``, ``value`` (text, NULL for an explicit null), ``truthy``, ``kind``
@@ -61,31 +66,43 @@ def leaves(doc: Column, text: Column, lone_lists: bool = False) -> Column:
     step, the number of opening brackets in ``text`` bounds the steps, and steps
     after the last container cost nothing. ``lone_lists`` leaves the position
     out of a list of one, which is how a repeated XML tag that occurs once reads.
+    ``segments`` adds ``ends``, what the mapping rules compare: the first and the
+    last segment, or the one before the last when the last contains a digit.
     """
-    bound = F.greatest(F.lit(1), F.length(text) - F.length(F.translate(text, "{[", "")))
-    start = F.struct(F.lit(False).alias("done"), F.array(_node(F.lit(""), doc, True)).alias("nodes"))
+    bound = _brackets(text)
+    start = F.struct(F.lit(False).alias("done"), F.array(_node(F.lit(None).cast("string"), doc, True)).alias("nodes"))
 
     def step(acc: Column, _: Column) -> Column:
-        opened = F.flatten(F.transform(acc["nodes"], lambda n: _open_one(n, lone_lists)))
         advanced = let(
-            opened,
+            F.flatten(F.transform(acc["nodes"], lambda n: _open_one(n, lone_lists))),
             lambda nodes: F.struct((~F.exists(nodes, lambda n: n["open"])).alias("done"), nodes.alias("nodes")),
         )
         return F.when(acc["done"], acc).otherwise(advanced)
 
-    def leaf(node: Column, i: Column) -> Column:
-        value = F.try_variant_get(node["v"], "$", "string")
-        kind = F.schema_of_variant(node["v"])
+    def typed(node: Column) -> Column:
+        value, kind = F.try_variant_get(node["v"], "$", "string"), F.schema_of_variant(node["v"])
         if lone_lists:  # an empty XML element reads as null, an empty attribute as text
-            last = F.element_at(F.split(node["path"], r"\."), -1)
+            last = F.substring_index(node["path"], ".", -1)
             value = F.when((value == "") & ~last.startswith("@"), F.lit(None)).otherwise(value)
-        return F.struct(
-            node["path"].alias("path"),
-            value.alias("value"),
-            _truthy(value, kind).alias("truthy"),
-            kind.alias("kind"),
+        return F.struct(value.alias("value"), kind.alias("kind"))
+
+    def leaf(node: Column, i: Column) -> Column:
+        return let(typed(node), lambda t: described(node["path"], t, i))
+
+    def described(path: Column, t: Column, i: Column) -> Column:
+        parts = [
+            path.alias("path"),
+            t["value"].alias("value"),
+            _truthy(t["value"], t["kind"]).alias("truthy"),
+            t["kind"].alias("kind"),
             i.alias("seq"),
-        )
+        ]
+        if segments:
+            last = F.substring_index(path, ".", -1)
+            before = F.substring_index(F.substring_index(path, ".", -2), ".", 1)
+            named = F.when(last.rlike("[0-9]"), before).otherwise(last)
+            parts.append(F.concat_ws("|", F.substring_index(path, ".", 1), named).alias("ends"))
+        return F.struct(*parts)
 
     return F.when(
         doc.isNotNull(),

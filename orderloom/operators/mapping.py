@@ -23,24 +23,6 @@ def with_config(df: DataFrame, compiled: DataFrame) -> DataFrame:
     return df.join(broadcast_if_small(compiled), "vendor_id", "left")
 
 
-def _matchable(leaf: Column) -> Column:
-    """A leaf with the segments the wildcard rule compares: the first one, and the
-    last one (the one before it when the last contains a digit)."""
-    segments = F.split(leaf["path"], r"\.")
-    n = F.size(segments)
-    last = F.element_at(segments, -1)
-    return F.struct(
-        leaf["path"].alias("path"),
-        leaf["value"].alias("value"),
-        leaf["truthy"].alias("truthy"),
-        leaf["kind"].alias("kind"),
-        leaf["seq"].alias("seq"),
-        segments[0].alias("first"),
-        F.when(last.rlike("[0-9]") & (n > 1), F.get(segments, n - 2)).otherwise(last).alias("last"),
-        n.alias("n"),
-    )
-
-
 def _hit(m: Column, leaf: Column, idx: Column, inner: Column) -> Column:
     return F.struct(
         m["grp"].alias("grp"),
@@ -108,63 +90,58 @@ def find_qualified(lv: Column, qualifier: Column, sign: Column) -> Column:
     )
 
 
-def _entry_hits(m: Column, lv: Column, legacy: bool) -> Column:
-    exact = F.filter(lv, lambda x: x["path"] == m["path"])
-    no_hits = F.filter(_positioned(m, exact, legacy), lambda x: F.lit(False))
-
-    def first_element(leaf: Column) -> Column:
-        return _hit(m, leaf, F.lit(0), F.lit(0)).withField("exact", F.lit(True))
+def _entry_hits(m: Column, lv: Column, paths: Column, legacy: bool) -> Column:
+    no_hits = F.filter(F.array(_text_hit(m, m["path"])), lambda x: F.lit(False))
+    same_ends = F.filter(lv, lambda x: x["ends"] == m["ends"])
+
+    def exact(leaf: Column) -> Column:
+        hit = _hit(m, leaf, F.lit(0), F.lit(0)).withField("exact", F.lit(True))
+        return F.when(m["target"].isin(*SKIP_WHEN_FALSE) & ~leaf["truthy"], no_hits).otherwise(F.array(hit))
+
+    def by_rule() -> Column:
+        return (
+            F.when(m["kind"] == "wild", _positioned(m, same_ends, legacy))
+            .when(m["kind"] == "exact", no_hits)
+            .when(m["kind"] == "suffix", _positioned(m, F.filter(same_ends, lambda x: x["path"].contains(".")), legacy))
+            .when(
+                m["kind"] == "qualifier",
+                F.transform(find_qualified(lv, m["first"], m["sign"]), lambda x: _hit(m, x, F.lit(0), F.lit(0))),
+            )
+            .when(
+                m["kind"] == "prefix", _positioned(m, F.filter(lv, lambda x: x["path"].startswith(m["first"])), legacy)
+            )
+            .when(m["kind"] == "join_prefix", _joined(m, lv, lambda x: x["path"].startswith(m["first"])))
+            .otherwise(
+                _joined(
+                    m,
+                    lv,
+                    lambda x: x["path"].startswith(m["first"])
+                    & x["path"].endswith(m["last"])
+                    & ((m["kind"] == "join") | x["truthy"]),
+                )
+            )
+        )
 
-    same_ends = F.filter(lv, lambda x: (x["first"] == m["first"]) & (x["last"] == m["last"]))
     return let(
-        exact,
-        lambda ex: F.when(
-            F.size(ex) > 0,
-            F.when(m["target"].isin(*SKIP_WHEN_FALSE) & ~ex[0]["truthy"], no_hits).otherwise(
-                F.transform(ex, first_element)
-            ),
-        )
-        .when(
-            m["kind"] == "qualifier",
-            F.transform(
-                find_qualified(lv, m["first"], m["sign"]),
-                lambda x: _hit(m, x, F.lit(0), F.lit(0)),
-            ),
-        )
-        .when(m["kind"] == "wild", _positioned(m, same_ends, legacy))
-        .when(m["kind"] == "suffix", _positioned(m, F.filter(same_ends, lambda x: x["n"] > 1), legacy))
-        .when(m["kind"] == "prefix", _positioned(m, F.filter(lv, lambda x: x["path"].startswith(m["first"])), legacy))
-        .when(m["kind"] == "join_prefix", _joined(m, lv, lambda x: x["path"].startswith(m["first"])))
-        .when(
-            m["kind"].isin("join", "join_truthy"),
-            _joined(
-                m,
-                lv,
-                lambda x: x["path"].startswith(m["first"])
-                & x["path"].endswith(m["last"])
-                & ((m["kind"] == "join") | x["truthy"]),
-            ),
-        )
-        .otherwise(no_hits),
+        F.array_position(paths, m["path"]).cast("int"),
+        lambda at: F.when(at > 0, let(F.get(lv, at - 1), exact)).otherwise(by_rule()),
     )
 
 
 def mapping_hits(lv: Column, mapping: Column, legacy_index: bool = False) -> Column:
-    """All hits of a document's leaves against its mapping."""
+    """All hits of a document's leaves (with segments) against its mapping."""
     return let(
-        F.transform(lv, _matchable),
-        lambda ready: F.flatten(F.transform(mapping, lambda m: _entry_hits(m, ready, legacy_index))),
+        lv,
+        lambda ready: let(
+            F.transform(ready, lambda x: x["path"]),
+            lambda paths: F.flatten(F.transform(mapping, lambda m: _entry_hits(m, ready, paths, legacy_index))),
+        ),
     )
 
 
-def _last_or_none(found: Column) -> Column:
-    return F.get(found, F.size(found) - 1)
-
-
-def scalar_value(hits: Column, field: str) -> Column:
-    return let(
-        F.filter(hits, lambda h: (h["grp"] == "") & (h["field"] == field)), lambda found: _last_or_none(found)["value"]
-    )
+def scalar_value(fields: Column, values: Column, field: str) -> Column:
+    """The value written last to a scalar field; ``fields`` and ``values`` are last first."""
+    return F.get(values, F.array_position(fields, field).cast("int") - 1)
 
 
 def group_positions(hits: Column) -> Column:
@@ -205,15 +182,22 @@ def align_field(hits: Column, positions: Column, field: str) -> Column:
             F.lit(False).alias("zero"),
         ),
     )
-    return let(
-        F.sort_array(F.concat(written, fillers)),
-        lambda all_: F.filter(
-            all_,
-            lambda x, i: (i == 0)
-            | (F.get(all_, i - 1)["idx"] != x["idx"])
-            | (F.get(all_, i - 1)["inner"] != x["inner"]),
-        ),
-    )
+    def sparse(found: Column) -> Column:
+        return let(
+            F.sort_array(F.concat(found, fillers)),
+            lambda all_: F.filter(
+                all_,
+                lambda x, i: (i == 0)
+                | (F.get(all_, i - 1)["idx"] != x["idx"])
+                | (F.get(all_, i - 1)["inner"] != x["inner"]),
+            ),
+        )
+
+    def places(values: Column) -> Column:
+        return F.transform(values, lambda x: F.struct(x["idx"].alias("idx"), x["inner"].alias("inner")))
+
+    # Usually a field has exactly one value per position, in order: nothing to align.
+    return let(written, lambda found: F.when(places(found) == positions, found).otherwise(sparse(found)))
 
 
 def _zero_fields(at: list[tuple[str, Column]]) -> Column:
@@ -278,21 +262,26 @@ def map_record(
     Narrow: one projection chain, no exchange.
     """
     others = [c for c in df.columns if c not in (doc, text, "mapping")]
-    found = mapping_hits(leaves(F.col(doc), F.col(text), lone_lists), F.col("mapping"), legacy_index)
-    hits = df.select(*others, found.alias("_hits"), F.exists("mapping", lambda m: m["nested"]).alias("_nested"))
+    found = mapping_hits(leaves(F.col(doc), F.col(text), lone_lists, segments=True), F.col("mapping"), legacy_index)
+    # The generator keeps filters on mapped fields above it; a plain projection would
+    # be merged into them and flatten every document once per condition.
+    hits = df.select(
+        *others, F.explode(F.array(found)).alias("_hits"), F.exists("mapping", lambda m: m["nested"]).alias("_nested")
+    )
     h = F.col("_hits")
     # item_details hits of exact paths only fill the serial list, they make no position of their own
     split = hits.select(
         *others,
         "_nested",
-        F.filter(h, lambda x: x["grp"] == "").alias("_scalars"),
+        F.reverse(F.filter(h, lambda x: x["grp"] == "")).alias("_scalars"),
         F.filter(h, lambda x: x["grp"] == "items").alias("_items"),
         F.filter(h, lambda x: x["grp"] == "deliveries").alias("_deliveries"),
     )
     placed = split.select(
         *others,
         "_nested",
-        "_scalars",
+        F.transform("_scalars", lambda x: x["field"]).alias("_sfields"),
+        F.transform("_scalars", lambda x: x["value"]).alias("_svalues"),
         "_items",
         "_deliveries",
         group_positions(F.col("_items")).alias("_ipos"),
@@ -302,8 +291,8 @@ def map_record(
     item_hits = F.filter("_items", lambda x: (x["field"] != "item_details") | ~F.coalesce(x["exact"], F.lit(False)))
     mapped = placed.select(
         *others,
-        *[scalar_value(F.col("_scalars"), f).alias(f) for f in SCALAR_TARGETS if f not in others],
-        F.array_distinct(F.transform("_scalars", lambda x: x["field"])).alias("seen_fields"),
+        *[scalar_value(F.col("_sfields"), F.col("_svalues"), f).alias(f) for f in SCALAR_TARGETS if f not in others],
+        F.array_distinct("_sfields").alias("seen_fields"),
         _group(item_hits, F.col("_ipos"), ITEM_FIELDS, _serials(F.col("_items"), serialised)).alias("items"),
         _group(F.col("_deliveries"), F.col("_dpos"), DELIVERY_FIELDS).alias("deliveries"),
         "_nested",

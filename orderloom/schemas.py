@@ -53,7 +53,7 @@ DELIVERY_TYPE = _struct_ddl(DELIVERY_FIELDS, "zero_fields:array<string>")
 
 MAPPING_ENTRY = (
     "struct<ord:int,path:string,target:string,grp:string,field:string,kind:string,"
-    "first:string,last:string,sign:string,idx_seg:int,inner_seg:int,nested:boolean>"
+    "first:string,last:string,ends:string,sign:string,idx_seg:int,inner_seg:int,nested:boolean>"
 )
 
 # Relational tables ---------------------------------------------------------

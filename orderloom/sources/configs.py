@@ -88,6 +88,7 @@ def _mapping_entry(raw: Column, ord_: Column, c: Column) -> Column:
         (grp == "deliveries") & (kind == "wild"), c["position_for_checking_idx_deliveries"]
     )
     nested = (kind == "wild") & F.coalesce(c["make_items_inside_items"]["field_to_nest"] == grp, F.lit(False))
+    first = F.split(F.split(path, r"\[i\]")[0], r"\.")[0]
     return F.struct(
         ord_.alias("ord"),
         path.alias("path"),
@@ -95,10 +96,9 @@ def _mapping_entry(raw: Column, ord_: Column, c: Column) -> Column:
         grp.alias("grp"),
         F.element_at(goal, -1).alias("field"),
         kind.alias("kind"),
-        F.when(qualified, F.regexp_extract(path, QUALIFIED, 1))
-        .otherwise(F.split(F.split(path, r"\[i\]")[0], r"\.")[0])
-        .alias("first"),
+        F.when(qualified, F.regexp_extract(path, QUALIFIED, 1)).otherwise(first).alias("first"),
         last.alias("last"),
+        F.concat(first, F.lit("|"), last).alias("ends"),
         F.when(qualified, F.regexp_extract(path, QUALIFIED, 2)).alias("sign"),
         # A nested group takes its outer position from the first number in the path.
         F.when(~nested | (grp == "deliveries"), idx_seg).alias("idx_seg"),
