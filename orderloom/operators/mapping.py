@@ -144,6 +144,12 @@ def scalar_value(fields: Column, values: Column, field: str) -> Column:
     return F.get(values, F.array_position(fields, field).cast("int") - 1)
 
 
+def _scalar(field: str, in_context: bool) -> Column:
+    """A mapped scalar; the order's own column stands in where the document has none."""
+    mapped = scalar_value(F.col("_sfields"), F.col("_svalues"), field)
+    return F.coalesce(mapped, F.col(field)) if in_context else mapped
+
+
 def group_positions(hits: Column) -> Column:
     """Positions a group has, ascending; gaps close."""
     return F.sort_array(
@@ -151,7 +157,7 @@ def group_positions(hits: Column) -> Column:
     )
 
 
-def align_field(hits: Column, positions: Column, field: str) -> Column:
+def align_field(hits: Column, positions: Column, field: Column) -> Column:
     """One entry per position: the field's last write there, or an empty one.
 
     Sorting the hits together with one filler per position and keeping the first
@@ -200,28 +206,30 @@ def align_field(hits: Column, positions: Column, field: str) -> Column:
     return let(written, lambda found: F.when(places(found) == positions, found).otherwise(sparse(found)))
 
 
-def _zero_fields(at: list[tuple[str, Column]]) -> Column:
-    return F.filter(F.array(*[F.when(c["zero"], F.lit(f)) for f, c in at]), lambda x: x.isNotNull())
+def align_fields(hits: Column, positions: Column, fields: tuple[str, ...]) -> Column:
+    """``align_field`` for every field, as one array in field order."""
+    return F.transform(F.array(*[F.lit(f) for f in fields]), lambda f: align_field(hits, positions, f))
+
 
+def _group(positions: Column, aligned: Column, fields: tuple[str, ...], serials: Column | None = None) -> Column:
+    """Structs of a group in position order from its aligned fields."""
+    names = F.array(*[F.lit(f) for f in fields])
 
-def _group(hits: Column, positions: Column, fields: tuple[str, ...], serials: Column | None = None) -> Column:
-    """Structs of a group in position order."""
-    columns = [align_field(hits, positions, f).alias(f) for f in fields]
-    wild_serials = align_field(hits, positions, "item_details").alias("item_details")
+    def element(_: Column, i: Column) -> Column:
+        return let(F.transform(aligned, lambda values: F.get(values, i)), lambda at: built(at, i))
 
-    def element(z: Column, i: Column) -> Column:
-        at = [(f, z[f]) for f in fields]
-        parts = [c["value"].alias(f) for f, c in at]
+    def built(at: Column, i: Column) -> Column:
+        parts = [at[k]["value"].alias(f) for k, f in enumerate(fields)]
         if serials is not None:
-            own = F.when(
-                z["item_details"]["value"].isNotNull(),
-                F.array(F.struct(z["item_details"]["value"].alias("serialnumber"))),
-            ).otherwise(F.array().cast(SERIALS))
+            wild = at[len(fields)]["value"]
+            own = F.when(wild.isNotNull(), F.array(F.struct(wild.alias("serialnumber")))).otherwise(
+                F.array().cast(SERIALS)
+            )
             parts.append(F.when((i == 0) & (F.size(serials) > 0), serials).otherwise(own).alias("item_details"))
-        return F.struct(*parts, _zero_fields(at).alias("zero_fields"))
+        zeros = F.filter(names, lambda _f, k: F.get(at, k)["zero"])
+        return F.struct(*parts, zeros.alias("zero_fields"))
 
-    zipped = F.arrays_zip(*columns, *([wild_serials] if serials is not None else []))
-    return F.when(F.size(positions) > 0, F.transform(zipped, element))
+    return F.when(F.size(positions) > 0, F.transform(positions, element))
 
 
 def _serials(hits: Column, is_serialized: Column) -> Column:
@@ -269,7 +277,6 @@ def map_record(
         *others, F.explode(F.array(found)).alias("_hits"), F.exists("mapping", lambda m: m["nested"]).alias("_nested")
     )
     h = F.col("_hits")
-    # item_details hits of exact paths only fill the serial list, they make no position of their own
     split = hits.select(
         *others,
         "_nested",
@@ -287,14 +294,26 @@ def map_record(
         group_positions(F.col("_items")).alias("_ipos"),
         group_positions(F.col("_deliveries")).alias("_dpos"),
     )
-    serialised = F.lit(None).cast("boolean") if is_serialized is None else F.col(is_serialized)
+    # item_details hits of exact paths fill the serial list, not a field of their own
     item_hits = F.filter("_items", lambda x: (x["field"] != "item_details") | ~F.coalesce(x["exact"], F.lit(False)))
-    mapped = placed.select(
+    serialised = F.lit(None).cast("boolean") if is_serialized is None else F.col(is_serialized)
+    aligned = placed.select(
         *others,
-        *[scalar_value(F.col("_sfields"), F.col("_svalues"), f).alias(f) for f in SCALAR_TARGETS if f not in others],
+        "_nested",
+        "_sfields",
+        "_svalues",
+        "_ipos",
+        "_dpos",
+        _serials(F.col("_items"), serialised).alias("_serials"),
+        align_fields(item_hits, F.col("_ipos"), (*ITEM_FIELDS, "item_details")).alias("_ivalues"),
+        align_fields(F.col("_deliveries"), F.col("_dpos"), DELIVERY_FIELDS).alias("_dvalues"),
+    )
+    mapped = aligned.select(
+        *[c for c in others if c not in SCALAR_TARGETS],
+        *[_scalar(f, f in others).alias(f) for f in SCALAR_TARGETS],
         F.array_distinct("_sfields").alias("seen_fields"),
-        _group(item_hits, F.col("_ipos"), ITEM_FIELDS, _serials(F.col("_items"), serialised)).alias("items"),
-        _group(F.col("_deliveries"), F.col("_dpos"), DELIVERY_FIELDS).alias("deliveries"),
+        _group(F.col("_ipos"), F.col("_ivalues"), ITEM_FIELDS, F.col("_serials")).alias("items"),
+        _group(F.col("_dpos"), F.col("_dvalues"), DELIVERY_FIELDS).alias("deliveries"),
         "_nested",
         "_ipos",
     )
