@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once and hand it to ``body``.
 
-    A column referenced inside a lambda is evaluated again for every element; a
-    lambda variable is not. A fold over one element binds the value without the
-    copy that ``transform`` makes of each result.
+    A column expression inside a lambda is evaluated again for every element, even
+    if it was a column of its own before projections were merged; a lambda variable
+    is not. A fold over one element binds the value without the copy that
+    ``transform`` makes of each result.
     """
     return F.aggregate(F.array(F.lit(0)), value, lambda bound, _: bound, body)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .common import is_blank
+from .common import is_blank, let
 
 # The canonical statuses and the ERP statuses still open for billing.
 OPEN = "OPEN"
@@ -80,13 +80,15 @@ def _by_precedence(n: Column, all_back: Column, any_partial: Column, any_process
 
 def rollup_status(statuses: Column) -> Column:
     """Order status from an array of item statuses; empty ones are ignored."""
-    known = F.filter(statuses, lambda s: ~is_blank(s))
-    return _by_precedence(
-        F.size(known),
-        F.forall(known, lambda s: s == BACKORDERED),
-        F.exists(known, lambda s: s.isin(BACKORDERED, PARTIAL)),
-        F.exists(known, lambda s: s == PROCESSING),
-        F.forall(known, lambda s: s == COMPLETED),
+    return let(
+        F.filter(F.coalesce(statuses, F.array().cast("array<string>")), lambda s: ~is_blank(s)),
+        lambda known: _by_precedence(
+            F.size(known),
+            F.forall(known, lambda s: s == BACKORDERED),
+            F.exists(known, lambda s: s.isin(BACKORDERED, PARTIAL)),
+            F.exists(known, lambda s: s == PROCESSING),
+            F.forall(known, lambda s: s == COMPLETED),
+        ),
     )
 
 

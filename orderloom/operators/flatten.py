@@ -1,7 +1,8 @@
-"""Nested documents to dotted-path leaves, inside the row.
+"""Nested documents to dotted-path leaves.
 
-A document is one VARIANT value. Flattening stays in its row (no shuffle, no
-join); ``flatten_json`` then lays the leaves out as rows where rows are wanted.
+A document is one VARIANT value. ``leaves`` flattens it inside its row, for rules
+that need a whole document at once; ``flatten_json`` gives one row per leaf.
+Neither shuffles nor joins.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.common import let
 
-_NODE = "struct<path:string,v:variant,open:boolean>"
+LEVELS = 6
 
 
 def _node(path: Column, value: Column, still_open: bool) -> Column:
@@ -27,16 +28,20 @@ def _open_one(node: Column, lone_lists: bool) -> Column:
     members = F.map_entries(F.try_variant_get(node["v"], "$", "map<string,variant>"))
     elements = F.try_variant_get(node["v"], "$", "array<variant>")
 
-    def element(x: Column, i: Column) -> Column:
-        here = _below(node["path"], i.cast("string"))
-        if lone_lists:
-            here = F.when(F.size(elements) == 1, node["path"]).otherwise(here)
-        return _node(here, x, True)
+    def child(x: Column, i: Column) -> Column:
+        return _node(_below(node["path"], i.cast("string")), x, True)
+
+    def children(listed: Column) -> Column:
+        if not lone_lists:
+            return F.transform(listed, child)
+        return F.when(F.size(listed) == 1, F.transform(listed, lambda x: _node(node["path"], x, True))).otherwise(
+            F.transform(listed, child)
+        )
 
     return F.when(~node["open"], F.array(node)).otherwise(
         F.coalesce(
             F.transform(members, lambda e: _node(_below(node["path"], e["key"]), e["value"], True)),
-            F.transform(elements, element),
+            let(elements, children) if lone_lists else children(elements),
             F.array(_node(node["path"], node["v"], False)),
         )
     )
@@ -111,10 +116,44 @@ def leaves(doc: Column, text: Column, lone_lists: bool = False, segments: bool =
 
 
 def flatten_json(df: DataFrame, doc: str = "doc", text: str = "body", lone_lists: bool = False) -> DataFrame:
-    """One row per leaf: the other columns, ``path``, ``value``, ``kind``, ``seq``. Narrow."""
+    """One row per leaf: the other columns, ``path``, ``value``, ``kind``, ``seq``.
+
+    Levels open one after another as lateral generators, in one narrow pass.
+    What still is a container after ``LEVELS`` of them is flattened inside its
+    row, so depth is not limited. ``seq`` orders the leaves of a document.
+    XML documents (``lone_lists``) are flattened inside the row throughout.
+    """
     others = [c for c in df.columns if c not in (doc, text)]
-    laid_out = df.select(*others, F.explode(leaves(F.col(doc), F.col(text), lone_lists)).alias("_leaf"))
-    return laid_out.select(*others, "_leaf.path", "_leaf.value", "_leaf.kind", "_leaf.seq")
+    if lone_lists:
+        laid_out = df.select(*others, F.explode(leaves(F.col(doc), F.col(text), True)).alias("_leaf"))
+        return laid_out.select(*others, "_leaf.path", "_leaf.value", "_leaf.kind", "_leaf.seq")
+
+    opened, parent = "", f"d.`{doc}`"
+    for i in range(LEVELS):
+        outer = "_outer" if i else ""
+        opened += f", LATERAL variant_explode{outer}({parent}) l{i}"
+        parent = f"l{i}.value"
+    segments = ", ".join(f"coalesce(l{i}.key, cast(l{i}.pos AS string))" for i in range(LEVELS))
+    places = ", ".join(f"l{i}.pos" for i in range(LEVELS))
+    value = ", ".join(f"l{i}.value" for i in reversed(range(LEVELS)))
+    names = ", ".join(f"d.`{c}`" for c in others)
+    rows = df.sparkSession.sql(
+        f"SELECT {names}{', ' if others else ''}concat_ws('.', {segments}) AS _path, array({places}) AS _place, "
+        f"coalesce({value}) AS _v FROM {{d}} d{opened}",
+        d=df,
+    )
+    typed = rows.withColumn("_kind", F.schema_of_variant("_v"))
+    container = F.col("_kind").startswith("OBJECT") | F.col("_kind").startswith("ARRAY")
+    deeper = F.when(container, leaves(F.col("_v"), F.to_json("_v")))
+    full = typed.select("*", F.explode_outer(deeper).alias("_leaf")).filter(F.col("_leaf").isNotNull() | ~container)
+    below = F.col("_leaf").isNotNull()
+    return full.select(
+        *others,
+        F.when(below, F.concat_ws(".", "_path", "_leaf.path")).otherwise(F.col("_path")).alias("path"),
+        F.when(below, F.col("_leaf.value")).otherwise(F.try_variant_get("_v", "$", "string")).alias("value"),
+        F.when(below, F.col("_leaf.kind")).otherwise(F.col("_kind")).alias("kind"),
+        F.array_append("_place", F.coalesce("_leaf.seq", F.lit(0))).alias("seq"),
+    )
 
 
 def json_path(dotted: str) -> str:

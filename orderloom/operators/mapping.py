@@ -208,28 +208,40 @@ def align_field(hits: Column, positions: Column, field: Column) -> Column:
 
 def align_fields(hits: Column, positions: Column, fields: tuple[str, ...]) -> Column:
     """``align_field`` for every field, as one array in field order."""
-    return F.transform(F.array(*[F.lit(f) for f in fields]), lambda f: align_field(hits, positions, f))
+    names = F.array(*[F.lit(f) for f in fields])
+    return let(
+        hits, lambda found: let(positions, lambda at: F.transform(names, lambda f: align_field(found, at, f)))
+    )
 
 
 def _group(positions: Column, aligned: Column, fields: tuple[str, ...], serials: Column | None = None) -> Column:
     """Structs of a group in position order from its aligned fields."""
     names = F.array(*[F.lit(f) for f in fields])
 
-    def element(_: Column, i: Column) -> Column:
-        return let(F.transform(aligned, lambda values: F.get(values, i)), lambda at: built(at, i))
-
-    def built(at: Column, i: Column) -> Column:
+    def built(at: Column, i: Column, first_serials: Column | None) -> Column:
         parts = [at[k]["value"].alias(f) for k, f in enumerate(fields)]
-        if serials is not None:
+        if first_serials is not None:
             wild = at[len(fields)]["value"]
             own = F.when(wild.isNotNull(), F.array(F.struct(wild.alias("serialnumber")))).otherwise(
                 F.array().cast(SERIALS)
             )
-            parts.append(F.when((i == 0) & (F.size(serials) > 0), serials).otherwise(own).alias("item_details"))
+            parts.append(
+                F.when((i == 0) & (F.size(first_serials) > 0), first_serials).otherwise(own).alias("item_details")
+            )
         zeros = F.filter(names, lambda _f, k: F.get(at, k)["zero"])
         return F.struct(*parts, zeros.alias("zero_fields"))
 
-    return F.when(F.size(positions) > 0, F.transform(positions, element))
+    def laid_out(values: Column, first_serials: Column | None) -> Column:
+        return F.transform(
+            positions,
+            lambda _, i: let(F.transform(values, lambda v: F.get(v, i)), lambda at: built(at, i, first_serials)),
+        )
+
+    rows = let(
+        aligned,
+        lambda values: laid_out(values, None) if serials is None else let(serials, lambda sn: laid_out(values, sn)),
+    )
+    return F.when(F.size(positions) > 0, rows)
 
 
 def _serials(hits: Column, is_serialized: Column) -> Column:
@@ -247,9 +259,12 @@ def _regroup(items: Column, positions: Column) -> Column:
     starts = F.transform(positions, lambda p: p["idx"])
     return let(
         starts,
-        lambda all_: F.transform(
-            outer,
-            lambda o: F.slice(items, F.array_position(all_, o).cast("int"), F.size(F.filter(all_, lambda x: x == o))),
+        lambda all_: let(
+            items,
+            lambda rows: F.transform(
+                outer,
+                lambda o: F.slice(rows, F.array_position(all_, o).cast("int"), F.size(F.filter(all_, lambda x: x == o))),
+            ),
         ),
     )
 

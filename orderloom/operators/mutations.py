@@ -31,9 +31,18 @@ def key_text(keys: list[str]) -> Column:
     return F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit(NO_INVOICE)) for k in keys])
 
 
-def assign_ids(new_rows: DataFrame, target: DataFrame, keys: list[str], hex_digits: int = 3, id_column: str = "id") -> DataFrame:
+def assign_ids(
+    new_rows: DataFrame,
+    target: DataFrame,
+    keys: list[str],
+    hex_digits: int = 3,
+    id_column: str = "id",
+    id_source: DataFrame | None = None,
+) -> DataFrame:
     """Dense ids after the target's highest one, in order of a hash of the key.
 
+    ``id_source`` stands in for ``target`` where only a part of the table is at hand.
+
     Rows are numbered inside ``16 ** hex_digits`` hash buckets, and a prefix sum
     over the bucket sizes (at most that many rows) gives each bucket its start.
     No task sees more than one bucket, and the ids depend on the keys alone, so a
@@ -45,7 +54,7 @@ def assign_ids(new_rows: DataFrame, target: DataFrame, keys: list[str], hex_digi
     sizes = new_rows.select(F.substring(F.md5(text), 1, hex_digits).alias("_b")).groupBy("_b").agg(F.count("*").alias("_n"))
     before = F.coalesce(F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     starts = sizes.select("_b", before.alias("_before"))
-    highest = target.agg(F.coalesce(F.max(id_column), F.lit(0)).cast("bigint").alias("_top"))
+    highest = (target if id_source is None else id_source).agg(F.coalesce(F.max(id_column), F.lit(0)).cast("bigint").alias("_top"))
     top = highest.select("_top").scalar()
     numbered = ranked.join(F.broadcast(starts), "_b")  # at most 16 ** hex_digits rows
     made = (top + F.col("_before") + F.col("_rn")).cast("bigint").alias(id_column)
@@ -114,6 +123,7 @@ def bulk_upsert(
     table: Table,
     update: str | tuple[str, ...] = "declared",
     on_duplicate: str = "fail",
+    id_source: DataFrame | None = None,
 ) -> DataFrame:
     """Upsert ``source`` into ``target`` on the table's key.
 
@@ -152,7 +162,7 @@ def bulk_upsert(
         (F.when(hit, F.lit("updated")) if columns else F.lit(None).cast("string")).alias("_change"),
     )
     fresh = changes.join(existing.select(*names), names, "left_anti").select("_src.*")
-    numbered = assign_ids(fresh, target, list(table.key)).withColumn("created_at", _now())
+    numbered = assign_ids(fresh, target, list(table.key), id_source=id_source).withColumn("created_at", _now())
     inserted = _like(target, numbered).withColumn("_change", F.lit("inserted"))
     return kept.unionByName(inserted)
 
@@ -178,7 +188,13 @@ def upsert_invoices(target: DataFrame, source: DataFrame) -> DataFrame:
     return bulk_upsert(target, source, VENDOR_INVOICE)
 
 
-def replace_children(target: DataFrame, new_rows: DataFrame, parents: DataFrame, parent_key: str) -> DataFrame:
+def replace_children(
+    target: DataFrame,
+    new_rows: DataFrame,
+    parents: DataFrame,
+    parent_key: str,
+    id_source: DataFrame | None = None,
+) -> DataFrame:
     """Drop all children of the touched parents and add the new ones.
 
     Children have no natural key, so their ids are numbered by a hash of the
@@ -190,7 +206,7 @@ def replace_children(target: DataFrame, new_rows: DataFrame, parents: DataFrame,
     counted = new_rows.groupBy(*columns).agg(F.count("*").alias("_n"))
     copies = counted.select(*columns, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n"))).alias("_copy"))
     keyed = copies.withColumn("_row_text", whole_row)
-    numbered = assign_ids(keyed, target, ["_row_text"]).withColumn("created_at", _now())
+    numbered = assign_ids(keyed, target, ["_row_text"], id_source=id_source).withColumn("created_at", _now())
     return kept.unionByName(_like(target, numbered))
 
 

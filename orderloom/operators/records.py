@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.carrier import default_weight, normalize_delivery
-from ..functions.common import is_blank
+from ..functions.common import is_blank, let
 from ..functions.dates import first_of_list
 from ..functions.money import clean_number, mirror_cost, money_value
 from ..functions.status import (
@@ -85,8 +85,7 @@ def set_calculated_status(df: DataFrame) -> DataFrame:
     """Roll item statuses up; the result replaces the mapped status unless the vendor set one.
     An empty result is NULL."""
     statuses = F.transform("items", record_item_status)
-    rolled = F.coalesce(rollup_status(statuses), F.lit(""))
-    calculated = F.when(rolled != "", rolled)
+    calculated = F.nullif(rollup_status(statuses), F.lit(""))
     return df.withColumn(
         "invoice_status",
         apply_calculated_status(F.col("status_from_vendor"), calculated, F.col("invoice_status")),
@@ -95,7 +94,11 @@ def set_calculated_status(df: DataFrame) -> DataFrame:
 
 def normalize_carriers(df: DataFrame) -> DataFrame:
     return df.withColumn(
-        "deliveries", F.transform("deliveries", lambda d: normalize_delivery(d, F.col("cfg.carrier")))
+        "deliveries",
+        let(
+            F.col("cfg.carrier"),
+            lambda rules: F.transform("deliveries", lambda d: normalize_delivery(d, rules)),
+        ),
     )
 
 
@@ -110,16 +113,19 @@ def fill_weights(df: DataFrame) -> DataFrame:
 def zip_items_with_deliveries(items: Column, deliveries: Column) -> Column:
     """Item quantities from the deliveries at the same positions, up to the shorter list."""
 
-    def replaced(item: Column, i: Column) -> Column:
-        shipped = F.get(deliveries, i)
+    def taken(item: Column, shipped: Column) -> Column:
         zero = F.coalesce(F.array_contains(shipped["zero_fields"], "shipquantity"), F.lit(False))
         others = F.filter(item["zero_fields"], lambda z: z != "quantity")
-        taken = item.withField("quantity", shipped["shipquantity"]).withField(
+        return item.withField("quantity", shipped["shipquantity"]).withField(
             "zero_fields", F.when(zero, F.array_append(others, F.lit("quantity"))).otherwise(others)
         )
-        return F.when(i < F.size(deliveries), taken).otherwise(item)
 
-    return F.when(F.size(deliveries) > 0, F.transform(items, replaced)).otherwise(items)
+    def zipped(boxes: Column) -> Column:
+        return F.transform(
+            items, lambda item, i: F.when(i < F.size(boxes), taken(item, F.get(boxes, i))).otherwise(item)
+        )
+
+    return F.when(F.size(deliveries) > 0, let(deliveries, zipped)).otherwise(items)
 
 
 def take_delivered_quantities(df: DataFrame) -> DataFrame:
