@@ -10,7 +10,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BASE = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+# Schemas of the given tables that the domain reads, so that no read infers one.
+BASE = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, "
+    "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+}
 
 _SO = """'SO' || CAST(CASE WHEN o_orderkey % 13 = 5 AND o_orderkey >= n_sup THEN o_orderkey - n_sup ELSE o_orderkey END AS VARCHAR(20))
       || CASE WHEN o_orderkey % 7 = 0 THEN '-S' ELSE '' END"""
@@ -176,6 +184,18 @@ def oracle(body: str, *tables: str, **extra: str) -> str:
 MAX_LINES = 1000
 
 
+def paged(rows: DataFrame, key: str, by: list[str]) -> DataFrame:
+    """``rows`` with ``_page``, so that no ``(key, _page)`` holds many more than ``MAX_LINES`` rows.
+
+    A document or record is one row, so a key with very many lines spreads over
+    several by a hash of the line. Only keys beyond that size are in ``large``,
+    which has at most rows / MAX_LINES entries.
+    """
+    large = rows.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") > MAX_LINES)
+    pages = F.ceil(F.coalesce("_n", F.lit(1)) / F.lit(MAX_LINES))
+    return rows.join(large, key, "left").withColumn("_page", F.pmod(F.xxhash64(*by), pages)).drop("_n")
+
+
 class Domain:
     """The domain tables of one data folder as DataFrames."""
 
@@ -183,33 +203,25 @@ class Domain:
         self.spark, self.folder = spark, folder
 
     def base(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(BASE[name]).parquet(f"{self.folder}/{name}.parquet")
 
     def sql(self, body: str, *tables: str) -> DataFrame:
+        text = oracle(body, *tables)
         for name in BASE:
-            if name in body or any(name in TABLES.get(t, "") for t in TABLES):
+            if name in text:
                 self.base(name).createOrReplaceTempView(name)
-        return self.spark.sql(oracle(body, *tables))
+        return self.spark.sql(text)
 
     def table(self, name: str) -> DataFrame:
         return self.sql(f"SELECT * FROM {name}", name)
 
     def lines_by_document(self) -> DataFrame:
-        """``line_text`` with ``rec_id`` and the order's document page.
-
-        A document is one row, so an order with very many lines spreads over
-        several documents of about ``MAX_LINES`` lines. Only orders beyond that
-        size are in ``large``, which has at most rows / MAX_LINES entries.
-        """
-        lines = self.table("line_text")
-        large = lines.groupBy("o").agg(F.count("*").alias("_n")).filter(F.col("_n") > MAX_LINES)
-        pages = F.ceil(F.coalesce("_n", F.lit(1)) / F.lit(MAX_LINES))
-        page = F.pmod(F.xxhash64("ln", "part", "supp", "ship_day", "json_line"), pages)
-        keyed = lines.join(large, "o", "left").withColumn("_page", page)
+        """``line_text`` with ``rec_id``: the order, and the page of a very long one."""
+        keyed = paged(self.table("line_text"), "o", ["ln", "part", "supp", "ship_day", "json_line"])
         rec_id = F.col("o").cast("string")
         return keyed.withColumn(
             "rec_id", F.when(F.col("_page") > 0, F.concat_ws("-", rec_id, F.col("_page"))).otherwise(rec_id)
-        ).drop("_n", "_page")
+        ).drop("_page")
 
     def documents(self) -> DataFrame:
         """One document per order: columns of ``DOC_HEAD``."""

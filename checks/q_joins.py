@@ -14,7 +14,7 @@ from orderloom.plans.extract import outcomes_of
 from orderloom.sources import configs, feed, responses
 
 from .configs import MAPPING, STATUSES, document, one_config, vendor_configs
-from .domain import Domain, oracle
+from .domain import Domain, oracle, paged
 from .q_nested import MAPPED_LINES, long_items, mapped_by
 from .q_sources import (
     FEED_ENTRY,
@@ -130,11 +130,12 @@ def _(d: Domain) -> DataFrame:
 
 
 def invoice_records(d: Domain) -> DataFrame:
-    """Invoices with their items as an array, keyed by order and number."""
-    items = d.table("vendor_invoice_items").groupBy(F.col("vendor_invoice_id").alias("id")).agg(
+    """Invoices with their items in arrays of about ``MAX_LINES``, keyed by order and number."""
+    items = d.table("vendor_invoice_items").withColumnRenamed("vendor_invoice_id", "id")
+    grouped = paged(items, "id", items.columns).groupBy("id", "_page").agg(
         F.collect_list(F.struct("itemno", "quantity", "rate")).alias("items")
     )
-    return d.table("vendor_invoice").select("id", "purchase_order_id", "invoice_number").join(items, "id").drop("id")
+    return d.table("vendor_invoice").select("id", "purchase_order_id", "invoice_number").join(grouped, "id").drop("id", "_page")
 
 
 @query(

@@ -2,12 +2,33 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
+from pyspark import SparkContext
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def built_once(build: Callable[..., Column]) -> Callable[..., Column]:
+    """Keep the columns ``build`` makes, per argument list and application.
+
+    Large expressions cost many round trips to the JVM to put together; those
+    that depend on column names only are the same for every query.
+    """
+    made: dict[tuple, Column] = {}
+
+    @functools.wraps(build)
+    def get(*args: object) -> Column:
+        context = SparkContext._active_spark_context
+        key = (context.applicationId if context else None, *args)
+        if key not in made:
+            made[key] = build(*args)
+        return made[key]
+
+    return get
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once and hand it to ``body``.
 

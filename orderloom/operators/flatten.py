@@ -212,5 +212,5 @@ def path_index(path: Column, segment: Column | int | None = None, legacy: bool =
     at = segment if isinstance(segment, Column) else F.lit(segment)
     segments = F.split(path, r"\.")
     here = F.get(segments, at)
-    usable = path.rlike(r"\.\d") & (F.coalesce(at, F.lit(0)) > 0) & (F.size(segments) > at)
+    usable = (F.coalesce(at, F.lit(0)) > 0) & (F.size(segments) > at) & path.rlike(r"\.\d")
     return F.when(usable, F.when(here.rlike(r"^\d+$"), here.try_cast("int")).otherwise(0)).otherwise(first)

@@ -10,7 +10,7 @@ from ..functions.dates import first_date
 from ..functions.money import money_or_zero
 from ..functions.status import OPEN_FOR_BILLING
 from ..functions.text import ship_complete_flag
-from ..sizing import broadcast_if_small
+from ..sizing import broadcast_if_small, repeat_rows
 from .aggregates import items_object_array, object_agg, unbilled_invoice_filter
 
 
@@ -22,9 +22,8 @@ def orders_left_invoices(orders: DataFrame, invoices: DataFrame) -> DataFrame:
     crosses the shuffle as one row and is repeated after the join.
     """
     counted = invoices.groupBy(F.col("purchase_order_id").alias("id")).agg(F.count("*").alias("_n"))
-    copies = F.sequence(F.lit(1).cast("bigint"), F.coalesce("_n", F.lit(1).cast("bigint")))
-    joined = orders.join(counted, "id", "left").select(*orders.columns, F.explode(copies).alias("_copy"))
-    return joined.drop("_copy")
+    joined = orders.join(counted, "id", "left").withColumn("_n", F.coalesce("_n", F.lit(1)))
+    return repeat_rows(joined, "_n", "_copy").select(*orders.columns)
 
 
 def _open_orders(orders: DataFrame, statuses: tuple[str, ...], vendor_id: int | None) -> DataFrame:

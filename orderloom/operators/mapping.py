@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.common import let
+from ..functions.common import built_once, let
 from ..schemas import DELIVERY_FIELDS, ITEM_FIELDS, SCALAR_TARGETS, SERIALS, SKIP_WHEN_FALSE
 from ..sizing import broadcast_if_small
 from ..sources.configs import QUALIFIED_SIBLING
@@ -269,6 +269,34 @@ def _regroup(items: Column, positions: Column) -> Column:
     )
 
 
+@built_once
+def _hits_column(doc: str, text: str, lone_lists: bool, legacy_index: bool) -> Column:
+    found = leaves(F.col(doc), F.col(text), lone_lists, segments=True)
+    return mapping_hits(found, F.col("mapping"), legacy_index)
+
+
+@built_once
+def _item_values() -> Column:
+    # item_details hits of exact paths fill the serial list, not a field of their own
+    hits = F.filter("_items", lambda x: (x["field"] != "item_details") | ~F.coalesce(x["exact"], F.lit(False)))
+    return align_fields(hits, F.col("_ipos"), (*ITEM_FIELDS, "item_details"))
+
+
+@built_once
+def _delivery_values() -> Column:
+    return align_fields(F.col("_deliveries"), F.col("_dpos"), DELIVERY_FIELDS)
+
+
+@built_once
+def _items() -> Column:
+    return _group(F.col("_ipos"), F.col("_ivalues"), ITEM_FIELDS, F.col("_serials"))
+
+
+@built_once
+def _deliveries() -> Column:
+    return _group(F.col("_dpos"), F.col("_dvalues"), DELIVERY_FIELDS)
+
+
 def map_record(
     df: DataFrame,
     doc: str = "doc",
@@ -285,7 +313,7 @@ def map_record(
     Narrow: one projection chain, no exchange.
     """
     others = [c for c in df.columns if c not in (doc, text, "mapping")]
-    found = mapping_hits(leaves(F.col(doc), F.col(text), lone_lists, segments=True), F.col("mapping"), legacy_index)
+    found = _hits_column(doc, text, lone_lists, legacy_index)
     # The generator keeps filters on mapped fields above it; a plain projection would
     # be merged into them and flatten every document once per condition.
     hits = df.select(
@@ -309,8 +337,6 @@ def map_record(
         group_positions(F.col("_items")).alias("_ipos"),
         group_positions(F.col("_deliveries")).alias("_dpos"),
     )
-    # item_details hits of exact paths fill the serial list, not a field of their own
-    item_hits = F.filter("_items", lambda x: (x["field"] != "item_details") | ~F.coalesce(x["exact"], F.lit(False)))
     serialised = F.lit(None).cast("boolean") if is_serialized is None else F.col(is_serialized)
     aligned = placed.select(
         *others,
@@ -320,15 +346,15 @@ def map_record(
         "_ipos",
         "_dpos",
         _serials(F.col("_items"), serialised).alias("_serials"),
-        align_fields(item_hits, F.col("_ipos"), (*ITEM_FIELDS, "item_details")).alias("_ivalues"),
-        align_fields(F.col("_deliveries"), F.col("_dpos"), DELIVERY_FIELDS).alias("_dvalues"),
+        _item_values().alias("_ivalues"),
+        _delivery_values().alias("_dvalues"),
     )
     mapped = aligned.select(
         *[c for c in others if c not in SCALAR_TARGETS],
         *[_scalar(f, f in others).alias(f) for f in SCALAR_TARGETS],
         F.array_distinct("_sfields").alias("seen_fields"),
-        _group(F.col("_ipos"), F.col("_ivalues"), ITEM_FIELDS, F.col("_serials")).alias("items"),
-        _group(F.col("_dpos"), F.col("_dvalues"), DELIVERY_FIELDS).alias("deliveries"),
+        _items().alias("items"),
+        _deliveries().alias("deliveries"),
         "_nested",
         "_ipos",
     )

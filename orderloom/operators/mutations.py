@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import PURCHASE_ORDER, SALES_ORDER, VENDOR_INVOICE, Table
+from ..sizing import repeat_rows
 
 NO_INVOICE = "-1"
 
@@ -204,7 +205,7 @@ def replace_children(
     columns = list(new_rows.columns)
     whole_row = F.to_json(F.struct(*columns, "_copy"), {"ignoreNullFields": "false"})
     counted = new_rows.groupBy(*columns).agg(F.count("*").alias("_n"))
-    copies = counted.select(*columns, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n"))).alias("_copy"))
+    copies = repeat_rows(counted, "_n", "_copy")
     keyed = copies.withColumn("_row_text", whole_row)
     numbered = assign_ids(keyed, target, ["_row_text"], id_source=id_source).withColumn("created_at", _now())
     return kept.unionByName(_like(target, numbered))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.carrier import default_weight, normalize_delivery
-from ..functions.common import is_blank, let
+from ..functions.common import built_once, is_blank, let
 from ..functions.dates import first_of_list
 from ..functions.money import clean_number, mirror_cost, money_value
 from ..functions.status import (
@@ -81,27 +81,31 @@ def record_item_status(item: Column) -> Column:
     return item_status(*[item[n] for n in names], item["invoice_status"], *[has(n) for n in names])
 
 
+@built_once
+def _calculated_status() -> Column:
+    return F.nullif(rollup_status(F.transform("items", record_item_status)), F.lit(""))
+
+
 def set_calculated_status(df: DataFrame) -> DataFrame:
     """Roll item statuses up; the result replaces the mapped status unless the vendor set one.
     An empty result is NULL."""
-    statuses = F.transform("items", record_item_status)
-    calculated = F.nullif(rollup_status(statuses), F.lit(""))
     return df.withColumn(
         "invoice_status",
-        apply_calculated_status(F.col("status_from_vendor"), calculated, F.col("invoice_status")),
+        apply_calculated_status(F.col("status_from_vendor"), _calculated_status(), F.col("invoice_status")),
     )
 
 
-def normalize_carriers(df: DataFrame) -> DataFrame:
-    return df.withColumn(
-        "deliveries",
-        let(
-            F.col("cfg.carrier"),
-            lambda rules: F.transform("deliveries", lambda d: normalize_delivery(d, rules)),
-        ),
+@built_once
+def _normalized_deliveries() -> Column:
+    return let(
+        F.col("cfg.carrier"), lambda rules: F.transform("deliveries", lambda d: normalize_delivery(d, rules))
     )
 
 
+def normalize_carriers(df: DataFrame) -> DataFrame:
+    return df.withColumn("deliveries", _normalized_deliveries())
+
+
 def fill_weights(df: DataFrame) -> DataFrame:
     def filled(d: Column) -> Column:
         zero = F.coalesce(F.array_contains(d["zero_fields"], "weight"), F.lit(False))
@@ -171,6 +175,11 @@ def mirror_costs(df: DataFrame) -> DataFrame:
     )
 
 
+@built_once
+def _priced_items() -> Column:
+    return priced_items(F.col("items"))
+
+
 def priced_items(items: Column) -> Column:
     """Items with cleaned rate and quantity and an amount: the given one, else rate × quantity.
 
@@ -202,7 +211,7 @@ def priced_items(items: Column) -> Column:
 
 def order_total(df: DataFrame) -> DataFrame:
     """Item amounts and the order total: the given one, else Σ amount + ship cost."""
-    priced = df.withColumn("items", priced_items(F.col("items")))
+    priced = df.withColumn("items", _priced_items())
     summed = F.aggregate(
         F.filter("items", lambda i: i["counted"]), F.lit(0.0), lambda acc, i: acc + F.coalesce(i["amount"], F.lit(0.0))
     )

@@ -12,7 +12,7 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.common import flag, let
+from ..functions.common import built_once, flag, let
 
 # The keys a config document may carry.
 CONFIG_SCHEMA = """
@@ -43,6 +43,16 @@ CONFIG_SCHEMA = """
   fault_error_mapping struct<fault_error_status: string, fault_error_message: string>
 """
 
+# Switch columns and the config keys they come from.
+SWITCHES = {
+    "split_invoices": "check_multi_invoice_and_split",
+    "shipquantity_repeated": "is_shipquantity_repeated",
+    "same_costs": "is_shipcost_and_extraitemprice_same",
+    "items_from_first_call": "use_items_from_first_api_call",
+    "call_per_invoice": "iterate_over_invoice_for_second_api_call",
+    "status_in_invoice_field": "order_status_in_different_field_and_deliveries_field_factor",
+}
+
 # Qualifier fields, ``<key>['<sign>']``, and the sibling that carries the value.
 QUALIFIED = r"^(.+)\['(IN|ON)'\]$"
 QUALIFIED_SIBLING = "RefID"
@@ -171,27 +181,29 @@ def _carrier(c: Column) -> Column:
     )
 
 
-def compile_configs(df: DataFrame) -> DataFrame:
-    """``(vendor_id, config)`` to ``(vendor_id, mapping, cfg)``, one row per vendor."""
+@built_once
+def _mapping_column() -> Column:
+    return _mapping(F.col("c"))
+
+
+@built_once
+def _cfg_column() -> Column:
     c = F.col("c")
-    switches = {
-        "split_invoices": "check_multi_invoice_and_split",
-        "shipquantity_repeated": "is_shipquantity_repeated",
-        "same_costs": "is_shipcost_and_extraitemprice_same",
-        "items_from_first_call": "use_items_from_first_api_call",
-        "call_per_invoice": "iterate_over_invoice_for_second_api_call",
-        "status_in_invoice_field": "order_status_in_different_field_and_deliveries_field_factor",
-    }
-    cfg = F.struct(
+    no_text = F.array().cast("array<string>")
+    return F.struct(
         _status_map(c).alias("status_map"),
         _carrier(c).alias("carrier"),
-        F.coalesce(c["fields_to_split_for_multi_invoice"], F.array().cast("array<string>")).alias("split_fields"),
+        F.coalesce(c["fields_to_split_for_multi_invoice"], no_text).alias("split_fields"),
         c["check_for_tracking_number_and_set_invoice_accordingly"].isNotNull().alias("split_by_column"),
-        F.coalesce(c["data"]["payload_value_to_upper"], F.array().cast("array<string>")).alias("upper_keys"),
+        F.coalesce(c["data"]["payload_value_to_upper"], no_text).alias("upper_keys"),
         flag(c["multi_api_call"]["url"]["raw"]).alias("second_call"),
-        *[flag(c[key]).alias(name) for name, key in switches.items()],
+        *[flag(c[key]).alias(name) for name, key in SWITCHES.items()],
     )
-    return parse_configs(df).select("vendor_id", _mapping(c).alias("mapping"), cfg.alias("cfg"))
+
+
+def compile_configs(df: DataFrame) -> DataFrame:
+    """``(vendor_id, config)`` to ``(vendor_id, mapping, cfg)``, one row per vendor."""
+    return parse_configs(df).select("vendor_id", _mapping_column().alias("mapping"), _cfg_column().alias("cfg"))
 
 
 def vendor_mapping_rows(df: DataFrame) -> DataFrame:
