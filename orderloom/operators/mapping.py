@@ -1,6 +1,6 @@
 """Config-driven mapping of a document to an order record, inside the row.
 
-Every document carries its vendor's compiled mapping (an array of entries).
+Every document carries its vendor's compiled mapping (``sources.configs``).
 Leaves that match an entry become *hits* ``(grp, field, idx, inner, …)``; scalars
 are the last hit of their field and groups are hits aligned by position. No
 leaf leaves its row, so mapping needs no shuffle and a hot vendor is harmless.
@@ -34,7 +34,7 @@ def _hit(m: Column, leaf: Column, idx: Column, inner: Column) -> Column:
         leaf["value"].alias("value"),
         F.coalesce(~leaf["truthy"] & (leaf["value"] != ""), F.lit(False)).alias("zero"),
         leaf["truthy"].alias("truthy"),
-        F.lit(None).cast("boolean").alias("exact"),
+        F.lit(False).alias("exact"),
     )
 
 
@@ -91,50 +91,79 @@ def find_qualified(lv: Column, qualifier: Column, sign: Column) -> Column:
 
 
 def _entry_hits(m: Column, lv: Column, paths: Column, legacy: bool) -> Column:
+    """Hits of an entry by exact path, else by the rules that look at whole documents."""
     no_hits = F.filter(F.array(_text_hit(m, m["path"])), lambda x: F.lit(False))
-    same_ends = F.filter(lv, lambda x: x["ends"] == m["ends"])
 
     def exact(leaf: Column) -> Column:
         hit = _hit(m, leaf, F.lit(0), F.lit(0)).withField("exact", F.lit(True))
         return F.when(m["target"].isin(*SKIP_WHEN_FALSE) & ~leaf["truthy"], no_hits).otherwise(F.array(hit))
 
-    def by_rule() -> Column:
-        return (
-            F.when(m["kind"] == "wild", _positioned(m, same_ends, legacy))
-            .when(m["kind"] == "exact", no_hits)
-            .when(m["kind"] == "suffix", _positioned(m, F.filter(same_ends, lambda x: x["path"].contains(".")), legacy))
-            .when(
-                m["kind"] == "qualifier",
-                F.transform(find_qualified(lv, m["first"], m["sign"]), lambda x: _hit(m, x, F.lit(0), F.lit(0))),
-            )
-            .when(
-                m["kind"] == "prefix", _positioned(m, F.filter(lv, lambda x: x["path"].startswith(m["first"])), legacy)
-            )
-            .when(m["kind"] == "join_prefix", _joined(m, lv, lambda x: x["path"].startswith(m["first"])))
-            .otherwise(
-                _joined(
-                    m,
-                    lv,
-                    lambda x: x["path"].startswith(m["first"])
-                    & x["path"].endswith(m["last"])
-                    & ((m["kind"] == "join") | x["truthy"]),
-                )
+    by_document = (
+        F.when(m["kind"].isin("wild", "suffix", "exact"), no_hits)
+        .when(
+            m["kind"] == "qualifier",
+            F.transform(find_qualified(lv, m["first"], m["sign"]), lambda x: _hit(m, x, F.lit(0), F.lit(0))),
+        )
+        .when(m["kind"] == "prefix", _positioned(m, F.filter(lv, lambda x: x["path"].startswith(m["first"])), legacy))
+        .when(m["kind"] == "join_prefix", _joined(m, lv, lambda x: x["path"].startswith(m["first"])))
+        .otherwise(
+            _joined(
+                m,
+                lv,
+                lambda x: x["path"].startswith(m["first"])
+                & x["path"].endswith(m["last"])
+                & ((m["kind"] == "join") | x["truthy"]),
             )
         )
-
+    )
     return let(
         F.array_position(paths, m["path"]).cast("int"),
-        lambda at: F.when(at > 0, let(F.get(lv, at - 1), exact)).otherwise(by_rule()),
+        lambda at: F.when(at > 0, let(F.get(lv, at - 1), exact)).otherwise(by_document),
+    )
+
+
+def _leaf_hits(leaf: Column, mapping: Column, exact_paths: Column, legacy: bool) -> Column:
+    """Hits of a leaf by its first and last segment: one lookup, then the few entries
+    found there. Entries whose own path is in the document are out."""
+
+    def usable(m: Column) -> Column:
+        nested_only = (m["kind"] == "wild") | leaf["path"].contains(".")
+        return nested_only & ~F.array_contains(exact_paths, m["path"])
+
+    def hit(m: Column) -> Column:
+        inner = F.when(m["nested"], path_index(leaf["path"], m["inner_seg"], legacy)).otherwise(0)
+        return _hit(m, leaf, path_index(leaf["path"], m["idx_seg"], legacy), inner)
+
+    return let(
+        F.array_position(mapping["keys"], leaf["ends"]).cast("int"),
+        lambda at: F.when(at > 0, F.transform(F.filter(F.get(mapping["rules"], at - 1), usable), hit)),
     )
 
 
 def mapping_hits(lv: Column, mapping: Column, legacy_index: bool = False) -> Column:
     """All hits of a document's leaves (with segments) against its mapping."""
+
+    def found(leaf_list: Column, paths: Column, rules: Column) -> Column:
+        ruled = F.flatten(F.transform(rules["rules"], lambda r: F.transform(r, lambda m: m["path"])))
+        by_entry = F.flatten(
+            F.transform(rules["entries"], lambda m: _entry_hits(m, leaf_list, paths, legacy_index))
+        )
+        by_leaf = let(
+            F.array_intersect(ruled, paths),
+            lambda exact_paths: F.flatten(
+                F.filter(
+                    F.transform(leaf_list, lambda x: _leaf_hits(x, rules, exact_paths, legacy_index)),
+                    lambda x: x.isNotNull(),
+                )
+            ),
+        )
+        return F.when(rules.isNotNull(), F.concat(by_entry, by_leaf))
+
     return let(
         lv,
-        lambda ready: let(
-            F.transform(ready, lambda x: x["path"]),
-            lambda paths: F.flatten(F.transform(mapping, lambda m: _entry_hits(m, ready, paths, legacy_index))),
+        lambda leaf_list: let(
+            F.transform(leaf_list, lambda x: x["path"]),
+            lambda paths: let(mapping, lambda rules: found(leaf_list, paths, rules)),
         ),
     )
 
@@ -150,97 +179,78 @@ def _scalar(field: str, in_context: bool) -> Column:
     return F.coalesce(mapped, F.col(field)) if in_context else mapped
 
 
-def group_positions(hits: Column) -> Column:
-    """Positions a group has, ascending; gaps close."""
-    return F.sort_array(
-        F.array_distinct(F.transform(hits, lambda h: F.struct(h["idx"].alias("idx"), h["inner"].alias("inner"))))
-    )
-
-
-def align_field(hits: Column, positions: Column, field: Column) -> Column:
-    """One entry per position: the field's last write there, or an empty one.
+def by_position(hits: Column) -> Column:
+    """Hits of a group as one list per position, positions ascending (gaps close),
+    the writes of a position in order.
 
-    Sorting the hits together with one filler per position and keeping the first
-    of each position is linear in memory and ``n log n`` in time, where a lookup
+    One sort and one pass: linear in memory and ``n log n`` in time, where a search
     per position would be quadratic in long documents.
     """
-    written = F.transform(
-        F.filter(hits, lambda h: h["field"] == field),
-        lambda h: F.struct(
-            h["idx"].alias("idx"),
-            h["inner"].alias("inner"),
-            F.lit(0).alias("filler"),
-            (-h["ord"]).alias("o"),
-            (-h["seq"]).alias("s"),
-            h["value"].alias("value"),
-            h["zero"].alias("zero"),
-        ),
-    )
-    fillers = F.transform(
-        positions,
-        lambda p: F.struct(
-            p["idx"].alias("idx"),
-            p["inner"].alias("inner"),
-            F.lit(1).alias("filler"),
-            F.lit(0).alias("o"),
-            F.lit(0).alias("s"),
-            F.lit(None).cast("string").alias("value"),
-            F.lit(False).alias("zero"),
-        ),
+    ordered = F.sort_array(
+        F.transform(
+            hits,
+            lambda h: F.struct(
+                h["idx"].alias("idx"),
+                h["inner"].alias("inner"),
+                h["ord"].alias("ord"),
+                h["seq"].alias("seq"),
+                # a serial number from an exact path fills the serial list, not a field
+                F.when(h["exact"] & (h["field"] == "item_details"), "").otherwise(h["field"]).alias("field"),
+                h["value"].alias("value"),
+                h["zero"].alias("zero"),
+            ),
+        )
     )
-    def sparse(found: Column) -> Column:
+
+    def cut(all_: Column) -> Column:
+        def opens(h: Column, i: Column) -> Column:
+            before = F.get(all_, i - 1)
+            return F.when((i == 0) | (before["idx"] != h["idx"]) | (before["inner"] != h["inner"]), i)
+
+        starts = F.filter(F.transform(all_, opens), lambda i: i.isNotNull())
         return let(
-            F.sort_array(F.concat(found, fillers)),
-            lambda all_: F.filter(
-                all_,
-                lambda x, i: (i == 0)
-                | (F.get(all_, i - 1)["idx"] != x["idx"])
-                | (F.get(all_, i - 1)["inner"] != x["inner"]),
+            starts,
+            lambda at: F.transform(
+                at, lambda i, k: F.slice(all_, i + 1, F.coalesce(F.get(at, k + 1), F.size(all_)) - i)
             ),
         )
 
-    def places(values: Column) -> Column:
-        return F.transform(values, lambda x: F.struct(x["idx"].alias("idx"), x["inner"].alias("inner")))
+    return let(ordered, cut)
 
-    # Usually a field has exactly one value per position, in order: nothing to align.
-    return let(written, lambda found: F.when(places(found) == positions, found).otherwise(sparse(found)))
 
+def _element(writes: Column, fields: tuple[str, ...], serials: Column | None) -> Column:
+    """One struct from the writes of a position; the last write of a field counts."""
 
-def align_fields(hits: Column, positions: Column, fields: tuple[str, ...]) -> Column:
-    """``align_field`` for every field, as one array in field order."""
-    names = F.array(*[F.lit(f) for f in fields])
-    return let(
-        hits, lambda found: let(positions, lambda at: F.transform(names, lambda f: align_field(found, at, f)))
-    )
+    def built(latest: Column, names: Column) -> Column:
+        def value(field: str) -> Column:
+            return F.get(latest, F.array_position(names, field).cast("int") - 1)["value"]
 
+        parts = [value(f).alias(f) for f in fields]
+        if serials is not None:
+            wild = value("item_details")
+            own = F.when(wild.isNotNull(), F.array(F.struct(wild.alias("serialnumber")))).otherwise(serials)
+            parts.append(own.alias("item_details"))
+        zeros = F.filter(latest, lambda h, i: h["zero"] & (F.array_position(names, h["field"]) == i + 1))
+        return F.struct(*parts, F.reverse(F.transform(zeros, lambda h: h["field"])).alias("zero_fields"))
 
-def _group(positions: Column, aligned: Column, fields: tuple[str, ...], serials: Column | None = None) -> Column:
-    """Structs of a group in position order from its aligned fields."""
-    names = F.array(*[F.lit(f) for f in fields])
+    return let(
+        F.reverse(writes),
+        lambda latest: let(F.transform(latest, lambda h: h["field"]), lambda names: built(latest, names)),
+    )
 
-    def built(at: Column, i: Column, first_serials: Column | None) -> Column:
-        parts = [at[k]["value"].alias(f) for k, f in enumerate(fields)]
-        if first_serials is not None:
-            wild = at[len(fields)]["value"]
-            own = F.when(wild.isNotNull(), F.array(F.struct(wild.alias("serialnumber")))).otherwise(
-                F.array().cast(SERIALS)
-            )
-            parts.append(
-                F.when((i == 0) & (F.size(first_serials) > 0), first_serials).otherwise(own).alias("item_details")
-            )
-        zeros = F.filter(names, lambda _f, k: F.get(at, k)["zero"])
-        return F.struct(*parts, zeros.alias("zero_fields"))
 
-    def laid_out(values: Column, first_serials: Column | None) -> Column:
-        return F.transform(
-            positions,
-            lambda _, i: let(F.transform(values, lambda v: F.get(v, i)), lambda at: built(at, i, first_serials)),
+def _group(positions: Column, fields: tuple[str, ...], serials: Column | None = None) -> Column:
+    """Structs of a group in position order; ``serials`` goes to the first one."""
+    if serials is None:
+        rows = F.transform(positions, lambda writes: _element(writes, fields, None))
+    else:
+        none = F.array().cast(SERIALS)
+        rows = let(
+            serials,
+            lambda sn: F.transform(
+                positions, lambda writes, i: _element(writes, fields, F.when(i == 0, sn).otherwise(none))
+            ),
         )
-
-    rows = let(
-        aligned,
-        lambda values: laid_out(values, None) if serials is None else let(serials, lambda sn: laid_out(values, sn)),
-    )
     return F.when(F.size(positions) > 0, rows)
 
 
@@ -255,18 +265,15 @@ def _serials(hits: Column, is_serialized: Column) -> Column:
 
 def _regroup(items: Column, positions: Column) -> Column:
     """Items back into their outer positions."""
-    outer = F.array_distinct(F.transform(positions, lambda p: p["idx"]))
-    starts = F.transform(positions, lambda p: p["idx"])
-    return let(
-        starts,
-        lambda all_: let(
-            items,
-            lambda rows: F.transform(
-                outer,
-                lambda o: F.slice(rows, F.array_position(all_, o).cast("int"), F.size(F.filter(all_, lambda x: x == o))),
-            ),
-        ),
-    )
+
+    def nested(rows: Column, starts: Column) -> Column:
+        return F.transform(
+            F.array_distinct(starts),
+            lambda o: F.slice(rows, F.array_position(starts, o).cast("int"), F.size(F.filter(starts, lambda x: x == o))),
+        )
+
+    outer = F.transform(positions, lambda writes: writes[0]["idx"])
+    return let(outer, lambda starts: let(items, lambda rows: nested(rows, starts)))
 
 
 @built_once
@@ -276,25 +283,24 @@ def _hits_column(doc: str, text: str, lone_lists: bool, legacy_index: bool) -> C
 
 
 @built_once
-def _item_values() -> Column:
-    # item_details hits of exact paths fill the serial list, not a field of their own
-    hits = F.filter("_items", lambda x: (x["field"] != "item_details") | ~F.coalesce(x["exact"], F.lit(False)))
-    return align_fields(hits, F.col("_ipos"), (*ITEM_FIELDS, "item_details"))
+def _items() -> Column:
+    return _group(F.col("_ipos"), ITEM_FIELDS, F.col("_serials"))
 
 
 @built_once
-def _delivery_values() -> Column:
-    return align_fields(F.col("_deliveries"), F.col("_dpos"), DELIVERY_FIELDS)
+def _deliveries() -> Column:
+    return _group(F.col("_dpos"), DELIVERY_FIELDS)
 
 
 @built_once
-def _items() -> Column:
-    return _group(F.col("_ipos"), F.col("_ivalues"), ITEM_FIELDS, F.col("_serials"))
+def _positions(group: str) -> Column:
+    return by_position(F.filter("_hits", lambda x: x["grp"] == group))
 
 
 @built_once
-def _deliveries() -> Column:
-    return _group(F.col("_dpos"), F.col("_dvalues"), DELIVERY_FIELDS)
+def _serial_column(is_serialized: str | None) -> Column:
+    flagged = F.lit(None).cast("boolean") if is_serialized is None else F.col(is_serialized)
+    return _serials(F.filter("_hits", lambda x: x["grp"] == "items"), flagged)
 
 
 def map_record(
@@ -317,37 +323,17 @@ def map_record(
     # The generator keeps filters on mapped fields above it; a plain projection would
     # be merged into them and flatten every document once per condition.
     hits = df.select(
-        *others, F.explode(F.array(found)).alias("_hits"), F.exists("mapping", lambda m: m["nested"]).alias("_nested")
+        *others, F.explode(F.array(found)).alias("_hits"), F.exists("mapping.entries", lambda m: m["nested"]).alias("_nested")
     )
-    h = F.col("_hits")
-    split = hits.select(
-        *others,
-        "_nested",
-        F.reverse(F.filter(h, lambda x: x["grp"] == "")).alias("_scalars"),
-        F.filter(h, lambda x: x["grp"] == "items").alias("_items"),
-        F.filter(h, lambda x: x["grp"] == "deliveries").alias("_deliveries"),
-    )
-    placed = split.select(
+    scalars = hits.withColumn("_scalars", F.reverse(F.filter("_hits", lambda x: x["grp"] == "")))
+    aligned = scalars.select(
         *others,
         "_nested",
         F.transform("_scalars", lambda x: x["field"]).alias("_sfields"),
         F.transform("_scalars", lambda x: x["value"]).alias("_svalues"),
-        "_items",
-        "_deliveries",
-        group_positions(F.col("_items")).alias("_ipos"),
-        group_positions(F.col("_deliveries")).alias("_dpos"),
-    )
-    serialised = F.lit(None).cast("boolean") if is_serialized is None else F.col(is_serialized)
-    aligned = placed.select(
-        *others,
-        "_nested",
-        "_sfields",
-        "_svalues",
-        "_ipos",
-        "_dpos",
-        _serials(F.col("_items"), serialised).alias("_serials"),
-        _item_values().alias("_ivalues"),
-        _delivery_values().alias("_dvalues"),
+        _serial_column(is_serialized).alias("_serials"),
+        _positions("items").alias("_ipos"),
+        _positions("deliveries").alias("_dpos"),
     )
     mapped = aligned.select(
         *[c for c in others if c not in SCALAR_TARGETS],

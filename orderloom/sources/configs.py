@@ -183,7 +183,19 @@ def _carrier(c: Column) -> Column:
 
 @built_once
 def _mapping_column() -> Column:
-    return _mapping(F.col("c"))
+    """``entries`` in config order, and the entries that go by first and last segment
+    once more, grouped: ``rules[i]`` holds those whose ``ends`` are ``keys[i]``."""
+
+    def indexed(entries: Column) -> Column:
+        ruled = F.filter(entries, lambda m: m["kind"].isin("wild", "suffix"))
+        keys = F.array_distinct(F.transform(ruled, lambda m: m["ends"]))
+        return F.struct(
+            entries.alias("entries"),
+            keys.alias("keys"),
+            F.transform(keys, lambda k: F.filter(ruled, lambda m: m["ends"] == k)).alias("rules"),
+        )
+
+    return let(_mapping(F.col("c")), indexed)
 
 
 @built_once
@@ -208,7 +220,7 @@ def compile_configs(df: DataFrame) -> DataFrame:
 
 def vendor_mapping_rows(df: DataFrame) -> DataFrame:
     """One row per mapped field of each vendor."""
-    entries = compile_configs(df).select("vendor_id", F.explode("mapping").alias("m"))
+    entries = compile_configs(df).select("vendor_id", F.explode("mapping.entries").alias("m"))
     return entries.select(
         "vendor_id",
         F.col("m.path").alias("doc_path"),
