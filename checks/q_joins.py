@@ -17,7 +17,7 @@ from .configs import MAPPING, STATUSES, document, one_config, vendor_configs
 from .domain import Domain, oracle, paged
 from .q_nested import MAPPED_LINES, long_items, mapped_by
 from .q_sources import (
-    FEED_ENTRY,
+    FEED_ORACLE,
     FEED_MAPPING,
     KNOWN,
     MAPPED_SQL,
@@ -370,7 +370,7 @@ def _(d: Domain) -> DataFrame:
 
 @query(
     "dedup_first_by_pair",
-    oracle("SELECT page, CAST(o AS VARCHAR) AS internalid, CASE WHEN o % 5 = 0 THEN NULL ELSE CAST(o_custkey AS VARCHAR) END AS createdfrom, '0' AS copy FROM fe WHERE copy = 0", fe=FEED_ENTRY),
+    oracle("SELECT page, CAST(o AS VARCHAR) AS internalid, CASE WHEN o % 5 = 0 THEN NULL ELSE CAST(o_custkey AS VARCHAR) END AS createdfrom, '0' AS copy FROM fe WHERE copy = 0", **FEED_ORACLE),
 )
 def _(d: Domain) -> DataFrame:
     rows = feed.read_feed(feed_documents(d))

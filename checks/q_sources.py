@@ -76,7 +76,12 @@ SELECT o_orderkey AS o, CAST(floor(o_orderkey / 100) AS BIGINT) AS page, copy, o
   '","soint":"' || CAST(o_custkey AS VARCHAR(20)) || '","sostatus":"s' || CAST(copy AS VARCHAR(2)) ||
   '","day":"' || CAST(CAST(o_orderdate AS DATE) AS VARCHAR(10)) || '","vendor":"' || CAST(o_orderkey % 7 AS VARCHAR(20)) ||
   '","copy":"' || CAST(copy AS VARCHAR(2)) || '"}' AS entry
-FROM orders CROSS JOIN (SELECT 0 AS copy UNION ALL SELECT 1) c WHERE copy = 0 OR o_orderkey % 10 = 3"""
+FROM feed_rows"""
+# Every tenth order is in the feed twice.
+FEED_ORACLE = {
+    "feed_rows": "SELECT orders.*, copy FROM orders, (VALUES (0), (1)) c(copy) WHERE copy = 0 OR o_orderkey % 10 = 3",
+    "fe": FEED_ENTRY,
+}
 FEED_MAPPING = {
     "point_id": "internalid",
     "soint_id": "soint",
@@ -93,7 +98,7 @@ def feed_documents(d: Domain) -> DataFrame:
     copies = F.explode(F.when(F.col("o_orderkey") % 10 == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
     rows = d.base("orders").select("*", copies.alias("copy"))
     rows.createOrReplaceTempView("feed_rows")
-    entries = d.spark.sql(FEED_ENTRY.replace("FROM orders CROSS JOIN (SELECT 0 AS copy UNION ALL SELECT 1) c WHERE copy = 0 OR o_orderkey % 10 = 3", "FROM feed_rows"))
+    entries = d.spark.sql(FEED_ENTRY)
     listed = F.transform(F.sort_array(F.collect_list(F.struct("o", "copy", "entry"))), lambda e: e["entry"])
     return entries.groupBy("page").agg(
         F.concat(F.lit('{"data":['), F.array_join(listed, ","), F.lit("]}")).alias("body")
@@ -105,7 +110,7 @@ def feed_documents(d: Domain) -> DataFrame:
     oracle(
         """SELECT page, CAST(row_number() OVER (PARTITION BY page ORDER BY o, copy) - 1 AS INTEGER) AS pos, CAST(o AS VARCHAR) AS internalid,
         CASE WHEN o % 5 = 0 THEN NULL ELSE CAST(o_custkey AS VARCHAR) END AS createdfrom, status FROM fe""",
-        fe=FEED_ENTRY,
+        **FEED_ORACLE,
     ),
 )
 def _(d: Domain) -> DataFrame:

@@ -12,7 +12,7 @@ from orderloom.plans.dispatch import dispatch
 from orderloom.plans.extract import extract
 from orderloom.plans.feed_load import load_feed
 from orderloom.schemas import PURCHASE_ORDER, SALES_ORDER, VENDOR_INVOICE, VENDOR_INVOICE_ITEMS
-from orderloom.session import materialize, shared_folder
+from orderloom.session import shared_folder
 from orderloom.sources import configs, responses
 from orderloom.streaming.ingest import InvoiceStore, ingest
 
@@ -309,15 +309,13 @@ def _invoice_view(invoices: DataFrame, items: DataFrame) -> DataFrame:
 
 @query("dispatch_job", DISPATCH_SQL)
 def _(d: Domain) -> DataFrame:
-    records = materialize(finished_records(d), "finished")
     result = dispatch(
-        records,
+        finished_records(d),
         d.table("purchase_order"),
         d.spark.createDataFrame([], VENDOR_INVOICE.schema),
         d.spark.createDataFrame([], VENDOR_INVOICE_ITEMS.schema),
     )
-    invoices = materialize(result.vendor_invoice, "invoices")
-    return _invoice_view(invoices, result.vendor_invoice_items)
+    return _invoice_view(result.vendor_invoice, result.vendor_invoice_items)
 
 
 @query("incremental_ingest", DISPATCH_SQL)

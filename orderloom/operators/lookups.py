@@ -13,6 +13,10 @@ from ..functions.text import ship_complete_flag
 from ..sizing import broadcast_if_small, repeat_rows
 from .aggregates import items_object_array, object_agg, unbilled_invoice_filter
 
+# The ERP item and quantity a bill's extra cost is booked on.
+EXTRA_ITEM_ID = 38577
+EXTRA_ITEM_QTY = 1
+
 
 def orders_left_invoices(orders: DataFrame, invoices: DataFrame) -> DataFrame:
     """``orders ⟕ invoices`` on the order id where no invoice column is used:
@@ -230,8 +234,8 @@ def vendor_bill_objects(
         "vendor_name",
         F.col("total").cast("double").alias("total"),
         "id",
-        F.lit(38577).alias("extra_item_intid"),
-        F.lit(1).alias("extra_item_qty"),
+        F.lit(EXTRA_ITEM_ID).alias("extra_item_intid"),
+        F.lit(EXTRA_ITEM_QTY).alias("extra_item_qty"),
         money_or_zero(F.col("extra_item_price")).alias("extra_item_price"),
     )
 

@@ -12,6 +12,7 @@ from ..operators.lookups import attach_sales_order_id
 from ..operators.mutations import bulk_upsert, plain_table, returned_ids
 from ..operators.validate import bad_rows, good_rows, load
 from ..schemas import PURCHASE_ORDER, SALES_ORDER
+from ..session import materialize
 from ..sources.feed import filter_known_status, order_field, project_feed, read_feed
 
 
@@ -40,10 +41,15 @@ def load_feed(
     sales_order: DataFrame,
     purchase_order: DataFrame,
 ) -> FeedResult:
-    """Upsert the feed's orders; the parents first, then the orders with their parents' ids."""
-    orders, unknown = feed_orders(feed, mapping, known)
+    """Upsert the feed's orders; the parents first, then the orders with their parents' ids.
+
+    The parsed orders and the new parents are written, since later steps read them
+    more than once and must see the same ids.
+    """
+    known_orders, unknown = feed_orders(feed, mapping, known)
+    orders = materialize(known_orders, "feed-orders")
     parents = load(dedup_first_by_key(orders), SALES_ORDER)
-    new_sales = bulk_upsert(sales_order, good_rows(parents), SALES_ORDER)
+    new_sales = materialize(bulk_upsert(sales_order, good_rows(parents), SALES_ORDER), "sales-orders")
     ids = returned_ids(new_sales, ["soint_id"])
     keyed = attach_sales_order_id(orders.withColumn("soint_id", F.col("soint_id").try_cast("bigint")), ids)
     children = load(keyed, PURCHASE_ORDER)
