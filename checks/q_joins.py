@@ -8,18 +8,16 @@ from pyspark.sql import functions as F
 from orderloom.functions.carrier import carrier_service
 from orderloom.functions.money import max_money_token
 from orderloom.functions.status import invert_status_map, map_literal, map_status, rollup_status_agg
-from orderloom.operators import aggregates, dedup, lookups, mutations
+from orderloom.operators import aggregates, dedup, lookups
 from orderloom.operators.records import order_total, take_delivered_quantities
 from orderloom.plans.extract import outcomes_of
 from orderloom.sources import configs, feed, responses
 
-from .configs import MAPPING, STATUSES, document, one_config, vendor_configs
+from .configs import STATUSES, vendor_configs
 from .domain import Domain, oracle, paged
-from .q_nested import MAPPED_LINES, long_items, mapped_by
+from .q_nested import MAPPED_LINES, long_items
 from .q_sources import (
     FEED_ORACLE,
-    FEED_MAPPING,
-    KNOWN,
     MAPPED_SQL,
     OPEN_SQL,
     REJECT_SQL,

@@ -5,18 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.functions import carrier, dates, money, status, text
+from orderloom.functions import dates, money, status, text
 from orderloom.functions.common import is_set
 from orderloom.operators import records, validate
 from orderloom.plans.extract import extract
-from orderloom.schemas import PURCHASE_ORDER, VENDOR_INVOICE, VENDOR_INVOICE_ITEMS
+from orderloom.schemas import PURCHASE_ORDER, VENDOR_INVOICE_ITEMS
 from orderloom.sources import configs
 
 from .configs import vendor_configs
 from .domain import Domain, oracle
 from .q_joins import LINE_STATUS, ROLLUP_SQL, item_status_sql
 from .q_nested import MAPPED_LINES, SPLIT_BASE
-from .q_sources import MAPPED_SQL, SETTLED_SQL, STATUS_SQL, mapped_records
+from .q_sources import MAPPED_SQL, SETTLED_SQL, mapped_records
 from .registry import query
 
 

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import json
 import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.functions.status import OPEN_FOR_BILLING, invert_status_map, map_literal
+from orderloom.functions.status import invert_status_map, map_literal
 from orderloom.operators import aggregates, lookups, records, validate
 from orderloom.operators.flatten import flatten_json
 from orderloom.operators.mapping import map_record, with_config
@@ -16,7 +15,7 @@ from orderloom.schemas import PURCHASE_ORDER
 from orderloom.session import shared_folder
 from orderloom.sources import configs, feed, requests, responses, staging
 
-from .configs import MAPPING, STATUSES, URL, XML_PATHS, document, mapping_values, one_config, vendor_configs
+from .configs import STATUSES, XML_PATHS, mapping_values, vendor_configs
 from .domain import Domain, oracle
 from .registry import query
 
@@ -142,6 +141,26 @@ def _(d: Domain) -> DataFrame:
 _INVOICES_SQL = f"""SELECT *, {ORDER_PARTS.format('invoice')} AS listed FROM docs"""
 
 
+_SINGLE_INVOICES = """SELECT *, trim(unnest(string_split(coalesce(nullif(listed, ''), 'T' || o), ','))) AS invoice_number,
+          CAST(unnest(range(len(string_split(coalesce(nullif(listed, ''), 'T' || o), ',')))) AS INTEGER) AS k FROM listed"""
+
+
+@query(
+    "second_call_requests",
+    oracle(
+        """SELECT rec_id, k, invoice_number, 'GET' AS method, 'https://vendor.example/invoices/' || invoice_number AS url FROM split""",
+        "docs",
+        listed=_INVOICES_SQL,
+        split=_SINGLE_INVOICES,
+    ),
+)
+def _(d: Domain) -> DataFrame:
+    made = vendor_configs(d)
+    settled = map_record(with_config(d.json_documents(), configs.compile_configs(made))).transform(records.settle_record)
+    calls = requests.second_call_requests(settled, requests.second_call_templates(made), ["invoice_number", "so_number"])
+    return calls.select("rec_id", F.col("invoice_pos").alias("k"), "invoice_number", "method", "url")
+
+
 @query(
     "enrich_second_call",
     oracle(
@@ -150,8 +169,7 @@ _INVOICES_SQL = f"""SELECT *, {ORDER_PARTS.format('invoice')} AS listed FROM doc
         FROM split s""",
         "docs",
         listed=_INVOICES_SQL,
-        split="""SELECT *, trim(unnest(string_split(coalesce(nullif(listed, ''), 'T' || o), ','))) AS invoice_number,
-          CAST(unnest(range(len(string_split(coalesce(nullif(listed, ''), 'T' || o), ',')))) AS INTEGER) AS k  FROM listed""",
+        split=_SINGLE_INVOICES,
     ).replace("FROM split s", "FROM split s WHERE k % 3 <> 2"),
 )
 def _(d: Domain) -> DataFrame:

@@ -66,7 +66,7 @@ def config_frame(spark: SparkSession, configs: dict[int, dict]) -> DataFrame:
 
 def read_configs(spark: SparkSession, path: str) -> DataFrame:
     """Config files named ``<vendor_id>.json`` as a table ``(vendor_id, config)``."""
-    files = spark.read.option("wholetext", True).text(path).select("value", F.col("_metadata.file_name").alias("f"))
+    files = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_name").alias("f"))
     return files.select(F.regexp_extract("f", r"^(\d+)\.json$", 1).cast("bigint").alias("vendor_id"), F.col("value").alias("config"))
 
 

@@ -11,7 +11,7 @@ from orderloom.plans.extract import extract
 from orderloom.plans.feed_load import load_feed
 from orderloom.schemas import PURCHASE_ORDER, SALES_ORDER, VENDOR_INVOICE, VENDOR_INVOICE_ITEMS
 from orderloom.sources.configs import compile_configs, config_frame
-from orderloom.sources.responses import RESPONSE_SCHEMA, read_json_responses, read_xml_responses, rejected_responses, valid_responses
+from orderloom.sources.responses import RESPONSE_SCHEMA, read_json_responses, read_landed, read_xml_responses, rejected_responses, valid_responses
 from orderloom.streaming.ingest import InvoiceStore, StoredTable, ingest
 
 FIELDS = [("Status", "invoice_status"), ("Invoice", "invoice_number"), ("Cost", "ship_cost"), ("Line[i].Sku", "items.itemno"),
@@ -97,6 +97,7 @@ def test_incremental_ingest_matches_the_batch_and_survives_replay(spark, tmp_pat
     work_off()
     responses(spark, as_json, ORDERS[2:]).coalesce(1).write.mode("append").json(landing)
     work_off()
+    assert read_landed(spark, landing).count() == len(ORDERS) + 6
     stored = view(store.invoices.read(spark), store.items.read(spark))
     assert stored == EXPECTED
     ids = {r.id for r in store.invoices.read(spark).collect()}

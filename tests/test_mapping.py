@@ -1,10 +1,12 @@
 """Mapping: the worked example, qualifiers, nesting, serials, precedence, plan shape."""
 
+import json
+
 from pyspark.sql import functions as F
 
 from orderloom.operators.mapping import map_record, with_config
 from orderloom.operators.records import money_from_multi, order_total, record_item_status, set_calculated_status
-from orderloom.sources.configs import compile_configs, config_frame
+from orderloom.sources.configs import compile_configs, config_frame, read_configs, vendor_mapping_rows, vendor_status_rows
 
 
 def config(pairs, **extra):
@@ -105,3 +107,13 @@ def test_unknown_vendor_maps_to_nothing(spark):
 def test_plan_has_no_shuffle(spark):
     plan = mapped(spark, [EXAMPLE], PAIRS)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan and "Python" not in plan
+
+
+def test_config_files_and_precedence(spark, tmp_path):
+    doc = config([("a.b", "memo"), ("l[i].p", "items.itemno"), ("a.b", "tran_id")], order_status_mapping={"B": ["x", "y"], "A": "x"})
+    (tmp_path / "7.json").write_text(json.dumps(doc, indent=1))
+    read = read_configs(spark, str(tmp_path))
+    rows = {(r.vendor_id, r.doc_path, r.target_group, r.target_field) for r in vendor_mapping_rows(read).collect()}
+    assert rows == {(7, "l[i].p", "items", "itemno"), (7, "a.b", "", "tran_id")}
+    assert sorted((r.raw, r.canonical) for r in vendor_status_rows(read).collect()) == [("x", "A"), ("x", "B"), ("y", "B")]
+    assert compile_configs(read).select("cfg.status_map").first()[0] == {"x": "B", "y": "B"}
