@@ -19,6 +19,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .sqltext import running_sums
+
 #: Kinds in the order that breaks ties between spans with one start. The first four have base patterns.
 KINDS = ("email", "ip", "card", "phone", "secret")
 BASE = KINDS[:4]
@@ -66,7 +68,6 @@ _CONTEXT = {
 }
 LABELERS = ("shape", "gazetteer", "context", "mixture")
 CUE = 24
-CHUNK = 256
 
 
 @dataclass(frozen=True)
@@ -78,18 +79,6 @@ class Classifier:
     reliability: dict[str, tuple[float, float]]
 
 
-def _running_sums(lengths: str) -> str:
-    """SQL for the running sums of an array of ints, in chunks so that no long array is copied per element."""
-    step = "aggregate({0}, named_struct('at', {1}, 'out', cast(array() as array<int>)), (a, x) -> named_struct('at', a.at + x, 'out', concat(a.out, array(a.at + x))), a -> a.out)"
-    chunks = f"transform(filter(sequence(0, size({lengths}), {CHUNK}), i -> i < size({lengths})), i -> slice({lengths}, i + 1, {CHUNK}))"
-    with_total = f"transform({chunks}, k -> named_struct('k', k, 'n', aggregate(k, 0, (a, x) -> a + x)))"
-    placed = (
-        f"aggregate({with_total}, named_struct('at', 0, 'out', cast(array() as array<struct<k:array<int>,at:int>>)), "
-        "(a, x) -> named_struct('at', a.at + x.n, 'out', concat(a.out, array(named_struct('k', x.k, 'at', a.at)))), a -> a.out)"
-    )
-    return f"flatten(transform({placed}, p -> {step.format('p.k', 'p.at')}))"
-
-
 def _found(df: DataFrame, name: str, prepared: str, hint: str, pattern: str) -> DataFrame:
     """Add ``name``: the leftmost matches as ``array<struct<m, before, start, end>>``, in code points."""
     source = f"if({hint}, {prepared}, '')"
@@ -97,7 +86,7 @@ def _found(df: DataFrame, name: str, prepared: str, hint: str, pattern: str) ->
     pieces = f"transform(filter({zipped}, z -> z['1'] is not null), z -> named_struct('m', z['1'], 'before', lower(right(z['0'], {CUE})), 'n', length(z['1']), 'step', length(z['0']) + length(z['1'])))"
     df = df.withColumn(f"{name}_t", F.expr(source)).withColumn(f"{name}_p", F.expr(pieces))
     df = df.withColumn(f"{name}_l", F.expr(f"transform({name}_p, p -> p.step)"))
-    df = df.withColumn(f"{name}_e", F.expr(_running_sums(f"{name}_l")))
+    df = df.withColumn(f"{name}_e", F.expr(running_sums(f"{name}_l")))
     spans = f"transform(arrays_zip({name}_p, {name}_e), z -> named_struct('m', z.{name}_p.m, 'before', z.{name}_p.before, 'start', z.{name}_e - z.{name}_p.n, 'end', z.{name}_e))"
     return df.withColumn(name, F.expr(spans)).drop(*[f"{name}_{x}" for x in "tple"])
 

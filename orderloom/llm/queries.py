@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, langid, minhash, pii
+from . import bpe, decontaminate, edit_counts, katz, langid, minhash, pii, preferences, suffixes, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -37,19 +37,72 @@ def share(n: int):
 #: Words as the contracts have them: A-Z lower-cased, cut at spaces and \x09-\x0D.
 WORDS_SQL = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"""
 
+#: crc32 of a number's digits: the table of the reflected polynomial, then one step for each character.
+CRC_SQL = """
+crc_table AS (
+  SELECT list(list_reduce(range(9), lambda c, k: CASE WHEN k = 0 THEN c WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, n) ORDER BY n) AS t
+  FROM range(256) r(n)),
+crcs AS (
+  SELECT doc_id, xor(list_reduce(list_transform(range(1, length(doc_id::VARCHAR) + 1), lambda i: ascii(substr(doc_id::VARCHAR, i, 1))::BIGINT),
+    lambda c, b: xor(c // 256, t[(xor(c, b) % 256) + 1]), 4294967295), 4294967295) AS crc
+  FROM documents, crc_table)"""
+
+KATZ_SQL = f"""
+WITH {CRC_SQL},
+tok AS (
+  SELECT d.doc_id, c.crc % 5 = 1 AS held, unnest(list_concat({WORDS_SQL}, [' '])) AS w, generate_subscripts(list_concat({WORDS_SQL}, [' ']), 1) AS i
+  FROM documents d JOIN crcs c ON d.doc_id = c.doc_id),
+seq AS (SELECT *, coalesce(lag(w) OVER (PARTITION BY doc_id ORDER BY i), '') AS h FROM tok),
+uni AS (SELECT w, count(*) AS c FROM seq WHERE NOT held GROUP BY w),
+bi AS (SELECT h, w, count(*) AS c FROM seq WHERE NOT held GROUP BY h, w),
+ctx AS (SELECT h, sum(c) AS c FROM bi GROUP BY h),
+tot AS (SELECT sum(c) AS n, count(*) AS v FROM uni),
+cc AS (SELECT 1 AS k, c AS r, count(*) AS n FROM uni WHERE c <= 6 GROUP BY c UNION ALL SELECT 2, c, count(*) FROM bi WHERE c <= 6 GROUP BY c),
+gt AS (
+  SELECT a.k, a.r, (((a.r + 1) * b.n / a.n::DOUBLE / a.r) - x.rest) / (1 - x.rest) AS d
+  FROM cc a JOIN cc b ON a.k = b.k AND b.r = a.r + 1
+  JOIN (SELECT p.k, 6 * q.n / p.n::DOUBLE AS rest FROM cc p JOIN cc q ON p.k = q.k AND p.r = 1 AND q.r = 6) x ON x.k = a.k),
+ok AS (SELECT k, count(*) = 5 AND min(d) > 0 AND max(d) <= 1 AS good FROM gt GROUP BY k),
+flat AS (
+  SELECT k, CASE WHEN once > 0 THEN least(0.9, once / (once + 2 * twice)::DOUBLE) ELSE 0.5 END AS off
+  FROM (SELECT k, coalesce(sum(n) FILTER (r = 1), 0) AS once, coalesce(sum(n) FILTER (r = 2), 0) AS twice FROM cc GROUP BY k)),
+disc AS (
+  SELECT f.k, r.r, CASE WHEN o.good THEN g.d ELSE 1 - f.off / r.r END AS d
+  FROM flat f CROSS JOIN (SELECT unnest(range(1, 6)) AS r) r LEFT JOIN ok o ON o.k = f.k LEFT JOIN gt g ON g.k = f.k AND g.r = r.r),
+p1 AS (SELECT u.w, u.c, u.c * coalesce(d.d, 1) / n AS p FROM uni u CROSS JOIN tot LEFT JOIN disc d ON d.k = 1 AND d.r = u.c),
+unk AS (SELECT 1 - sum(p) AS p FROM p1),
+b2 AS (SELECT b.h, b.w, b.c * coalesce(d.d, 1) AS m, p.p FROM bi b LEFT JOIN disc d ON d.k = 2 AND d.r = b.c JOIN p1 p ON p.w = b.w),
+alpha AS (
+  SELECT h, c + raised AS norm, (1 - m / (c + raised)) / (1 - p) AS a
+  FROM (SELECT b.h, x.c, sum(b.m) AS m, sum(b.p) AS p, CASE WHEN 1 - sum(b.m) / x.c < 1e-12 THEN 1 ELSE 0 END AS raised
+    FROM b2 b JOIN ctx x ON x.h = b.h GROUP BY b.h, x.c))
+SELECT s.doc_id, any_value(s.held) AS held_out, count(*) AS n_tokens, count(u.c) AS n_known, any_value(t.n)::BIGINT AS train_tokens,
+  sum(log10((coalesce(u.c, 0) + 0.5) / (t.n + 0.5 * (t.v + 1)))) AS base_score,
+  sum(CASE WHEN b.m IS NOT NULL THEN log10(b.m / a.norm) ELSE log10(coalesce(a.a, 1)) + log10(coalesce(u.p, k.p)) END) AS score
+FROM seq s CROSS JOIN tot t CROSS JOIN unk k LEFT JOIN p1 u ON u.w = s.w LEFT JOIN b2 b ON b.h = s.h AND b.w = s.w LEFT JOIN alpha a ON a.h = s.h
+GROUP BY s.doc_id
+"""
+
+
+@query("op1_katz_scores", KATZ_SQL)
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    """Base and bigram Katz scores of every document; trained where the id's share of 5 is not 1."""
+    return katz.fit_and_score(table(spark, folder, "documents"), share(5) == 1, order=2).scores
+
+
 MINHASH_SQL = f"""
 WITH RECURSIVE docs AS (SELECT doc_id, {WORDS_SQL} AS w FROM documents),
 sets AS (
   SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
-    ELSE list_distinct(list_transform(range(1, len(w) - 1), i -> w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
   FROM docs),
 flat AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
 common AS (
   SELECT a.doc_id AS x, b.doc_id AS y, any_value(a.n) AS nx, any_value(b.n) AS ny, count(*) AS c
   FROM flat a JOIN flat b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
 links AS (SELECT x, y FROM common WHERE 100 * c >= 85 * (nx + ny - c)),
-both AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
-reach AS (SELECT doc_id AS x, doc_id AS y FROM sets UNION SELECT r.x, b.y FROM reach r JOIN both b ON r.y = b.x)
+ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT doc_id AS x, doc_id AS y FROM sets UNION SELECT r.x, b.y FROM reach r JOIN ways b ON r.y = b.x)
 SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, min(r.y) AS component_id, s.doc_id = min(r.y) AS kept
 FROM sets s JOIN reach r ON s.doc_id = r.x GROUP BY s.doc_id, s.s
 """
@@ -71,6 +124,61 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op4_suffix_repeats")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    """Stretches of every document that are passages of 50 words and more of another one."""
+    return suffixes.repeated_passages(table(spark, folder, "documents"), least=50)
+
+
+def _rendered_sql(turns: str) -> str:
+    return f"list_transform({turns}, lambda t: '<|' || t.role || '|>' || chr(10) || replace(t.text, '<|', '< |') || '<|end|>' || chr(10))"
+
+
+def _mask_sql(side: str) -> str:
+    before = f"coalesce(list_sum(list_transform({side}_r[1:i - 1], lambda x: length(x))), 0)"
+    first = f"({before} + length({side}_c[i].role) + 5)::BIGINT"
+    stop = f"({before} + length({side}_r[i]) - 1)::BIGINT"
+    at = f"list_filter(range(1, len({side}_c) + 1), lambda i: {side}_c[i].role = 'assistant')"
+    return f"array_to_string(list_transform({at}, lambda i: {first} || ':' || {stop}), ',')"
+
+
+PREFERENCES_SQL = f"""
+WITH turns AS (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY turn NULLS FIRST, role, text) AS t FROM turns GROUP BY conv_id),
+said AS (
+  SELECT conv_id, t, t[1] AS opening, coalesce(list_sum(list_transform(t, lambda x: CASE WHEN x.role = 'assistant' THEN length(x.text) ELSE 0 END)), 0) AS said FROM convs),
+pieces AS (SELECT *, conv_id % ceil(count(*) OVER (PARTITION BY opening) / 10000.0)::BIGINT AS piece FROM said),
+linked AS (
+  SELECT *, lead(conv_id) OVER w AS next_id, lead(t) OVER w AS next_t, lead(said) OVER w AS next_said
+  FROM pieces WINDOW w AS (PARTITION BY opening, piece ORDER BY conv_id)),
+alone AS (
+  SELECT conv_id, t, p, p[len(p)] AS z FROM (
+    SELECT conv_id, t, list_filter(range(1, len(t) + 1), lambda i: t[i].role = 'assistant') AS p FROM linked WHERE next_id IS NULL) WHERE len(p) > 0),
+pairs AS (
+  SELECT CASE WHEN next_said > said THEN next_id ELSE conv_id END AS pair_id, CASE WHEN next_said > said THEN conv_id ELSE next_id END AS rejected_id,
+    'sibling' AS kind, CASE WHEN next_said > said THEN next_t ELSE t END AS chosen, CASE WHEN next_said > said THEN t ELSE next_t END AS rejected
+  FROM linked WHERE next_id IS NOT NULL
+  UNION ALL
+  SELECT conv_id, conv_id, 'swapped', t[1:z],
+    list_concat(t[1:z - 1], [{{'role': 'assistant', 'text': CASE WHEN len(p) > 1 THEN t[p[len(p) - 1]].text ELSE '' END}}]) FROM alone),
+prefixed AS (
+  SELECT *, len(list_filter(range(1, least(len(chosen), len(rejected)) + 1), lambda i: chosen[1:i] = rejected[1:i]))::INTEGER AS n FROM pairs),
+parts AS (
+  SELECT *, chosen[n + 1:] AS chosen_c, rejected[n + 1:] AS rejected_c, {_rendered_sql("chosen[n + 1:]")} AS chosen_r, {_rendered_sql("rejected[n + 1:]")} AS rejected_r
+  FROM prefixed)
+SELECT pair_id, rejected_id, kind, n AS n_prompt_turns, array_to_string({_rendered_sql("chosen[1:n]")}, '') AS prompt,
+  array_to_string(chosen_r, '') AS chosen_text, {_mask_sql("chosen")} AS chosen_mask,
+  array_to_string(rejected_r, '') AS rejected_text, {_mask_sql("rejected")} AS rejected_mask
+FROM parts
+"""
+
+
+@query("op5_preference_pairs", PREFERENCES_SQL)
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    """Prompt and masked completions of the preference pairs of all conversations."""
+    return preferences.format_conversations(table(spark, folder, "conversations"))
+
+
 @query("op6_bpe_roundtrip")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     """Token counts and hashes of ids and decoded bytes of every document."""
@@ -93,3 +201,17 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     """Best window of each benchmark item in each document that holds it."""
     return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op9_vector_search")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest vectors by inner product of every vector whose id is divisible by 20."""
+    return vectors.search(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+@query("op10_edit_counts")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    """Token counts of every document before and after a series of edits."""
+    docs = table(spark, folder, "documents")
+    path = public_tokenizers.path(RANK_FILE)
+    return edit_counts.count_edited(docs, edit_counts.sample_edits(), path, public_tokenizers.PATTERN)
