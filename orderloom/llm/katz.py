@@ -229,7 +229,7 @@ class Answered(Block):
 
     def context_sums(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For each different context of ``k`` words: the mass and the shorter n-grams' probability of owned successors."""
-        own = self.owned[k] & (self.counts[k] > 0)
+        own = self.owned[k] & (self.counts[k] > 0) & self.token[self.first[k]]
         place = self.first[k][own]
         context = self.at[k - 1][place - 1]
         n = len(self.kinds[k - 1])
