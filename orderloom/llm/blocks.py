@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from .words import U64, Words, text_slices
 
 #: Words in a block (a longer text is a block of its own), and keys that a bucket is planned for.
-BLOCK_WORDS = 2_000_000
+BLOCK_WORDS = 1_000_000
 BUCKET_KEYS = 2_000_000
 _ARROW = {"long": pa.int64(), "boolean": pa.bool_()}
 

@@ -98,20 +98,20 @@ class Block:
         seq[self.starts[1:] - 1] = END
         self.token = place >= order - 1
         self.context = place >= order - 2
-        self.keys = [seq]
-        for _ in range(1, order):
-            last = self.keys[-1]
-            self.keys.append(pair(np.concatenate([[U64(0)], last[:-1]]), seq))
+        del place, inner
         self.kinds: list[np.ndarray] = []
         self.first: list[np.ndarray] = []
         self.at: list[np.ndarray] = []
+        keys = seq
         for k in range(1, order + 1):
+            if k > 1:
+                keys = pair(np.concatenate([[U64(0)], keys[:-1]]), seq)
             used = np.flatnonzero(self.token if k == order else self.context)
-            kinds, first, inverse = np.unique(self.keys[k - 1][used], return_index=True, return_inverse=True)
+            kinds, first, inverse = np.unique(keys[used], return_index=True, return_inverse=True)
             at = np.full(len(seq), -1, np.int32)
             at[used] = inverse
             self.kinds.append(kinds)
-            self.first.append(used[first])
+            self.first.append(used[first].astype(np.int32))
             self.at.append(at)
 
     def training_counts(self, k: int) -> np.ndarray:

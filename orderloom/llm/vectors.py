@@ -269,7 +269,7 @@ def _best(k: int):
     return run
 
 
-def search(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
+def search(vectors: DataFrame, is_query: Column | str, k: int = 20) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest other vectors found for every row that ``is_query`` holds for.
 
     ``score`` is the inner product in double precision, nearest first, ties to the
