@@ -2,4 +2,4 @@
 
 
 def load_all() -> None:
-    from . import q_joins, q_nested, q_rules, q_sources, q_tables  # noqa: F401
+    from . import q_joins, q_nested, q_rules, q_sources, q_tables, q_vendors  # noqa: F401

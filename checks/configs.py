@@ -48,16 +48,17 @@ XML_MAPPING = [
     ("Resp.Order.Line[i].Ord", "items.quantity_ordered"),
     ("Resp.Order.Line[i].Price", "items.rate"),
 ]
-XML_PATHS = [p for p, _ in XML_MAPPING] + ["Resp.Order.@num", "Resp.Order.Note"]
 URL = "https://vendor.example/orders/<<so_number>>?po=<<po_number>>&by=<<vendor_name>>"
 
 
+SECOND_CALL = {"multi_api_call": {"url": {"raw": "https://vendor.example/invoices/<<invoice_number>>", "method": "GET"}}}
+
+
 def document(mapping: list[tuple[str, str]], variant: int | None = None) -> dict:
     doc = {
         "mapping": {"fulfillment_table": [{"destination_field": p, "source_field": t} for p, t in mapping]},
         "order_status_mapping": STATUSES,
         "api_request_template": {"url": {"raw": URL, "method": "POST" if variant == 1 else "GET"}, "header": []},
-        "multi_api_call": {"url": {"raw": "https://vendor.example/invoices/<<invoice_number>>", "method": "GET"}},
         "data": {"payload_value_to_upper": ["vendor_name"], "xml_payload": "<q><<po_number>></q>"},
     }
     ups, nonups = {"ground": 3, "Ground": 4, "2Day": 5}, {"2day": 7, "2Day": 8, "Overnight": 9}
@@ -86,10 +87,10 @@ def document(mapping: list[tuple[str, str]], variant: int | None = None) -> dict
     return doc
 
 
-def vendor_configs(d: Domain, mapping: list[tuple[str, str]] = MAPPING) -> DataFrame:
-    """``(vendor_id, config)`` for every vendor."""
+def vendor_configs(d: Domain, mapping: list[tuple[str, str]] = MAPPING, extra: list[dict] | None = None) -> DataFrame:
+    """``(vendor_id, config)`` for every vendor; ``extra`` adds to the config of each variant."""
     variant = F.col("s_suppkey") % 3
-    texts = [json.dumps(document(mapping, v)) for v in range(3)]
+    texts = [json.dumps(document(mapping, v) | (extra[v] if extra else {})) for v in range(3)]
     config = F.when(variant == 0, texts[0]).when(variant == 1, texts[1]).otherwise(texts[2])
     return d.base("supplier").select(F.col("s_suppkey").alias("vendor_id"), config.alias("config"))
 

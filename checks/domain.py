@@ -181,21 +181,6 @@ def oracle(body: str, *tables: str, **extra: str) -> str:
     return (f"WITH {', '.join(ctes)} " if ctes else "") + body
 
 
-MAX_LINES = 1000
-
-
-def paged(rows: DataFrame, key: str, by: list[str]) -> DataFrame:
-    """``rows`` with ``_page``, so that no ``(key, _page)`` holds many more than ``MAX_LINES`` rows.
-
-    A document or record is one row, so a key with very many lines spreads over
-    several by a hash of the line. Only keys beyond that size are in ``large``,
-    which has at most rows / MAX_LINES entries.
-    """
-    large = rows.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") > MAX_LINES)
-    pages = F.ceil(F.coalesce("_n", F.lit(1)) / F.lit(MAX_LINES))
-    return rows.join(large, key, "left").withColumn("_page", F.pmod(F.xxhash64(*by), pages)).drop("_n")
-
-
 class Domain:
     """The domain tables of one data folder as DataFrames."""
 
@@ -216,12 +201,8 @@ class Domain:
         return self.sql(f"SELECT * FROM {name}", name)
 
     def lines_by_document(self) -> DataFrame:
-        """``line_text`` with ``rec_id``: the order, and the page of a very long one."""
-        keyed = paged(self.table("line_text"), "o", ["ln", "part", "supp", "ship_day", "json_line"])
-        rec_id = F.col("o").cast("string")
-        return keyed.withColumn(
-            "rec_id", F.when(F.col("_page") > 0, F.concat_ws("-", rec_id, F.col("_page"))).otherwise(rec_id)
-        ).drop("_page")
+        """``line_text`` with ``rec_id``, the order; a document has all lines of its order."""
+        return self.table("line_text").withColumn("rec_id", F.col("o").cast("string"))
 
     def documents(self) -> DataFrame:
         """One document per order: columns of ``DOC_HEAD``."""

@@ -14,7 +14,7 @@ from orderloom.plans.extract import outcomes_of
 from orderloom.sources import configs, feed, responses
 
 from .configs import STATUSES, vendor_configs
-from .domain import Domain, oracle, paged
+from .domain import Domain, oracle
 from .q_nested import MAPPED_LINES, long_items
 from .q_sources import (
     FEED_ORACLE,
@@ -128,12 +128,10 @@ def _(d: Domain) -> DataFrame:
 
 
 def invoice_records(d: Domain) -> DataFrame:
-    """Invoices with their items in arrays of about ``MAX_LINES``, keyed by order and number."""
+    """Invoices with the array of their items, keyed by order and number."""
     items = d.table("vendor_invoice_items").withColumnRenamed("vendor_invoice_id", "id")
-    grouped = paged(items, "id", items.columns).groupBy("id", "_page").agg(
-        F.collect_list(F.struct("itemno", "quantity", "rate")).alias("items")
-    )
-    return d.table("vendor_invoice").select("id", "purchase_order_id", "invoice_number").join(grouped, "id").drop("id", "_page")
+    grouped = items.groupBy("id").agg(F.collect_list(F.struct("itemno", "quantity", "rate")).alias("items"))
+    return d.table("vendor_invoice").select("id", "purchase_order_id", "invoice_number").join(grouped, "id").drop("id")
 
 
 @query(
@@ -155,11 +153,11 @@ ITEM_ARRAYS = f"""SELECT vendor_invoice_id, '[' || string_agg({ITEM_OBJECT}, ','
 @query(
     "vendor_bill_objects",
     oracle(
-        f"""SELECT point_id, sales_order_id, vo.vendor_id, items, tracking_numbers, CASE WHEN vin.ship_date IS NOT NULL THEN 'T' ELSE 'F' END AS shipcomplete,
-        vin.ship_date, vin.tran_id, coalesce(vin.tran_date, vin.ship_date, vo.tran_date) AS tran_date, coalesce(ship_cost, 0) AS ship_cost, vendor_name, total,
-        vin.id, 38577 AS extra_item_intid, 1 AS extra_item_qty, coalesce(extra_item_price, 0) AS extra_item_price
-        FROM purchase_order vo JOIN vendor_invoice vin ON vo.id = vin.purchase_order_id JOIN arrays ON vendor_invoice_id = vin.id
-        WHERE purchase_order_status IN {OPEN_SQL} AND vin.id % 7 NOT IN (0, 1)""",
+        f"""SELECT i.id, i.tran_id, i.total, i.tracking_numbers, i.ship_date, if(i.ship_date IS NULL, 'F', 'T') AS shipcomplete, a.items,
+        ifnull(i.ship_cost, 0) AS ship_cost, 7001 AS extra_item_intid, 2 AS extra_item_qty, ifnull(i.extra_item_price, 0) AS extra_item_price,
+        list_filter([i.tran_date, i.ship_date, p.tran_date], lambda x: x IS NOT NULL)[1] AS tran_date, p.point_id, p.sales_order_id, p.vendor_id, p.vendor_name
+        FROM vendor_invoice i, purchase_order p, arrays a
+        WHERE a.vendor_invoice_id = i.id AND i.id % 7 > 1 AND p.id = i.purchase_order_id AND list_contains([{OPEN_SQL.strip("()")}], p.purchase_order_status)""",
         "purchase_order",
         "vendor_invoice",
         "vendor_invoice_items",
@@ -168,7 +166,8 @@ ITEM_ARRAYS = f"""SELECT vendor_invoice_id, '[' || string_agg({ITEM_OBJECT}, ','
 )
 def _(d: Domain) -> DataFrame:
     return lookups.vendor_bill_objects(
-        d.table("purchase_order"), d.table("vendor_invoice"), d.table("vendor_invoice_items"), d.table("bill_outcome")
+        d.table("purchase_order"), d.table("vendor_invoice"), d.table("vendor_invoice_items"), d.table("bill_outcome"),
+        extra_item=(7001, 2),
     )
 
 

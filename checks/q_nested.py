@@ -321,7 +321,7 @@ def split_oracle(body: str) -> str:
     return oracle(body, "docs", mapped=MAPPED_SQL, settled=SETTLED_SQL, lines=MAPPED_LINES, base=SPLIT_BASE)
 
 
-_POSITIONS = "JOIN (SELECT CAST(unnest(range(100)) AS INTEGER) AS p) r ON p < {}"
+_POSITIONS = "JOIN (SELECT CAST(unnest(range((SELECT max(greatest(len(nums), k, 1)) FROM base))) AS INTEGER) AS p) r ON p < {}"
 
 
 @query(

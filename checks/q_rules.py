@@ -43,16 +43,24 @@ COSTS_SQL = """CASE {o} % 4 WHEN 0 THEN 7.5 WHEN 1 THEN 9.5 END"""
 @query(
     "money_from_multi",
     oracle(
-        """SELECT rec_id, CASE WHEN NOT contains(coalesce(invoice_number, ''), ',') THEN CASE o % 4 WHEN 0 THEN 7.5 WHEN 1 THEN 9.5 END END AS ship_cost,
-        CASE WHEN NOT contains(coalesce(invoice_number, ''), ',') AND total IS NOT NULL THEN 1234.5 END AS total,
-        CASE WHEN NOT contains(coalesce(invoice_number, ''), ',') THEN total END AS raw_total,
-        CASE WHEN extra_item_price IS NOT NULL THEN 2.25 END AS extra_item_price FROM mapped""",
+        """SELECT rec_id, CASE WHEN o % 29 = 3 THEN CASE WHEN single THEN NULL ELSE 5.0 END WHEN o % 29 = 5 THEN CASE WHEN single THEN 9.5 END
+          WHEN single THEN CASE o % 4 WHEN 0 THEN 7.5 WHEN 1 THEN 9.5 END END AS ship_cost,
+        CASE WHEN single AND total IS NOT NULL THEN 1234.5 END AS total, CASE WHEN single THEN total END AS raw_total,
+        CASE WHEN extra_item_price IS NOT NULL THEN 2.25 END AS extra_item_price,
+        array_to_string(list_filter([
+          CASE WHEN o % 29 = 3 AND single OR o % 29 = 5 AND NOT single OR o % 29 NOT IN (3, 5) AND o % 4 < 2 AND NOT single THEN 'ship_cost: unreadable cost' END,
+          CASE WHEN total IS NOT NULL AND NOT single THEN 'total: unreadable cost' END], lambda e: e IS NOT NULL), '; ') AS cost_errors
+        FROM (SELECT *, NOT contains(coalesce(invoice_number, ''), ',') AS single FROM mapped)""",
         "docs",
         mapped=MAPPED_SQL,
     ),
 )
 def _(d: Domain) -> DataFrame:
-    return records.money_from_multi(mapped_records(d)).select("rec_id", "ship_cost", "total", "raw_total", "extra_item_price")
+    order = F.col("rec_id").cast("bigint") % 29
+    texts = mapped_records(d).withColumn("ship_cost", F.when(order == 3, "5").when(order == 5, "$9.50").otherwise(F.col("ship_cost")))
+    return records.money_from_multi(texts).select(
+        "rec_id", "ship_cost", "total", "raw_total", "extra_item_price", F.array_join("cost_errors", "; ").alias("cost_errors")
+    )
 
 
 @query(
@@ -269,7 +277,7 @@ PIECES = """SELECT s.rec_id, s.o, s.variant, s.extra_item_price, s.total AS tota
   CASE WHEN cut THEN nums[least(p + 1, len(nums))] ELSE s.invoice_number END AS invoice_number,
   CASE WHEN cut THEN days[least(p + 1, len(days))] ELSE s.ship_date END AS ship_date, p AS line_pos, cut, k
   FROM (SELECT *, variant < 2 AND len(nums) > 1 AS cut FROM base) s
-  JOIN (SELECT CAST(unnest(range(100)) AS INTEGER) AS p) r ON p < CASE WHEN cut THEN greatest(len(nums), k) ELSE 1 END
+  JOIN (SELECT CAST(unnest(range((SELECT max(greatest(len(nums), k, 1)) FROM base))) AS INTEGER) AS p) r ON p < CASE WHEN cut THEN greatest(len(nums), k) ELSE 1 END
   WHERE coalesce(invoice_status, '') <> 'CANCELLED' AND coalesce(invoice_number, '') <> ''"""
 FINISHED = f"""SELECT p.rec_id, p.piece, any_value(p.invoice_number) AS invoice_number, any_value(p.ship_date) AS ship_dates, any_value(p.o) AS o, any_value(p.variant) AS variant,
   any_value(p.total_text) AS total_text, any_value(p.extra_item_price) AS extra, count(*) AS n_items,
@@ -282,7 +290,8 @@ FINISH_ORACLE = """SELECT rec_id, piece, invoice_number, nullif(status, '') AS i
   CASE WHEN multi THEN ship_dates ELSE string_split(ship_dates, ',')[1] END AS ship_date,
   round(cost, 2) AS ship_cost, round(CASE WHEN NOT multi AND total_text IS NOT NULL THEN 1234.5 ELSE lines + coalesce(cost, 0) END, 2) AS total
   FROM (SELECT *, CASE WHEN variant = 2 AND own IS NULL THEN CASE WHEN extra IS NOT NULL THEN 2.25 END ELSE own END AS cost FROM
-    (SELECT *, contains(invoice_number, ',') AS multi, CASE WHEN contains(invoice_number, ',') THEN NULL ELSE CASE o % 4 WHEN 0 THEN 7.5 WHEN 1 THEN 9.5 END END AS own FROM finished))"""
+    (SELECT *, contains(invoice_number, ',') AS multi, CASE WHEN contains(invoice_number, ',') THEN NULL ELSE CASE o % 4 WHEN 0 THEN 7.5 WHEN 1 THEN 9.5 END END AS own FROM finished))
+  WHERE NOT multi"""
 
 
 def finish_oracle(body: str) -> str:

@@ -16,7 +16,7 @@ from orderloom.session import shared_folder
 from orderloom.sources import configs, responses
 from orderloom.streaming.ingest import InvoiceStore, ingest
 
-from .configs import XML_MAPPING, XML_PATHS, vendor_configs
+from .configs import XML_MAPPING, vendor_configs
 from .domain import Domain, oracle
 from .q_nested import MAPPED_LINES, SPLIT_BASE
 from .q_rules import FINISH_ORACLE, FINISHED, PIECES
@@ -264,18 +264,19 @@ def _(d: Domain) -> DataFrame:
     "feed_load_job",
     oracle(
         """SELECT o_orderkey AS point_id, o_custkey AS soint_id, CAST(o_orderdate AS DATE) AS tran_date, o_orderkey % 7 AS vendor_id,
-        CASE o_orderstatus WHEN 'F' THEN 'fullyBilled' WHEN 'O' THEN 'pendingReceipt' ELSE 'partiallyReceived' END AS purchase_order_status
+        CASE o_orderstatus WHEN 'F' THEN 'fullyBilled' WHEN 'O' THEN 'pendingReceipt' ELSE 'partiallyReceived' END AS purchase_order_status,
+        's' || min(o_orderkey) OVER (PARTITION BY o_custkey) || '-0' AS sales_order_status
         FROM orders WHERE o_orderkey % 13 <> 0"""
     ),
 )
 def _(d: Domain) -> DataFrame:
     result = load_feed(
         feed_documents(d), FEED_MAPPING, KNOWN,
-        d.spark.createDataFrame([], SALES_ORDER.schema), d.spark.createDataFrame([], PURCHASE_ORDER.schema),
+        d.spark.createDataFrame([], SALES_ORDER.schema), d.spark.createDataFrame([], PURCHASE_ORDER.schema), order_by=("page",),
     )
-    parents = result.sales_order.select(F.col("id").alias("sales_order_id"), "soint_id")
+    parents = result.sales_order.select(F.col("id").alias("sales_order_id"), "soint_id", "sales_order_status")
     return result.purchase_order.join(parents, "sales_order_id").select(
-        "point_id", "soint_id", "tran_date", "vendor_id", "purchase_order_status"
+        "point_id", "soint_id", "tran_date", "vendor_id", "purchase_order_status", "sales_order_status"
     )
 
 
@@ -329,7 +330,7 @@ def _(d: Domain) -> DataFrame:
     store.create(d.spark)
     ingest(
         d.spark, f"{root}/landing", store,
-        lambda: configs.compile_configs(vendor_configs(d)), lambda: d.table("purchase_order"), max_files=2,
+        lambda: configs.compile_configs(vendor_configs(d)), lambda: d.table("purchase_order"), f"{root}/checkpoint", max_files=2,
     ).awaitTermination()
     return _invoice_view(store.invoices.read(d.spark), store.items.read(d.spark))
 
@@ -345,7 +346,7 @@ def _(d: Domain) -> DataFrame:
     ),
 )
 def _(d: Domain) -> DataFrame:
-    parsed = responses.valid_responses(responses.read_xml_responses(d.xml_responses(), XML_PATHS))
+    parsed = responses.valid_responses(responses.read_xml_responses(d.xml_responses()))
     plain = parsed.withColumn("vendor_id", F.col("vendor_id") * 0)
     compiled = configs.compile_configs(vendor_configs(d, XML_MAPPING))
     finished = extract(plain, compiled, lone_lists=True)

@@ -161,20 +161,33 @@ def json_path(dotted: str) -> str:
     return "$" + "".join(f"[{s}]" if s.isdigit() else f"['{s}']" for s in dotted.split("."))
 
 
-def extract_path(doc: Column, dotted: str, as_type: str = "variant") -> Column:
-    """Value at a dotted path: SQL NULL when absent, a VARIANT null when explicitly null."""
-    return F.try_variant_get(doc, json_path(dotted), as_type)
+def extract_path(doc: Column, dotted: str | Column, as_type: str = "variant") -> Column:
+    """Value at a dotted path: SQL NULL when absent, a VARIANT null when explicitly null.
+
+    A path in a column, which differs by row, is walked segment by segment.
+    """
+    if isinstance(dotted, str):
+        return F.try_variant_get(doc, json_path(dotted), as_type)
+
+    def below(node: Column, segment: Column) -> Column:
+        member = F.try_element_at(F.try_variant_get(node, "$", "map<string,variant>"), segment)
+        element = F.get(F.try_variant_get(node, "$", "array<variant>"), segment.try_cast("int"))
+        return F.coalesce(member, element)
+
+    found = F.aggregate(F.split(dotted, r"\."), doc, below)
+    return found if as_type == "variant" else F.try_variant_get(found, "$", as_type)
 
 
-def has_path(doc: Column, dotted: str) -> Column:
+def has_path(doc: Column, dotted: str | Column) -> Column:
     """True when the path exists and is not null."""
     found = extract_path(doc, dotted)
     return F.coalesce(found.isNotNull() & ~F.is_variant_null(found), F.lit(False))
 
 
-def explode_multi_field(df: DataFrame, dotted: str, doc: str = "doc", keep: str = "all") -> DataFrame:
+def explode_multi_field(df: DataFrame, dotted: str | Column, doc: str = "doc", keep: str = "all") -> DataFrame:
     """One row per element of the list at ``dotted``; an object there is taken
     as the document; where the path is missing or falsy the document stays.
+    ``dotted`` may be a column, so that every vendor has its own path or none.
 
     Adds ``element_pos`` (0 for a document that was not a list). ``keep='last'``
     keeps only the last element of a list.

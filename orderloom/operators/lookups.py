@@ -13,10 +13,6 @@ from ..functions.text import ship_complete_flag
 from ..sizing import broadcast_if_small, repeat_rows
 from .aggregates import items_object_array, object_agg, unbilled_invoice_filter
 
-# The ERP item and quantity a bill's extra cost is booked on.
-EXTRA_ITEM_ID = 38577
-EXTRA_ITEM_QTY = 1
-
 
 def orders_left_invoices(orders: DataFrame, invoices: DataFrame) -> DataFrame:
     """``orders ⟕ invoices`` on the order id where no invoice column is used:
@@ -201,9 +197,12 @@ def vendor_bill_objects(
     items: DataFrame,
     outcomes: DataFrame,
     statuses: tuple[str, ...] = OPEN_FOR_BILLING,
+    extra_item: tuple[int, int] = (0, 1),
 ) -> DataFrame:
     """Invoices ready to be billed, each with the JSON array of its items.
 
+    ``extra_item`` is the ERP's id and the quantity of the item that a bill's extra cost is booked on.
+
     Invoices with an outcome row that has a success flag, a message or a bill id
     are out. The item array exists only for invoices with a positive quantity,
     which also makes the join to the items themselves redundant, and with one row
@@ -234,8 +233,8 @@ def vendor_bill_objects(
         "vendor_name",
         F.col("total").cast("double").alias("total"),
         "id",
-        F.lit(EXTRA_ITEM_ID).alias("extra_item_intid"),
-        F.lit(EXTRA_ITEM_QTY).alias("extra_item_qty"),
+        F.lit(extra_item[0]).alias("extra_item_intid"),
+        F.lit(extra_item[1]).alias("extra_item_qty"),
         money_or_zero(F.col("extra_item_price")).alias("extra_item_price"),
     )
 

@@ -118,6 +118,36 @@ def unique_source(source: DataFrame, table: Table, on_duplicate: str = "fail") -
     return counted.drop("_n")
 
 
+def _by_piece_and_text(a: Column, b: Column) -> Column:
+    less = (a["_p"] < b["_p"]) | ((a["_p"] == b["_p"]) & (a["_t"] < b["_t"]))
+    return F.when(less, -1).when((a["_p"] == b["_p"]) & (a["_t"] == b["_t"]), 0).otherwise(1)
+
+
+def merge_by_key(source: DataFrame, table: Table, nested: str, piece: str = "piece") -> DataFrame:
+    """One source row per key: rows of one key give the first one's values and all their ``nested`` elements.
+
+    First is by ``piece`` (dropped here; 0 where there is none), then by the row's text; rows that agree in
+    everything are one. Only keys that occur more than once are gathered.
+    """
+    placed = source if piece in source.columns else source.withColumn(piece, F.lit(0))
+    columns = [c for c in placed.columns if c != piece]
+    names = [f"_k{i}" for i in range(len(table.key))]
+    keyed = placed.select(*key_columns(table), "*")
+    several = keyed.groupBy(*names).agg(F.count("*").alias("_n")).filter("_n > 1").drop("_n")
+    once = keyed.join(several, names, "left_anti").select(*columns)
+    text = F.to_json(F.struct(*columns))
+    row = F.struct(F.col(piece).alias("p"), text.alias("t"), F.struct(*columns).alias("r"))
+    again = keyed.join(several, names, "left_semi").withColumn("_row", row)
+    gathered = again.groupBy(*names, F.col("_row.p").alias("_p"), F.col("_row.t").alias("_t")).agg(F.first("_row.r").alias("_r"))
+    ordered = F.transform(
+        F.array_sort(F.collect_list(F.struct("_p", "_t", "_r")), _by_piece_and_text), lambda x: x["_r"]
+    )
+    merged = gathered.groupBy(*names).agg(ordered.alias("_rows"))
+    elements = F.flatten(F.transform("_rows", lambda r: F.coalesce(r[nested], F.array().cast(source.schema[nested].dataType))))
+    first = [F.col("_rows")[0][c].alias(c) if c != nested else elements.alias(nested) for c in columns]
+    return once.unionByName(merged.select(*first))
+
+
 def bulk_upsert(
     target: DataFrame,
     source: DataFrame,

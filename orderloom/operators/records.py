@@ -144,7 +144,8 @@ def _is_single(number: Column) -> Column:
 def money_from_multi(df: DataFrame, compare: str = "string") -> DataFrame:
     """Costs as numbers. A single-invoice record takes the largest money token of
     each cost text and keeps the original total in ``raw_total``; a record with
-    several invoices only has plain numbers cast."""
+    several invoices only has plain numbers cast. ``cost_errors`` lists the costs
+    whose text gives no number: a total without them would be too low."""
     single = _is_single(F.col("invoice_number"))
     costs = {
         c: F.when(
@@ -153,7 +154,10 @@ def money_from_multi(df: DataFrame, compare: str = "string") -> DataFrame:
         )
         for c in COSTS
     }
-    return df.withColumns({"raw_total": F.when(single & ~is_blank(F.col("total")), F.col("total")), **costs})
+    lost = [F.when(~is_blank(F.col(c)) & value.isNull(), F.lit(f"{c}: unreadable cost")) for c, value in costs.items()]
+    errors = F.filter(F.array(*lost), lambda e: e.isNotNull())
+    raw_total = F.when(single & ~is_blank(F.col("total")), F.col("total"))
+    return df.withColumns({"raw_total": raw_total, "cost_errors": errors, **costs})
 
 
 def single_dates(df: DataFrame) -> DataFrame:
@@ -222,6 +226,11 @@ def order_total(df: DataFrame) -> DataFrame:
     )
 
 
+def drop_helpers(df: DataFrame) -> DataFrame:
+    """Deliveries without the field that only the rules above read."""
+    return df.withColumn("deliveries", F.transform("deliveries", lambda d: d.dropFields("zero_fields")))
+
+
 def settle_record(df: DataFrame) -> DataFrame:
     """What happens to a mapped record before it is split or finished."""
     return df.transform(default_from_other_field).transform(map_record_status)

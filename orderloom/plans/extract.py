@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.common import is_blank
+from ..operators.flatten import explode_multi_field, has_path
 from ..operators.mapping import map_record, with_config
 from ..operators.records import (
+    drop_helpers,
     drop_unbillable,
     fill_weights,
     mirror_costs,
@@ -19,11 +24,30 @@ from ..operators.records import (
     take_delivered_quantities,
 )
 from ..operators.splitting import split_records
+from ..session import materialize
+from ..sources.requests import enrich_second_call
+
+# What tells a rejected document or record apart, as far as it has it.
+IDENTITY = ("rec_id", "id", "vendor_id", "so_number", "po_number", "invoice_number", "piece", "status_code")
+
+
+@dataclass
+class ExtractResult:
+    """Finished records, and what was not taken as rows with ``reject_reason``."""
+
+    records: DataFrame
+    rejects: DataFrame
 
 
 def map_documents(documents: DataFrame, compiled: DataFrame, lone_lists: bool = False) -> DataFrame:
     """Parsed documents to mapped, settled records (not yet filtered)."""
-    return map_record(with_config(documents, compiled), lone_lists=lone_lists).transform(settle_record)
+    return _map_configured(with_config(documents, compiled), lone_lists)
+
+
+def _map_configured(configured: DataFrame, lone_lists: bool) -> DataFrame:
+    """One record per element of the vendor's multi-field list, or per document."""
+    parts = explode_multi_field(configured, F.col("cfg.multi_field")).drop("element_pos")
+    return map_record(parts, lone_lists=lone_lists).transform(settle_record)
 
 
 def finish_record(mapped: DataFrame) -> DataFrame:
@@ -38,19 +62,99 @@ def finish_record(mapped: DataFrame) -> DataFrame:
         .transform(single_dates)
         .transform(mirror_costs)
         .transform(order_total)
+        .transform(drop_helpers)
     )
 
 
-def extract(documents: DataFrame, compiled: DataFrame, lone_lists: bool = False) -> DataFrame:
-    """Documents to finished, billable records."""
-    return map_documents(documents, compiled, lone_lists).transform(drop_unbillable).transform(finish_record)
+def _required(configured: DataFrame) -> Column:
+    """Whether the document has what its vendor requires of a body."""
+    path = F.col("cfg.required_path")
+    return path.isNull() | has_path(F.col("doc"), path)
+
+
+def _readable(finished: DataFrame) -> DataFrame:
+    return finished.filter(F.size("cost_errors") == 0).drop("cost_errors")
+
+
+def _billable(mapped: DataFrame, second: DataFrame | None, key: tuple[str, ...]) -> DataFrame:
+    """Records of vendors with one call, and those that second documents give for the others."""
+    by_second = F.coalesce(F.col("cfg.second_call"), F.lit(False))
+    direct = mapped.filter(~by_second)
+    if second is None:
+        return direct
+    enriched = enrich_second_call(mapped.filter(by_second), second, key=key, calls="vendor").drop("invoice_pos")
+    return direct.unionByName(enriched, allowMissingColumns=True)
+
+
+def extract(
+    documents: DataFrame,
+    compiled: DataFrame,
+    lone_lists: bool = False,
+    second: DataFrame | None = None,
+    key: tuple[str, ...] = ("vendor_id", "so_number"),
+) -> DataFrame:
+    """Documents to finished, billable records.
+
+    A vendor with a second call only gives records of its second documents:
+    ``second`` has ``key``, ``invoice_number``, ``body`` and ``doc``.
+    """
+    configured = with_config(documents, compiled)
+    mapped = _map_configured(configured.filter(_required(configured)), lone_lists).transform(drop_unbillable)
+    if second is not None:
+        second = second.join(compiled.select("vendor_id", "mapping"), "vendor_id", "left")
+    return _billable(mapped, second, key).transform(finish_record).transform(_readable)
+
+
+def unbillable_reason() -> Column:
+    cancelled = F.coalesce(F.col("invoice_status") == "CANCELLED", F.lit(False))
+    return F.when(cancelled, "cancelled").when(is_blank(F.col("invoice_number")), "no invoice number")
 
 
 def outcomes_of(documents: DataFrame, compiled: DataFrame, lone_lists: bool = False) -> DataFrame:
     """Mapped records with ``reject_reason`` for those that are not billable."""
-    mapped = map_documents(documents, compiled, lone_lists)
-    number, status = F.col("invoice_number"), F.col("invoice_status")
-    reason = F.when(F.coalesce(status == "CANCELLED", F.lit(False)), "cancelled").when(
-        F.coalesce(number, F.lit("")) == "", "no invoice number"
-    )
-    return mapped.withColumn("reject_reason", reason)
+    return map_documents(documents, compiled, lone_lists).withColumn("reject_reason", unbillable_reason())
+
+
+def rejected(rows: DataFrame, reason: Column | str, columns: tuple[str, ...] = IDENTITY) -> DataFrame:
+    """What identifies rows, and why they were not taken."""
+    why = F.lit(reason) if isinstance(reason, str) else reason
+    present = [c for c in columns if c in rows.columns]
+    return rows.select(*present, why.cast("string").alias("reject_reason"))
+
+
+def extract_with_rejects(
+    documents: DataFrame,
+    compiled: DataFrame,
+    lone_lists: bool = False,
+    second: DataFrame | None = None,
+    key: tuple[str, ...] = ("vendor_id", "so_number"),
+) -> ExtractResult:
+    """``extract``, with everything that gives no record among the rejects.
+
+    The mapped and the finished records are written once, since records and
+    rejects both come from them.
+    """
+    configured = with_config(documents, compiled)
+    unknown = configured.filter(F.col("cfg").isNull())
+    known = configured.filter(F.col("cfg").isNotNull())
+    complete = _required(known)
+    mapped = materialize(_map_configured(known.filter(complete), lone_lists), "mapped")
+    billable = mapped.transform(drop_unbillable)
+    if second is not None:
+        second = second.join(compiled.select("vendor_id", "mapping"), "vendor_id", "left")
+    finished = materialize(_billable(billable, second, key).transform(finish_record), "finished")
+    waiting = billable.filter(F.coalesce(F.col("cfg.second_call"), F.lit(False)))
+    if second is not None:
+        answered = second.select(*key).distinct()
+        waiting = waiting.join(answered, list(key), "left_anti").select(*billable.columns)
+    parts = [
+        rejected(unknown, "unknown vendor"),
+        rejected(known.filter(~complete), "required part of the body is missing"),
+        rejected(mapped.filter(unbillable_reason().isNotNull()), unbillable_reason()),
+        rejected(waiting, "no second document"),
+        rejected(finished.filter(F.size("cost_errors") > 0), F.array_join("cost_errors", "; ")),
+    ]
+    rejects = parts[0]
+    for part in parts[1:]:
+        rejects = rejects.unionByName(part, allowMissingColumns=True)
+    return ExtractResult(_readable(finished), rejects)

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.dedup import dedup_first_by_key, first_by
+from ..operators.dedup import first_by
 from ..operators.lookups import attach_sales_order_id
 from ..operators.mutations import bulk_upsert, plain_table, returned_ids
 from ..operators.validate import bad_rows, good_rows, load
@@ -22,15 +22,26 @@ class FeedResult:
     purchase_order: DataFrame
     unknown_status: DataFrame
     invalid: DataFrame
+    invalid_sales_orders: DataFrame
 
 
-def feed_orders(feed: DataFrame, mapping: dict[str, str], known: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
-    """Deduplicated, projected feed orders: ``(known status, unknown status)``."""
-    rows = read_feed(feed).withColumns(
+ORDER = "_document"
+
+
+def feed_orders(
+    feed: DataFrame, mapping: dict[str, str], known: tuple[str, ...], order_by: tuple[str, ...] = ()
+) -> tuple[DataFrame, DataFrame]:
+    """Deduplicated, projected feed orders: ``(known status, unknown status)``.
+
+    The first one of equal orders stays: by the feed's columns ``order_by`` (file and row,
+    say), then by the document's text, then by the position in it.
+    """
+    placed = feed.withColumn(ORDER, F.struct(*order_by, F.sha2("body", 256).alias("_text")))
+    rows = read_feed(placed).withColumns(
         {"_internalid": order_field("internalid"), "_createdfrom": order_field("createdfrom")}
     )
-    projected = project_feed(rows, mapping, keep=("pos", "_internalid", "_createdfrom"))
-    unique = first_by(projected, ["_internalid", "_createdfrom"], ["pos"]).drop("_internalid", "_createdfrom")
+    projected = project_feed(rows, mapping, keep=(ORDER, "pos", "_internalid", "_createdfrom"))
+    unique = first_by(projected, ["_internalid", "_createdfrom"], [ORDER, "pos"]).drop("_internalid", "_createdfrom")
     return filter_known_status(unique, known)
 
 
@@ -40,18 +51,21 @@ def load_feed(
     known: tuple[str, ...],
     sales_order: DataFrame,
     purchase_order: DataFrame,
+    order_by: tuple[str, ...] = (),
 ) -> FeedResult:
     """Upsert the feed's orders; the parents first, then the orders with their parents' ids.
 
     The parsed orders and the new parents are written, since later steps read them
     more than once and must see the same ids.
     """
-    known_orders, unknown = feed_orders(feed, mapping, known)
+    known_orders, unknown = feed_orders(feed, mapping, known, order_by)
     orders = materialize(known_orders, "feed-orders")
-    parents = load(dedup_first_by_key(orders), SALES_ORDER)
+    parents = load(first_by(orders, ["soint_id"], [ORDER, "pos"]), SALES_ORDER)
     new_sales = materialize(bulk_upsert(sales_order, good_rows(parents), SALES_ORDER), "sales-orders")
     ids = returned_ids(new_sales, ["soint_id"])
     keyed = attach_sales_order_id(orders.withColumn("soint_id", F.col("soint_id").try_cast("bigint")), ids)
     children = load(keyed, PURCHASE_ORDER)
     new_orders = bulk_upsert(purchase_order, good_rows(children), PURCHASE_ORDER)
-    return FeedResult(plain_table(new_sales), plain_table(new_orders), unknown, bad_rows(children))
+    return FeedResult(
+        plain_table(new_sales), plain_table(new_orders), unknown.drop(ORDER), bad_rows(children), bad_rows(parents)
+    )

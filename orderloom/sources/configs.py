@@ -209,6 +209,12 @@ def _cfg_column() -> Column:
         c["check_for_tracking_number_and_set_invoice_accordingly"].isNotNull().alias("split_by_column"),
         F.coalesce(c["data"]["payload_value_to_upper"], no_text).alias("upper_keys"),
         flag(c["multi_api_call"]["url"]["raw"]).alias("second_call"),
+        F.nullif(c["multi_field"], F.lit("")).alias("multi_field"),
+        F.nullif(c["check_response_body"], F.lit("")).alias("required_path"),
+        F.nullif(c["error_mapping"]["error_status"], F.lit("")).alias("error_status"),
+        F.nullif(c["error_mapping"]["error_message"], F.lit("")).alias("error_message"),
+        F.nullif(c["fault_error_mapping"]["fault_error_status"], F.lit("")).alias("fault_status"),
+        F.nullif(c["fault_error_mapping"]["fault_error_message"], F.lit("")).alias("fault_message"),
         *[flag(c[key]).alias(name) for name, key in SWITCHES.items()],
     )
 

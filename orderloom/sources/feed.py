@@ -5,18 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+FEED_ORDERS = "array<map<string,string>>"
+FEED_SCHEMA = f"data {FEED_ORDERS}"
+
 
 def read_feed(df: DataFrame, body: str = "body", mode: str = "fail") -> DataFrame:
     """Feed documents ``{"data": [order, …]}`` to one row per order.
 
-    Adds ``pos`` (position in the list) and ``order_doc`` (VARIANT). A body that
-    is no JSON object with a ``data`` list aborts (``mode='fail'``) or gives no
+    Adds ``pos`` (position in the list) and ``order_doc`` (field to text; a nested
+    value is its JSON text, a number is as written). A body of any size is read, but one
+    that is no JSON object with a ``data`` list aborts (``mode='fail'``) or gives no
     rows (``mode='skip'``).
     """
     others = [c for c in df.columns if c != body]
-    listed = F.try_variant_get(F.try_parse_json(body), "$.data", "array<variant>")
+    listed = F.from_json(body, FEED_SCHEMA)["data"]
     if mode == "fail":
-        broken = F.raise_error(F.lit("the feed is not a JSON object with a data list")).cast("array<variant>")
+        broken = F.raise_error(F.lit("the feed is not a JSON object with a data list")).cast(FEED_ORDERS)
         listed = F.coalesce(listed, broken)
     elif mode != "skip":
         raise ValueError(f"mode must be 'fail' or 'skip', not {mode!r}")
@@ -24,7 +28,7 @@ def read_feed(df: DataFrame, body: str = "body", mode: str = "fail") -> DataFram
 
 
 def order_field(name: str) -> Column:
-    return F.try_variant_get("order_doc", f"$['{name}']", "string")
+    return F.try_element_at("order_doc", F.lit(name))
 
 
 def project_by_mapping(df: DataFrame, mapping: dict[str, str]) -> DataFrame:

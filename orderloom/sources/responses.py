@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.common import is_blank
 from ..functions.status import ERROR, map_status
@@ -45,7 +44,7 @@ def read_json_responses(df: DataFrame, mode: str = "quarantine") -> DataFrame:
     if mode == "fail":
         bad = F.when(malformed, F.raise_error(F.concat(F.lit("malformed body of order "), F.col("so_number"))).cast("string"))
     elif mode == "quarantine":
-        bad = F.when(malformed, "malformed body")
+        bad = F.when(malformed, _why_unparsed(F.col("body")))
     else:
         raise ValueError(f"mode must be 'quarantine' or 'fail', not {mode!r}")
     return tagged.withColumn(
@@ -61,58 +60,58 @@ def rejected_responses(tagged: DataFrame) -> DataFrame:
     return tagged.filter(F.col("reject_reason").isNotNull()).drop("doc")
 
 
-def xml_schema(paths: list[str]) -> T.StructType:
-    """Schema for ``from_xml`` from dotted paths (root included).
+#: A body of more than this many bytes may not fit into one VARIANT.
+DOCUMENT_BYTES = 16 * 1024 * 1024
 
-    Every element is a list of text or structs, so a tag may repeat or not;
-    ``@x`` segments are attributes. Positions and ``[i]`` in a path are ignored.
-    """
-    tree: dict = {}
-    for path in paths:
-        node = tree
-        for segment in path.split("."):
-            name = segment.replace("[i]", "")
-            if not name.isdigit():
-                node = node.setdefault(name, {})
-
-    def fields(node: dict) -> T.StructType:
-        made = []
-        for name, below in node.items():
-            if name.startswith("@") or name == "#text":
-                made.append(T.StructField(name, T.StringType()))
-            else:
-                made.append(T.StructField(name, T.ArrayType(fields(below) if below else T.StringType())))
-        return T.StructType(made)
-
-    if len(tree) != 1:
-        raise ValueError("all paths must share one root element")
-    return fields(next(iter(tree.values())))
-
-
-def read_xml_responses(df: DataFrame, paths: list[str]) -> DataFrame:
-    """Parse XML bodies that follow ``paths`` to ``doc``; tags rows as the JSON reader does.
-
-    All values stay text. The root element, which ``from_xml`` drops, is put
-    back. ``body`` becomes the JSON text of the parsed document.
+
+def _why_unparsed(body: Column) -> Column:
+    """A body that does not parse is malformed, unless it is JSON that is too large for one document."""
+    large = F.octet_length(body) > DOCUMENT_BYTES
+    is_json = F.from_json(body, "map<string,string>").isNotNull()
+    return F.when(large & is_json, "body over the size of one document").otherwise("malformed body")
+
+
+# Stands before every text of an XML document while it is parsed, so that none is read as a
+# number. A private-use character; where a body has it, it is lost.
+_TEXT_MARK = "\ue000"
+_XML_OPTIONS = "map('attributePrefix', '@', 'valueTag', '#text')"
+
+
+def read_xml_responses(df: DataFrame) -> DataFrame:
+    """Parse XML bodies to ``doc``; tags rows as the JSON reader does.
+
+    Any root and any tags: an element that repeats is a list, one occurrence carries
+    no position; attributes are ``@name``, an element's own text beside attributes is
+    ``#text``, an empty element is null, and all values stay text. ``body`` becomes
+    the JSON text of the parsed document, with the root element around it.
     """
-    root = paths[0].split(".")[0]
-    schema = xml_schema(paths).add("_corrupt_record", T.StringType())
-    options = {"attributePrefix": "@", "valueTag": "#text", "columnNameOfCorruptRecord": "_corrupt_record"}
-    parsed = df.withColumn("_x", F.from_xml("body", schema, options))
-    wrapped = F.to_json(F.struct(F.col("_x").dropFields("_corrupt_record").alias(root)))
-    bad = F.when(F.col("_x").isNull() | F.col("_x._corrupt_record").isNotNull(), "malformed body")
-    reason = F.coalesce(transport_error(F.col("status_code"), F.col("body")), bad)
+    plain = F.regexp_replace(F.regexp_replace("body", "(?s)<!--.*?-->", ""), _TEXT_MARK, "")
+    cdata = F.replace(plain, F.lit("<![CDATA["), F.lit(f"<![CDATA[{_TEXT_MARK}"))
+    texts = F.regexp_replace(cdata, r">(\s*)([^<>\s][^<>]*)<", f">$1{_TEXT_MARK}$2<")
+    # Attribute values inside a tag; texts were marked before, and have no tag around them.
+    marked = F.regexp_replace(texts, r"(?<=[\w:.-])=([\"'])(?=[^<>]*>)", f"=$1{_TEXT_MARK}")
+    root = F.regexp_extract(plain, r"<([A-Za-z_][\w:.-]*)", 1)
+    checked = df.withColumn("_marked", marked).withColumn("_root", root)
+    broken = F.expr("from_xml(_marked, '_corrupt_record string, c string', map('columnNameOfCorruptRecord', '_corrupt_record'))")
+    sound = broken.isNotNull() & broken["_corrupt_record"].isNull() & (F.col("_root") != "")
+    parsed = F.when(sound, F.expr(f"from_xml(_marked, 'variant', {_XML_OPTIONS})"))
+    wrapped = F.concat(F.lit('{"'), F.col("_root"), F.lit('":'), F.replace(F.to_json(parsed), F.lit(_TEXT_MARK), F.lit("")), F.lit("}"))
+    reason = F.coalesce(transport_error(F.col("status_code"), F.col("body")), F.when(F.col("_json").isNull(), "malformed body"))
+    tagged = checked.withColumn("_json", wrapped).withColumn("reject_reason", reason)
     return (
-        parsed.withColumn("reject_reason", reason)
-        .withColumn("body", F.when(F.col("reject_reason").isNull(), wrapped).otherwise(F.col("body")))
+        tagged.withColumn("body", F.when(F.col("reject_reason").isNull(), F.col("_json")).otherwise(F.col("body")))
         .withColumn("doc", F.when(F.col("reject_reason").isNull(), F.try_parse_json("body")))
-        .drop("_x")
+        .drop("_marked", "_root", "_json")
     )
 
 
-def require_body_path(df: DataFrame, dotted: str, doc: str = "doc") -> DataFrame:
-    """Drop documents where the path is missing or null."""
-    return df.filter(has_path(F.col(doc), dotted))
+def require_body_path(df: DataFrame, dotted: str | Column, doc: str = "doc") -> DataFrame:
+    """Drop documents where the path is missing or null.
+
+    With a column of paths, a row without a path requires nothing.
+    """
+    found = has_path(F.col(doc), dotted)
+    return df.filter(found if isinstance(dotted, str) else dotted.isNull() | found)
 
 
 def attach_order_context(documents: DataFrame, requests: DataFrame, on: list[str]) -> DataFrame:
@@ -133,19 +132,33 @@ def route_by_connection_type(df: DataFrame) -> tuple[DataFrame, DataFrame, DataF
     )
 
 
-def error_to_status(df: DataFrame, status_map: Column, status_path: str | None, message_path: str | None) -> DataFrame:
+Path = str | Column | None
+
+
+def error_to_status(
+    df: DataFrame,
+    status_map: Column,
+    status_path: Path,
+    message_path: Path,
+    fault_status_path: Path = None,
+    fault_message_path: Path = None,
+) -> DataFrame:
     """Failed responses to ``status_from_vendor`` and ``vendor_message``.
 
-    The paths are those of the vendor's error mapping (or of its fault mapping
-    where it has no error mapping); without paths only the defaults apply.
+    The value at the vendor's error path counts, else the one at its fault path;
+    without either only the defaults apply. Paths are texts, or columns where
+    they differ by vendor.
     """
     doc = F.try_parse_json("body")
 
-    def at(path: str | None) -> Column:
-        return extract_path(doc, path, "string") if path else F.lit(None).cast("string")
+    def at(path: Path) -> Column:
+        return F.lit(None).cast("string") if path is None else extract_path(doc, path, "string")
+
+    def first_of(path: Path, fault: Path) -> Column:
+        return F.coalesce(*[F.when(~is_blank(at(p)), at(p)) for p in (path, fault)])
 
-    status = map_status(at(status_path), status_map)
-    message = at(message_path)
+    status = map_status(first_of(status_path, fault_status_path), status_map)
+    message = first_of(message_path, fault_message_path)
     return df.withColumn("status_from_vendor", F.when(is_blank(status), ERROR).otherwise(status)).withColumn(
         "vendor_message", F.when(is_blank(message), F.col("reason")).otherwise(message)
     )
