@@ -186,7 +186,9 @@ def _features(kind: int, votes: tuple[int, ...], long: int) -> list[str]:
 
 def train(docs: DataFrame, rounds: int = 200, rate: float = 0.5, decay: float = 1e-3) -> Classifier | None:
     """Estimate the labelers and fit the classifier on all candidates of ``docs``; None if there are none."""
-    exploded = with_candidates(with_base(docs.select("text"))).select(F.explode("candidates").alias("c")).select("c.*")
+    # The outer form: the plain one would also test the candidates, and so find them, in a filter below it.
+    listed = with_candidates(with_base(docs.select("text"))).select(F.explode_outer("candidates").alias("c"))
+    exploded = listed.filter("c is not null").select("c.*")
     grouped = exploded.groupBy("kind", *LABELERS, "long").count()
     # Bounded: kinds x 3 ** labelers x lengths rows at most.
     rows = sorted((r["kind"], tuple(r[x] for x in LABELERS), r["long"], r["count"]) for r in grouped.collect())
