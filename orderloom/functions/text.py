@@ -44,5 +44,19 @@ def nested_to_json(col: Column) -> Column:
     return F.when(F.size(col) > 0, F.to_json(col))
 
 
+def open_structs_to_json(col: Column, extra: str = "extra") -> Column:
+    """JSON text of a list of structs, with the entries of each one's map ``extra`` as further fields."""
+
+    def merged(x: Column) -> Column:
+        own, more = F.to_json(x.dropFields(extra)), F.to_json(x[extra])
+        return (
+            F.when(F.coalesce(F.size(x[extra]), F.lit(0)) <= 0, own)
+            .when(own == "{}", more)
+            .otherwise(F.concat(F.left(own, F.length(own) - 1), F.lit(","), F.substring(more, F.lit(2), F.length(more) - 1)))
+        )
+
+    return F.when(F.size(col) > 0, F.concat(F.lit("["), F.array_join(F.transform(col, merged), ","), F.lit("]")))
+
+
 def empty_to_null(col: Column) -> Column:
     return F.when(~is_blank(col), col)

@@ -218,8 +218,11 @@ def by_position(hits: Column) -> Column:
     return let(ordered, cut)
 
 
-def _element(writes: Column, fields: tuple[str, ...], serials: Column | None) -> Column:
-    """One struct from the writes of a position; the last write of a field counts."""
+def _element(writes: Column, fields: tuple[str, ...], serials: Column | None, open_fields: bool = False) -> Column:
+    """One struct from the writes of a position; the last write of a field counts.
+
+    ``open_fields`` keeps what the config maps to other fields in the map ``extra``.
+    """
 
     def built(latest: Column, names: Column) -> Column:
         def value(field: str) -> Column:
@@ -230,6 +233,10 @@ def _element(writes: Column, fields: tuple[str, ...], serials: Column | None) ->
             wild = value("item_details")
             own = F.when(wild.isNotNull(), F.array(F.struct(wild.alias("serialnumber")))).otherwise(serials)
             parts.append(own.alias("item_details"))
+        if open_fields:
+            last_write = F.filter(latest, lambda h, i: F.array_position(names, h["field"]) == i + 1)
+            others = F.filter(last_write, lambda h: ~h["field"].isin(*fields) & h["value"].isNotNull())
+            parts.append(F.map_from_entries(F.transform(others, lambda h: F.struct(h["field"], h["value"]))).alias("extra"))
         zeros = F.filter(latest, lambda h, i: h["zero"] & (F.array_position(names, h["field"]) == i + 1))
         return F.struct(*parts, F.reverse(F.transform(zeros, lambda h: h["field"])).alias("zero_fields"))
 
@@ -239,10 +246,10 @@ def _element(writes: Column, fields: tuple[str, ...], serials: Column | None) ->
     )
 
 
-def _group(positions: Column, fields: tuple[str, ...], serials: Column | None = None) -> Column:
+def _group(positions: Column, fields: tuple[str, ...], serials: Column | None = None, open_fields: bool = False) -> Column:
     """Structs of a group in position order; ``serials`` goes to the first one."""
     if serials is None:
-        rows = F.transform(positions, lambda writes: _element(writes, fields, None))
+        rows = F.transform(positions, lambda writes: _element(writes, fields, None, open_fields))
     else:
         none = F.array().cast(SERIALS)
         rows = let(
@@ -289,7 +296,7 @@ def _items() -> Column:
 
 @built_once
 def _deliveries() -> Column:
-    return _group(F.col("_dpos"), DELIVERY_FIELDS)
+    return _group(F.col("_dpos"), DELIVERY_FIELDS, open_fields=True)
 
 
 @built_once

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.common import built_once, flag, let
+from ..schemas import ITEM_FIELDS, SCALAR_TARGETS
 
 # The keys a config document may carry.
 CONFIG_SCHEMA = """
@@ -239,6 +240,19 @@ def vendor_mapping_rows(df: DataFrame) -> DataFrame:
     )
 
 
+def vendor_unknown_targets(df: DataFrame) -> DataFrame:
+    """Mapped fields that no table has, which would be lost. Deliveries are stored as JSON and take any field."""
+    known = [F.lit(f) for f in SCALAR_TARGETS]
+    item_fields = [F.lit(f) for f in (*ITEM_FIELDS, "item_details")]
+    rows = vendor_mapping_rows(df)
+    stored = (
+        F.when(F.col("target_group") == "", F.col("target_field").isin(*known))
+        .when(F.col("target_group") == "items", F.col("target_field").isin(*item_fields))
+        .otherwise(F.col("target_group") == "deliveries")
+    )
+    return rows.filter(~stored).select("vendor_id", "doc_path", "target_group", "target_field")
+
+
 def vendor_status_rows(df: DataFrame) -> DataFrame:
     """One row per raw status of each vendor."""
     return parse_configs(df).select("vendor_id", F.inline(status_lists(F.col("c"))))

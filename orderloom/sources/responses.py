@@ -85,7 +85,7 @@ def read_xml_responses(df: DataFrame) -> DataFrame:
     ``#text``, an empty element is null, and all values stay text. ``body`` becomes
     the JSON text of the parsed document, with the root element around it.
     """
-    plain = F.regexp_replace(F.regexp_replace("body", "(?s)<!--.*?-->", ""), _TEXT_MARK, "")
+    plain = F.regexp_replace(F.regexp_replace("body", r"(?s)<!--.*?-->|<\?.*?\?>", ""), _TEXT_MARK, "")
     cdata = F.replace(plain, F.lit("<![CDATA["), F.lit(f"<![CDATA[{_TEXT_MARK}"))
     texts = F.regexp_replace(cdata, r">(\s*)([^<>\s][^<>]*)<", f">$1{_TEXT_MARK}$2<")
     # Attribute values inside a tag; texts were marked before, and have no tag around them.
