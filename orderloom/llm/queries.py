@@ -124,7 +124,23 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("op4_suffix_repeats")
+REPEATS_SQL = f"""
+WITH docs AS (SELECT DISTINCT doc_id, text, {WORDS_SQL} AS w FROM documents),
+windows AS (
+  SELECT doc_id, text, len(w) AS n, i - 1 AS s, array_to_string(w[i:i + 49], ' ') AS g
+  FROM (SELECT *, unnest(range(1, len(w) - 48)) AS i FROM docs)),
+repeated AS (SELECT g FROM windows GROUP BY g HAVING count(DISTINCT (doc_id, text)) > 1),
+found AS (SELECT doc_id, text, n, s FROM windows SEMI JOIN repeated USING (g)),
+parted AS (
+  SELECT *, sum(CASE WHEN s <= before + 50 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id, text ORDER BY s) AS part
+  FROM (SELECT *, lag(s) OVER (PARTITION BY doc_id, text ORDER BY s) AS before FROM found)),
+spans AS (SELECT doc_id, text, n, min(s) AS a, max(s) + 50 AS b FROM parted GROUP BY doc_id, text, n, part)
+SELECT doc_id, any_value(n)::BIGINT AS n_words, sum(b - a)::BIGINT AS n_repeated, string_agg(a || ':' || b, ',' ORDER BY a) AS spans
+FROM spans GROUP BY doc_id, text
+"""
+
+
+@query("op4_suffix_repeats", REPEATS_SQL)
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     """Stretches of every document that are passages of 50 words and more of another one."""
     return suffixes.repeated_passages(table(spark, folder, "documents"), least=50)
@@ -197,7 +213,33 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", *counts, base, F.expr(pii.spelled("found")).alias("spans"))
 
 
-@query("op8_decontamination")
+PLAIN_SQL = r"regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+')"
+CONTAMINATION_SQL = f"""
+WITH items AS (SELECT item_id, w, len(w) AS n, least(5, len(w)) AS size FROM (SELECT item_id, {PLAIN_SQL} AS w FROM benchmark) WHERE len(w) > 0),
+docs AS (SELECT doc_id, {PLAIN_SQL} AS w FROM documents),
+doc_grams AS (
+  SELECT doc_id, n, size, i, array_to_string(w[i:i + size - 1], ' ') AS g
+  FROM (SELECT doc_id, w, len(w) AS n, size, unnest(range(1, len(w) - size + 2)) AS i FROM docs, (SELECT DISTINCT size FROM items))),
+item_grams AS (
+  SELECT item_id, n, size, g, count(*) AS k
+  FROM (SELECT item_id, n, size, array_to_string(w[i:i + size - 1], ' ') AS g FROM (SELECT *, unnest(range(1, n - size + 2)) AS i FROM items))
+  GROUP BY ALL),
+starts AS (
+  SELECT DISTINCT doc_id, item_id, n, size, unnest(range(greatest(1, i - n + size), least(i, doc_n - n + 1) + 1)) AS s
+  FROM (SELECT d.doc_id, d.n AS doc_n, d.i, t.item_id, t.n, t.size FROM doc_grams d JOIN item_grams t ON d.size = t.size AND d.g = t.g)),
+window_grams AS (
+  SELECT c.doc_id, c.item_id, c.n, c.size, c.s, d.g, count(*) AS k
+  FROM starts c JOIN doc_grams d ON d.doc_id = c.doc_id AND d.size = c.size AND d.i BETWEEN c.s AND c.s + c.n - c.size GROUP BY ALL),
+shared AS (
+  SELECT w.doc_id, w.item_id, w.n, w.s, w.n - w.size + 1 AS total, sum(least(w.k, t.k)) AS common
+  FROM window_grams w JOIN item_grams t ON t.item_id = w.item_id AND t.g = w.g GROUP BY ALL),
+scored AS (SELECT *, common / (2.0 * total - common)::DOUBLE AS similarity FROM shared)
+SELECT doc_id, item_id, s - 1 AS start_word, n AS n_words, similarity FROM scored WHERE similarity >= 0.8
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, s) = 1
+"""
+
+
+@query("op8_decontamination", CONTAMINATION_SQL)
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     """Best window of each benchmark item in each document that holds it."""
     return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
