@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry_points
 from checks.compare import connect, normal
+from checks.registry import ORACLES, QUERIES
 
 SAMPLE = (
     "read_feed", "vendor_mapping_rows", "pending_purchase_orders", "resolve_order_id", "items_object_array", "vendor_bill_objects",
@@ -22,12 +23,14 @@ nested_to_json unnest_parallel_arrays split_zip split_pad split_columns clean_nu
 parse_date_any normalize_carrier default_weight item_status mirror_cost upper_selected strip_suffix item_no_fallback ship_complete_flag
 first_date_of money_or_zero empty_to_null coerce_and_validate status_from_invoice_field error_to_status apply_calculated_status
 finish_record insert_rows update_by_key bulk_upsert upsert_sales_orders upsert_purchase_orders upsert_invoices replace_children assign_ids
-update_bill_results update_order_status check_unique check_foreign_keys incremental_ingest""".split()
+update_bill_results update_order_status check_unique check_foreign_keys incremental_ingest explode_multi_field_by_vendor
+require_body_path_by_vendor error_to_status_by_vendor second_call_job dispatch_duplicate_keys dispatch_rejects vendor_unknown_targets
+stored_deliveries""".split()
 
 
 def test_every_operator_has_a_query_and_an_oracle():
-    assert set(KEYS) <= set(entry_points.queries())
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(KEYS) <= set(QUERIES) <= set(entry_points.queries())
+    assert set(QUERIES) == set(ORACLES) and set(ORACLES) <= set(entry_points.oracle_sql())
 
 
 @pytest.mark.parametrize("name", SAMPLE)
