@@ -99,11 +99,18 @@ def _totals(table: pa.Table) -> pa.Table:
     })
 
 
-_SUFFIX = "g long, doc_id long, th long, at int, n_words int, after binary, before binary, by_after boolean, by_before boolean"
+_SUFFIX = (
+    "g long, doc_id long, th long, at int, n_words int, after binary, before binary, by_after boolean, by_before boolean, "
+    "first int, stop int"
+)
 
 
 def _suffixes(blocks: DataFrame, totals: DataFrame, least: int) -> DataFrame:
-    """A row for each suffix at an anchor that occurs more than once.
+    """A row for each suffix at an anchor that occurs more than once, and spans that a block settles itself.
+
+    Suffixes of a block that agree in all their words and belong to several documents
+    match as far as they are compared. They give their spans here, and one of them
+    goes on as a neighbour for other blocks.
 
     ``after`` has the words after the anchor, ``before`` the ones in front of it
     backwards, as 32-bit numbers whose bytes sort as they do; zeros stand beyond
@@ -145,12 +152,33 @@ def _suffixes(blocks: DataFrame, totals: DataFrame, least: int) -> DataFrame:
             data = pa.py_buffer(np.ascontiguousarray(values).tobytes())
             return pa.Array.from_buffers(pa.binary(4 * side), len(values), [None, data]).cast(pa.binary())
 
-        hot = times > HOT
-        plain = ~hot
-        groups = [(plain, keys, True, True), (hot, rolled(after, half, 1), True, False), (hot, rolled(before, side - half, 2), False, True)]
         ids, th = np.array([-1 if x is None else x for x in own["doc_id"]], np.int64), np.array(own["th"], np.int64)
         null = np.array([x is None for x in own["doc_id"]], bool)
         sizes = np.array(own["sizes"], np.int32)
+        whole = rolled(after, side, 3) ^ mix(rolled(before, side, 4))
+        kinds, at_first, kind = np.unique(whole, return_index=True, return_inverse=True)
+        # A document is its id and text, so copies of one row do not make several.
+        same = mix(ids.view(U64) + U64(1) * null + mix(th.view(U64)))[doc] if len(doc) else whole
+        shared = np.zeros(len(kinds), bool)
+        shared[kind[same != same[at_first][kind]]] = True
+        settled = shared[kind]
+        goes = ~settled
+        goes[at_first] = True
+        at = place - first
+        left_room, right_room = np.minimum(at, side), np.minimum(end - place - GRAM, side)
+        span = np.flatnonzero(settled & (left_room + GRAM + right_room >= least))
+        spans = pa.table({
+            "g": pa.array(same[span].view(np.int64)),
+            "doc_id": pa.array(ids[doc[span]], pa.int64(), mask=null[doc[span]]),
+            "th": pa.array(th[doc[span]]),
+            "n_words": pa.array(sizes[doc[span]]),
+            "first": pa.array((at - left_room)[span].astype(np.int32)),
+            "stop": pa.array((at + GRAM + right_room)[span].astype(np.int32)),
+        })
+
+        hot = goes & (times > HOT)
+        plain = goes & (times <= HOT)
+        groups = [(plain, keys, True, True), (hot, rolled(after, half, 1), True, False), (hot, rolled(before, side - half, 2), False, True)]
         out = []
         for mask, g, by_after, by_before in groups:
             n = int(mask.sum())
@@ -166,7 +194,12 @@ def _suffixes(blocks: DataFrame, totals: DataFrame, least: int) -> DataFrame:
                 "by_after": pa.array(np.full(n, by_after)),
                 "by_before": pa.array(np.full(n, by_before)),
             }))
-        return pa.concat_tables(out)
+        columns = pa.schema([
+            ("g", pa.int64()), ("doc_id", pa.int64()), ("th", pa.int64()), ("at", pa.int32()), ("n_words", pa.int32()),
+            ("after", pa.binary()), ("before", pa.binary()), ("by_after", pa.bool_()), ("by_before", pa.bool_()),
+            ("first", pa.int32()), ("stop", pa.int32()),
+        ])
+        return pa.concat_tables([*out, spans, columns.empty_table()], promote_options="default").select(columns.names)
 
     both = blocks.unionByName(totals, allowMissingColumns=True)
     return both.groupBy("block").applyInArrow(run, _SUFFIX)
@@ -275,10 +308,11 @@ def repeated_passages(docs: DataFrame, least: int = 50) -> DataFrame:
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     dealt = suffixes.repartition(max(1, parts), "g")
     schema = "doc_id long, th long, n_words int, first int, stop int"
-    by_after = dealt.filter("by_after").sortWithinPartitions("g", "after", "before", "doc_id", "th").mapInArrow(_compare(least), schema)
-    by_before = dealt.filter("by_before").sortWithinPartitions("g", "before", "after", "doc_id", "th").mapInArrow(_compare(least), schema)
+    by_after = dealt.filter("by_after").drop("first", "stop").sortWithinPartitions("g", "after", "before", "doc_id", "th").mapInArrow(_compare(least), schema)
+    by_before = dealt.filter("by_before").drop("first", "stop").sortWithinPartitions("g", "before", "after", "doc_id", "th").mapInArrow(_compare(least), schema)
+    settled = dealt.filter("first is not null").select("doc_id", "th", "n_words", "first", "stop")
     # Stretches of one document that overlap or touch become one.
-    found = by_after.union(by_before).groupBy("doc_id", "th").agg(
+    found = by_after.union(by_before).union(settled).groupBy("doc_id", "th").agg(
         F.max("n_words").cast("long").alias("n_words"), F.array_sort(F.collect_set(F.struct("first", "stop"))).alias("s")
     )
     merged = F.expr(
