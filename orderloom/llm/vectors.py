@@ -29,13 +29,13 @@ from pyspark.sql import functions as F
 from .storage import stored
 
 #: Bounds of the sample and of the number of lists; vectors a list is planned for.
-SAMPLE, MOST_LISTS, LIST_SIZE = 20_000, 4096, 256
+SAMPLE, MOST_LISTS, LIST_SIZE = 20_000, 4096, 512
 #: A vector is in at most this many lists, and a centroid has this many neighbours in the graph.
 COPIES, DEGREE = 6, 24
 #: Boundary vectors: squared distance within this ratio of the nearest centroid's.
 BOUNDARY = 1.15
 #: Share of sample neighbours whose list a query must reach when the ratio is fitted.
-REACH = 0.98
+REACH = 0.96
 #: Vectors and queries of one unit of work.
 PIECE, QUERY_PIECE = 4096, 1024
 
@@ -198,6 +198,15 @@ def usable(vectors: DataFrame) -> DataFrame:
     return rows.filter(F.size("v") == (most["d"] if most else 0))
 
 
+def _one_per_id(rows: DataFrame) -> DataFrame:
+    """The smallest vector of each id; only repeated ids are gathered."""
+    repeated = rows.groupBy("vec_id").count().filter("count > 1").select("vec_id")
+    if repeated.isEmpty():
+        return rows
+    again = rows.join(repeated, "vec_id", "left_semi").groupBy("vec_id").agg(F.min("v").alias("v"))
+    return rows.join(repeated, "vec_id", "left_anti").select("vec_id", "v").unionByName(again)
+
+
 def _first_of_class(rows: DataFrame, k: int) -> DataFrame:
     """Rows whose id is among the ``k`` smallest of their class; large classes are thinned in pieces first."""
     piece = F.pmod(F.xxhash64("vec_id"), F.lit(64))
@@ -274,10 +283,10 @@ def search(vectors: DataFrame, is_query: Column | str, k: int = 20) -> DataFrame
 
     ``score`` is the inner product in double precision, nearest first, ties to the
     smaller id, rank from 1. A query's candidates are all rows with another id; with
-    fewer than ``k`` all that were found are given. Rows with one ``vec_id`` count as one: the
-    best of them. What ``usable`` leaves out takes no part; an empty table gives no rows.
+    fewer than ``k`` all that were found are given. Of rows with one ``vec_id`` the one with the
+    smallest vector counts. What ``usable`` leaves out takes no part; an empty table gives no rows.
     """
-    rows = stored(usable(vectors).withColumn("c", F.xxhash64("v")), "vectors")
+    rows = stored(_one_per_id(usable(vectors)).withColumn("c", F.xxhash64("v")), "vectors")
     n, scale = rows.agg(F.count("*"), F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)))).first()
     schema = "query_id long, rank int, vec_id long, score double"
     if not n:
@@ -307,13 +316,11 @@ def search(vectors: DataFrame, is_query: Column | str, k: int = 20) -> DataFrame
     left = left.select("list", F.explode(F.sequence(zero, F.col("pieces") - 1)).alias("piece"), "query_piece", "q", "v")
     unit = ["list", "piece", "query_piece"]
     found = left.groupBy(*unit).cogroup(right.groupBy(*unit)).applyInArrow(_best(k + 1), "q long, ids array<long>, scores array<double>")
-    # The best k + 1 of a class of queries: one of them may be a query's own row.
-    pairs = found.select("q", F.explode(F.arrays_zip("ids", "scores")).alias("x")).select("q", F.col("x.ids").alias("vec_id"), F.col("x.scores").alias("score"))
-    pairs = pairs.groupBy("q", "vec_id").agg(F.max("score").alias("score"))
-    ordered = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
-    top = pairs.withColumn("r", F.row_number().over(ordered)).filter(F.col("r") <= k + 1)
-    best = top.groupBy("q").agg(F.sort_array(F.collect_list(F.struct("r", "vec_id", "score"))).alias("best"))
+    # The best k + 1 of a class of queries: one of them may be a query's own row. At most k + 1 of each list meet here.
+    near = F.transform(F.arrays_zip("scores", "ids"), lambda x: F.struct((-x["scores"]).alias("minus"), x["ids"].alias("vec_id")))
+    gathered = found.groupBy("q").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(near)))).alias("all"))
+    best = gathered.select("q", F.slice("all", 1, k + 1).alias("best"))
     own = queries.select("query_id", F.col("c").alias("q")).distinct().join(best, "q")
     others = F.slice(F.filter("best", lambda b: b["vec_id"] != F.col("query_id")), 1, k)
     ranked = own.select("query_id", F.posexplode(others).alias("pos", "b"))
-    return ranked.select("query_id", (F.col("pos") + 1).cast("int").alias("rank"), "b.vec_id", "b.score")
+    return ranked.select("query_id", (F.col("pos") + 1).cast("int").alias("rank"), "b.vec_id", (-F.col("b.minus")).alias("score"))
