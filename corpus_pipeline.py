@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.llm import bpe, decontaminate, langid, minhash, pii
+from orderloom.llm.storage import reach_workers
 from orderloom.session import materialize, shared_folder
 from orderloom.sizing import broadcast_if_small
 
@@ -29,6 +30,7 @@ def with_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     the ids. Null, empty and letterless texts go. Every row is judged by its own text,
     also where its ``doc_id`` is null or repeated.
     """
+    reach_workers(spark)
     share = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
     field = langid.fit(docs, share != 2)
     judged = langid.identify(docs, field, keep=tuple(docs.columns))
@@ -42,6 +44,7 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     Of rows with one ``doc_id`` a single one stays. Documents without an id or without
     words are linked with nothing and stay.
     """
+    reach_workers(spark)
     verdict = minhash.near_duplicates(docs, shingle=5, percent=80)
     gone = materialize(verdict.filter("not kept").select("doc_id").distinct(), "gone")
     kept = docs.join(broadcast_if_small(gone), "doc_id", "left_anti").select(*docs.columns)
@@ -56,6 +59,7 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no benchmark item occurs; rows without an id are kept."""
+    reach_workers(spark)
     found = decontaminate.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     flagged = materialize(found.select("doc_id").distinct(), "flagged")
     return docs.join(broadcast_if_small(flagged), "doc_id", "left_anti").select(*docs.columns)
@@ -63,6 +67,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with every personal span replaced by its kind; a null text stays null, ``n_chars`` follows the text."""
+    reach_workers(spark)
     found = pii.find(docs.withColumn("_null", F.col("text").isNull()), pii.train(docs))
     text = F.when(~F.col("_null"), F.expr(pii.masked()))
     masked = found.withColumn("text", text)
@@ -74,6 +79,7 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def as_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of every text, with the hashes that prove the round trip."""
+    reach_workers(spark)
     return bpe.encode_documents(docs, public_tokenizers.path(RANK_FILE), public_tokenizers.PATTERN)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 import public_tokenizers
@@ -9,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, decontaminate, edit_counts, katz, langid, minhash, pii, preferences, suffixes, vectors
+from .storage import reach_workers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -17,7 +19,12 @@ RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 
 def query(name: str, sql: str | None = None):
     def register(fn: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            reach_workers(spark)
+            return fn(spark, folder)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return fn

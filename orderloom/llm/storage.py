@@ -2,13 +2,27 @@
 
 from __future__ import annotations
 
+import os
 import uuid
+from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ..session import shared_folder
 
 
+def reach_workers(spark: SparkSession) -> None:
+    """Let Python workers import the library from where the driver has it, whatever folder they start in.
+
+    On a cluster the library must be at that place on every machine, or come with ``--py-files``.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    known = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *known])
+
+
 def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     """Write ``df`` to the folder all executors share, partitioned if asked, and read it back.
 
