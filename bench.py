@@ -8,6 +8,7 @@ import sys
 import time
 
 from checks import load_all
+from checks.domain import Domain
 from checks.registry import QUERIES
 from orderloom.session import local_session
 
@@ -43,6 +44,7 @@ def main() -> None:
     spark = local_session(cpus, int(cpus))
     spark.sparkContext.setLogLevel("ERROR")
     QUERIES["not_fully_billed"](spark, folder).write.format("noop").mode("overwrite").save()
+    Domain(spark, folder).write_documents()
     seconds = {}
     for name in names:
         started = time.perf_counter()

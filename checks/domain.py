@@ -7,9 +7,13 @@ lines each in their own way (``json_documents`` / ``ORACLE_DOCS``).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderloom.session import shared_folder
+
 # Schemas of the given tables that the domain reads, so that no read infers one.
 BASE = {
     "nation": "n_nationkey int, n_name string, n_regionkey int",
@@ -184,9 +188,18 @@ def oracle(body: str, *tables: str, **extra: str) -> str:
 class Domain:
     """The domain tables of one data folder as DataFrames."""
 
+    #: Documents written beforehand, by folder of the tables (``write_documents``).
+    written: dict[str, str] = {}
+
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
 
+    def write_documents(self) -> None:
+        """Write the documents once, so that queries on them read instead of building them."""
+        path = f"{shared_folder(self.spark)}/documents-{uuid.uuid4().hex}"
+        self.documents().write.parquet(path)
+        Domain.written[self.folder] = path
+
     def base(self, name: str) -> DataFrame:
         return self.spark.read.schema(BASE[name]).parquet(f"{self.folder}/{name}.parquet")
 
@@ -206,6 +219,8 @@ class Domain:
 
     def documents(self) -> DataFrame:
         """One document per order: columns of ``DOC_HEAD``."""
+        if self.folder in Domain.written:
+            return self.spark.read.parquet(Domain.written[self.folder])
         entry = F.struct("ln", "part", "supp", "ship_day", "json_line", "json_box", "xml_line")
         grouped = (
             self.lines_by_document()

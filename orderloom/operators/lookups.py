@@ -156,6 +156,20 @@ def resolve_order_id(records: DataFrame, orders: DataFrame, mode: str = "quarant
     )
 
 
+def orders_of(records: DataFrame, orders: DataFrame) -> DataFrame:
+    """The orders that a batch's records can name, by sales or purchase order number.
+
+    A batch is small beside the orders: where its numbers were measured to fit, the
+    orders are filtered as they are read and nothing of them is shuffled.
+    """
+    found = []
+    for name in ("so_number", "po_number"):
+        own = f"vendor_{name}"
+        named = records.select("vendor_id", F.col(name).alias(own)).filter(F.col(own).isNotNull()).distinct()
+        found.append(orders.join(broadcast_if_small(named), ["vendor_id", own], "left_semi").select(*orders.columns))
+    return found[0].unionByName(found[1])
+
+
 def drop_loaded_invoices(records: DataFrame, invoices: DataFrame, mode: str = "intent") -> DataFrame:
     """Remove records whose invoice is already stored for their order.
 

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folders: dict[str, str] = {}
+_scratch: ContextVar[list[str] | None] = ContextVar("_scratch", default=None)
 
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str = "orderloom") -> SparkSession:
@@ -35,7 +39,7 @@ def shared_folder(spark: SparkSession) -> str:
     if named:
         return named.rstrip("/")
     if not spark.conf.get("spark.master", "local").startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        raise RuntimeError("start the session with spark.checkpoint.dir set to a folder all executors share")
     return _local_folders.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="orderloom-"))
 
 
@@ -47,5 +51,26 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    paths = _scratch.get()
+    if paths is not None:
+        paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete what ``materialize`` writes inside the block when it ends.
+
+    For work whose results are stored elsewhere before the block ends; lazy results
+    that leave the block would lose their input.
+    """
+    paths: list[str] = []
+    token = _scratch.set(paths)
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+        for path in paths:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
