@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -23,8 +24,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Different pieces whose encodings a task remembers before it starts anew; bounds memory, not results.
-REMEMBERED = 600_000
+#: Different pieces, and pairs of tokens, that a worker remembers before it starts anew; bounds memory, not results.
+REMEMBERED, REMEMBERED_PAIRS = 300_000, 500_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -38,23 +39,33 @@ class Ranks:
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
-        self.longest = max(map(len, ranks))
+        #: What tokens end in: the rank of a token, or -1 for the end of longer ones only.
+        self.ends = {token[i:]: -1 for token in ranks for i in range(1, len(token))} | ranks
         self.token = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             self.token[rank] = token
         self._fits: dict[int, bool] = {}
         self._own: dict[int, bool] = {}
+        self._halves: dict[int, tuple[int, int] | None] = {}
 
-    def merged(self, data: bytes) -> list[int]:
-        """Encoding by merging the lowest-ranked neighbours again and again; for short inputs."""
+    def merged(self, data: bytes, below: int = 1 << 60) -> list[int]:
+        """Encoding by merging the lowest-ranked neighbours again and again, with tokens of a rank
+        under ``below``; for short inputs."""
         parts = [data[i : i + 1] for i in range(len(data))]
         while len(parts) > 1:
             best = min(range(len(parts) - 1), key=lambda i: (self.ranks.get(parts[i] + parts[i + 1], 1 << 60), i))
-            if parts[best] + parts[best + 1] not in self.ranks:
+            if self.ranks.get(parts[best] + parts[best + 1], 1 << 60) >= below:
                 break
             parts[best : best + 2] = [parts[best] + parts[best + 1]]
         return [self.ranks[p] for p in parts]
 
+    def halves(self, rank: int) -> tuple[int, int] | None:
+        """The two tokens whose merge makes the token; None for a single byte."""
+        if rank not in self._halves:
+            parts = self.merged(self.token[rank], rank)
+            self._halves[rank] = (parts[0], parts[1]) if len(parts) == 2 else None
+        return self._halves[rank]
+
     def reachable(self, rank: int) -> bool:
         """Whether merging the token's bytes gives the token."""
         found = self._own.get(rank)
@@ -67,11 +78,31 @@ class Ranks:
         key = left << 32 | right
         found = self._fits.get(key)
         if found is None:
-            if len(self._fits) > 1_500_000:
+            if len(self._fits) >= REMEMBERED_PAIRS:
                 self._fits.clear()
-            found = self._fits[key] = self.merged(self.token[left] + self.token[right]) == [left, right]
+            found = self._fits[key] = self._stay_apart(left, right)
         return found
 
+    def _stay_apart(self, left: int, right: int) -> bool:
+        """Undo the merges next to the border, latest first, and see whether one across it would have come sooner.
+
+        Both tokens must be what merging their own bytes gives. Of merges of one rank
+        the one further left comes first.
+        """
+        token, ranks = self.token, self.ranks
+        limit = 1 << 60
+        while True:
+            across = ranks.get(token[left] + token[right])
+            if across is not None and across < limit:
+                return False
+            parts_left, parts_right = self.halves(left), self.halves(right)
+            if parts_left and (left > right or not parts_right):
+                limit, left = left, parts_left[1]
+            elif parts_right:
+                limit, right = right + 1, parts_right[0]
+            else:
+                return True
+
 
 class Prefixes:
     """The last token of every byte prefix of a growing piece."""
@@ -85,12 +116,23 @@ class Prefixes:
     def append(self, more: bytes) -> None:
         """Add bytes; no earlier prefix changes."""
         self.data += more
-        data, last, known = bytes(self.data), self.last, self.ranks.ranks
-        fits, reachable, longest = self.ranks.fits, self.ranks.reachable, self.ranks.longest
+        data, last, known = bytes(self.data), self.last, self.ranks.ends.get
+        fits, reachable, settled = self.ranks.fits, self.ranks.reachable, self.ranks._fits.get
         for end in range(len(last) + 1, len(data) + 1):
-            for start in range(max(0, end - longest), end):
-                rank = known.get(data[start:end])
-                if rank is not None and (fits(last[start - 1], rank) if start else reachable(rank)):
+            # One token fits, so the order of trying is free: outwards, as long as some token ends so.
+            for start in range(end - 1, -1, -1):
+                rank = known(data[start:end])
+                if rank is None:
+                    break
+                if rank < 0:
+                    continue
+                if not start:
+                    good = reachable(rank)
+                else:
+                    good = settled(last[start - 1] << 32 | rank)
+                    if good is None:
+                        good = fits(last[start - 1], rank)
+                if good:
                     last.append(rank)
                     break
 
@@ -122,7 +164,7 @@ class Encoder:
         data = piece.encode()
         whole = self.vocabulary.ranks.get(data)
         ids = [whole] if whole is not None else Prefixes(self.vocabulary, data).tokens()
-        packed = np.array(ids, "<u4").tobytes()
+        packed = struct.pack(f"<{len(ids)}I", *ids)
         if len(piece) < 256:
             if len(self.seen) >= self.remembered:
                 self.seen.clear()
