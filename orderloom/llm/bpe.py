@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Different pieces, and pairs of tokens, that a worker remembers before it starts anew; bounds memory, not results.
-REMEMBERED, REMEMBERED_PAIRS = 300_000, 500_000
+REMEMBERED, REMEMBERED_PAIRS = 150_000, 300_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -210,6 +210,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                     ],
                     names=["doc_id", "ids", "n_tokens", "ids_sha256", "decoded_sha256"],
                 )
+            pa.default_memory_pool().release_unused()
 
     schema = "doc_id long, ids binary, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)

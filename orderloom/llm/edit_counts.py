@@ -24,7 +24,7 @@ from .bpe import read_ranks
 LEAF, FULL = 64, 256
 #: A match of the pattern looks at most this far beyond its own end.
 AHEAD = 2
-REMEMBERED = 600_000
+REMEMBERED = 300_000
 
 
 class Counter:

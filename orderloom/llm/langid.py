@@ -27,9 +27,10 @@ from .words import U64, Words, bytes_hash, mix, text_slices
 UNDECIDED = "und"
 FEATURE_BITS = 18
 NGRAMS = (2, 3, 4, 5)
-#: Bounds of the sample that the field is fitted on: languages, texts of each, characters of a text.
-MOST_LANGUAGES, TEXTS_PER_LANGUAGE, TEXT_CHARS = 64, 300, 20_000
+#: Bounds of the sample that the field is fitted on: languages, texts of each, all texts, characters of a text.
+MOST_LANGUAGES, TEXTS_PER_LANGUAGE, TEXTS, TEXT_CHARS = 64, 200, 4000, 20_000
 WINDOW, WINDOWS = 16, 4
+WORDS_AT_ONCE = 20_000
 _TABLES = np.random.default_rng(11).integers(0, 1 << 63, (max(NGRAMS), 256), dtype=np.uint64)
 
 
@@ -44,6 +45,19 @@ class Field:
 
 def word_features(names: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Feature numbers of each word, one word after the other, and where each word's start."""
+    parts = [_some_features(part) for part in _word_parts(names)]
+    features = np.concatenate([np.zeros(0, np.int32), *[f for f, _ in parts]])
+    counts = np.concatenate([np.zeros(0, np.int64), *[np.diff(s) for _, s in parts]])
+    return features, np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
+
+
+def _word_parts(names: pa.Array) -> Iterator[pa.Array]:
+    """Words a few at a time, since the features of a word take far more room than the word."""
+    for start in range(0, len(names), WORDS_AT_ONCE):
+        yield names.slice(start, WORDS_AT_ONCE)
+
+
+def _some_features(names: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     names = names.cast(pa.large_binary())
     ends = np.frombuffer(names.buffers()[1], np.int64)[names.offset : names.offset + len(names) + 1]
     raw = np.frombuffer(names.buffers()[2], np.uint8)[ends[0] : ends[-1]] if ends[-1] > ends[0] else np.zeros(0, np.uint8)
@@ -65,7 +79,7 @@ def word_features(names: pa.Array) -> tuple[np.ndarray, np.ndarray]:
             inside = left > k
             found.append(acc[inside] + U64(k))
             owner.append(word[inside])
-    features = (mix(np.concatenate(found)) >> U64(64 - FEATURE_BITS)).astype(np.int64)
+    features = (mix(np.concatenate(found)) >> U64(64 - FEATURE_BITS)).astype(np.int32)
     owners = np.concatenate(owner)
     order = np.argsort(owners, kind="stable")
     return features[order], np.concatenate([[0], np.cumsum(np.bincount(owners, minlength=len(sizes)))]).astype(np.int64)
@@ -89,10 +103,11 @@ def _sample(docs: DataFrame, train: Column) -> list[tuple[str, str]]:
     if not counts:
         return []
     share = F.lit(0.0)
+    wanted = min(TEXTS_PER_LANGUAGE, TEXTS // len(counts))
     for row in counts:
-        share = F.when(F.col("lang") == row["lang"], min(1.0, TEXTS_PER_LANGUAGE / row["count"])).otherwise(share)
+        share = F.when(F.col("lang") == row["lang"], min(1.0, wanted / row["count"])).otherwise(share)
     drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30) < share
-    chosen = labelled.filter(drawn).orderBy("doc_id").limit(2 * MOST_LANGUAGES * TEXTS_PER_LANGUAGE)
+    chosen = labelled.filter(drawn).orderBy("doc_id").limit(TEXTS + TEXTS // 4)
     return sorted((r["lang"], r["text"]) for r in chosen.select("lang", "text").collect())
 
 
@@ -100,7 +115,7 @@ def fit(docs: DataFrame, train: Column, rounds: int = 20, rate: float = 0.3, dec
     """The field of the rows of ``docs`` for which ``train`` holds; None if none of them is labelled.
 
     At most ``MOST_LANGUAGES`` languages, the most frequent ones, with about
-    ``TEXTS_PER_LANGUAGE`` whole texts each are taken; longer texts than
+    ``TEXTS_PER_LANGUAGE`` whole texts each, and ``TEXTS`` in all, are taken; longer texts than
     ``TEXT_CHARS`` are not chosen for the sample.
     """
     sample = _sample(docs, train)
@@ -120,20 +135,20 @@ def fit(docs: DataFrame, train: Column, rounds: int = 20, rate: float = 0.3, dec
     place = (shuffled[:, None] * WINDOW + np.arange(WINDOW)).reshape(-1, width)
     ids, labels = words.ids[place], owner_lang[place]
     features, starts = word_features(words.names)
-    spread = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+    spread = np.repeat(np.arange(len(starts) - 1, dtype=np.int32), np.diff(starts))
     squares, t_squares = np.full_like(weights, 1e-8), np.full((k, k), 1e-8)
     rows = len(ids)
     pairs = np.bincount((labels[:, :-1] * k + labels[:, 1:]).ravel(), minlength=k * k).reshape(k, k)
     for _ in range(rounds):
-        scores = _emissions(weights, features, starts)[ids]
-        scores = np.exp(scores - scores.max(axis=2, keepdims=True))
-        step = np.exp(transitions - transitions.max())
+        scores = _emissions(weights, features, starts).astype(np.float32)[ids]
+        scores = np.exp(np.maximum(scores - scores.max(axis=2, keepdims=True), -60.0))
+        step = np.exp(transitions - transitions.max()).astype(np.float32)
         alpha = np.empty_like(scores)
         alpha[:, 0] = scores[:, 0] / scores[:, 0].sum(axis=1, keepdims=True)
         for t in range(1, width):
             a = (alpha[:, t - 1] @ step) * scores[:, t]
             alpha[:, t] = a / a.sum(axis=1, keepdims=True)
-        beta = np.full((rows, k), 1.0 / k)
+        beta = np.full((rows, k), 1.0 / k, np.float32)
         gamma = np.empty_like(scores)
         expected = np.zeros((k, k))
         gamma[:, -1] = alpha[:, -1]
@@ -141,7 +156,7 @@ def fit(docs: DataFrame, train: Column, rounds: int = 20, rate: float = 0.3, dec
             ahead = scores[:, t + 1] * beta
             joint = alpha[:, t][:, :, None] * step[None] * ahead[:, None, :]
             joint /= joint.sum(axis=(1, 2), keepdims=True)
-            expected += joint.sum(axis=0)
+            expected += joint.sum(axis=0, dtype=np.float64)
             gamma[:, t] = joint.sum(axis=2)
             beta = ahead @ step.T
             beta /= beta.sum(axis=1, keepdims=True)
@@ -164,8 +179,8 @@ def fit(docs: DataFrame, train: Column, rounds: int = 20, rate: float = 0.3, dec
 def posteriors(field: Field, words: Words) -> np.ndarray:
     """Posterior of each language for each word of some texts, by forward-backward over all of each text."""
     k = len(field.languages)
-    features, starts = word_features(words.names)
-    table = _emissions(field.weights, features, starts)
+    parts = (_emissions(field.weights, *_some_features(part)) for part in _word_parts(words.names))
+    table = np.concatenate([np.zeros((0, k), np.float32), *[p.astype(np.float32) for p in parts]])
     table = np.exp(np.maximum(table - table.max(axis=1, keepdims=True), -60.0)) if len(table) else table
     step = np.exp(field.transitions - field.transitions.max())
     sizes = words.sizes
@@ -229,7 +244,7 @@ def identify(docs: DataFrame, field: Field | None, keep: tuple[str, ...] = ()) -
         field = shared.value
         names = np.array([*field.languages, UNDECIDED], dtype=object)
         for batch in batches:
-            for part in text_slices(batch):
+            for part in text_slices(batch, limit=4 << 20):
                 words = Words(part.column("text"))
                 sizes, k = words.sizes, len(field.languages)
                 gamma = posteriors(field, words)

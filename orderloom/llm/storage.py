@@ -11,11 +11,18 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import shared_folder
 
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def reach_workers(spark: SparkSession) -> None:
     """Let Python workers import the library from where the driver has it, whatever folder they start in.
 
     On a cluster the library must be at that place on every machine, or come with ``--py-files``.
+    Where the session has Spark's default of rows in an Arrow batch, it gets a smaller one: rows are
+    whole texts here, and a batch is held several times over, in the JVM and in Python.
     """
+    if spark.conf.get(BATCH_ROWS, "10000") == "10000":
+        spark.conf.set(BATCH_ROWS, "2000")
     root = str(Path(__file__).resolve().parents[2])
     environment = spark.sparkContext.environment
     known = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]

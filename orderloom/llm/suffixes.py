@@ -233,7 +233,7 @@ def _compare(least: int):
             stop = np.minimum.accumulate(np.where(last, np.arange(n), n)[::-1])[::-1]
 
             def words(name: str) -> np.ndarray:
-                column = table.column(name).combine_chunks()
+                column = table.column(name).combine_chunks().cast(pa.binary())
                 data = np.frombuffer(column.buffers()[2], np.uint8)
                 offset = np.frombuffer(column.buffers()[1], np.int32)[column.offset]
                 return data[offset : offset + n * 4 * side].view("<u4").reshape(n, side)
@@ -305,8 +305,8 @@ def repeated_passages(docs: DataFrame, least: int = 50) -> DataFrame:
     total = blocks.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("n")).first()["n"]
     totals = _ask(blocks, least, bucket_bits(total // 4)).groupBy("bucket").applyInArrow(_totals, "bucket int, block long, n long, a binary")
     suffixes = _suffixes(blocks, totals, least)
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    dealt = suffixes.repartition(max(1, parts), "g")
+    parts = docs.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")
+    dealt = suffixes.repartition(int(parts) if parts.isdigit() else 200, "g")
     schema = "doc_id long, th long, n_words int, first int, stop int"
     by_after = dealt.filter("by_after").drop("first", "stop").sortWithinPartitions("g", "after", "before", "doc_id", "th").mapInArrow(_compare(least), schema)
     by_before = dealt.filter("by_before").drop("first", "stop").sortWithinPartitions("g", "before", "after", "doc_id", "th").mapInArrow(_compare(least), schema)

@@ -317,10 +317,10 @@ def search(vectors: DataFrame, is_query: Column | str, k: int = 20) -> DataFrame
     unit = ["list", "piece", "query_piece"]
     found = left.groupBy(*unit).cogroup(right.groupBy(*unit)).applyInArrow(_best(k + 1), "q long, ids array<long>, scores array<double>")
     # The best k + 1 of a class of queries: one of them may be a query's own row. At most k + 1 of each list meet here.
-    near = F.transform(F.arrays_zip("scores", "ids"), lambda x: F.struct((-x["scores"]).alias("minus"), x["ids"].alias("vec_id")))
+    near = F.transform(F.arrays_zip("scores", "ids"), lambda x: F.struct((F.lit(0.0) - x["scores"]).alias("minus"), x["ids"].alias("vec_id")))
     gathered = found.groupBy("q").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(near)))).alias("all"))
     best = gathered.select("q", F.slice("all", 1, k + 1).alias("best"))
     own = queries.select("query_id", F.col("c").alias("q")).distinct().join(best, "q")
     others = F.slice(F.filter("best", lambda b: b["vec_id"] != F.col("query_id")), 1, k)
     ranked = own.select("query_id", F.posexplode(others).alias("pos", "b"))
-    return ranked.select("query_id", (F.col("pos") + 1).cast("int").alias("rank"), "b.vec_id", (-F.col("b.minus")).alias("score"))
+    return ranked.select("query_id", (F.col("pos") + 1).cast("int").alias("rank"), "b.vec_id", (F.lit(0.0) - F.col("b.minus")).alias("score"))

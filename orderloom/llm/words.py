@@ -42,6 +42,8 @@ def text_slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_
         # A copy: some Arrow kernels pass over the offset of a sliced array.
         yield batch.take(pa.array(np.arange(start, stop))) if stop - start < batch.num_rows else batch
         start = stop
+    # Workers live on between tasks; what Arrow keeps for later would add up.
+    pa.default_memory_pool().release_unused()
 
 
 _RANDOM = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64)
