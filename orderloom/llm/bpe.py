@@ -24,8 +24,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Different pieces, and pairs of tokens, that a worker remembers before it starts anew; bounds memory, not results.
-REMEMBERED, REMEMBERED_PAIRS = 150_000, 300_000
+#: Different pieces, in each of two generations, and pairs of tokens that a worker remembers; bounds memory, not results.
+REMEMBERED, REMEMBERED_PAIRS = 200_000, 500_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -158,16 +158,23 @@ class Encoder:
         self.find = regex.compile(pattern).findall
         self.remembered = remembered
         self.seen: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def forget(self) -> None:
+        """Drop the remembered pieces, which lets a worker go on to other work with little memory."""
+        self.seen, self.older = {}, {}
 
     def piece(self, piece: str) -> bytes:
         """A piece's ids as little-endian 32-bit numbers."""
-        data = piece.encode()
-        whole = self.vocabulary.ranks.get(data)
-        ids = [whole] if whole is not None else Prefixes(self.vocabulary, data).tokens()
-        packed = struct.pack(f"<{len(ids)}I", *ids)
+        packed = self.seen.get(piece) or self.older.get(piece)
+        if packed is None:
+            data = piece.encode()
+            whole = self.vocabulary.ranks.get(data)
+            ids = [whole] if whole is not None else Prefixes(self.vocabulary, data).tokens()
+            packed = struct.pack(f"<{len(ids)}I", *ids)
         if len(piece) < 256:
             if len(self.seen) >= self.remembered:
-                self.seen.clear()
+                self.seen, self.older = {}, self.seen
             self.seen[piece] = packed
         return packed
 
@@ -211,6 +218,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                     names=["doc_id", "ids", "n_tokens", "ids_sha256", "decoded_sha256"],
                 )
             pa.default_memory_pool().release_unused()
+        coder.forget()
 
     schema = "doc_id long, ids binary, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
