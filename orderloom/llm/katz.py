@@ -3,13 +3,14 @@
 A block is a few million words of whole documents, kept as the hashes of its
 different words and the word numbers in order. For every order a block sends each
 of its different n-grams once, with its training count, to the bucket of the
-n-gram's hash; the bucket adds up the counts, stores them as a partition of the
-model and answers every block with the totals. Frequent n-grams are thus summed
-up before the shuffle, and buckets are even, since they go by the hash of the
-whole n-gram. The same way contexts get their backoff weights: of the blocks that
-have seen an n-gram in training one owns it and adds its probabilities to the
-context's sums. Blocks then evaluate their tokens from the answers, recursively
-from the highest order down.
+n-gram's hash; the bucket adds up the counts and answers every block with the
+totals. Frequent n-grams are thus summed up before the shuffle, and buckets are
+even, since they go by the hash of the whole n-gram. The same way contexts get
+their backoff weights: of the blocks that have seen an n-gram in training one owns
+it and adds its probabilities to the context's sums. A context that a single block
+has is not sent again: a bit of the first answer says so, all of its n-grams are in
+that block, and the block works out the weight itself. Blocks then evaluate their
+tokens from the answers, recursively from the highest order down.
 
 Probabilities: ``d_r`` are Good-Turing discounts up to ``MOST_DISCOUNTED``. A seen
 n-gram has ``d_r * r / c(context)``; an unseen one the context's backoff weight
@@ -160,23 +161,27 @@ def _ask_counts(blocks: DataFrame, order: int, bits: int) -> DataFrame:
     return blocks.mapInArrow(run, _ASKED)
 
 
-def _add_counts(order: int):
+def _add_counts(order: int, model: bool):
+    """Partitions of the model, or else the blocks' answers and the counts of counts."""
+
     def run(table: pa.Table) -> pa.Table:
         rows, kinds, at, ends = gathered(table)
         k, bucket = rows[0]["ord"], rows[0]["bucket"]
         counts = np.concatenate([unpack(r["a"], r["n"], np.int64) for r in rows])
         totals = np.bincount(at, counts, minlength=len(kinds)).astype(np.int64)
+        seen = totals > 0
+        if model:
+            return _told([("model", k, bucket, -1, int(seen.sum()), pack_ascending(kinds[seen]), pack(totals[seen]), None)])
         # Of the blocks that trained on an n-gram the first one owns it.
         trained = np.flatnonzero(counts > 0)[::-1]
         owner = np.full(len(kinds), -1, np.int64)
         owner[at[trained]] = trained
-        answer = totals[at] << 1 | (owner[at] == np.arange(len(at)))
+        alone = np.bincount(at, minlength=len(kinds)) == 1
+        answer = totals[at] << 2 | alone[at] << 1 | (owner[at] == np.arange(len(at)))
         out = [
             ("answer", k, bucket, r["block"], r["n"], None, pack(answer[e - r["n"] : e]), None)
             for r, e in zip(rows, ends)
         ]
-        seen = totals > 0
-        out.append(("model", k, bucket, -1, int(seen.sum()), pack_ascending(kinds[seen]), pack(totals[seen]), None))
         counted = seen & (kinds != _start_key(k)) if k < order else seen
         of = np.bincount(np.minimum(totals[counted], MOST_DISCOUNTED + 2), minlength=MOST_DISCOUNTED + 3)
         large = int(totals[counted & (totals > MOST_DISCOUNTED)].sum())
@@ -188,23 +193,28 @@ def _add_counts(order: int):
 
 
 class Answered(Block):
-    """A block with the totals, and the backoff weights known so far, of its n-grams."""
+    """A block with the totals of its n-grams, and the backoff weights of its contexts of up to ``known`` words."""
 
-    def __init__(self, table: pa.Table, model: Model):
+    def __init__(self, table: pa.Table, model: Model, known: int):
         rows = table.to_pylist()
         own = next(r for r in rows if r["kind"] == "block")
         super().__init__(own, model.order)
         self.number, self.model = own["block"], model
-        self.counts, self.owned, self.weights = [], [], []
+        self.counts, self.owned, self.alone, self.weights = [], [], [], []
         for k in range(1, model.order + 1):
             parts = sorted((r for r in rows if r["kind"] == "answer" and r["ord"] == k), key=lambda r: r["bucket"])
             coded = np.concatenate([np.zeros(0, np.int64)] + [unpack(r["a"], r["n"], np.int64) for r in parts])
-            self.counts.append(coded >> 1)
+            self.counts.append(coded >> 2)
+            self.alone.append((coded & 2).astype(bool))
             self.owned.append((coded & 1).astype(bool))
-        for k in range(1, model.order):
+        for k in range(1, known + 1):
             parts = sorted((r for r in rows if r["kind"] == "weight" and r["ord"] == k), key=lambda r: r["bucket"])
-            if parts:
-                self.weights.append(np.concatenate([unpack(r["a"], r["n"], np.float64) for r in parts]))
+            alone = self.alone[k - 1]
+            weight = np.empty(len(alone))
+            weight[~alone] = np.concatenate([np.zeros(0)] + [unpack(r["a"], r["n"], np.float64) for r in parts])
+            mass, lower, _ = self.context_sums(k)
+            weight[alone] = _weights(mass[alone], lower[alone], self.counts[k - 1][alone])
+            self.weights.append(weight)
 
     def log_probability(self, k: int) -> np.ndarray:
         """log10 probability of each position's token after ``k - 1`` words: from the counts, or backing off."""
@@ -238,11 +248,22 @@ class Answered(Block):
         return mass, lower, np.bincount(context, minlength=n) > 0
 
 
+def _weights(mass: np.ndarray, lower: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Backoff weights of contexts with these sums and counts; negative where the count is raised by one."""
+    seen = mass > 0
+    rest = 1 - mass / np.maximum(counts, 1)
+    raised = seen & (rest < 1e-12)
+    rest = np.where(raised, 1 - mass / (counts + 1.0), rest)
+    weight = np.where(seen, rest / np.maximum(1 - lower, 1e-300), 1.0)
+    return np.where(raised, -weight, weight)
+
+
 def _ask_weights(answered: DataFrame, model: Model, k: int, bits: int) -> DataFrame:
     def run(table: pa.Table) -> pa.Table:
-        block = Answered(table, model)
-        kinds, counts = block.kinds[k - 1], block.counts[k - 1]
-        mass, lower, some = block.context_sums(k)
+        block = Answered(table, model, k - 1)
+        sent = ~block.alone[k - 1]
+        kinds, counts = block.kinds[k - 1][sent], block.counts[k - 1][sent]
+        mass, lower, some = (x[sent] for x in block.context_sums(k))
         rows = []
         for b, s in buckets_of(kinds, bits):
             # Which contexts have owned successors, and the sums of those.
@@ -266,17 +287,28 @@ def _add_weights(table: pa.Table) -> pa.Table:
         mass[summed] += sums[: len(summed)]
         lower[summed] += sums[len(summed) :]
     seen = mass > 0
-    rest = 1 - mass / np.maximum(counts, 1)
-    raised = seen & (rest < 1e-12)
-    rest = np.where(raised, 1 - mass / (counts + 1.0), rest)
-    weight = np.where(seen, rest / np.maximum(1 - lower, 1e-300), 1.0)
-    weight = np.where(raised, -weight, weight)
+    weight = _weights(mass, lower, counts)
     k, bucket = rows[0]["ord"], rows[0]["bucket"]
     out = [("weight", k, bucket, r["block"], r["n"], None, pack(weight[at[e - r["n"] : e]]), None) for r, e in zip(rows, ends)]
     out.append(("backoff", k, bucket, -1, int(seen.sum()), pack_ascending(kinds[seen]), pack(weight[seen]), None))
     return _told(out)
 
 
+def _alone_weights(answered: DataFrame, model: Model, k: int, bits: int) -> DataFrame:
+    """The model's backoff weights of contexts that a single block has."""
+
+    def run(table: pa.Table) -> pa.Table:
+        block = Answered(table, model, k)
+        own = block.alone[k - 1] & block.context_sums(k)[2]
+        kinds, weight = block.kinds[k - 1][own], block.weights[k - 1][own]
+        return _told([
+            ("backoff", k, b, -1, s.stop - s.start, pack_ascending(kinds[s]), pack(weight[s]), None)
+            for b, s in buckets_of(kinds, bits)
+        ])
+
+    return answered.groupBy("block").applyInArrow(run, _TOLD)
+
+
 def _with_answers(blocks: DataFrame, answers: list[DataFrame]) -> DataFrame:
     """Blocks and what was answered to them in one schema, to be grouped by block."""
     own = blocks.withColumn("kind", F.lit("block"))
@@ -288,7 +320,7 @@ def _with_answers(blocks: DataFrame, answers: list[DataFrame]) -> DataFrame:
 
 def _scores(answered: DataFrame, model: Model) -> DataFrame:
     def run(table: pa.Table) -> pa.Table:
-        block = Answered(table, model)
+        block = Answered(table, model, model.order - 1)
         token = np.flatnonzero(block.token)
         counts = block.counts[0][block.at[0][token]]
         base = np.log10((counts + 0.5) / (model.tokens + 0.5 * (model.words + 1)))
@@ -310,8 +342,9 @@ def _scores(answered: DataFrame, model: Model) -> DataFrame:
 
 @dataclass(frozen=True)
 class Fitted:
-    """A model with its stored tables: per order and bucket the keys with counts, and the contexts' backoff weights
-    (a negative weight marks a context whose count is raised by one)."""
+    """A model with its tables: per order and bucket the keys with counts, and the contexts' backoff weights
+    (a negative weight marks a context whose count is raised by one). The counts, and the weights of contexts
+    that a single block has, are worked out when they are read."""
 
     model: Model | None
     counts: DataFrame
@@ -338,7 +371,7 @@ def fit_and_score(docs: DataFrame, held: Column, order: int = 2) -> Fitted:
     total = blocks.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("n")).first()["n"]
     bits = bucket_bits(total)
     asked = _ask_counts(blocks, order, bits)
-    counts = stored(asked.groupBy("ord", "bucket").applyInArrow(_add_counts(order), _TOLD), "lm-counts", "kind")
+    counts = stored(asked.groupBy("ord", "bucket").applyInArrow(_add_counts(order, False), _TOLD), "lm-counts", "kind")
     # A few numbers for each order, summed up on the executors.
     sums = counts.filter("kind = 'stats'").groupBy("ord", F.col("bucket").alias("pos")).agg(F.sum("n").alias("n"))
     by_order: dict[int, dict[int, int]] = {}
@@ -356,6 +389,7 @@ def fit_and_score(docs: DataFrame, held: Column, order: int = 2) -> Fitted:
         told = _ask_weights(answered, model, k, bits).groupBy("ord", "bucket").applyInArrow(_add_weights, _TOLD)
         told = stored(told, "lm-weights", "kind")
         answers.append(told)
-        backoff.append(told.filter("kind = 'backoff'"))
+        alone = _alone_weights(_with_answers(blocks, answers), model, k, bits)
+        backoff.append(told.filter("kind = 'backoff'").unionByName(alone))
     scores = _scores(_with_answers(blocks, answers), model)
-    return Fitted(model, counts.filter("kind = 'model'"), backoff, scores)
+    return Fitted(model, asked.groupBy("ord", "bucket").applyInArrow(_add_counts(order, True), _TOLD), backoff, scores)

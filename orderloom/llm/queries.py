@@ -93,8 +93,8 @@ GROUP BY s.doc_id
 
 @query("op1_katz_scores", KATZ_SQL)
 def op1(spark: SparkSession, folder: str) -> DataFrame:
-    """Base and bigram Katz scores of every document; trained where the id's share of 5 is not 1."""
-    return katz.fit_and_score(table(spark, folder, "documents"), share(5) == 1, order=2).scores
+    """Base and trigram Katz scores of every document; trained where the id's share of 5 is not 1."""
+    return katz.fit_and_score(table(spark, folder, "documents"), share(5) == 1, order=3).scores
 
 
 MINHASH_SQL = f"""

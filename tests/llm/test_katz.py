@@ -5,9 +5,9 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from orderloom.llm import katz
+from orderloom.llm import katz, queries
 
-from .support import clashing, documents, words
+from .support import SMALL, clashing, documents, words
 
 
 class Plain:
@@ -124,3 +124,23 @@ def test_irregular_counts_fall_back_to_an_absolute_discount():
     assert katz.discounts({1: 10, 2: 5})[1:].tolist() == pytest.approx([1 - 0.5 / r for r in range(1, 6)])
     regular = katz.discounts({1: 1000, 2: 300, 3: 140, 4: 80, 5: 50, 6: 34})
     assert all(0 < x <= 1 for x in regular[1:])
+
+
+def test_the_query_scores_with_trigrams(spark):
+    from zlib import crc32
+
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
+    model = Plain([t for d, t in rows if crc32(str(d).encode()) % 5 != 1], 3)
+    got = {r["doc_id"]: r["score"] for r in queries.QUERIES["op1_katz_scores"](spark, SMALL).collect()}
+    for d, t in rows[:40]:
+        assert got[d] == pytest.approx(model.score(t), rel=1e-9)
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_backoff_weights_of_contexts_in_one_block_and_in_several(spark, parts):
+    rows = corpus(4, 60)
+    fitted = katz.fit_and_score(documents(spark, rows).repartition(parts), F.col("doc_id") % 5 == 1, 3)
+    model = Plain([t for d, t in rows if d % 5 != 1], 3)
+    for k, stored in enumerate(fitted.backoff, 1):
+        contexts = {c for c in model.contexts[k] if any(model.counts[k][c + (w,)] for w in model.followers[c])}
+        assert stored.agg(F.sum("n")).first()[0] == len(contexts)
