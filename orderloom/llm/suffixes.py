@@ -3,14 +3,17 @@
 Suffixes are kept only at anchors: positions whose ``GRAM``-word hash is the
 smallest of some window, chosen by content alone. Every passage of ``least``
 words holds an anchor, the same in each of its copies. Anchors that occur once in
-the corpus cannot lie in a repeat and go first. The other suffixes carry the
-words that decide about a passage of ``least`` words around the anchor, are sorted
-by anchor and following words, and are compared with their neighbours of other
-documents; matches are extended to the left. A second order, by the preceding
-words read backwards, finds those that match further to the left and is extended
-to the right. Sorting spills and comparing streams, so an anchor that a third of
-the corpus shares needs no memory of its own; such anchors are cut into smaller
-groups by the words that any of their repeats must share.
+the corpus cannot lie in a repeat and go first. Suffixes at anchors that occur
+twice carry the words that decide about a passage of ``least`` words around the
+anchor, are sorted by anchor and following words, and are compared with their
+neighbours; matches are extended to the left.
+
+With three and more occurrences a suffix's neighbours need not be the ones it
+shares a passage with. There every window of ``least`` words around the anchor is
+decided by its hash: a block sends each different one once to the bucket of the
+hash, and the bucket answers which ones several documents have. Buckets are even,
+since they go by the hash of the whole window, also where a third of the corpus
+shares an anchor.
 """
 
 from __future__ import annotations
@@ -28,8 +31,8 @@ from .words import U64, mix, pair
 
 #: Words of the anchor hash.
 GRAM = 16
-#: Occurrences from which an anchor is cut into groups by the words next to it.
-HOT = 50_000
+#: Occurrences from which the windows around an anchor are decided by their hashes; neighbours are exact for fewer than 3.
+HOT = 3
 
 
 def _sliding(values: np.ndarray, width: int, best) -> np.ndarray:
@@ -105,8 +108,122 @@ _SUFFIX = (
 )
 
 
+def _counted_anchors(rows: list[dict], least: int) -> tuple:
+    """A block's row, text starts, words, and its anchors' places, hashes and occurrences in the corpus."""
+    own = next(r for r in rows if r["seq"] is not None)
+    answers = sorted((r for r in rows if r["seq"] is None and r.get("w") is None), key=lambda r: r["bucket"])
+    starts = np.concatenate([[0], np.cumsum(own["sizes"])]).astype(np.int64)
+    seq = word_sequence(own)
+    place, keys = anchors(seq, starts, least)
+    kinds, inverse = np.unique(keys, return_inverse=True)
+    counts = np.concatenate([np.zeros(0, np.int64)] + [unpack(r["a"], r["n"], np.int64) for r in answers])
+    return own, starts, seq, place, keys, counts[inverse] if len(kinds) else np.zeros(0, np.int64)
+
+
+def _identities(own: dict) -> np.ndarray:
+    """What tells a block's documents apart: their id and text."""
+    ids = np.array([-1 if x is None else x for x in own["doc_id"]], np.int64)
+    null = np.array([x is None for x in own["doc_id"]], bool)
+    return mix(mix(ids.view(U64) + U64(0x9E3779B97F4A7C15) * null) + mix(np.array(own["th"], np.int64).view(U64)))
+
+
+def _hot_windows(rows: list[dict], least: int, hot_from: int) -> tuple:
+    """A block's row, text starts, and the windows of ``least`` words around its hot anchors: first words, texts, hashes."""
+    own, starts, seq, place, _, times = _counted_anchors(rows, least)
+    place = place[times >= hot_from]
+    doc = np.searchsorted(starts, place, "right") - 1
+    edge = np.zeros(len(seq) + 1, np.int64)
+    lo = np.maximum(place + GRAM - least, starts[doc])
+    hi = np.minimum(place, starts[doc + 1] - least)
+    np.add.at(edge, lo, 1)
+    np.add.at(edge, hi + 1, -1)
+    at = np.flatnonzero(np.cumsum(edge) > 0)
+    hashes = grams(seq, least)[at] if len(at) else np.zeros(0, U64)
+    return own, starts, at, np.searchsorted(starts, at, "right") - 1, hashes
+
+
+def _ask_windows(blocks: DataFrame, totals: DataFrame, least: int, bits: int) -> DataFrame:
+    """Each different window around a block's hot anchors: its hash, and the one document or -1 for several.
+
+    Documents are numbered in the block (``a``); ``b`` has what tells them apart, by id and text.
+    """
+    hot_from = HOT
+
+    def run(table: pa.Table) -> pa.Table:
+        own, _, _, doc, hashes = _hot_windows(table.to_pylist(), least, hot_from)
+        same = _identities(own)
+        kinds, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        holder = doc[first].astype(np.int32)
+        holder[inverse[same[doc] != same[doc[first]][inverse]]] = -1
+        rows = []
+        for b, s in buckets_of(kinds, bits):
+            used, number = np.unique(holder[s], return_inverse=True)
+            several = int(len(used) > 0 and used[0] < 0)
+            told = (number - several).astype(np.int32)
+            rows.append((b, own["block"], s.stop - s.start, pack_ascending(kinds[s]), pack(told), same[used[several:]].tobytes()))
+        columns = list(zip(*rows)) or [()] * 6
+        types = (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+        return pa.table([pa.array(c, t) for c, t in zip(columns, types)], names=["bucket", "block", "n", "keys", "a", "b"])
+
+    both = blocks.unionByName(totals, allowMissingColumns=True)
+    return both.groupBy("block").applyInArrow(run, "bucket int, block long, n long, keys binary, a binary, b binary")
+
+
+def _shared_windows(table: pa.Table) -> pa.Table:
+    """For each block a bit for each window it asked for: whether several documents have it."""
+    rows, kinds, at, ends = gathered(table)
+    shared = np.zeros(len(kinds), bool)
+    holder = np.zeros(len(at), U64)
+    several = np.zeros(len(at), bool)
+    for r, e in zip(rows, ends):
+        told = unpack(r["a"], r["n"], np.int32)
+        several[e - r["n"] : e] = told < 0
+        known = np.append(np.frombuffer(r["b"], U64), U64(0))
+        holder[e - r["n"] : e] = known[told]
+    shared[at[several]] = True
+    first = np.zeros(len(kinds), U64)
+    first[at] = holder
+    shared[at[holder != first[at]]] = True
+    return pa.table({
+        "bucket": pa.array([r["bucket"] for r in rows], pa.int32()),
+        "block": pa.array([r["block"] for r in rows], pa.int64()),
+        "n": pa.array([r["n"] for r in rows], pa.int64()),
+        "w": pa.array([np.packbits(shared[at[e - r["n"] : e]]).tobytes() for r, e in zip(rows, ends)], pa.binary()),
+    })
+
+
+def _window_spans(blocks: DataFrame, totals: DataFrame, windows: DataFrame, least: int) -> DataFrame:
+    """Stretches covered by windows around hot anchors that several documents have."""
+    hot_from = HOT
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        own, starts, at, doc, hashes = _hot_windows(rows, least, hot_from)
+        told = sorted((r for r in rows if r["w"] is not None), key=lambda r: r["bucket"])
+        bits = [np.unpackbits(np.frombuffer(r["w"], np.uint8), count=r["n"]) for r in told]
+        shared = np.concatenate([np.zeros(0, np.uint8), *bits]).astype(bool)
+        found = shared[np.unique(hashes, return_inverse=True)[1]] if len(hashes) else np.zeros(0, bool)
+        at, doc = at[found], doc[found]
+        new = np.ones(len(at), bool)
+        new[1:] = (np.diff(at) > least) | (np.diff(doc) > 0)
+        head = np.flatnonzero(new)
+        tail = np.append(head[1:], len(at))[: len(head)] - 1
+        d = doc[head]
+        ids = pa.array(own["doc_id"], pa.int64()).take(pa.array(d))
+        return pa.table({
+            "doc_id": ids,
+            "th": pa.array(np.array(own["th"], np.int64)[d]),
+            "n_words": pa.array(np.array(own["sizes"], np.int32)[d]),
+            "first": pa.array((at[head] - starts[d]).astype(np.int32)),
+            "stop": pa.array((at[tail] - starts[d] + least).astype(np.int32)),
+        })
+
+    both = blocks.unionByName(totals, allowMissingColumns=True).unionByName(windows, allowMissingColumns=True)
+    return both.groupBy("block").applyInArrow(run, "doc_id long, th long, n_words int, first int, stop int")
+
+
 def _suffixes(blocks: DataFrame, totals: DataFrame, least: int) -> DataFrame:
-    """A row for each suffix at an anchor that occurs more than once, and spans that a block settles itself.
+    """A row for each suffix at an anchor that occurs more than once and is not hot, and spans that a block settles itself.
 
     Suffixes of a block that agree in all their words and belong to several documents
     match as far as they are compared. They give their spans here, and one of them
@@ -118,20 +235,12 @@ def _suffixes(blocks: DataFrame, totals: DataFrame, least: int) -> DataFrame:
     words on each side decide about every passage of ``least`` words.
     """
     side = least - GRAM
-    # Any repeat around an anchor has this many words after it, or the rest before it.
-    half = side // 2
+    hot_from = HOT
 
     def run(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
-        own = next(r for r in rows if r["seq"] is not None)
-        answers = sorted((r for r in rows if r["seq"] is None), key=lambda r: r["bucket"])
-        starts = np.concatenate([[0], np.cumsum(own["sizes"])]).astype(np.int64)
-        seq = word_sequence(own)
-        place, keys = anchors(seq, starts, least)
-        kinds, inverse = np.unique(keys, return_inverse=True)
-        counts = np.concatenate([np.zeros(0, np.int64)] + [unpack(r["a"], r["n"], np.int64) for r in answers])
-        times = counts[inverse] if len(kinds) else np.zeros(0, np.int64)
-        repeated = times > 1
+        own, starts, seq, place, keys, times = _counted_anchors(rows, least)
+        repeated = (times > 1) & (times < hot_from)
         place, keys, times = place[repeated], keys[repeated], times[repeated]
         doc = np.searchsorted(starts, place, "right") - 1
         first, end = starts[doc], starts[doc + 1]
@@ -158,7 +267,7 @@ def _suffixes(blocks: DataFrame, totals: DataFrame, least: int) -> DataFrame:
         whole = rolled(after, side, 3) ^ mix(rolled(before, side, 4))
         kinds, at_first, kind = np.unique(whole, return_index=True, return_inverse=True)
         # A document is its id and text, so copies of one row do not make several.
-        same = mix(ids.view(U64) + U64(1) * null + mix(th.view(U64)))[doc] if len(doc) else whole
+        same = _identities(own)[doc] if len(doc) else whole
         shared = np.zeros(len(kinds), bool)
         shared[kind[same != same[at_first][kind]]] = True
         settled = shared[kind]
@@ -176,30 +285,25 @@ def _suffixes(blocks: DataFrame, totals: DataFrame, least: int) -> DataFrame:
             "stop": pa.array((at + GRAM + right_room)[span].astype(np.int32)),
         })
 
-        hot = goes & (times > HOT)
-        plain = goes & (times <= HOT)
-        groups = [(plain, keys, True, True), (hot, rolled(after, half, 1), True, False), (hot, rolled(before, side - half, 2), False, True)]
-        out = []
-        for mask, g, by_after, by_before in groups:
-            n = int(mask.sum())
-            d = doc[mask]
-            out.append(pa.table({
-                "g": pa.array(g[mask].view(np.int64)),
-                "doc_id": pa.array(ids[d], pa.int64(), mask=null[d]),
-                "th": pa.array(th[d]),
-                "at": pa.array((place - first)[mask].astype(np.int32)),
-                "n_words": pa.array(sizes[d]),
-                "after": binaries(after[mask]),
-                "before": binaries(before[mask]),
-                "by_after": pa.array(np.full(n, by_after)),
-                "by_before": pa.array(np.full(n, by_before)),
-            }))
+        d = doc[goes]
+        out = pa.table({
+            "g": pa.array(keys[goes].view(np.int64)),
+            "doc_id": pa.array(ids[d], pa.int64(), mask=null[d]),
+            "th": pa.array(th[d]),
+            "at": pa.array((place - first)[goes].astype(np.int32)),
+            "n_words": pa.array(sizes[d]),
+            "after": binaries(after[goes]),
+            "before": binaries(before[goes]),
+            "by_after": pa.array(np.full(len(d), True)),
+            # Two suffixes are neighbours in either order.
+            "by_before": pa.array(times[goes] > 2),
+        })
         columns = pa.schema([
             ("g", pa.int64()), ("doc_id", pa.int64()), ("th", pa.int64()), ("at", pa.int32()), ("n_words", pa.int32()),
             ("after", pa.binary()), ("before", pa.binary()), ("by_after", pa.bool_()), ("by_before", pa.bool_()),
             ("first", pa.int32()), ("stop", pa.int32()),
         ])
-        return pa.concat_tables([*out, spans, columns.empty_table()], promote_options="default").select(columns.names)
+        return pa.concat_tables([out, spans, columns.empty_table()], promote_options="default").select(columns.names)
 
     both = blocks.unionByName(totals, allowMissingColumns=True)
     return both.groupBy("block").applyInArrow(run, _SUFFIX)
@@ -293,10 +397,6 @@ def repeated_passages(docs: DataFrame, least: int = 50) -> DataFrame:
     - Texts under one ``doc_id`` that differ are different documents.
     - Null ids count as one id. Null texts and texts of fewer than ``least`` words repeat nothing.
     - Documents without repeats have no row; other columns are not read.
-
-    Suffixes are compared with their neighbours in two orders, so of a passage around
-    an anchor the partner that agrees longest after it, and the one that agrees
-    longest before it, are the ones that count.
     """
     if least < 2 * GRAM:
         raise ValueError(f"least must be at least {2 * GRAM}")
@@ -304,6 +404,10 @@ def repeated_passages(docs: DataFrame, least: int = 50) -> DataFrame:
     blocks = stored(block_rows(plain, {"doc_id": "long", "th": "long"}), "suffix-blocks")
     total = blocks.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("n")).first()["n"]
     totals = _ask(blocks, least, bucket_bits(total // 4)).groupBy("bucket").applyInArrow(_totals, "bucket int, block long, n long, a binary")
+    totals = stored(totals, "suffix-totals")
+    asked = _ask_windows(blocks, totals, least, bucket_bits(total))
+    windows = asked.groupBy("bucket").applyInArrow(_shared_windows, "bucket int, block long, n long, w binary")
+    around = _window_spans(blocks, totals, windows, least)
     suffixes = _suffixes(blocks, totals, least)
     parts = docs.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")
     dealt = suffixes.repartition(int(parts) if parts.isdigit() else 200, "g")
@@ -312,7 +416,7 @@ def repeated_passages(docs: DataFrame, least: int = 50) -> DataFrame:
     by_before = dealt.filter("by_before").drop("first", "stop").sortWithinPartitions("g", "before", "after", "doc_id", "th").mapInArrow(_compare(least), schema)
     settled = dealt.filter("first is not null").select("doc_id", "th", "n_words", "first", "stop")
     # Stretches of one document that overlap or touch become one.
-    found = by_after.union(by_before).union(settled).groupBy("doc_id", "th").agg(
+    found = by_after.union(by_before).union(settled).union(around).groupBy("doc_id", "th").agg(
         F.max("n_words").cast("long").alias("n_words"), F.array_sort(F.collect_set(F.struct("first", "stop"))).alias("s")
     )
     merged = F.expr(

@@ -70,3 +70,21 @@ def test_no_repeats_and_empty_tables(spark):
     rng = random.Random(9)
     assert suffixes.repeated_passages(documents(spark, [(i, prose(rng, 80, 10**6)) for i in range(5)])).count() == 0
     assert suffixes.repeated_passages(documents(spark, [])).count() == 0
+
+
+def test_a_partner_that_is_nearest_in_neither_order(spark):
+    rng = random.Random(11)
+    rows = []
+    for group in range(12):
+        new = lambda n: prose(rng, n, 10**8)
+        before, anchor, after, left, right = new(20), new(16), new(20), new(5), new(5)
+        rows += [f"{new(40)} {left} {before} {anchor} {after} {right} {new(40)}", f"{new(60)} {before} {anchor} {after} {new(60)}"]
+        # Nearer to the first one in one order each, with 41 words in common.
+        rows += [f"{new(60)} {anchor} {after} {right} {new(60)}" for _ in range(8)]
+        rows += [f"{new(60)} {left} {before} {anchor} {new(60)}" for _ in range(8)]
+    rows = list(enumerate(rows))
+    rows += [(None, rows[0][1]), (0, rows[0][1])]
+    got = suffixes.repeated_passages(documents(spark, rows).repartition(5)).collect()
+    want = brute(rows, 50)
+    assert len(want) >= 24
+    assert sorted(((r["doc_id"] if r["doc_id"] is not None else -1), r["spans"]) for r in got) == sorted(((-1 if d is None else d), s) for (d, _), s in want.items())
