@@ -5,8 +5,8 @@ equally long, which turns the largest inner product into the smallest distance.
 Centroids are fitted on a bounded sample and split until the lists are about
 balanced. A vector goes to its nearest centroid's list and, near a boundary, to
 those of further centroids about as near. A query walks a graph of the centroids
-and searches the lists whose distance is within a ratio of the nearest one's. The
-ratio is fitted on the sample too, from where the true neighbours of sample
+and searches the lists whose distance is within a ratio of the nearest one's, and
+further ones until those hold as many vectors as are asked for. The ratio is fitted on the sample too, from where the true neighbours of sample
 vectors lie.
 
 Equal vectors are one class: with ties going to smaller ids, no more than the
@@ -35,7 +35,7 @@ COPIES, DEGREE = 6, 24
 #: Boundary vectors: squared distance within this ratio of the nearest centroid's.
 BOUNDARY = 1.15
 #: Share of sample neighbours whose list a query must reach when the ratio is fitted.
-REACH = 0.96
+REACH = 0.98
 #: Vectors and queries of one unit of work.
 PIECE, QUERY_PIECE = 4096, 1024
 
@@ -128,33 +128,35 @@ def _walk(index: Index, query: np.ndarray, width: int) -> tuple[np.ndarray, np.n
     return np.array([i for _, i in found]), np.array([x for x, _ in found])
 
 
-def _lists_of(index: Index, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """``(point, list)``: the nearest centroid, and further ones for points near a boundary."""
+def _lists_of(index: Index, points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(point, list, own)``: the nearest centroid (``own``), and further ones for points near a boundary."""
     d = _distances(points, index.centroids)
     k = min(COPIES, d.shape[1])
     near = np.argpartition(d, k - 1, axis=1)[:, :k]
     dist = np.take_along_axis(d, near, 1)
     good = dist <= dist.min(axis=1, keepdims=True) * BOUNDARY
     rows, cols = np.nonzero(good)
-    return rows, near[rows, cols]
+    return rows, near[rows, cols], cols == dist.argmin(axis=1)[rows]
 
 
-def _searched(index: Index, queries: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """For each query the lists within the ratio of the nearest one's distance."""
+def _searched(index: Index, queries: np.ndarray, held: np.ndarray, least: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For each query the lists within the ratio of the nearest one's distance, and further ones until they hold
+    ``least`` vectors; ``held`` counts each vector in its own list."""
     for i, query in enumerate(queries):
         width = 32
         while True:
             lists, d = _walk(index, query, width)
-            inside = d <= d[0] * index.ratio + 1e-12
-            # Widen the walk until it leaves the ratio, so that the ratio alone selects.
-            if not inside.all() or width >= len(index.centroids):
-                yield i, lists[inside]
+            inside = int((d <= d[0] * index.ratio + 1e-12).sum())
+            enough = int(np.searchsorted(np.cumsum(held[lists]), least)) + 1
+            # Widen the walk until it leaves both, so that its width does not select.
+            if max(inside, enough) < len(lists) or width >= len(index.centroids):
+                yield i, lists[: max(inside, enough)]
                 break
             width = min(2 * width, len(index.centroids))
 
 
 def fit(sample: np.ndarray, scale: float, n: int, k: int) -> Index:
-    """Index for ``n`` vectors from a sample of different ones; ``k`` neighbours are asked for."""
+    """Index for ``n`` different vectors from a sample of them; ``k`` neighbours are asked for."""
     points = _augmented(sample, scale)
     lists = int(np.clip(-(-n // LIST_SIZE), 1, min(MOST_LISTS, max(1, len(points) // 4))))
     centroids = _balanced(points, lists) if len(points) > 1 else points
@@ -169,7 +171,7 @@ def fit(sample: np.ndarray, scale: float, n: int, k: int) -> Index:
     asked = np.random.default_rng(9).choice(len(sample), min(400, len(sample)), replace=False)
     queries = _as_queries(sample[asked])
     to_lists = _distances(queries, centroids)
-    rows, of = _lists_of(index, points)
+    rows, of, _ = _lists_of(index, points)
     needed = []
     for i, row in enumerate(asked):
         scores = sample @ sample[row]
@@ -219,28 +221,29 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
-def _to_lists(rows: DataFrame, key: str, index, as_queries: bool) -> DataFrame:
-    """``list, key, v`` for every list of every row."""
-    shared = rows.sparkSession.sparkContext.broadcast(index)  # at most MOST_LISTS centroids
+def _to_lists(rows: DataFrame, key: str, index, held: np.ndarray | None = None, least: int = 0) -> DataFrame:
+    """``list, key, v, own`` for every list of every row; rows are queries where ``held`` is given."""
+    shared = rows.sparkSession.sparkContext.broadcast((index, held))  # at most MOST_LISTS centroids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = shared.value
+        index, held = shared.value
         for batch in batches:
             for start in range(0, batch.num_rows, 2048):
                 part = batch.slice(start, 2048)
                 vectors = _matrix(part.column("v"))
-                if as_queries:
-                    pairs = [(i, x) for i, lists in _searched(index, _as_queries(vectors)) for x in lists.tolist()]
+                if held is not None:
+                    pairs = [(i, x) for i, lists in _searched(index, _as_queries(vectors), held, least) for x in lists.tolist()]
                     at = np.array([i for i, _ in pairs], np.int64)
                     lists = np.array([x for _, x in pairs], np.int64)
+                    own = np.zeros(len(at), bool)
                 else:
-                    at, lists = _lists_of(index, _augmented(vectors, index.scale))
+                    at, lists, own = _lists_of(index, _augmented(vectors, index.scale))
                 taken = part.take(pa.array(at))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(lists.astype(np.int32)), taken.column(key), taken.column("v")], names=["list", key, "v"]
+                    [pa.array(lists.astype(np.int32)), taken.column(key), taken.column("v"), pa.array(own)], names=["list", key, "v", "own"]
                 )
 
-    return rows.select(key, "v").mapInArrow(run, f"list int, {key} long, v array<double>")
+    return rows.select(key, "v").mapInArrow(run, f"list int, {key} long, v array<double>, own boolean")
 
 
 def exact_scores(query: np.ndarray, vectors: np.ndarray) -> np.ndarray:
@@ -282,8 +285,8 @@ def search(vectors: DataFrame, is_query: Column | str, k: int = 20) -> DataFrame
     """``query_id, rank, vec_id, score``: the ``k`` nearest other vectors found for every row that ``is_query`` holds for.
 
     ``score`` is the inner product in double precision, nearest first, ties to the
-    smaller id, rank from 1. A query's candidates are all rows with another id; with
-    fewer than ``k`` all that were found are given. Of rows with one ``vec_id`` the one with the
+    smaller id, rank from 1. A query's candidates are all rows with another id; it has fewer
+    than ``k`` answers only where the table has. Of rows with one ``vec_id`` the one with the
     smallest vector counts. What ``usable`` leaves out takes no part; an empty table gives no rows.
     """
     rows = stored(_one_per_id(usable(vectors)).withColumn("c", F.xxhash64("v")), "vectors")
@@ -292,17 +295,21 @@ def search(vectors: DataFrame, is_query: Column | str, k: int = 20) -> DataFrame
     if not n:
         return vectors.sparkSession.createDataFrame([], schema)
     base = stored(_first_of_class(rows, k + 1), "vector-classes")
+    different = base.agg(F.count_distinct("c")).first()[0]
     drawn = base.filter(F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(1 << 30)) < (1 << 30) * min(1.0, 1.2 * SAMPLE / n))
     sample = drawn.orderBy("vec_id").limit(SAMPLE).select("v").toArrow().column("v")
-    index = fit(np.unique(_matrix(sample.combine_chunks()), axis=0), scale, n, k) if len(sample) else None
+    index = fit(np.unique(_matrix(sample.combine_chunks()), axis=0), scale, different, k) if len(sample) else None
     if index is None:
         first = base.orderBy("vec_id").limit(SAMPLE).select("v").toArrow().column("v")
-        index = fit(np.unique(_matrix(first.combine_chunks()), axis=0), scale, n, k)
+        index = fit(np.unique(_matrix(first.combine_chunks()), axis=0), scale, different, k)
 
     queries = rows.filter(is_query).select(F.col("vec_id").alias("query_id"), "c", "v")
     one = _first_of_class(queries.withColumnRenamed("query_id", "vec_id"), 1).select(F.col("c").alias("q"), "v")
-    asked = stored(_to_lists(one, "q", index, True), "asked-lists")
-    lists = stored(_to_lists(base, "vec_id", index, False), "posting-lists")
+    lists = stored(_to_lists(base, "vec_id", index), "posting-lists")
+    held = np.zeros(len(index.centroids), np.int64)
+    for r in lists.filter("own").groupBy("list").count().collect():  # at most MOST_LISTS
+        held[r["list"]] = r["count"]
+    asked = stored(_to_lists(one, "q", index, held, k + 1), "asked-lists")
     # How many pieces each list and its queries are cut into; at most MOST_LISTS rows.
     pieces = F.ceil(F.col("n") / PIECE).cast("int").alias("pieces")
     query_pieces = F.ceil(F.col("n") / QUERY_PIECE).cast("int").alias("query_pieces")

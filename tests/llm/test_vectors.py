@@ -91,3 +91,24 @@ def test_the_walk_finds_the_nearest_centroids():
         found, _ = vectors._walk(index, q, 32)
         hits += len(set(found) & set(((index.centroids - q) ** 2).sum(axis=1).argsort()[:16]))
     assert hits / 800 > 0.9
+
+
+def test_every_query_gets_all_its_answers(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "LIST_SIZE", 4)
+    rng = np.random.default_rng(6)
+    # Small groups far apart: the nearest lists hold fewer than 20 vectors.
+    rows = [(i, (50 * np.eye(16)[i % 16] + rng.normal(size=16)).astype(np.float32).tolist()) for i in range(100)]
+    got = answers(vectors.search(frame(spark, rows), IS_QUERY))
+    assert {i: len(near) for i, near in got.items()} == {i: 20 for i in range(0, 100, 20)}
+
+
+def test_lists_are_planned_from_different_vectors(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "LIST_SIZE", 16)
+    asked = []
+    fit = vectors.fit
+    monkeypatch.setattr(vectors, "fit", lambda sample, scale, n, k: asked.append(n) or fit(sample, scale, n, k))
+    rng = np.random.default_rng(7)
+    kinds = rng.normal(size=(40, 8)).astype(np.float32).tolist()
+    rows = [(i, kinds[i % 40]) for i in range(2000)]
+    got = answers(vectors.search(frame(spark, rows), IS_QUERY))
+    assert asked == [40] and all(len(near) == 20 for near in got.values())
