@@ -6,9 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .sqltext import running_sums
+from .storage import stored
 
-#: Conversations with one opening turn that are put in order together.
-PIECE = 10_000
 #: A rendered turn: head, text, end. The marks of the template cannot occur in a text, see ``_render``.
 HEAD, TAIL = "concat('<|', {0}.role, '|>\\n')", "'<|end|>\\n'"
 TURN = "array<struct<role:string,text:string>>"
@@ -42,18 +41,23 @@ def pairs_of(conversations: DataFrame) -> DataFrame:
     (``kind`` sibling). The last one, and so every conversation with an opening of its
     own, is compared with itself with the last assistant turn answered by the one
     before it, or by nothing (``kind`` swapped), both ending there; without an
-    assistant turn it gives no pair. An opening that many share is ordered in pieces.
+    assistant turn it gives no pair. An opening that many share is ordered in ranges of ids, and the
+    last of each range is compared with the first of the next.
     """
     said = "aggregate(turns, 0, (a, t) -> a + if(t.role = 'assistant', length(t.text), 0))"
     rows = conversations.withColumn("opening", F.expr("xxhash64(turns[0].role, turns[0].text)")).withColumn("said", F.expr(said))
-    counts = rows.groupBy("opening").agg(F.ceil(F.count("*") / PIECE).alias("pieces"))
-    rows = rows.join(counts, "opening").withColumn("piece", F.expr("pmod(conv_id, pieces)"))
-    after = Window.partitionBy("opening", "piece").orderBy("conv_id")
     # Only ids, hashes and lengths are put in order; the next conversation joins by its id.
-    light = rows.select("conv_id", "opening", "piece", "said")
-    linked = light.select(
-        "conv_id", "said", F.lead("conv_id").over(after).alias("next_id"), F.lead("said").over(after).alias("next_said")
-    )
+    light = rows.select("conv_id", "opening", "said").repartitionByRange("opening", "conv_id").withColumn("piece", F.spark_partition_id())
+    light = stored(light, "conversation-order")
+    after = Window.partitionBy("opening", "piece").orderBy("conv_id")
+    one = F.struct(F.col("conv_id").alias("next_id"), F.col("said").alias("next_said"))
+    within = light.withColumn("next", F.lead(one).over(after))
+    # The first of each range follows the last of the one before; an opening has no more ranges than there are tasks.
+    firsts = light.groupBy("opening", "piece").agg(F.min(one).alias("first"))
+    ahead = firsts.select("opening", "piece", F.lead("first").over(Window.partitionBy("opening").orderBy("piece")).alias("ahead"))
+    linked = within.join(ahead.filter("ahead is not null"), ["opening", "piece"], "left").select(
+        "conv_id", "said", F.coalesce("next", "ahead").alias("next")
+    ).select("conv_id", "said", "next.next_id", "next.next_said")
     own = conversations.select("conv_id", "turns")
     sibling = linked.filter("next_id is not null").join(own, "conv_id").join(
         own.select(F.col("conv_id").alias("next_id"), F.col("turns").alias("next_turns")), "next_id"

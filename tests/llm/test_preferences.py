@@ -56,3 +56,17 @@ def test_an_opening_that_many_share(spark, monkeypatch):
     pieces = {i % 10 for i in range(95)}
     assert len(got) == 95 and sum(r["kind"] == "sibling" for r in got) == 95 - len(pieces)
     assert all(r["n_prompt_turns"] == 1 for r in got)
+
+
+def test_an_opening_of_any_size_is_one_chain(spark):
+    rows = spark.range(10_001).selectExpr("id as conv_id", "explode(array(0L, 1L)) as turn").selectExpr(
+        "conv_id", "turn", "if(turn = 0, 'user', 'assistant') as role", "if(turn = 0, 'same', concat('a', conv_id)) as text"
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = preferences.pairs_of(preferences.conversations_as_turns(rows)).select("pair_id", "rejected_id", "kind").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    siblings = {tuple(sorted(r[:2])) for r in got if r["kind"] == "sibling"}
+    assert siblings == {(i, i + 1) for i in range(10_000)}
+    assert [r[:2] for r in got if r["kind"] == "swapped"] == [(10_000, 10_000)] and len(got) == 10_001
