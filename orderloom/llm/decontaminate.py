@@ -7,6 +7,10 @@ in at least one whole block, so looking up the blocks finds every item within
 it. What is found is verified exactly: the weighted Jaccard similarity of the
 five-word shingles, a shingle weighing as often as it occurs.
 
+SimHash is chance: a window at the least similarity can lie outside the radius. So
+windows that hold enough places of an item's shingles to reach it are verified too,
+which are all that can. A document shorter than an item is a single window.
+
 A window that shares no shingle with any item cannot reach a similarity above 0,
 so windows are only taken around shingles that the benchmark has.
 """
@@ -103,6 +107,25 @@ class Items:
             for size in sorted({min(n, SHINGLE) for n in self.members})
         }
 
+        #: For each shingle size its shingles in ascending order with the items that have them.
+        self.holders: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for size in self.grams:
+            of = [i for n, at in self.members.items() if min(n, SHINGLE) == size for i in at]
+            keys = np.concatenate([self.shingles[i][0] for i in of])
+            item = np.repeat(of, [len(self.shingles[i][0]) for i in of])
+            order = np.argsort(keys, kind="stable")
+            self.holders[size] = keys[order], item[order]
+
+    def places(self, size: int, grams: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """The items that have shingles of a text at the positions ``at``, and which positions."""
+        keys, holder = self.holders[size]
+        lo, hi = np.searchsorted(keys, grams[at]), np.searchsorted(keys, grams[at], "right")
+        place = np.repeat(at, hi - lo)
+        item = holder[np.repeat(lo - np.cumsum(hi - lo) + (hi - lo), hi - lo) + np.arange(len(place))]
+        order = np.argsort(item, kind="stable")
+        kinds, first = np.unique(item[order], return_index=True)
+        yield from zip(kinds.tolist(), np.split(place[order], first[1:]))
+
     def similarity(self, item: int, shingles: np.ndarray) -> float:
         """Weighted Jaccard similarity of an item and the shingles of a window."""
         kinds, counts = self.shingles[item]
@@ -123,6 +146,7 @@ def _search(items: Items, seq: np.ndarray, hits: dict[int, np.ndarray], at_least
     """``(item, first word, words, similarity)`` of the best window of each item in one document."""
     best: dict[int, tuple[float, int]] = {}
     longest = max(items.members)
+    length = {i: n for n, at in items.members.items() for i in at.tolist()}
     for size, places in hits.items():
         lengths = [n for n in items.members if min(n, SHINGLE) == size]
         # Stretches of the text around the hits, long enough for every window that holds one.
@@ -134,17 +158,26 @@ def _search(items: Items, seq: np.ndarray, hits: dict[int, np.ndarray], at_least
             one = Words.__new__(Words)
             one.hashes, one.ids, one.starts = part, np.arange(len(part)), np.array([0, len(part)])
             grams = shingle_hashes(one, size)[0]
+            near: set[tuple[int, int]] = set()
             for n in lengths:
-                if n > len(part):
+                if n <= len(part):
+                    window, item = items.index[n].within(simhashes(part, n, sums))
+                    near.update(zip(window.tolist(), items.members[n][item].tolist()))
+            for i, at in items.places(size, grams, group - a):
+                # Of a window's shingles and the item's, so many must be common.
+                width = min(length[i], len(part)) - size + 1
+                least = at_least * (width + length[i] - size + 1) / (1 + at_least) - 1e-9
+                if len(at) < least:
                     continue
-                window, item = items.index[n].within(simhashes(part, n, sums))
-                for w, i in zip(window.tolist(), items.members[n][item].tolist()):
-                    score = items.similarity(i, grams[w : w + n - size + 1])
-                    if score >= at_least and (i not in best or (score, -a - w) > (best[i][0], -best[i][1])):
-                        best[i] = (score, a + w)
-    length = {i: n for n, at in items.members.items() for i in at.tolist()}
+                starts = np.arange(max(0, int(at[0]) - width + 1), min(int(at[-1]), len(grams) - width) + 1)
+                held = np.searchsorted(at, starts + width) - np.searchsorted(at, starts)
+                near.update((w, i) for w in starts[held >= least].tolist())
+            for w, i in near:
+                score = items.similarity(i, grams[w : w + min(length[i], len(part)) - size + 1])
+                if score >= at_least and (i not in best or (score, -a - w) > (best[i][0], -best[i][1])):
+                    best[i] = (score, a + w)
     for i, (score, start) in sorted(best.items()):
-        yield i, start, length[i], score
+        yield i, start, min(length[i], len(seq)), score
 
 
 def _matches(docs: DataFrame, items: Items, at_least: float) -> DataFrame:
@@ -186,7 +219,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, at_least: float = 0.8) -
     """``doc_id, item_id, start_word, n_words, similarity``: the best window of each item in each document.
 
     Words are compared without case and punctuation, and ``start_word`` counts them
-    from 0. One row per document row and item row whose similarity is at least
+    from 0. A document with fewer words than an item is one window. One row per document row and item row whose similarity is at least
     ``at_least``; ties go to the first window.
 
     - Documents or items that are null, empty or without words match nothing.

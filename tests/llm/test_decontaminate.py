@@ -86,3 +86,33 @@ def test_the_index_finds_everything_within_the_radius():
     q, i = decontaminate.MultiIndex(kept).within(asked)
     near = np.bitwise_count(asked[:, None] ^ kept[None]) <= decontaminate.RADIUS
     assert set(zip(q.tolist(), i.tolist())) == set(zip(*map(np.ndarray.tolist, np.nonzero(near))))
+
+
+def test_documents_shorter_than_an_item(spark):
+    rng = random.Random(4)
+    items = [(1, prose(rng, 50, 10**6)), (2, prose(rng, 30, 10**6)), (3, prose(rng, 6, 10**6))]
+    w, v = items[0][1].split(), items[1][1].split()
+    docs = [(1, " ".join(w[:25] + w[26:])), (2, " ".join(w[:-1])), (3, " ".join(w[:40])), (4, " ".join(v[3:])), (5, " ".join(w[:3])), (6, " ".join(w[:49] + v))]
+    got = decontaminate.contaminated(documents(spark, docs), documents(spark, items, BENCH)).collect()
+    assert {(r["doc_id"], r["item_id"]): (r["start_word"], r["n_words"], round(r["similarity"], 9)) for r in got} == {
+        (1, 1): (0, 49, round(41 / 50, 9)), (2, 1): (0, 49, round(45 / 46, 9)), (4, 2): (0, 27, round(23 / 26, 9)),
+        (6, 1): (0, 50, round(45 / 47, 9)), (6, 2): (49, 30, 1.0),
+    }
+
+
+def test_windows_just_at_the_least_similarity(spark):
+    rng = random.Random(5)
+    items, docs = [], []
+    for i in range(600):
+        n = rng.choice((50, 100))
+        w = prose(rng, n, 10**6).split()
+        gone = (n - 4) // 9
+        items.append((i, " ".join(w)))
+        docs.append((i, " ".join(prose(rng, 3, 10**6).split() + w[: n - gone] + prose(rng, gone, 10**6).split())))
+    got = decontaminate.contaminated(documents(spark, docs), documents(spark, items, BENCH)).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute_pairs(docs, items)
+
+
+def brute_pairs(docs, items):
+    """Brute force of each document and the item it was made from; others share no shingle."""
+    return sorted((m for d, i in zip(docs, items) for m in brute([d], [i])), key=str)
