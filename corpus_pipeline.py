@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.llm import bpe, decontaminate, langid, minhash, pii
-from orderloom.llm.storage import reach_workers
+from orderloom.llm.storage import reach_workers, stored
 from orderloom.session import materialize, shared_folder
 from orderloom.sizing import broadcast_if_small
 
@@ -38,31 +38,40 @@ def with_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return judged.filter(identified).select(*docs.columns)
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with a number of its own for every row in ``_row``, written once so that it does not change."""
+    return stored(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+
+
+def _without(rows: DataFrame, gone: DataFrame, docs: DataFrame) -> DataFrame:
+    return rows.join(broadcast_if_small(gone), "_row", "left_anti").select(*docs.columns)
+
+
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that is linked by four fifths of its five-word shingles.
+    """One row of each group that is linked by four fifths of its five-word shingles, the one with the smallest ``doc_id``.
 
-    Of rows with one ``doc_id`` a single one stays. Documents without an id or without
-    words are linked with nothing and stay.
+    Every row is judged by its own text, also where its ``doc_id`` is null or repeated; a
+    null id comes last. Rows without words are linked with nothing and stay.
     """
     reach_workers(spark)
-    verdict = minhash.near_duplicates(docs, shingle=5, percent=80)
-    gone = materialize(verdict.filter("not kept").select("doc_id").distinct(), "gone")
-    kept = docs.join(broadcast_if_small(gone), "doc_id", "left_anti").select(*docs.columns)
-    repeated = docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    if repeated.isEmpty():
-        return kept
-    once = kept.join(repeated, "doc_id", "left_anti").select(*docs.columns)
-    again = kept.join(repeated, "doc_id", "left_semi").select(*docs.columns)
-    first = again.groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), F.xxhash64("text")).alias("row"))
-    return once.unionByName(first.select("row.*"))
+    rows = _numbered(docs)
+    verdict = minhash.near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"), shingle=5, percent=80)
+    copies = materialize(verdict.filter("not kept").select(F.col("doc_id").alias("_row"), "component_id"), "copies")
+    first = copies.select(F.col("component_id").alias("_row"), "component_id").distinct()
+    members = copies.unionByName(first)
+    order = F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "_row")
+    best = members.join(rows.select("_row", "doc_id"), "_row").groupBy("component_id").agg(F.min(order).alias("m")).select("m._row")
+    gone = materialize(members.select("_row").join(best, "_row", "left_anti"), "gone")
+    return _without(rows, gone, docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no benchmark item occurs; rows without an id are kept."""
+    """Rows in whose text no benchmark item occurs, whatever their ``doc_id``."""
     reach_workers(spark)
-    found = decontaminate.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    flagged = materialize(found.select("doc_id").distinct(), "flagged")
-    return docs.join(broadcast_if_small(flagged), "doc_id", "left_anti").select(*docs.columns)
+    rows = _numbered(docs)
+    found = decontaminate.contaminated(rows.select(F.col("_row").alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    flagged = materialize(found.select(F.col("doc_id").alias("_row")).distinct(), "flagged")
+    return _without(rows, flagged, docs)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

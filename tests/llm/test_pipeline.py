@@ -90,3 +90,16 @@ def test_run_writes_every_stage(spark):
 def test_queries_are_registered():
     numbers = {int(n[2:].split("_")[0]) for n in queries.QUERIES}
     assert numbers == set(range(1, 11)) and set(queries.ORACLES) <= set(queries.QUERIES)
+
+
+def test_rows_go_by_their_own_text(spark):
+    rng = random.Random(12)
+    item = spark.read.parquet(f"{SMALL}/benchmark.parquet").first()["text"]
+    a, b, c, d = (prose(rng, 80, 10**6) for _ in range(4))
+    rows = [(5, a), (1, a + " more"), (None, a + " and more"), (5, b), (5, c), (None, d), (None, None), (7, "")]
+    got = corpus_pipeline.without_near_copies(spark, documents(spark, rows), SMALL).collect()
+    key = lambda r: str(tuple(r))
+    assert sorted(map(tuple, got), key=key) == sorted([(1, a + " more"), (5, b), (5, c), (None, d), (None, None), (7, "")], key=key)
+    rows = [(5, a), (5, b + " " + item), (None, c), (None, item + " " + d)]
+    got = corpus_pipeline.without_benchmark(spark, documents(spark, rows), SMALL).collect()
+    assert sorted(map(tuple, got), key=key) == sorted([(5, a), (None, c)], key=key)
