@@ -194,7 +194,7 @@ class PieceTree:
 
 
 def sample_edits(doc_id: str = "doc_id", text: str = "text") -> Column:
-    """Edits to count with where there is no edit log: one and another for every 2,000 characters, up to eight.
+    """Edits to count with where there is no edit log: one and another for every 2,000 characters.
 
     Their places follow from a hash of the id; an insertion, a replacement and a
     deletion take turns. Each applies to the result of the ones before.
@@ -202,7 +202,7 @@ def sample_edits(doc_id: str = "doc_id", text: str = "text") -> Column:
     length = f"length(coalesce({text}, ''))"
     place = f"cast(pmod(xxhash64({doc_id}, i), {length} + 1) as int)"
     return F.expr(
-        f"transform(sequence(0, least(7, {length} div 2000)), i -> named_struct('start', {place}, "
+        f"transform(sequence(0, {length} div 2000), i -> named_struct('start', {place}, "
         f"'end', {place} + case i % 3 when 0 then 0 when 1 then 5 else 12 end, "
         "'text', case i % 3 when 0 then ' edited it''s 2' when 1 then 'new\n' else '' end))"
     )

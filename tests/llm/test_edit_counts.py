@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from orderloom.llm import edit_counts
 
-from .support import SMALL, clashing
+from .support import SMALL, clashing, documents
 
 PATH = tokenizers.path("byte_bpe_multi_50k.tiktoken")
 BITS = ["a", "b", "the", "é", "漢", "🙂", " ", "\n", "1", "12", "'s", "'re", "'l", "'", "\t", "ing", "   ", " \n ", "ß", "!", "..."]
@@ -65,3 +65,9 @@ def test_the_query_counts_as_encoding_anew_does(spark):
         row = given[r["doc_id"]]
         assert r["n_edits"] >= 1
         assert r["n_tokens_after"] == len(tool.encoding.encode_ordinary(applied(row["text"], [tuple(e) for e in row["e"]])))
+
+
+def test_the_number_of_edits_follows_the_length(spark):
+    rows = documents(spark, [(1, "x" * 100_000), (2, "x" * 14_000), (3, ""), (4, None)])
+    got = dict(rows.select("doc_id", F.size(edit_counts.sample_edits())).collect())
+    assert got == {1: 51, 2: 8, 3: 1, 4: 1}
