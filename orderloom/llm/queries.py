@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, edit_counts, katz, langid, minhash, pii, preferences, suffixes, vectors
+from . import bpe, decontaminate, edit_counts, katz, langid, manifest, minhash, pii, preferences, suffixes, vectors
 from .storage import reach_workers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -264,3 +264,51 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     path = public_tokenizers.path(RANK_FILE)
     return edit_counts.count_edited(docs, edit_counts.sample_edits(), path, public_tokenizers.PATTERN)
+
+
+CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def _spelled_sql(text: str) -> str:
+    columns = ("d.doc_id", "d.source", "d.lang", "d.n_chars", text)
+    return " || ".join(f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in columns)
+
+
+MANIFEST_SQL = f"""
+WITH RECURSIVE {CRC_SQL},
+leaves AS (
+  SELECT d.doc_id, d.lang, coalesce('=' || d.lang, '') AS tree, c.crc % 3 = 0 AS hit,
+    sha256({_spelled_sql('d.text')}) AS leaf, sha256({_spelled_sql(f"translate(d.text, '{CAPITALS}', '{CAPITALS.lower()}')")}) AS other
+  FROM documents d JOIN crcs c ON c.doc_id = d.doc_id),
+placed AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id) - 1 AS i FROM leaves),
+nodes AS (
+  SELECT tree, 0 AS level, i, leaf AS h, count(*) OVER (PARTITION BY tree) AS n FROM placed
+  UNION ALL
+  SELECT tree, level + 1, i // 8, sha256(string_agg(h, '' ORDER BY i)), (n + 7) // 8 FROM nodes WHERE n > 1 GROUP BY tree, level, i // 8, n),
+tops AS (SELECT tree, h AS subroot, row_number() OVER (ORDER BY tree) - 1 AS i FROM nodes WHERE n = 1),
+roof AS (
+  SELECT 0 AS level, i, subroot AS h, count(*) OVER () AS n FROM tops
+  UNION ALL
+  SELECT level + 1, i // 8, sha256(string_agg(h, '' ORDER BY i)), (n + 7) // 8 FROM roof WHERE n > 1 GROUP BY level, i // 8, n),
+steps AS (
+  SELECT p.tree, p.i, n.level, coalesce(string_agg(n.h, '' ORDER BY n.i) FILTER (n.i < p.i >> (3 * n.level)), '') AS a,
+    coalesce(string_agg(n.h, '' ORDER BY n.i) FILTER (n.i > p.i >> (3 * n.level)), '') AS b
+  FROM placed p JOIN nodes n ON n.tree = p.tree AND n.n > 1 AND n.i // 8 = p.i >> (3 * n.level + 3) GROUP BY ALL),
+roof_steps AS (
+  SELECT t.tree, n.level + 1000 AS level, coalesce(string_agg(n.h, '' ORDER BY n.i) FILTER (n.i < t.i >> (3 * n.level)), '') AS a,
+    coalesce(string_agg(n.h, '' ORDER BY n.i) FILTER (n.i > t.i >> (3 * n.level)), '') AS b
+  FROM tops t JOIN roof n ON n.n > 1 AND n.i // 8 = t.i >> (3 * n.level + 3) GROUP BY ALL),
+ways AS (
+  SELECT tree, i, list(a || ',' || b ORDER BY level) AS way
+  FROM (SELECT * FROM steps UNION ALL SELECT p.tree, p.i, r.level, r.a, r.b FROM placed p JOIN roof_steps r ON r.tree = p.tree) GROUP BY tree, i)
+SELECT p.doc_id, p.lang, p.leaf, t.subroot, r.h AS root, sha256(replace(array_to_string(coalesce(w.way, []), ''), ',', '')) AS proof_sha256,
+  list_reduce(coalesce(w.way, []), lambda h, s: sha256(split_part(s, ',', 1) || h || split_part(s, ',', 2)), CASE WHEN p.hit THEN p.other ELSE p.leaf END) AS folded_root,
+  folded_root = r.h AS verified
+FROM placed p JOIN tops t ON t.tree = p.tree JOIN roof r ON r.n = 1 LEFT JOIN ways w ON w.tree = p.tree AND w.i = p.i
+"""
+
+
+@query("op11_manifest", MANIFEST_SQL)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    """Leaf, root and proof of every document, and what tampering with a third of the texts does to the root."""
+    return manifest.prove(table(spark, folder, "documents"), manifest.lower_some())
