@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, edit_counts, katz, langid, manifest, minhash, pii, preferences, suffixes, vectors
+from . import bpe, decontaminate, edit_counts, katz, langid, manifest, minhash, pii, preferences, resample, suffixes, vectors
 from .storage import reach_workers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -312,3 +312,40 @@ FROM placed p JOIN tops t ON t.tree = p.tree JOIN roof r ON r.n = 1 LEFT JOIN wa
 def op11(spark: SparkSession, folder: str) -> DataFrame:
     """Leaf, root and proof of every document, and what tampering with a third of the texts does to the root."""
     return manifest.prove(table(spark, folder, "documents"), manifest.lower_some())
+
+
+RESAMPLE_SQL = r"""
+WITH bytes AS (
+  SELECT list(list_reduce(range(9), lambda c, k: CASE WHEN k = 0 THEN c WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, n) ORDER BY n) AS t
+  FROM range(256) r(n)),
+texts AS (SELECT 'd' AS side, doc_id, text FROM documents UNION ALL SELECT 'b', row_number() OVER (), text FROM benchmark),
+worded AS (
+  SELECT side, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM texts),
+runs AS (SELECT side, doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM worded, (VALUES (1), (2), (3)) r(k)),
+features AS (SELECT side, doc_id, array_to_string(w[i:i + k - 1], ' ') AS f, count(*) AS n FROM runs GROUP BY ALL),
+hashed AS (
+  SELECT f, xor(list_reduce(list_transform(range(strlen(f)), lambda j: instr('123456789ABCDEF', substr(h, 2 * j + 1, 1)) * 16 + instr('123456789ABCDEF', substr(h, 2 * j + 2, 1))),
+    lambda c, b: xor(c // 256, t[(xor(c, b) % 256) + 1]), 4294967295), 4294967295) % 10000 AS b
+  FROM (SELECT f, hex(encode(f)) AS h FROM features GROUP BY f), bytes),
+counted AS (SELECT x.side, x.doc_id, h.b, sum(x.n) AS n FROM features x JOIN hashed h ON h.f = x.f GROUP BY ALL),
+sums AS (SELECT b, coalesce(sum(n) FILTER (side = 'd'), 0) AS s, coalesce(sum(n) FILTER (side = 'b'), 0) AS t FROM counted GROUP BY b),
+gains AS (
+  SELECT b, floor(1000 * ln((t + 1)::DOUBLE * (ss + 10000) / ((s + 1)::DOUBLE * (tt + 10000)))) AS g
+  FROM sums, (SELECT sum(s) AS ss, sum(t) AS tt FROM sums)),
+weights AS (SELECT c.doc_id, sum(c.n)::BIGINT AS n_features, sum(c.n * g.g)::BIGINT AS weight FROM counted c JOIN gains g ON g.b = c.b WHERE c.side = 'd' GROUP BY c.doc_id),
+scored AS (
+  SELECT d.doc_id, len(d.w) AS n_words, coalesce(x.n_features, 0) AS n_features, coalesce(x.weight, 0) AS weight,
+    (coalesce(x.weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || d.doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296))))::BIGINT AS score
+  FROM worded d LEFT JOIN weights x ON x.doc_id = d.doc_id WHERE d.side = 'd'),
+able AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS n FROM scored WHERE n_words >= 20)
+SELECT s.doc_id, s.n_features, s.weight, s.score, a.r AS rank
+FROM scored s LEFT JOIN able a ON a.doc_id = s.doc_id AND a.r <= a.n * 5 // 100
+"""
+
+
+@query("op12_resample", RESAMPLE_SQL)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    """Weight and score of every document towards the benchmark's texts, and the ranks of the drawn twentieth."""
+    scored = resample.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return scored.select("doc_id", "n_features", "weight", "score", "rank")
