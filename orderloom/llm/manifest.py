@@ -399,12 +399,15 @@ def _below(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _above_leaves(levels: list[DataFrame], over: DataFrame) -> DataFrame:
-    """What stands above each of the lowest groups. ``over``: ``tree, above, subroot`` of each tree."""
-    top = over.select("tree", F.lit(0).cast("long").alias("g"), "above", "subroot")
+def _above_leaves(levels: list[DataFrame], over: DataFrame | None = None) -> DataFrame:
+    """What stands above each of the lowest groups. ``over``: ``tree, above, subroot`` of each tree; without it nothing does."""
     known = None
     for level in reversed(levels):
-        mine = level.filter(F.col("n") <= SPAN).select("tree", "g").join(broadcast_if_small(top), ["tree", "g"])
+        tops = level.filter(F.col("n") <= SPAN).select("tree", "g")
+        if over is None:
+            mine = tops.withColumns({"above": F.lit(""), "subroot": F.lit("")})
+        else:
+            mine = tops.join(broadcast_if_small(over), "tree").select("tree", "g", "above", "subroot")
         here = mine if known is None else known.unionByName(mine)
         if level is levels[0]:
             return here
@@ -478,8 +481,7 @@ def prove(docs: DataFrame, tampered: tuple[Column, Column] | None = None) -> Dat
     n_trees = tops.count()
     roof = _reduce(_as_pieces(tops.select(F.lit("").alias("tree"), "rank", F.lit(n_trees).cast("long").alias("n"), "node")))
     root = _tops(roof).select("node").first()
-    over = _above_leaves(roof, docs.sparkSession.range(1).select(F.lit("").alias("tree"), F.lit("").alias("above"), F.lit("").alias("subroot")))
-    by_group = roof[0].join(over, ["tree", "g"]).mapInArrow(_below, _PATHS).select(F.col("g").alias("rank"), "above")
+    by_group = roof[0].join(broadcast_if_small(_above_leaves(roof)), ["tree", "g"]).mapInArrow(_below, _PATHS).select(F.col("g").alias("rank"), "above")
     of_tree = stored(tops.join(by_group, "rank").select("tree", "above", F.col("node").alias("subroot")), "subroots")
     lowest = levels[0].join(broadcast_if_small(_above_leaves(levels, of_tree)), ["tree", "g"])
     schema = "doc_id long, tree string, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean"

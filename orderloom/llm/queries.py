@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, edit_counts, katz, langid, manifest, minhash, pii, preferences, resample, suffixes, vectors
+from . import bpe, decontaminate, edit_counts, katz, langid, manifest, minhash, packing, pii, preferences, resample, suffixes, vectors
 from .storage import reach_workers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -349,3 +349,10 @@ def op12(spark: SparkSession, folder: str) -> DataFrame:
     """Weight and score of every document towards the benchmark's texts, and the ranks of the drawn twentieth."""
     scored = resample.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return scored.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query("op13_packing")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    """Pieces of all documents in sequences of at most 2,048 tokens."""
+    pieces = packing.pack_documents(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
