@@ -11,6 +11,7 @@ cut again. Documents meet the patterns by their rank among the rests of their le
 from __future__ import annotations
 
 import os
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -30,7 +31,7 @@ SPACES = b" \t\n\r\x0b\x0c"
 #: Chunks whose ids a worker remembers, in each of two generations.
 REMEMBERED = 400_000
 #: Text that a task tokenizes at a time.
-SECTION_BYTES = 4 << 20
+SECTION_BYTES = 8 << 20
 
 
 class Chunks:
@@ -46,15 +47,16 @@ class Chunks:
 
     def ids(self, chunks: list[str]) -> list[bytes]:
         """Each chunk's ids, packed as little-endian 32-bit numbers."""
-        out = [self.seen.get(c) or self.older.get(c) for c in chunks]
-        missing = [i for i, packed in enumerate(out) if packed is None]
+        out = list(map(self.seen.get, chunks))
+        lacking = [i for i, packed in enumerate(out) if packed is None]
+        for i in lacking:
+            out[i] = self.older.get(chunks[i])
+        missing = [i for i in lacking if out[i] is None]
         for i, coded in zip(missing, self.tokenizer.encode_batch_fast([chunks[i] for i in missing], add_special_tokens=False)):
-            out[i] = np.array(coded.ids, "<u4").tobytes()
-        if len(self.seen) + len(missing) > REMEMBERED:
+            out[i] = array("I", coded.ids).tobytes()
+        if len(self.seen) + len(lacking) > REMEMBERED:
             self.seen, self.older = {}, self.seen
-        for c, packed in zip(chunks, out):
-            if len(c) < 64:
-                self.seen[c] = packed
+        self.seen.update((chunks[i], out[i]) for i in lacking if len(chunks[i]) < 64)
         return out
 
 
@@ -71,7 +73,7 @@ def tokenized(texts: pa.Array, coder: Chunks) -> tuple[np.ndarray, np.ndarray]:
     packed = coder.ids(coded.dictionary.to_pylist())
     which = coded.indices.to_numpy(zero_copy_only=False)
     flat = np.frombuffer(b"".join(packed), "<u4")
-    sizes = np.fromiter((len(p) // 4 for p in packed), np.int64, len(packed))
+    sizes = np.array(list(map(len, packed)), np.int64) // 4
     begins = np.cumsum(sizes) - sizes
     counts = sizes[which]
     ends = np.cumsum(counts)
