@@ -83,6 +83,10 @@ class Ranks:
             found = self._fits[key] = self._stay_apart(left, right)
         return found
 
+    def forget(self) -> None:
+        """Drop the remembered pairs."""
+        self._fits.clear()
+
     def _stay_apart(self, left: int, right: int) -> bool:
         """Undo the merges next to the border, latest first, and see whether one across it would have come sooner.
 
@@ -161,8 +165,9 @@ class Encoder:
         self.older: dict[str, bytes] = {}
 
     def forget(self) -> None:
-        """Drop the remembered pieces, which lets a worker go on to other work with little memory."""
+        """Drop the remembered pieces and pairs, which lets a worker go on to other work with little memory."""
         self.seen, self.older = {}, {}
+        self.vocabulary.forget()
 
     def piece(self, piece: str) -> bytes:
         """A piece's ids as little-endian 32-bit numbers."""

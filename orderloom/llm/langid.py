@@ -19,9 +19,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
+from .storage import named_column
 from .words import U64, Words, bytes_hash, mix, text_slices
 
 UNDECIDED = "und"
@@ -214,29 +217,30 @@ def has_letter(text: str = "text") -> Column:
     return F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
 
 
-def identify(docs: DataFrame, field: Field | None, keep: tuple[str, ...] = ()) -> DataFrame:
+def identify(docs: DataFrame, field: Field | None, keep: tuple[str, ...] = (), answer_name: str = "answer") -> DataFrame:
     """``doc_id, lang_pred, score, n_words, n_switches`` of every row, from its text alone.
 
-    With ``keep`` these columns of ``docs`` come first, and the answer is in a struct
-    column ``answer`` beside them. ``score`` is the language's mean posterior over the words (0 to 1) and
+    With ``keep`` these columns of ``docs`` come first, whatever their names, and the answer is in a
+    struct column ``answer_name`` beside them. ``score`` is the language's mean posterior over the words (0 to 1) and
     ``n_switches`` counts neighbouring words labelled with different languages.
     A null text, one without a letter, or any text where ``field`` is None gets
     ``und`` and 0. Repeated rows get equal answers; a null ``doc_id`` stays null; no
     other column is read; an empty table gives no rows.
     """
-    answer = {"lang_pred": "string", "score": "double", "n_words": "long", "n_switches": "long"}
+    answer = {"lang_pred": StringType(), "score": DoubleType(), "n_words": LongType(), "n_switches": LongType()}
     if field is None:
         values = (F.lit(UNDECIDED), F.lit(0.0), F.lit(0).cast("long"), F.lit(0).cast("long"))
         named = [v.alias(n) for v, n in zip(values, answer)]
         if keep:
-            return docs.select(*keep, F.struct(*named).alias("answer"))
+            return docs.select(*map(named_column, keep), F.struct(*named).alias(answer_name))
         return docs.select(F.col("doc_id").cast("long"), *named)
-    columns = keep or ("doc_id",)
-    texts = docs.select(
-        F.when(has_letter(), F.col("text")).cast("string").alias("text"), F.struct(*columns).alias("kept")
-    )
-    kinds = texts.schema["kept"].dataType.simpleString()
-    schema = f"kept {kinds}, " + ", ".join(f"{n} {t}" for n, t in answer.items())
+    # Each text is sent once: beside the other columns, and back only if it is kept.
+    others = [c for c in keep or ("doc_id",) if c != "text"]
+    kept = F.struct(*map(named_column, others)) if others else F.struct(F.lit(0).alias("nothing"))
+    texts = docs.select(F.col("text").cast("string"), has_letter().alias("lettered"), kept.alias("kept"))
+    returned = ["kept", "text"] if "text" in keep else ["kept"]
+    types = {"kept": texts.schema["kept"].dataType, "text": StringType()}
+    schema = StructType([StructField(c, types[c]) for c in returned] + [StructField(c, t) for c, t in answer.items()])
     # Bounded: 2 ** FEATURE_BITS weights for each of at most MOST_LANGUAGES languages.
     shared = docs.sparkSession.sparkContext.broadcast(field)
 
@@ -244,8 +248,8 @@ def identify(docs: DataFrame, field: Field | None, keep: tuple[str, ...] = ()) -
         field = shared.value
         names = np.array([*field.languages, UNDECIDED], dtype=object)
         for batch in batches:
-            for part in text_slices(batch, limit=4 << 20):
-                words = Words(part.column("text"))
+            for part in text_slices(batch, limit=1 << 20):
+                words = Words(pc.if_else(part.column("lettered"), part.column("text"), None))
                 sizes, k = words.sizes, len(field.languages)
                 gamma = posteriors(field, words)
                 mean = np.zeros((len(sizes), k))
@@ -259,13 +263,14 @@ def identify(docs: DataFrame, field: Field | None, keep: tuple[str, ...] = ()) -
                 switches = np.bincount(owner[1:][changed], minlength=len(sizes))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column("kept"), pa.array(names[best], pa.string()), pa.array(score),
+                        *[part.column(c) for c in returned], pa.array(names[best], pa.string()), pa.array(score),
                         pa.array(sizes.astype(np.int64)), pa.array(switches.astype(np.int64)),
                     ],
-                    names=["kept", *answer],
+                    names=[*returned, *answer],
                 )
 
     found = texts.mapInArrow(run, schema)
     if keep:
-        return found.select(*[F.col("kept")[c].alias(c) for c in keep], F.struct(*answer).alias("answer"))
+        given = [F.col("text") if c == "text" else F.col("kept").getField(c).alias(c) for c in keep]
+        return found.select(*given, F.struct(*answer).alias(answer_name))
     return found.select(F.col("kept.doc_id").cast("long").alias("doc_id"), *answer)

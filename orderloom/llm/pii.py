@@ -233,8 +233,10 @@ def find(docs: DataFrame, model: Classifier | None) -> DataFrame:
 
     Spans are ``struct<start, kind, end>`` with ``kind`` a position in ``KINDS``, in
     code points, end exclusive, by start and then kind. A null text counts as empty
-    and has none (it is read as empty); ids may be null or repeated; further columns stay;
-    without a model only base spans are found.
+    and has none (it is read as empty); ids may be null or repeated; further columns stay, but for
+    those called ``base``, ``found``, ``candidates``, ``_all`` or like a kind after ``_`` or ``_c_``, which are
+    replaced or go (in a struct they are safe); without a model only base spans are found. Texts are
+    read whole, and an empty table gives no rows.
     """
     based = with_base(docs)
     if model is None:

@@ -59,16 +59,18 @@ WITH {CRC_SQL},
 tok AS (
   SELECT d.doc_id, c.crc % 5 = 1 AS held, unnest(list_concat({WORDS_SQL}, [' '])) AS w, generate_subscripts(list_concat({WORDS_SQL}, [' ']), 1) AS i
   FROM documents d JOIN crcs c ON d.doc_id = c.doc_id),
-seq AS (SELECT *, coalesce(lag(w) OVER (PARTITION BY doc_id ORDER BY i), '') AS h FROM tok),
+seq AS (
+  SELECT *, coalesce(lag(w) OVER (PARTITION BY doc_id ORDER BY i), '') AS h, coalesce(lag(w, 2) OVER (PARTITION BY doc_id ORDER BY i), '') AS g FROM tok),
 uni AS (SELECT w, count(*) AS c FROM seq WHERE NOT held GROUP BY w),
 bi AS (SELECT h, w, count(*) AS c FROM seq WHERE NOT held GROUP BY h, w),
-ctx AS (SELECT h, sum(c) AS c FROM bi GROUP BY h),
+tri AS (SELECT g, h, w, count(*) AS c FROM seq WHERE NOT held GROUP BY g, h, w),
 tot AS (SELECT sum(c) AS n, count(*) AS v FROM uni),
-cc AS (SELECT 1 AS k, c AS r, count(*) AS n FROM uni WHERE c <= 6 GROUP BY c UNION ALL SELECT 2, c, count(*) FROM bi WHERE c <= 6 GROUP BY c),
+cc AS (
+  SELECT k, c AS r, count(*) AS n FROM (SELECT 1 AS k, c FROM uni UNION ALL SELECT 2, c FROM bi UNION ALL SELECT 3, c FROM tri) WHERE c <= 6 GROUP BY k, c),
 gt AS (
   SELECT a.k, a.r, (((a.r + 1) * b.n / a.n::DOUBLE / a.r) - x.rest) / (1 - x.rest) AS d
   FROM cc a JOIN cc b ON a.k = b.k AND b.r = a.r + 1
-  JOIN (SELECT p.k, 6 * q.n / p.n::DOUBLE AS rest FROM cc p JOIN cc q ON p.k = q.k AND p.r = 1 AND q.r = 6) x ON x.k = a.k),
+  JOIN (SELECT p.k, 6 * q.n / p.n::DOUBLE AS rest FROM cc p JOIN cc q ON p.k = q.k AND p.r = 1 AND q.r = 6) x ON x.k = a.k AND x.rest < 1),
 ok AS (SELECT k, count(*) = 5 AND min(d) > 0 AND max(d) <= 1 AS good FROM gt GROUP BY k),
 flat AS (
   SELECT k, CASE WHEN once > 0 THEN least(0.9, once / (once + 2 * twice)::DOUBLE) ELSE 0.5 END AS off
@@ -78,15 +80,23 @@ disc AS (
   FROM flat f CROSS JOIN (SELECT unnest(range(1, 6)) AS r) r LEFT JOIN ok o ON o.k = f.k LEFT JOIN gt g ON g.k = f.k AND g.r = r.r),
 p1 AS (SELECT u.w, u.c, u.c * coalesce(d.d, 1) / n AS p FROM uni u CROSS JOIN tot LEFT JOIN disc d ON d.k = 1 AND d.r = u.c),
 unk AS (SELECT 1 - sum(p) AS p FROM p1),
-b2 AS (SELECT b.h, b.w, b.c * coalesce(d.d, 1) AS m, p.p FROM bi b LEFT JOIN disc d ON d.k = 2 AND d.r = b.c JOIN p1 p ON p.w = b.w),
-alpha AS (
+m2 AS (SELECT b.h, b.w, b.c, b.c * coalesce(d.d, 1) AS m, p.p FROM bi b LEFT JOIN disc d ON d.k = 2 AND d.r = b.c JOIN p1 p ON p.w = b.w),
+a2 AS (
   SELECT h, c + raised AS norm, (1 - m / (c + raised)) / (1 - p) AS a
-  FROM (SELECT b.h, x.c, sum(b.m) AS m, sum(b.p) AS p, CASE WHEN 1 - sum(b.m) / x.c < 1e-12 THEN 1 ELSE 0 END AS raised
-    FROM b2 b JOIN ctx x ON x.h = b.h GROUP BY b.h, x.c))
+  FROM (SELECT h, sum(c) AS c, sum(m) AS m, sum(p) AS p, CASE WHEN 1 - sum(m) / sum(c) < 1e-12 THEN 1 ELSE 0 END AS raised FROM m2 GROUP BY h)),
+p2 AS (SELECT m.h, m.w, m.m / a.norm AS p FROM m2 m JOIN a2 a ON a.h = m.h),
+m3 AS (
+  SELECT t.g, t.h, t.w, t.c, t.c * coalesce(d.d, 1) AS m, p.p FROM tri t LEFT JOIN disc d ON d.k = 3 AND d.r = t.c JOIN p2 p ON p.h = t.h AND p.w = t.w),
+a3 AS (
+  SELECT g, h, c + raised AS norm, (1 - m / (c + raised)) / (1 - p) AS a
+  FROM (SELECT g, h, sum(c) AS c, sum(m) AS m, sum(p) AS p, CASE WHEN 1 - sum(m) / sum(c) < 1e-12 THEN 1 ELSE 0 END AS raised FROM m3 GROUP BY g, h)),
+p3 AS (SELECT m.g, m.h, m.w, m.m / a.norm AS p FROM m3 m JOIN a3 a ON a.g = m.g AND a.h = m.h)
 SELECT s.doc_id, any_value(s.held) AS held_out, count(*) AS n_tokens, count(u.c) AS n_known, any_value(t.n)::BIGINT AS train_tokens,
   sum(log10((coalesce(u.c, 0) + 0.5) / (t.n + 0.5 * (t.v + 1)))) AS base_score,
-  sum(CASE WHEN b.m IS NOT NULL THEN log10(b.m / a.norm) ELSE log10(coalesce(a.a, 1)) + log10(coalesce(u.p, k.p)) END) AS score
-FROM seq s CROSS JOIN tot t CROSS JOIN unk k LEFT JOIN p1 u ON u.w = s.w LEFT JOIN b2 b ON b.h = s.h AND b.w = s.w LEFT JOIN alpha a ON a.h = s.h
+  sum(CASE WHEN z.p IS NOT NULL THEN log10(z.p) WHEN y.p IS NOT NULL THEN log10(coalesce(c.a, 1)) + log10(y.p)
+    ELSE log10(coalesce(c.a, 1)) + log10(coalesce(b.a, 1)) + log10(coalesce(u.p, k.p)) END) AS score
+FROM seq s CROSS JOIN tot t CROSS JOIN unk k LEFT JOIN p1 u ON u.w = s.w LEFT JOIN p2 y ON y.h = s.h AND y.w = s.w LEFT JOIN a2 b ON b.h = s.h
+  LEFT JOIN p3 z ON z.g = s.g AND z.h = s.h AND z.w = s.w LEFT JOIN a3 c ON c.g = s.g AND c.h = s.h
 GROUP BY s.doc_id
 """
 
@@ -170,10 +180,9 @@ WITH turns AS (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coales
 convs AS (SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY turn NULLS FIRST, role, text) AS t FROM turns GROUP BY conv_id),
 said AS (
   SELECT conv_id, t, t[1] AS opening, coalesce(list_sum(list_transform(t, lambda x: CASE WHEN x.role = 'assistant' THEN length(x.text) ELSE 0 END)), 0) AS said FROM convs),
-pieces AS (SELECT *, conv_id % ceil(count(*) OVER (PARTITION BY opening) / 10000.0)::BIGINT AS piece FROM said),
 linked AS (
   SELECT *, lead(conv_id) OVER w AS next_id, lead(t) OVER w AS next_t, lead(said) OVER w AS next_said
-  FROM pieces WINDOW w AS (PARTITION BY opening, piece ORDER BY conv_id)),
+  FROM said WINDOW w AS (PARTITION BY opening ORDER BY conv_id)),
 alone AS (
   SELECT conv_id, t, p, p[len(p)] AS z FROM (
     SELECT conv_id, t, list_filter(range(1, len(t) + 1), lambda i: t[i].role = 'assistant') AS p FROM linked WHERE next_id IS NULL) WHERE len(p) > 0),
@@ -232,16 +241,16 @@ item_grams AS (
   FROM (SELECT item_id, n, size, array_to_string(w[i:i + size - 1], ' ') AS g FROM (SELECT *, unnest(range(1, n - size + 2)) AS i FROM items))
   GROUP BY ALL),
 starts AS (
-  SELECT DISTINCT doc_id, item_id, n, size, unnest(range(greatest(1, i - n + size), least(i, doc_n - n + 1) + 1)) AS s
+  SELECT DISTINCT doc_id, item_id, n, least(n, doc_n) AS width, size, unnest(range(greatest(1, i - n + size), least(i, greatest(1, doc_n - n + 1)) + 1)) AS s
   FROM (SELECT d.doc_id, d.n AS doc_n, d.i, t.item_id, t.n, t.size FROM doc_grams d JOIN item_grams t ON d.size = t.size AND d.g = t.g)),
 window_grams AS (
-  SELECT c.doc_id, c.item_id, c.n, c.size, c.s, d.g, count(*) AS k
-  FROM starts c JOIN doc_grams d ON d.doc_id = c.doc_id AND d.size = c.size AND d.i BETWEEN c.s AND c.s + c.n - c.size GROUP BY ALL),
+  SELECT c.doc_id, c.item_id, c.n, c.width, c.size, c.s, d.g, count(*) AS k
+  FROM starts c JOIN doc_grams d ON d.doc_id = c.doc_id AND d.size = c.size AND d.i BETWEEN c.s AND c.s + c.width - c.size GROUP BY ALL),
 shared AS (
-  SELECT w.doc_id, w.item_id, w.n, w.s, w.n - w.size + 1 AS total, sum(least(w.k, t.k)) AS common
+  SELECT w.doc_id, w.item_id, w.width, w.s, w.n + w.width - 2 * w.size + 2 AS total, sum(least(w.k, t.k)) AS common
   FROM window_grams w JOIN item_grams t ON t.item_id = w.item_id AND t.g = w.g GROUP BY ALL),
-scored AS (SELECT *, common / (2.0 * total - common)::DOUBLE AS similarity FROM shared)
-SELECT doc_id, item_id, s - 1 AS start_word, n AS n_words, similarity FROM scored WHERE similarity >= 0.8
+scored AS (SELECT *, common / (total - common)::DOUBLE AS similarity FROM shared)
+SELECT doc_id, item_id, s - 1 AS start_word, width AS n_words, similarity FROM scored WHERE similarity >= 0.8
 QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, s) = 1
 """
 

@@ -6,7 +6,8 @@ import os
 import uuid
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import shared_folder
 
@@ -30,6 +31,19 @@ def reach_workers(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join([root, *known])
 
 
+def named_column(name: str) -> Column:
+    """The column of exactly this name, which may hold dots."""
+    return F.col(f"`{name}`")
+
+
+def unused(name: str, df: DataFrame) -> str:
+    """``name``, with underscores before it until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     """Write ``df`` to the folder all executors share, partitioned if asked, and read it back.
 

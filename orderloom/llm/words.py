@@ -91,6 +91,13 @@ class Words:
         self.hashes = bytes_hash(names)
         self.starts = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
 
+    @classmethod
+    def of(cls, hashes: np.ndarray) -> Words:
+        """One text of words with these hashes."""
+        one = cls.__new__(cls)
+        one.hashes, one.ids, one.starts = hashes, np.arange(len(hashes)), np.array([0, len(hashes)])
+        return one
+
     @property
     def sizes(self) -> np.ndarray:
         return np.diff(self.starts)
