@@ -70,8 +70,9 @@ def test_patterns_take_long_lengths_first_and_the_most_room():
 
 def test_ids_as_the_library_gives_them(tokenizer):
     rng = random.Random(1)
-    chars = "aB é́ 　\n\t\x0b\x1c.!'sS<|>0Σ日🙂ͅİ"
-    texts = ["".join(rng.choice(chars) for _ in range(rng.randrange(50))) for _ in range(500)]
+    chars = "aB é́ 　\n\t\x0b\x1c.!'sS<|>0Σ日🙂ͅİHṮ"
+    texts = ["".join(rng.choice(chars) for _ in range(rng.randrange(50))) for _ in range(1500)]
+    texts += [prose(rng, 50).title() + ", A.", "H̱ ẖ H.", "It's. It'S! end.", "X", ".", "a.", "<|STARTOFTEXT|> A."]
     texts += [prose(rng, 300), "a <|endoftext|> b<|startoftext|>c", None, "", "x" * 9000, "y" * 100]
     coder = packing.Chunks(PATH)
     for _ in range(2):
