@@ -92,14 +92,14 @@ FEED_MAPPING = {
 KNOWN = ("pendingReceipt", "partiallyReceived", "fullyBilled")
 
 
-def feed_documents(d: Domain) -> DataFrame:
-    """The feed in documents of at most 100 orders (200 entries)."""
+def feed_documents(d: Domain, orders: int = 100) -> DataFrame:
+    """The feed in documents of at most so many orders (twice as many entries)."""
     copies = F.explode(F.when(F.col("o_orderkey") % 10 == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
     rows = d.base("orders").select("*", copies.alias("copy"))
     rows.createOrReplaceTempView("feed_rows")
     entries = d.spark.sql(FEED_ENTRY)
     listed = F.transform(F.sort_array(F.collect_list(F.struct("o", "copy", "entry"))), lambda e: e["entry"])
-    return entries.groupBy("page").agg(
+    return entries.withColumn("page", F.expr(f"o div {orders}")).groupBy("page").agg(
         F.concat(F.lit('{"data":['), F.array_join(listed, ","), F.lit("]}")).alias("body")
     )
 
@@ -117,6 +117,48 @@ def _(d: Domain) -> DataFrame:
     return rows.select("page", "pos", *[feed.order_field(f).alias(f) for f in ("internalid", "createdfrom", "status")])
 
 
+# Documents of 10,000 orders; every third has three more elements that are no orders, every seventh lacks its end.
+SPOILED = {
+    "paged": "SELECT *, o // 10000 AS part, row_number() OVER (PARTITION BY o // 10000 ORDER BY o, copy) - 1 AS pos FROM fe",
+    "parts": "SELECT part, count(*) AS n FROM paged GROUP BY part",
+    "spoiled": """SELECT part, n + k AS pos, reason FROM parts, (VALUES (0, 'the element is not an object'), (1, 'the element is not an object'), (2, 'malformed element')) v(k, reason)
+      WHERE part % 3 = 0 AND part % 7 <> 2
+      UNION ALL SELECT part, NULL, 'the feed is not a JSON object with a data list' FROM parts WHERE part % 7 = 2""",
+}
+
+
+def spoiled_feed(d: Domain) -> DataFrame:
+    docs = feed_documents(d, 10_000).withColumnRenamed("page", "part")
+    more = F.when(F.col("part") % 3 == 0, F.lit(',5,["a}",{"b":[1]}],{"b":tru}')).otherwise(F.lit(""))
+    end = F.when(F.col("part") % 7 == 2, F.lit("")).otherwise(F.lit(']}'))
+    return docs.withColumn("body", F.concat(F.expr("left(body, length(body) - 2)"), more, end))
+
+
+@query(
+    "feed_rejects",
+    oracle("SELECT part, CAST(pos AS INTEGER) AS pos, reason AS reject_reason FROM spoiled", **FEED_ORACLE, **SPOILED),
+)
+def _(d: Domain) -> DataFrame:
+    return feed.tag_feed(spoiled_feed(d)).filter("reject_reason is not null").select("part", "pos", "reject_reason")
+
+
+@query(
+    "feed_files",
+    oracle(
+        """SELECT part, pos, CAST(o AS VARCHAR) AS internalid, status, CAST(NULL AS VARCHAR) AS reject_reason FROM paged WHERE part % 7 <> 2
+        UNION ALL SELECT part, pos, NULL, NULL, reason FROM spoiled""",
+        **FEED_ORACLE,
+        **SPOILED,
+    ),
+)
+def _(d: Domain) -> DataFrame:
+    path = f"{shared_folder(d.spark)}/feed-{uuid.uuid4().hex}"
+    spoiled_feed(d).write.partitionBy("part").text(path)
+    tagged = feed.tag_feed_files(d.spark, path)
+    part = F.regexp_extract("file", "part=([0-9]+)", 1).cast("bigint").alias("part")
+    return tagged.select(part, "pos", *[feed.order_field(f).alias(f) for f in ("internalid", "status")], "reject_reason")
+
+
 @query(
     "build_requests",
     oracle(

@@ -188,9 +188,13 @@ def drop_loaded_invoices(records: DataFrame, invoices: DataFrame, mode: str = "i
 
 
 def attach_sales_order_id(orders: DataFrame, key_to_id: DataFrame) -> DataFrame:
-    """Replace ``soint_id`` by the generated parent id ``sales_order_id``."""
-    ids = key_to_id.select("soint_id", F.col("id").alias("sales_order_id"))
-    return orders.join(ids, "soint_id", "left").drop("soint_id")
+    """Replace ``soint_id`` by the generated parent id ``sales_order_id``.
+
+    Orders without one are spread over all tasks by a second key.
+    """
+    spread = F.when(F.col("soint_id").isNull(), _no_match_salt(orders)).otherwise("").alias("_spread")
+    ids = key_to_id.select("soint_id", F.lit("").alias("_spread"), F.col("id").alias("sales_order_id"))
+    return orders.select("*", spread).join(ids, ["soint_id", "_spread"], "left").drop("soint_id", "_spread")
 
 
 def attach_invoice_id(records: DataFrame, key_to_id: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from orderloom.operators.mutations import merge_by_key
 from orderloom.plans.dispatch import dispatch
 from orderloom.plans.extract import extract, extract_with_rejects
-from orderloom.plans.feed_load import feed_orders
+from orderloom.plans.feed_load import feed_orders, placed_bodies
 from orderloom.schemas import VENDOR_INVOICE, VENDOR_INVOICE_ITEMS
 from orderloom.sources.configs import compile_configs, config_frame
 from orderloom.sources.feed import order_field, read_feed
@@ -43,7 +43,7 @@ def test_the_first_of_equal_orders_comes_from_the_first_document(spark):
     rows = [("b", document("second")), ("a", document("first"))]
     for given in (rows, rows[::-1]):
         feed = spark.createDataFrame(given, "file string, body string")
-        known, _ = feed_orders(feed, {"purchase_order_status": "status"}, ("first", "second"), order_by=("file",))
+        known, _ = feed_orders(placed_bodies(feed, ("file",)), {"purchase_order_status": "status"}, ("first", "second"))
         assert [r.purchase_order_status for r in known.collect()] == ["first"]
 
 
