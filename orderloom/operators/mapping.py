@@ -1,9 +1,9 @@
 """Config-driven mapping of a document to an order record, inside the row.
 
-Every document carries its vendor's compiled mapping (``sources.configs``).
-Leaves that match an entry become *hits* ``(grp, field, idx, inner, …)``; scalars
-are the last hit of their field and groups are hits aligned by position. No
-leaf leaves its row, so mapping needs no shuffle and a hot vendor is harmless.
+Every document carries its vendor's mapping (``sources.configs``). A walk of the
+document (``walk``) turns leaves that match an entry into *hits* ``(grp, field, idx,
+inner, …)``; scalars are the last hit of their field and groups are hits aligned by
+position. No leaf leaves its row, so mapping needs no shuffle and a hot vendor is harmless.
 """
 
 from __future__ import annotations
@@ -12,10 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.common import built_once, let
-from ..schemas import DELIVERY_FIELDS, ITEM_FIELDS, SCALAR_TARGETS, SERIALS, SKIP_WHEN_FALSE
+from ..schemas import DELIVERY_FIELDS, ITEM_FIELDS, SCALAR_TARGETS, SERIALS
+from ..session import share_library
 from ..sizing import broadcast_if_small
 from ..sources.configs import QUALIFIED_SIBLING
-from .flatten import leaves, path_index
+from .walk import hits_column
 
 
 def with_config(df: DataFrame, compiled: DataFrame) -> DataFrame:
@@ -23,58 +24,11 @@ def with_config(df: DataFrame, compiled: DataFrame) -> DataFrame:
     return df.join(broadcast_if_small(compiled), "vendor_id", "left")
 
 
-def _hit(m: Column, leaf: Column, idx: Column, inner: Column) -> Column:
-    return F.struct(
-        m["grp"].alias("grp"),
-        m["field"].alias("field"),
-        idx.alias("idx"),
-        inner.alias("inner"),
-        m["ord"].alias("ord"),
-        leaf["seq"].alias("seq"),
-        leaf["value"].alias("value"),
-        F.coalesce(~leaf["truthy"] & (leaf["value"] != ""), F.lit(False)).alias("zero"),
-        leaf["truthy"].alias("truthy"),
-        F.lit(False).alias("exact"),
-    )
-
-
-def _positioned(m: Column, found: Column, legacy: bool) -> Column:
-    return F.transform(
-        found,
-        lambda leaf: _hit(
-            m,
-            leaf,
-            path_index(leaf["path"], m["idx_seg"], legacy),
-            F.when(m["nested"], path_index(leaf["path"], m["inner_seg"], legacy)).otherwise(0),
-        ),
-    )
-
-
-def _text_hit(m: Column, text: Column) -> Column:
-    """A scalar hit that is not a leaf (a join of leaves)."""
-    return F.struct(
-        F.lit("").alias("grp"),
-        m["target"].alias("field"),
-        F.lit(0).alias("idx"),
-        F.lit(0).alias("inner"),
-        m["ord"].alias("ord"),
-        F.lit(0).alias("seq"),
-        text.alias("value"),
-        F.lit(False).alias("zero"),
-        (F.coalesce(text, F.lit("")) != "").alias("truthy"),
-        F.lit(False).alias("exact"),
-    )
-
-
 def join_wildcard_values(matching: Column) -> Column:
     """Values of the matching leaves joined by ``', '`` in document order; NULLs are skipped."""
     return F.array_join(F.transform(matching, lambda x: x["value"]), ", ")
 
 
-def _joined(m: Column, lv: Column, use: Column) -> Column:
-    return F.array(_text_hit(m, join_wildcard_values(F.filter(lv, lambda x: use(x)))))
-
-
 def find_qualified(lv: Column, qualifier: Column, sign: Column) -> Column:
     """The leaf next to the first ``…<qualifier>`` leaf whose value is ``sign``: an array of 0 or 1."""
 
@@ -90,84 +44,6 @@ def find_qualified(lv: Column, qualifier: Column, sign: Column) -> Column:
     )
 
 
-def _entry_hits(m: Column, lv: Column, paths: Column, legacy: bool) -> Column:
-    """Hits of an entry by exact path, else by the rules that look at whole documents."""
-    no_hits = F.filter(F.array(_text_hit(m, m["path"])), lambda x: F.lit(False))
-
-    def exact(leaf: Column) -> Column:
-        hit = _hit(m, leaf, F.lit(0), F.lit(0)).withField("exact", F.lit(True))
-        return F.when(m["target"].isin(*SKIP_WHEN_FALSE) & ~leaf["truthy"], no_hits).otherwise(F.array(hit))
-
-    by_document = (
-        F.when(m["kind"].isin("wild", "suffix", "exact"), no_hits)
-        .when(
-            m["kind"] == "qualifier",
-            F.transform(find_qualified(lv, m["first"], m["sign"]), lambda x: _hit(m, x, F.lit(0), F.lit(0))),
-        )
-        .when(m["kind"] == "prefix", _positioned(m, F.filter(lv, lambda x: x["path"].startswith(m["first"])), legacy))
-        .when(m["kind"] == "join_prefix", _joined(m, lv, lambda x: x["path"].startswith(m["first"])))
-        .otherwise(
-            _joined(
-                m,
-                lv,
-                lambda x: x["path"].startswith(m["first"])
-                & x["path"].endswith(m["last"])
-                & ((m["kind"] == "join") | x["truthy"]),
-            )
-        )
-    )
-    return let(
-        F.array_position(paths, m["path"]).cast("int"),
-        lambda at: F.when(at > 0, let(F.get(lv, at - 1), exact)).otherwise(by_document),
-    )
-
-
-def _leaf_hits(leaf: Column, mapping: Column, exact_paths: Column, legacy: bool) -> Column:
-    """Hits of a leaf by its first and last segment: one lookup, then the few entries
-    found there. Entries whose own path is in the document are out."""
-
-    def usable(m: Column) -> Column:
-        nested_only = (m["kind"] == "wild") | leaf["path"].contains(".")
-        return nested_only & ~F.array_contains(exact_paths, m["path"])
-
-    def hit(m: Column) -> Column:
-        inner = F.when(m["nested"], path_index(leaf["path"], m["inner_seg"], legacy)).otherwise(0)
-        return _hit(m, leaf, path_index(leaf["path"], m["idx_seg"], legacy), inner)
-
-    return let(
-        F.array_position(mapping["keys"], leaf["ends"]).cast("int"),
-        lambda at: F.when(at > 0, F.transform(F.filter(F.get(mapping["rules"], at - 1), usable), hit)),
-    )
-
-
-def mapping_hits(lv: Column, mapping: Column, legacy_index: bool = False) -> Column:
-    """All hits of a document's leaves (with segments) against its mapping."""
-
-    def found(leaf_list: Column, paths: Column, rules: Column) -> Column:
-        ruled = F.flatten(F.transform(rules["rules"], lambda r: F.transform(r, lambda m: m["path"])))
-        by_entry = F.flatten(
-            F.transform(rules["entries"], lambda m: _entry_hits(m, leaf_list, paths, legacy_index))
-        )
-        by_leaf = let(
-            F.array_intersect(ruled, paths),
-            lambda exact_paths: F.flatten(
-                F.filter(
-                    F.transform(leaf_list, lambda x: _leaf_hits(x, rules, exact_paths, legacy_index)),
-                    lambda x: x.isNotNull(),
-                )
-            ),
-        )
-        return F.when(rules.isNotNull(), F.concat(by_entry, by_leaf))
-
-    return let(
-        lv,
-        lambda leaf_list: let(
-            F.transform(leaf_list, lambda x: x["path"]),
-            lambda paths: let(mapping, lambda rules: found(leaf_list, paths, rules)),
-        ),
-    )
-
-
 def scalar_value(fields: Column, values: Column, field: str) -> Column:
     """The value written last to a scalar field; ``fields`` and ``values`` are last first."""
     return F.get(values, F.array_position(fields, field).cast("int") - 1)
@@ -271,22 +147,21 @@ def _serials(hits: Column, is_serialized: Column) -> Column:
 
 
 def _regroup(items: Column, positions: Column) -> Column:
-    """Items back into their outer positions."""
+    """Items back into their outer positions, which ascend: one pass over the places where they change."""
 
-    def nested(rows: Column, starts: Column) -> Column:
-        return F.transform(
-            F.array_distinct(starts),
-            lambda o: F.slice(rows, F.array_position(starts, o).cast("int"), F.size(F.filter(starts, lambda x: x == o))),
-        )
+    def changes(outer: Column) -> Column:
+        return F.filter(F.transform(outer, lambda o, i: F.when((i == 0) | (F.get(outer, i - 1) != o), i)), lambda i: i.isNotNull())
+
+    def cut(rows: Column, at: Column) -> Column:
+        return F.transform(at, lambda i, k: F.slice(rows, i + 1, F.coalesce(F.get(at, k + 1), F.size(rows)) - i))
 
     outer = F.transform(positions, lambda writes: writes[0]["idx"])
-    return let(outer, lambda starts: let(items, lambda rows: nested(rows, starts)))
+    return let(outer, lambda starts: let(changes(starts), lambda at: let(items, lambda rows: cut(rows, at))))
 
 
 @built_once
-def _hits_column(doc: str, text: str, lone_lists: bool, legacy_index: bool) -> Column:
-    found = leaves(F.col(doc), F.col(text), lone_lists, segments=True)
-    return mapping_hits(found, F.col("mapping"), legacy_index)
+def _hits_column(lone_lists: bool, legacy_index: bool) -> Column:
+    return hits_column(F.col("_document"), F.col("_entries"), lone_lists, legacy_index)
 
 
 @built_once
@@ -326,12 +201,12 @@ def map_record(
     Narrow: one projection chain, no exchange.
     """
     others = [c for c in df.columns if c not in (doc, text, "mapping")]
-    found = _hits_column(doc, text, lone_lists, legacy_index)
-    # The generator keeps filters on mapped fields above it; a plain projection would
-    # be merged into them and flatten every document once per condition.
-    hits = df.select(
-        *others, F.explode(F.array(found)).alias("_hits"), F.exists("mapping.entries", lambda m: m["nested"]).alias("_nested")
-    )
+    share_library(df.sparkSession)
+    texts = df.select(
+        *others, F.to_json(F.col(doc)).alias("_document"), F.col("mapping.text").alias("_entries"),
+        F.exists("mapping.entries", lambda m: m["nested"]).alias("_nested"),
+    )
+    hits = texts.select(*others, _hits_column(lone_lists, legacy_index).alias("_hits"), "_nested")
     scalars = hits.withColumn("_scalars", F.reverse(F.filter("_hits", lambda x: x["grp"] == "")))
     aligned = scalars.select(
         *others,

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,6 +31,18 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
     )
 
 
+def share_library(spark: SparkSession) -> None:
+    """Let Python workers import the library from where the driver has it, whatever folder they start in.
+
+    On a cluster the library must be at that place on every machine, or come with ``--py-files``.
+    """
+    root = str(Path(__file__).resolve().parents[1])
+    environment = spark.sparkContext.environment
+    known = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *known])
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 

@@ -184,19 +184,8 @@ def _carrier(c: Column) -> Column:
 
 @built_once
 def _mapping_column() -> Column:
-    """``entries`` in config order, and the entries that go by first and last segment
-    once more, grouped: ``rules[i]`` holds those whose ``ends`` are ``keys[i]``."""
-
-    def indexed(entries: Column) -> Column:
-        ruled = F.filter(entries, lambda m: m["kind"].isin("wild", "suffix"))
-        keys = F.array_distinct(F.transform(ruled, lambda m: m["ends"]))
-        return F.struct(
-            entries.alias("entries"),
-            keys.alias("keys"),
-            F.transform(keys, lambda k: F.filter(ruled, lambda m: m["ends"] == k)).alias("rules"),
-        )
-
-    return let(_mapping(F.col("c")), indexed)
+    """``entries`` in config order, and the same as JSON ``text``."""
+    return let(_mapping(F.col("c")), lambda entries: F.struct(entries.alias("entries"), F.to_json(entries).alias("text")))
 
 
 @built_once

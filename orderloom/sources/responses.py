@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from ..functions.common import is_blank
 from ..functions.status import ERROR, map_status
 from ..operators.flatten import extract_path, has_path
+from ..session import share_library
+from .xml import xml_to_json
 
 RESPONSE_SCHEMA = (
     "vendor_id bigint, so_number string, po_number string, need_serial_no boolean, "
@@ -61,7 +63,7 @@ def rejected_responses(tagged: DataFrame) -> DataFrame:
 
 
 #: A body of more than this many bytes may not fit into one VARIANT.
-DOCUMENT_BYTES = 16 * 1024 * 1024
+DOCUMENT_BYTES = 128 * 1024 * 1024
 
 
 def _why_unparsed(body: Column) -> Column:
@@ -71,38 +73,20 @@ def _why_unparsed(body: Column) -> Column:
     return F.when(large & is_json, "body over the size of one document").otherwise("malformed body")
 
 
-# Stands before every text of an XML document while it is parsed, so that none is read as a
-# number. A private-use character; where a body has it, it is lost.
-_TEXT_MARK = "\ue000"
-_XML_OPTIONS = "map('attributePrefix', '@', 'valueTag', '#text')"
-
-
 def read_xml_responses(df: DataFrame) -> DataFrame:
     """Parse XML bodies to ``doc``; tags rows as the JSON reader does.
 
     Any root and any tags: an element that repeats is a list, one occurrence carries
-    no position; attributes are ``@name``, an element's own text beside attributes is
-    ``#text``, an empty element is null, and all values stay text. ``body`` becomes
-    the JSON text of the parsed document, with the root element around it.
+    no position; attributes are ``@name``, an element's own text beside attributes or
+    other elements is ``#text``, an empty element is null, and all values stay text.
+    ``body`` becomes the JSON text of the parsed document, with the root element around it.
     """
-    plain = F.regexp_replace(F.regexp_replace("body", r"(?s)<!--.*?-->|<\?.*?\?>", ""), _TEXT_MARK, "")
-    cdata = F.replace(plain, F.lit("<![CDATA["), F.lit(f"<![CDATA[{_TEXT_MARK}"))
-    texts = F.regexp_replace(cdata, r">(\s*)([^<>\s][^<>]*)<", f">$1{_TEXT_MARK}$2<")
-    # Attribute values inside a tag; texts were marked before, and have no tag around them.
-    marked = F.regexp_replace(texts, r"(?<=[\w:.-])=([\"'])(?=[^<>]*>)", f"=$1{_TEXT_MARK}")
-    root = F.regexp_extract(plain, r"<([A-Za-z_][\w:.-]*)", 1)
-    checked = df.withColumn("_marked", marked).withColumn("_root", root)
-    broken = F.expr("from_xml(_marked, '_corrupt_record string, c string', map('columnNameOfCorruptRecord', '_corrupt_record'))")
-    sound = broken.isNotNull() & broken["_corrupt_record"].isNull() & (F.col("_root") != "")
-    parsed = F.when(sound, F.expr(f"from_xml(_marked, 'variant', {_XML_OPTIONS})"))
-    wrapped = F.concat(F.lit('{"'), F.col("_root"), F.lit('":'), F.replace(F.to_json(parsed), F.lit(_TEXT_MARK), F.lit("")), F.lit("}"))
-    reason = F.coalesce(transport_error(F.col("status_code"), F.col("body")), F.when(F.col("_json").isNull(), "malformed body"))
-    tagged = checked.withColumn("_json", wrapped).withColumn("reject_reason", reason)
-    return (
-        tagged.withColumn("body", F.when(F.col("reject_reason").isNull(), F.col("_json")).otherwise(F.col("body")))
-        .withColumn("doc", F.when(F.col("reject_reason").isNull(), F.try_parse_json("body")))
-        .drop("_marked", "_root", "_json")
-    )
+    share_library(df.sparkSession)
+    error = transport_error(F.col("status_code"), F.col("body"))
+    parsed = df.withColumn("_json", xml_to_json(F.when(error.isNull(), F.col("body"))))
+    reason = F.coalesce(error, F.when(F.col("_json").isNull(), "malformed body"))
+    tagged = parsed.withColumn("reject_reason", reason).withColumn("body", F.coalesce("_json", "body")).drop("_json")
+    return tagged.withColumn("doc", F.when(F.col("reject_reason").isNull(), F.try_parse_json("body")))
 
 
 def require_body_path(df: DataFrame, dotted: str | Column, doc: str = "doc") -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import materialize
+from ..session import materialize, share_library
 
 #: Text of a body that is looked at at a time.
 CHUNK = 1 << 20
@@ -162,6 +162,7 @@ def elements(text: str | None) -> list[bytes] | None:
 
 def elements_of_bodies(df: DataFrame, body: str = "body") -> DataFrame:
     """One row an element: the other columns, ``pos`` and ``element``; a body that is no feed gives a row with nulls there."""
+    share_library(df.sparkSession)
     others = [c for c in df.columns if c != body]
     kept = F.struct(*[F.col(f"`{c}`") for c in others]) if others else F.struct(F.lit(0).alias("none"))
     rows = df.select(kept.alias("kept"), F.col(body).alias("body"))
@@ -242,6 +243,7 @@ def elements_of_files(spark: SparkSession, path: str | list[str]) -> tuple[DataF
     One feed a file, of any size, in as many tasks as it has ranges; a compressed file is one range. The cut
     elements are written once. There is one row a range in what is broadcast.
     """
+    share_library(spark)
     meta = F.col("_metadata")
     pieces = spark.read.option("lineSep", "}").text(path).select(
         "value", meta.file_path.alias("path"), meta.file_size.alias("size"), meta.file_block_start.alias("block")

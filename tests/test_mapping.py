@@ -106,7 +106,9 @@ def test_unknown_vendor_maps_to_nothing(spark):
 
 def test_plan_has_no_shuffle(spark):
     plan = mapped(spark, [EXAMPLE], PAIRS)._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan and "Python" not in plan
+    assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    # One walk of each document over Arrow columns, no row-at-a-time Python.
+    assert plan.count("ArrowEvalPython [") == 1 and "BatchEvalPython" not in plan
 
 
 def test_config_files_and_precedence(spark, tmp_path):

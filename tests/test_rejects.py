@@ -69,6 +69,26 @@ def test_xml_of_any_root_keeps_all_its_tags_as_text(spark):
     assert got["C"].reject_reason == got["D"].reject_reason == "malformed body"
 
 
+def test_xml_keeps_every_text(spark):
+    bodies = {
+        "cdata": ("<o><![CDATA[a <!-- keep --> <?b?> c]]></o>", {"o": "a <!-- keep --> <?b?> c"}),
+        "comment": ("<o>a<!-- gone --><![CDATA[ ]]>b<?pi gone?></o>", {"o": "a b"}),
+        "name": ("<rés ü='1'><日>x</日></rés>", {"rés": {"@ü": "1", "日": "x"}}),
+        "mark": ("<o>\ue000x\ue000</o>", {"o": "\ue000x\ue000"}),
+        "prefix": ("<n:o xmlns:n='u'><n:p n:q='1'/><p/></n:o>", {"n:o": {"@xmlns:n": "u", "n:p": {"@n:q": "1"}, "p": None}}),
+        "entity": ("<o a='&lt;&#233;'>&amp;&quot; \\ &#10;x</o>", {"o": {"@a": "<é", "#text": '&" \\ \nx'}}),
+        "mixed": ("<o>a<b>1</b>c<b>2</b></o>", {"o": {"b": ["1", "2"], "#text": "ac"}}),
+        "prolog": ("\ufeff \n<?xml version='1.0' encoding='ISO-8859-1'?><!DOCTYPE o><o>é</o>\n", {"o": "é"}),
+        "number": ("<o><a>01</a><a>1.50</a><b>true</b><c> </c><d x=''/></o>", {"o": {"a": ["01", "1.50"], "b": "true", "c": None, "d": {"@x": ""}}}),
+        "bomb": ("<!DOCTYPE o [<!ENTITY a 'x'>]><o>&a;</o>", None), "two": ("<a/><b/>", None), "twice": ("<a x='1' x='2'/>", None), "cut": ("<a><b></a>", None),
+    }
+    rows = [(k, 200, "OK", v) for k, (v, _) in bodies.items()] + [("deep", 200, "OK", "<a>" * 900 + "x" + "</a>" * 900)]
+    got = {r.k: r for r in read_xml_responses(spark.createDataFrame(rows, "k string, status_code int, reason string, body string")).drop("doc").collect()}
+    for k, (body, want) in bodies.items():
+        assert (got[k].reject_reason, json.loads(got[k].body) if want else got[k].body) == ((None, want) if want else ("malformed body", body)), k
+    assert got["deep"].reject_reason is None and got["deep"].body.count("{") == 900
+
+
 def test_pieces_of_one_invoice_are_loaded_together(spark):
     config = CONFIG | {"check_multi_invoice_and_split": True, "fields_to_split_for_multi_invoice": ["invoice_number", "items"]}
     many = (1, "shipped", "A, B", [("01", 1, 1, "1.00"), ("02", 2, 2, "2.00"), ("03", 3, 3, "3.00")])
