@@ -292,7 +292,10 @@ def near_duplicates(
     classes = known.groupBy(*fingerprint).agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
     member = known.select("doc_id", *fingerprint).join(classes, fingerprint).select("doc_id", "rep", "copies")
     member = materialize(member, "members")
-    same = member.filter("copies > 1 and doc_id != rep").select(F.col("rep").alias("u"), F.col("doc_id").alias("v"))
+    # A document with several texts may be in several classes, and links them.
+    owned = member.select("doc_id", "rep").distinct()
+    several = owned.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id")
+    bridges = owned.join(several, "doc_id", "left_semi").select(F.col("rep").alias("u"), F.col("doc_id").alias("v"))
 
     first = known.join(member.filter("doc_id = rep").select("doc_id").distinct(), "doc_id", "left_semi")
     keyed = first.select("doc_id", F.explode("bands").alias("key"))
@@ -315,7 +318,7 @@ def near_duplicates(
     # A document with several texts joins its links once per text.
     links = materialize(_confirm(likely, sets, percent).distinct(), "confirmed")
 
-    label = components(links)
+    label = materialize(components(links.union(bridges)), "labels")
     open_rows = bucketed.filter("n > 2").select("key", "doc_id", "hub").join(
         label.select(F.col("node").alias("doc_id"), "label"), "doc_id", "left"
     ).withColumn("label", F.coalesce("label", "doc_id"))
@@ -327,11 +330,27 @@ def near_duplicates(
         rows_ = unsettled.select("doc_id", "label").distinct().join(
             group.select(F.col("node").alias("doc_id"), F.col("label").alias("g")), "doc_id"
         )
-        links = links.union(_settle(rows_, sets, percent))
-    final = components(links.union(same))
-    named = sigs.select("doc_id", "n_shingles").join(
-        final.select(F.col("node").alias("doc_id"), F.col("label").alias("_label")), "doc_id", "left"
-    )
-    component = F.coalesce("_label", "doc_id")
+        label = _joined_labels(label, materialize(_settle(rows_, sets, percent), "settled"))
+    # Copies have the label of their class's first document.
+    first_class = owned.groupBy("doc_id").agg(F.min("rep").alias("rep"))
+    named = sigs.select("doc_id", "n_shingles").join(first_class, "doc_id", "left").join(
+        label.select(F.col("node").alias("rep"), F.col("label").alias("_label")), "rep", "left"
+    )
+    component = F.coalesce("_label", "rep", "doc_id")
     kept = F.coalesce(F.col("doc_id") == component, F.lit(True))
     return named.select("doc_id", "n_shingles", component.alias("component_id"), kept.alias("kept"))
+
+
+def _joined_labels(label: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after further links, which are followed between whole components."""
+
+    def labelled(side: str) -> DataFrame:
+        return label.select(F.col("node").alias(side), F.col("label").alias(f"_{side}"))
+
+    between = links.join(labelled("u"), "u", "left").join(labelled("v"), "v", "left").select(
+        F.coalesce("_u", "u").alias("u"), F.coalesce("_v", "v").alias("v")
+    )
+    merged = materialize(components(between), "merged")
+    new = merged.select(F.col("node").alias("label"), F.col("label").alias("_new"))
+    old = label.join(new, "label", "left").select("node", F.coalesce("_new", "label").alias("label"))
+    return old.union(merged.join(label.select("node"), "node", "left_anti").select("node", "label"))
