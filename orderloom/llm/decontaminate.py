@@ -75,19 +75,19 @@ class MultiIndex:
     def __init__(self, fingerprints: np.ndarray):
         self.fingerprints = fingerprints
         near = _near_values()
-        self.items, self.starts = [], []
+        self.items, self.values = [], []
         for b in range(BLOCKS):
             values = (fingerprints[:, b, None] ^ near[None]).ravel()
             order = np.argsort(values, kind="stable")
             self.items.append((order // len(near)).astype(np.int32))
-            self.starts.append(np.searchsorted(values[order], np.arange((1 << 16) + 1)).astype(np.int32))
+            self.values.append(values[order])
 
     def within(self, fingerprints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ``(query, item)`` positions within the radius."""
         n = len(self.fingerprints)
         found = []
         for b in range(BLOCKS):
-            lo, hi = (self.starts[b][fingerprints[:, b].astype(np.int64) + k].astype(np.int64) for k in (0, 1))
+            lo, hi = (np.searchsorted(self.values[b], fingerprints[:, b], side) for side in ("left", "right"))
             sizes = hi - lo
             place = np.repeat(lo - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
             query, item = np.repeat(np.arange(len(fingerprints)), sizes), self.items[b][place]
