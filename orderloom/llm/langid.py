@@ -248,7 +248,7 @@ def identify(docs: DataFrame, field: Field | None, keep: tuple[str, ...] = (), a
         field = shared.value
         names = np.array([*field.languages, UNDECIDED], dtype=object)
         for batch in batches:
-            for part in text_slices(batch, limit=1 << 20):
+            for part in text_slices(batch, limit=2 << 20):
                 words = Words(pc.if_else(part.column("lettered"), part.column("text"), None))
                 sizes, k = words.sizes, len(field.languages)
                 gamma = posteriors(field, words)

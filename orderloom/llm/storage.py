@@ -2,33 +2,30 @@
 
 from __future__ import annotations
 
-import os
 import uuid
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shared_folder
-
+from ..session import share_library, shared_folder
 
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: What workers give back to the system: large arrays when they are freed, and Arrow's buffers with them.
+WORKER_MEMORY = {"MALLOC_MMAP_THRESHOLD_": "1048576", "MALLOC_TRIM_THRESHOLD_": "8388608", "ARROW_DEFAULT_MEMORY_POOL": "system"}
 
 
 def reach_workers(spark: SparkSession) -> None:
-    """Let Python workers import the library from where the driver has it, whatever folder they start in.
+    """Let Python workers import the library (``share_library``), and keep them small.
 
-    On a cluster the library must be at that place on every machine, or come with ``--py-files``.
-    Where the session has Spark's default of rows in an Arrow batch, it gets a smaller one: rows are
-    whole texts here, and a batch is held several times over, in the JVM and in Python.
+    Workers live on between tasks, so what their allocator keeps would add up. Where the session has Spark's
+    default of rows in an Arrow batch, it gets a smaller one: rows are whole texts here, and a batch is held
+    several times over, in the JVM and in Python.
     """
     if spark.conf.get(BATCH_ROWS, "10000") == "10000":
         spark.conf.set(BATCH_ROWS, "2000")
-    root = str(Path(__file__).resolve().parents[2])
-    environment = spark.sparkContext.environment
-    known = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
-    if root not in known:
-        environment["PYTHONPATH"] = os.pathsep.join([root, *known])
+    for name, value in WORKER_MEMORY.items():
+        spark.sparkContext.environment.setdefault(name, value)
+    share_library(spark)
 
 
 def named_column(name: str) -> Column:
