@@ -10,21 +10,23 @@ from pyspark.sql import functions as F
 from ..session import share_library, shared_folder
 
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
-#: What workers give back to the system: large arrays when they are freed, and Arrow's buffers with them.
-WORKER_MEMORY = {"MALLOC_MMAP_THRESHOLD_": "1048576", "MALLOC_TRIM_THRESHOLD_": "8388608", "ARROW_DEFAULT_MEMORY_POOL": "system"}
+#: Makes workers give large arrays back to the system when they are freed, and Arrow's buffers with them; it costs
+#: about a quarter more time where these are made anew all the time.
+SMALL_WORKERS = {"MALLOC_MMAP_THRESHOLD_": "1048576", "MALLOC_TRIM_THRESHOLD_": "8388608", "ARROW_DEFAULT_MEMORY_POOL": "system"}
 
 
-def reach_workers(spark: SparkSession) -> None:
-    """Let Python workers import the library (``share_library``), and keep them small.
+def reach_workers(spark: SparkSession, small: bool = False) -> None:
+    """Let Python workers import the library (``share_library``).
 
-    Workers live on between tasks, so what their allocator keeps would add up. Where the session has Spark's
-    default of rows in an Arrow batch, it gets a smaller one: rows are whole texts here, and a batch is held
-    several times over, in the JVM and in Python.
+    Where the session has Spark's default of rows in an Arrow batch, it gets a smaller one: rows are whole
+    texts here, and a batch is held several times over, in the JVM and in Python. ``small`` is for jobs of
+    many kinds of work: workers live on between tasks, and what their allocator keeps would add up.
     """
     if spark.conf.get(BATCH_ROWS, "10000") == "10000":
         spark.conf.set(BATCH_ROWS, "2000")
-    for name, value in WORKER_MEMORY.items():
-        spark.sparkContext.environment.setdefault(name, value)
+    if small:
+        for name, value in SMALL_WORKERS.items():
+            spark.sparkContext.environment.setdefault(name, value)
     share_library(spark)
 
 
