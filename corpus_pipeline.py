@@ -30,7 +30,7 @@ def with_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     the ids. Null, empty and letterless texts go. Every row is judged by its own whole text,
     also where its ``doc_id`` is null or repeated. An empty table stays empty.
     """
-    reach_workers(spark)
+    reach_workers(spark, small=True)
     share = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
     field = langid.fit(docs, share != 2)
     answer = unused("answer", docs)
@@ -58,7 +58,7 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     null id comes last. Rows without words are linked with nothing and stay. Repeated rows
     are copies. Texts are compared whole; an empty table stays empty.
     """
-    reach_workers(spark)
+    reach_workers(spark, small=True)
     numbered, number = _numbered(docs)
     rows = numbered.select(F.col(number).alias("_row"), "doc_id", "text")
     verdict = minhash.near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"), shingle=5, percent=80)
@@ -77,7 +77,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     Null and empty texts hold none. Repeated rows stay or go together. Texts are searched whole;
     an empty table stays empty.
     """
-    reach_workers(spark)
+    reach_workers(spark, small=True)
     numbered, number = _numbered(docs)
     rows = numbered.select(F.col(number).alias("doc_id"), "text")
     found = decontaminate.contaminated(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
@@ -91,7 +91,7 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     Rows keep their other columns, whatever these are called; repeated rows are masked alike.
     Texts are read whole; an empty table stays empty.
     """
-    reach_workers(spark)
+    reach_workers(spark, small=True)
     others = [c for c in docs.columns if c != "text"]
     packed = docs.select("text", F.col("text").isNull().alias("lost"), F.struct(*map(named_column, others)).alias("kept"))
     found = pii.find(packed, pii.train(docs)).select("kept", "lost", "found", F.expr(pii.masked()).alias("text"))
@@ -107,7 +107,7 @@ def as_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A null text counts as empty. Every row is encoded, repeated ones and those without a ``doc_id``
     too, whole texts each; only ``doc_id`` and ``text`` are read. An empty table gives no rows.
     """
-    reach_workers(spark)
+    reach_workers(spark, small=True)
     return bpe.encode_documents(docs, public_tokenizers.path(RANK_FILE), public_tokenizers.PATTERN)
 
 
