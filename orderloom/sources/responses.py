@@ -13,6 +13,7 @@ from ..functions.common import is_blank
 from ..functions.status import ERROR, map_status
 from ..operators.flatten import extract_path, has_path
 from ..session import share_library
+from ..sizing import broadcast_if_small
 from .xml import xml_to_json
 
 RESPONSE_SCHEMA = (
@@ -20,6 +21,9 @@ RESPONSE_SCHEMA = (
     "status_code int, reason string, body string, content_type string"
 )
 
+# A second document of an order: one per invoice, or one for all of its numbers.
+SECOND_SCHEMA = "vendor_id bigint, so_number string, invoice_number string, status_code int, reason string, body string"
+
 # Accepted HTTP statuses (inclusive).
 ACCEPTED_STATUS = (200, 209)
 
@@ -116,6 +120,19 @@ def route_by_connection_type(df: DataFrame) -> tuple[DataFrame, DataFrame, DataF
     )
 
 
+def read_routed(df: DataFrame, vendors: DataFrame | None = None) -> DataFrame:
+    """Responses of all vendors with ``doc`` and ``reject_reason``, each read as its vendor's ``connection_type`` says.
+
+    ``vendors`` has ``vendor_id, connection_type``; without it all are JSON. Other types are rejected.
+    """
+    if vendors is None:
+        return read_json_responses(df)
+    kinds = broadcast_if_small(vendors.select("vendor_id", "connection_type"))
+    api, xml, others = route_by_connection_type(df.join(kinds, "vendor_id", "left"))
+    tagged = read_json_responses(api).unionByName(read_xml_responses(xml))
+    return tagged.unionByName(others.withColumn("doc", F.lit(None).cast("variant"))).drop("connection_type")
+
+
 Path = str | Column | None
 
 

@@ -25,7 +25,7 @@ first_date_of money_or_zero empty_to_null coerce_and_validate status_from_invoic
 finish_record insert_rows update_by_key bulk_upsert upsert_sales_orders upsert_purchase_orders upsert_invoices replace_children assign_ids
 update_bill_results update_order_status check_unique check_foreign_keys incremental_ingest explode_multi_field_by_vendor
 require_body_path_by_vendor error_to_status_by_vendor second_call_job dispatch_duplicate_keys dispatch_rejects vendor_unknown_targets
-stored_deliveries feed_rejects feed_files""".split()
+stored_deliveries feed_rejects feed_files second_call_ingest""".split()
 
 
 def test_every_operator_has_a_query_and_an_oracle():
