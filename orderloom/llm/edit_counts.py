@@ -215,6 +215,7 @@ def count_edited(docs: DataFrame, edits: Column, path: str, pattern: str) -> Dat
     what lies beyond the text is cut to it, and a null edit text deletes. ``n_pieces`` counts the pieces
     before, ``n_encoded`` the ones encoded again for all edits. A null text counts as
     empty, null edits as none; ids may be null or repeated; other columns are not read.
+    An empty table gives no rows; a text of any length is one tree, counted whole.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

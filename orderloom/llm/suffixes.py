@@ -397,6 +397,7 @@ def repeated_passages(docs: DataFrame, least: int = 50) -> DataFrame:
     - Texts under one ``doc_id`` that differ are different documents.
     - Null ids count as one id. Null texts and texts of fewer than ``least`` words repeat nothing.
     - Documents without repeats have no row; other columns are not read.
+    - An empty table gives no rows. A text of any length is compared whole: one longer than a block is a block of its own.
     """
     if least < 2 * GRAM:
         raise ValueError(f"least must be at least {2 * GRAM}")
