@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from checks.domain import Domain
 from orderloom.operators.mapping import map_record, with_config
-from orderloom.sources import configs
+from orderloom.sources import configs, staging
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -25,3 +25,31 @@ def test_mapped_parts_come_from_the_walk(spark):
     mapped = map_record(with_config(docs.withColumn("doc", F.try_parse_json("body")), compiled))
     assert [(i.itemno, i.zero_fields) for i in mapped.first()["items"]] == [("x", []), ("0", ["itemno"])]
     assert "sort_array" not in plan_of(mapped)
+
+
+def test_configs_are_compiled_in_many_tasks_and_hashed_where_large(spark, monkeypatch):
+    from orderloom import sizing
+
+    some = {v: {"mapping": {"fulfillment_table": [{"destination_field": "a", "source_field": "memo"}]}} for v in range(40)}
+    compiled = configs.compile_configs(configs.config_frame(spark, some).coalesce(1))
+    assert compiled.rdd.getNumPartitions() > 1
+    monkeypatch.setattr(sizing.broadcast_if_small, "__defaults__", (10, 1000))
+    rows = spark.createDataFrame([(3, "{}"), (99, "{}")], "vendor_id bigint, body string")
+    joined = with_config(rows, compiled)
+    assert "SortMergeJoin" not in plan_of(joined) and "BroadcastHashJoin" not in plan_of(joined)
+    assert {r.vendor_id: r.mapping is None for r in joined.collect()} == {3: False, 99: True}
+
+
+def test_staged_files_do_not_grow_with_the_vendors(spark, tmp_path):
+    rows = spark.range(4000).select("id", F.when(F.col("id") % 7 > 0, F.col("id") % 1000).alias("vendor_id"))
+    for fmt in ("parquet", "json"):
+        path = str(tmp_path / fmt)
+        staging.stage_write(rows, path, "r1", fmt)
+        staging.stage_write(rows.limit(10), path, "r2", fmt)
+        staging.stage_write(rows.filter("id < 100"), path, "r2", fmt)
+        assert len([*(tmp_path / fmt).rglob("part-*")]) <= 2 * staging.BUCKETS * 8
+        read = staging.stage_read(spark, path, "id bigint, run_id string, vendor_id bigint", fmt)
+        assert sorted(read.groupBy("run_id").count().collect()) == [("r1", 4000), ("r2", 100)]
+        assert sorted(map(tuple, read.filter("run_id = 'r1'").select("id", "vendor_id").collect())) == sorted(map(tuple, rows.collect()), key=lambda r: r[0])
+        one = staging.stage_read(spark, path, "id bigint, run_id string, vendor_id bigint", fmt, only={"vendor_id": 3})
+        assert sorted(r.id for r in one.filter("run_id = 'r1'").collect()) == [r.id for r in rows.filter("vendor_id = 3").collect()]
