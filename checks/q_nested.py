@@ -129,9 +129,9 @@ def nested_documents(d: Domain) -> DataFrame:
     """Documents ``{"g": [{"l": [{"p": …}, …]}, …]}`` with lines in groups by return flag."""
     lines = d.lines_by_document()
     inner = F.concat(F.lit('{"l":['), F.array_join(F.transform(F.sort_array(F.collect_list("json_line")), lambda x: x), ","), F.lit("]}"))
-    groups = lines.groupBy("rec_id", "l_returnflag").agg(inner.alias("g"))
+    groups = lines.groupBy("o", "l_returnflag").agg(inner.alias("g"))
     body = F.concat(F.lit('{"g":['), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("l_returnflag", "g"))), lambda x: x["g"]), ","), F.lit("]}"))
-    docs = groups.groupBy("rec_id").agg(body.alias("body"))
+    docs = groups.groupBy("o").agg(body.alias("body")).withColumn("rec_id", F.col("o").cast("string"))
     vendor = F.lit(0).cast("bigint").alias("vendor_id")
     return docs.select("rec_id", vendor, "body", F.try_parse_json("body").alias("doc"), F.lit(True).alias("need_serial_no"))
 
@@ -287,7 +287,7 @@ def _(d: Domain) -> DataFrame:
 def _(d: Domain) -> DataFrame:
     lines = d.lines_by_document()
     entry = F.struct("ln", "part", "supp", "ship_day", "json_line")
-    arrays = lines.groupBy("rec_id", "o").agg(F.sort_array(F.collect_list(entry)).alias("l"))
+    arrays = lines.groupBy("o").agg(F.sort_array(F.collect_list(entry)).alias("l"))
     zipped = arrays.select(
         "o", F.transform("l", lambda x: x["part"]).alias("part"), F.slice(F.transform("l", lambda x: x["supp"]), 1, 3).alias("supp")
     )
