@@ -1,10 +1,15 @@
 """What keeps jobs in proportion to their input: plans, files and tasks."""
 
+import pytest
 from pyspark.sql import functions as F
 
+from checks import q_vendors
 from checks.domain import Domain
+from checks.registry import QUERIES
 from orderloom.operators.mapping import map_record, with_config
+from orderloom.plans.extract import ExtractResult
 from orderloom.sources import configs, staging
+from orderloom.streaming import ingest
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -53,3 +58,35 @@ def test_staged_files_do_not_grow_with_the_vendors(spark, tmp_path):
         assert sorted(map(tuple, read.filter("run_id = 'r1'").select("id", "vendor_id").collect())) == sorted(map(tuple, rows.collect()), key=lambda r: r[0])
         one = staging.stage_read(spark, path, "id bigint, run_id string, vendor_id bigint", fmt, only={"vendor_id": 3})
         assert sorted(r.id for r in one.filter("run_id = 'r1'").collect()) == [r.id for r in rows.filter("vendor_id = 3").collect()]
+
+
+class Seen(Exception):
+    """Ends a job where the test has seen what it looks at."""
+
+
+def test_records_that_land_twice_are_finished_once(spark, monkeypatch):
+    found = []
+
+    def look(landed, *_):
+        found.append(plan_of(landed))
+        raise Seen
+
+    monkeypatch.setattr(q_vendors, "dispatch", look)
+    with pytest.raises(Seen):
+        QUERIES["dispatch_duplicate_keys"](spark, FOLDER)
+    assert "ArrowEvalPython" not in found[0]
+
+
+def test_extracted_records_are_not_written_again(spark, tmp_path, monkeypatch):
+    written = []
+
+    def look(*_):
+        raise Seen
+
+    monkeypatch.setattr(ingest, "materialize", lambda df, name: written.append(name) or df)
+    monkeypatch.setattr(ingest.InvoiceStore, "_stage", look)
+    store, rows = ingest.InvoiceStore.at(str(tmp_path), buckets=2), spark.range(1)
+    for made, names in ((ExtractResult(rows, rows), []), (rows, ["finished"])):
+        with pytest.raises(Seen):
+            store.apply(spark, lambda: made, lambda: rows, 1)
+        assert written == names
