@@ -191,6 +191,10 @@ def shuffle_tasks(spark: SparkSession) -> int:
     return int(parts) if parts.isdigit() else 200
 
 
+#: Lines of one task that gathers documents: their texts, some 600 bytes a line, fit its memory and are not spilled.
+TASK_LINES = 100_000
+
+
 class Domain:
     """The domain tables of one data folder as DataFrames."""
 
@@ -223,9 +227,11 @@ class Domain:
         """``line_text`` with ``rec_id``, the order; a document has all lines of its order.
 
         Lines meet by order as the numbers they are stored as, and texts are made of them afterwards:
-        grouped by ``o``, no text crosses the shuffle.
+        grouped by ``o``, no text crosses the shuffle. There are as many tasks as their counted lines ask for.
         """
-        lines = self.base("lineitem").repartition(shuffle_tasks(self.spark), "l_orderkey")
+        lines = self.base("lineitem")
+        tasks = max(shuffle_tasks(self.spark), -(-lines.count() // TASK_LINES))
+        lines = lines.repartition(tasks, "l_orderkey")
         lines.createOrReplaceTempView("lineitem_by_order")
         text = oracle("SELECT * FROM line_text", "line_text").replace("FROM lineitem", "FROM lineitem_by_order")
         return self.spark.sql(text).withColumn("rec_id", F.col("o").cast("string"))

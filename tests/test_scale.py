@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from checks import q_vendors
+from checks import domain, q_vendors
 from checks.domain import Domain
 from checks.registry import QUERIES
 from orderloom.operators.mapping import map_record, with_config
@@ -90,3 +90,9 @@ def test_extracted_records_are_not_written_again(spark, tmp_path, monkeypatch):
         with pytest.raises(Seen):
             store.apply(spark, lambda: made, lambda: rows, 1)
         assert written == names
+
+
+def test_tasks_that_gather_documents_grow_with_the_lines(spark, monkeypatch):
+    monkeypatch.setattr(domain, "TASK_LINES", 100)
+    d = Domain(spark, FOLDER)
+    assert d.lines_by_document().rdd.getNumPartitions() == -(-d.base("lineitem").count() // 100) > 8
