@@ -132,13 +132,18 @@ def extract_with_rejects(
     """``extract``, with everything that gives no record among the rejects.
 
     The mapped and the finished records are written once, since records and
-    rejects both come from them.
+    rejects both come from them. Documents are read once: those that are not taken are
+    written beside the mapped ones, without their text, with what identifies them.
     """
     configured = with_config(documents, compiled)
-    unknown = configured.filter(F.col("cfg").isNull())
-    known = configured.filter(F.col("cfg").isNotNull())
-    complete = _required(known)
-    mapped = materialize(_map_configured(known.filter(complete), lone_lists), "mapped")
+    why = F.when(F.col("cfg").isNull(), "unknown vendor").when(~_required(configured), "required part of the body is missing")
+    own = F.struct(*[c for c in IDENTITY if c in documents.columns])
+    marked = configured.withColumn("_why", why).withColumns(
+        {"_own": F.when(F.col("_why").isNotNull(), own), "doc": F.when(F.col("_why").isNull(), F.col("doc"))}
+    )
+    written = materialize(_map_configured(marked, lone_lists), "mapped")
+    unread = written.filter(F.col("_why").isNotNull()).select("_own.*", F.col("_why").alias("reject_reason"))
+    mapped = written.filter(F.col("_why").isNull()).drop("_why", "_own")
     billable = mapped.transform(drop_unbillable)
     if second is not None:
         second = second.join(compiled.select("vendor_id", "mapping"), "vendor_id", "left")
@@ -148,8 +153,7 @@ def extract_with_rejects(
         answered = second.select(*key).distinct()
         waiting = waiting.join(answered, list(key), "left_anti").select(*billable.columns)
     parts = [
-        rejected(unknown, "unknown vendor"),
-        rejected(known.filter(~complete), "required part of the body is missing"),
+        unread,
         rejected(mapped.filter(unbillable_reason().isNotNull()), unbillable_reason()),
         rejected(waiting, "no second document"),
         rejected(finished.filter(F.size("cost_errors") > 0), F.array_join("cost_errors", "; ")),

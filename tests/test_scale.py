@@ -7,7 +7,7 @@ from checks import domain, q_vendors
 from checks.domain import Domain
 from checks.registry import QUERIES
 from orderloom.operators.mapping import map_record, with_config
-from orderloom.plans.extract import ExtractResult
+from orderloom.plans.extract import ExtractResult, extract_with_rejects
 from orderloom.sources import configs, staging
 from orderloom.streaming import ingest
 
@@ -96,3 +96,24 @@ def test_tasks_that_gather_documents_grow_with_the_lines(spark, monkeypatch):
     monkeypatch.setattr(domain, "TASK_LINES", 100)
     d = Domain(spark, FOLDER)
     assert d.lines_by_document().rdd.getNumPartitions() == -(-d.base("lineitem").count() // 100) > 8
+
+
+def test_documents_are_read_once_for_records_and_rejects(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(rows):
+        for batch in rows:
+            read.add(batch.num_rows)
+            yield batch
+
+    body = '{"order":{"invoice":"I1","status":"shipped"}}'
+    rows = [(f"r{i}", i % 4, f"S{i}", "own", True, body if i % 3 else '{"other":1}') for i in range(24)]
+    landed = spark.createDataFrame(rows, "rec_id string, vendor_id bigint, so_number string, tran_id string, need_serial_no boolean, body string")
+    docs = landed.mapInArrow(counted, landed.schema).withColumn("doc", F.try_parse_json("body"))
+    config = {"mapping": {"fulfillment_table": [{"destination_field": "order.invoice", "source_field": "invoice_number"}]}, "check_response_body": "order"}
+    made = extract_with_rejects(docs, configs.compile_configs(configs.config_frame(spark, {v: config for v in range(3)})))
+    whole = {(r.rec_id, r.vendor_id, r.so_number, r.reject_reason, r.invoice_number) for r in made.rejects.collect()}
+    why = {i: "unknown vendor" if i % 4 == 3 else None if i % 3 else "required part of the body is missing" for i in range(24)}
+    assert whole == {(f"r{i}", i % 4, f"S{i}", why[i], None) for i in range(24) if why[i]}
+    assert sorted(r.rec_id for r in made.records.collect()) == sorted(f"r{i}" for i in range(24) if not why[i])
+    assert read.value == 24
