@@ -108,7 +108,7 @@ def as_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     too, whole texts each; only ``doc_id`` and ``text`` are read. An empty table gives no rows.
     """
     reach_workers(spark, small=True)
-    return bpe.encode_documents(docs, public_tokenizers.path(RANK_FILE), public_tokenizers.PATTERN)
+    return bpe.encode_documents(docs, public_tokenizers.path(RANK_FILE), public_tokenizers.PATTERN, forget=True)
 
 
 STAGES = [

@@ -199,31 +199,38 @@ def encoder(path: str, pattern: str) -> Encoder:
     return Encoder(path, pattern)
 
 
-def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+def encoded_batches(batches: Iterator[pa.RecordBatch], path: str, pattern: str, forget: bool) -> Iterator[pa.RecordBatch]:
+    """Batches of ``doc_id, text`` encoded, see ``encode_documents``."""
+    coder = encoder(path, pattern)
+    for batch in batches:
+        for start in range(0, batch.num_rows, 500):
+            part = batch.slice(start, 500)
+            ids = [coder.encode(t.as_py() or "") for t in part.column("text")]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column("doc_id"), pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64()),
+                    pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
+                    pa.array([hashlib.sha256(coder.decode(x)).hexdigest() for x in ids], pa.string()),
+                ],
+                names=["doc_id", "ids", "n_tokens", "ids_sha256", "decoded_sha256"],
+            )
+        pa.default_memory_pool().release_unused()
+    if forget:
+        coder.forget()
+
+
+def encode_documents(docs: DataFrame, path: str, pattern: str, forget: bool = False) -> DataFrame:
     """``doc_id, ids, n_tokens, ids_sha256, decoded_sha256`` of each text's encoding by the rank file at ``path``.
 
     ``ids`` packs the ids as little-endian 32-bit numbers; the decoded bytes are made
     from them. A null text counts as empty: no ids, the hash of no bytes. A null
     ``doc_id`` stays null, and repeated rows are encoded each. No other column is
-    read; an empty table gives no rows. The rank file must exist on every worker.
+    read; an empty table gives no rows. The rank file must exist on every worker. A
+    worker's later tasks go on with the pieces it remembers, a bounded number, unless ``forget``.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(path, pattern)
-        for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                part = batch.slice(start, 500)
-                ids = [coder.encode(t.as_py() or "") for t in part.column("text")]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("doc_id"), pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64()),
-                        pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
-                        pa.array([hashlib.sha256(coder.decode(x)).hexdigest() for x in ids], pa.string()),
-                    ],
-                    names=["doc_id", "ids", "n_tokens", "ids_sha256", "decoded_sha256"],
-                )
-            pa.default_memory_pool().release_unused()
-        coder.forget()
+        return encoded_batches(batches, path, pattern, forget)
 
     schema = "doc_id long, ids binary, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)

@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import public_tokenizers as tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -71,3 +72,13 @@ def test_documents(spark, reference):
         assert r["ids_sha256"] == hashlib.sha256(ids.tobytes()).hexdigest()
         assert r["decoded_sha256"] == hashlib.sha256((text or "").encode()).hexdigest()
     assert bpe.encode_documents(documents(spark, []), PATH, tokenizers.PATTERN).count() == 0
+
+
+def test_pieces_stay_known_to_a_workers_later_tasks():
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1], "text": ["unrememberedly"]})
+    coder = bpe.encoder(PATH, tokenizers.PATTERN)
+    coder.forget()
+    for forget in (False, True):
+        (made,) = bpe.encoded_batches(iter([batch]), PATH, tokenizers.PATTERN, forget)
+        assert coder.decode(made["ids"][0].as_py()) == b"unrememberedly"
+        assert bool(coder.seen) is not forget
