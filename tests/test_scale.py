@@ -7,6 +7,7 @@ from checks import domain, q_vendors
 from checks.domain import Domain
 from checks.registry import QUERIES
 from orderloom.operators.mapping import map_record, with_config
+from orderloom.plans import extract as extract_plan
 from orderloom.plans.extract import ExtractResult, extract_with_rejects
 from orderloom.sources import configs, staging
 from orderloom.streaming import ingest
@@ -117,3 +118,19 @@ def test_documents_are_read_once_for_records_and_rejects(spark):
     assert whole == {(f"r{i}", i % 4, f"S{i}", why[i], None) for i in range(24) if why[i]}
     assert sorted(r.rec_id for r in made.records.collect()) == sorted(f"r{i}" for i in range(24) if not why[i])
     assert read.value == 24
+
+
+def test_a_document_is_mapped_by_its_vendors_kind_of_call_only(spark, monkeypatch):
+    taken = []
+    whole = extract_plan.map_record
+    monkeypatch.setattr(extract_plan, "map_record", lambda df, **how: taken.append(df) or whole(df, **how))
+    config = {"mapping": {"fulfillment_table": [{"destination_field": "number", "source_field": "invoice_number"}]}}
+    calls = config | {"multi_api_call": {"url": {"raw": "u", "method": "GET"}}}
+    compiled = configs.compile_configs(configs.config_frame(spark, {0: config, 1: calls}))
+    rows = [(f"r{i}", i % 2, f"S{i}", True, f'{{"number":"I{i}"}}') for i in range(6)]
+    docs = spark.createDataFrame(rows, "rec_id string, vendor_id bigint, so_number string, need_serial_no boolean, body string")
+    docs = docs.withColumn("doc", F.try_parse_json("body"))
+    second = docs.filter("rec_id <> 'r5'").select("vendor_id", "so_number", F.get_json_object("body", "$.number").alias("invoice_number"), "body", "doc")
+    records = extract_plan.extract(docs, compiled, second=second)
+    assert sorted((r.rec_id, r.invoice_number) for r in records.collect()) == [(f"r{i}", f"I{i}") for i in range(5)]
+    assert [sorted(r.rec_id for r in df.collect()) for df in taken] == [["r0", "r2", "r4"], ["r1", "r3", "r5"]]
