@@ -1,11 +1,15 @@
 """What keeps jobs in proportion to their input: plans, files and tasks."""
 
+import json
+
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from checks import domain, q_vendors
 from checks.domain import Domain
 from checks.registry import QUERIES
+from orderloom.operators import walk
 from orderloom.operators.mapping import map_record, with_config
 from orderloom.plans import extract as extract_plan
 from orderloom.plans.extract import ExtractResult, extract_with_rejects
@@ -134,3 +138,16 @@ def test_a_document_is_mapped_by_its_vendors_kind_of_call_only(spark, monkeypatc
     records = extract_plan.extract(docs, compiled, second=second)
     assert sorted((r.rec_id, r.invoice_number) for r in records.collect()) == [(f"r{i}", f"I{i}") for i in range(5)]
     assert [sorted(r.rec_id for r in df.collect()) for df in taken] == [["r0", "r2", "r4"], ["r1", "r3", "r5"]]
+
+
+def test_few_documents_are_python_objects_at_a_time(monkeypatch):
+    entries = json.dumps([dict(path="a", target="memo", kind="exact", first="a", last="a", ends="a|a", grp="", field="memo", ord=0)])
+    sizes = []
+    one = walk._walked
+    monkeypatch.setattr(walk, "WALKED", 3)
+    monkeypatch.setattr(walk, "_walked", lambda d, *others: sizes.append(len(d)) or one(d, *others))
+    texts = [None if i == 4 else f'{{"a":"{i}"}}' for i in range(10)]
+    for n in (10, 0):
+        got = walk.mapped_of(pa.array(texts[:n], pa.string()), pa.array([entries] * n, pa.string()), pa.array([True] * n, pa.bool_()), False, False)
+        assert [r["scalars"]["memo"] for r in got.to_pylist()] == [None if i == 4 else str(i) for i in range(n)]
+    assert sizes == [3, 3, 3, 1, 0]
