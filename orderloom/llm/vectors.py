@@ -114,7 +114,8 @@ def _walk(index: Index, query: np.ndarray, width: int) -> tuple[np.ndarray, np.n
         x, i = heapq.heappop(ahead)
         if len(best) >= width and x > -best[0][0]:
             break
-        new = [j for j in graph[i].tolist() if j not in seen]
+        # The ring's neighbour may be among the nearest ones too.
+        new = [j for j in dict.fromkeys(graph[i].tolist()) if j not in seen]
         if not new:
             continue
         seen.update(new)
@@ -325,8 +326,10 @@ def search(vectors: DataFrame, is_query: Column | str, k: int = 20) -> DataFrame
     found = left.groupBy(*unit).cogroup(right.groupBy(*unit)).applyInArrow(_best(k + 1), "q long, ids array<long>, scores array<double>")
     # The best k + 1 of a class of queries: one of them may be a query's own row. At most k + 1 of each list meet here.
     near = F.transform(F.arrays_zip("scores", "ids"), lambda x: F.struct((F.lit(0.0) - x["scores"]).alias("minus"), x["ids"].alias("vec_id")))
-    gathered = found.groupBy("q").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(near)))).alias("all"))
-    best = gathered.select("q", F.slice("all", 1, k + 1).alias("best"))
+    # Sorted, what several lists hold of one vector is side by side.
+    gathered = found.groupBy("q").agg(F.sort_array(F.flatten(F.collect_list(near))).alias("all"))
+    once = F.filter("all", lambda x, i: (i == 0) | (x["vec_id"] != F.get("all", i - 1)["vec_id"]))
+    best = gathered.select("q", F.slice(once, 1, k + 1).alias("best"))
     own = queries.select("query_id", F.col("c").alias("q")).distinct().join(best, "q")
     others = F.slice(F.filter("best", lambda b: b["vec_id"] != F.col("query_id")), 1, k)
     ranked = own.select("query_id", F.posexplode(others).alias("pos", "b"))

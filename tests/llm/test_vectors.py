@@ -93,6 +93,16 @@ def test_the_walk_finds_the_nearest_centroids():
     assert hits / 800 > 0.9
 
 
+def test_the_walk_finds_a_centroid_once():
+    # On a line the next centroid of the ring is a nearest one as well.
+    centroids = np.arange(40.0)[:, None]
+    near = np.argsort(np.abs(centroids - centroids.T), axis=1, kind="stable")[:, 1:5]
+    graph = np.concatenate([near, np.roll(np.arange(40), -1)[:, None]], axis=1)
+    index = vectors.Index(1.0, centroids, graph, np.array([0]), 1.0)
+    found, _ = vectors._walk(index, np.array([30.2]), 12)
+    assert len(found) == len(set(found.tolist())) == 12
+
+
 def test_every_query_gets_all_its_answers(spark, monkeypatch):
     monkeypatch.setattr(vectors, "LIST_SIZE", 4)
     rng = np.random.default_rng(6)
@@ -112,3 +122,16 @@ def test_lists_are_planned_from_different_vectors(spark, monkeypatch):
     rows = [(i, kinds[i % 40]) for i in range(2000)]
     got = answers(vectors.search(frame(spark, rows), IS_QUERY))
     assert asked == [40] and all(len(near) == 20 for near in got.values())
+
+
+def test_answers_of_many_lists_are_merged_once_each_and_not_compared_in_pairs(spark, monkeypatch, capsys):
+    monkeypatch.setattr(vectors, "LIST_SIZE", 8)
+    monkeypatch.setattr(vectors, "BOUNDARY", 4.0)
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=4).astype(np.float32).tolist()) for i in range(400)]
+    found = vectors.search(frame(spark, rows), IS_QUERY)
+    got, want = answers(found), brute(rows, 20)
+    assert all(len({j for j, _ in near}) == 20 for near in got.values()) and recall(got, want) >= 0.9
+    # Spark's array_distinct compares structs in pairs.
+    found.explain(True)
+    assert "array_distinct" not in capsys.readouterr().out
