@@ -5,12 +5,16 @@ different words and the word numbers in order. For every order a block sends eac
 of its different n-grams once, with its training count, to the bucket of the
 n-gram's hash; the bucket adds up the counts and answers every block with the
 totals. Frequent n-grams are thus summed up before the shuffle, and buckets are
-even, since they go by the hash of the whole n-gram. The same way contexts get
-their backoff weights: of the blocks that have seen an n-gram in training one owns
-it and adds its probabilities to the context's sums. A context that a single block
-has is not sent again: a bit of the first answer says so, all of its n-grams are in
-that block, and the block works out the weight itself. Blocks then evaluate their
-tokens from the answers, recursively from the highest order down.
+even, since they go by the hash of the whole n-gram. A bit of the answer says
+whether a single block has the n-gram. Longer n-grams around such a one are in that
+block only, so from order 3 on, when the shorter ones are answered, they are not sent
+and the block counts them itself. The same way contexts get their backoff weights: of
+the blocks that have seen an n-gram in training one owns it and adds its probabilities
+to the context's sums; a context of a single block is weighted there. Only held-out
+texts back off, so sums are sent for contexts that some held-out text has, which is
+another bit of the answer, and a weight is told to the blocks that back off from it.
+Blocks then evaluate their tokens from the answers, recursively from the highest order
+down.
 
 Probabilities: ``d_r`` are Good-Turing discounts up to ``MOST_DISCOUNTED``. A seen
 n-gram has ``d_r * r / c(context)``; an unseen one the context's backoff weight
@@ -66,12 +70,17 @@ class Model:
     words: int
     discounts: tuple[np.ndarray, ...]
     unigram_sum: float
+    bits: int
 
     def mass(self, order: int, counts: np.ndarray) -> np.ndarray:
         """Discounted counts."""
         d = self.discounts[order - 1]
         return counts * d[np.where(counts < len(d), counts, 0)]
 
+    def may_be_raised(self, k: int, counts: np.ndarray) -> np.ndarray:
+        """Whether discounts may leave no mass to contexts of ``k`` words with these counts."""
+        return (counts > MOST_DISCOUNTED) | bool(self.discounts[k][1:].max() > 1 - 1e-9)
+
     @property
     def total(self) -> int:
         """What unigram masses are divided by; one more than the tokens where discounts leave nothing."""
@@ -82,11 +91,32 @@ class Model:
         return 1 - self.unigram_sum / self.total
 
 
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different keys, where each comes first, and which one each key is, as ``np.unique`` gives them.
+
+    Sorts the keys' upper bits with the places as lower bits, which is faster than sorting places by keys.
+    """
+    low = U64(max(1, len(keys)).bit_length())
+    mixed = np.sort(keys >> low << low | np.arange(len(keys), dtype=U64))
+    order = (mixed & (U64(1) << low) - U64(1)).astype(np.int64)
+    ordered = keys[order]
+    if (ordered[1:] < ordered[:-1]).any():
+        order = np.argsort(keys, kind="stable")
+        ordered = keys[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    inverse = np.empty(len(keys), np.int32)
+    inverse[order] = np.cumsum(new, dtype=np.int32) - 1
+    return ordered[new], order[new], inverse
+
+
 class Block:
-    """A block's n-grams. Position arrays run over ``order - 1`` start marks, the words and the end mark of each text."""
+    """A block's n-grams up to the order ``upto`` of ``order``. Position arrays run over ``order - 1`` start marks,
+    the words and the end mark of each text."""
 
-    def __init__(self, row: dict, order: int):
+    def __init__(self, row: dict, order: int, upto: int):
         self.order = order
+        self.number = row["block"]
         self.ids, self.held = row["doc_id"], np.array(row["held"], bool)
         sizes = np.array(row["sizes"], np.int64)
         lengths = sizes + order
@@ -104,11 +134,11 @@ class Block:
         self.first: list[np.ndarray] = []
         self.at: list[np.ndarray] = []
         keys = seq
-        for k in range(1, order + 1):
+        for k in range(1, upto + 1):
             if k > 1:
                 keys = pair(np.concatenate([[U64(0)], keys[:-1]]), seq)
             used = np.flatnonzero(self.token if k == order else self.context)
-            kinds, first, inverse = np.unique(keys[used], return_index=True, return_inverse=True)
+            kinds, first, inverse = distinct(keys[used])
             at = np.full(len(seq), -1, np.int32)
             at[used] = inverse
             self.kinds.append(kinds)
@@ -120,6 +150,18 @@ class Block:
         trained = used & ~self.held[self.doc]
         return np.bincount(self.at[k - 1][trained], minlength=len(self.kinds[k - 1])).astype(np.int64)
 
+    def asked_counts(self, k: int, sent: np.ndarray, bits: int) -> list[tuple]:
+        """Requests for the totals of those n-grams that ``sent`` marks, with which of them held-out texts have."""
+        kinds, counts = self.kinds[k - 1][sent], self.training_counts(k)[sent]
+        held = np.zeros(len(sent), np.uint8)
+        at = self.at[k - 1][self.held[self.doc]]
+        held[at[at >= 0]] = 1
+        held = held[sent]
+        return [
+            ("count", k, b, self.number, s.stop - s.start, pack_ascending(kinds[s]), pack(counts[s]), pack(held[s]), None)
+            for b, s in buckets_of(kinds, bits)
+        ]
+
 
 def _start_key(k: int) -> np.uint64:
     key = np.array([START])
@@ -128,124 +170,183 @@ def _start_key(k: int) -> np.uint64:
     return key[0]
 
 
-_ASKED = "ord int, bucket int, block long, n long, keys binary, a binary, b binary, c binary"
+_ASKED = "kind string, ord int, bucket int, block long, n long, keys binary, a binary, b binary, c binary"
 _TOLD = "kind string, ord int, bucket int, block long, n long, keys binary, a binary, b binary"
+_KINDS = (pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), *[pa.binary()] * 4)
+_NAMES = ("kind", "ord", "bucket", "block", "n", "keys", "a", "b", "c")
 
 
-def _asked(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows)) or [()] * 8
-    kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), *[pa.binary()] * 4)
-    names = ["ord", "bucket", "block", "n", "keys", "a", "b", "c"]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
+def _asked(rows: list[tuple]) -> pa.Table:
+    columns = list(zip(*rows)) or [()] * 9
+    return pa.table([pa.array(c, t) for c, t in zip(columns, _KINDS)], names=list(_NAMES))
 
 
 def _told(rows: list[tuple]) -> pa.Table:
     columns = list(zip(*rows)) or [()] * 8
-    kinds = (pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), *[pa.binary()] * 3)
-    names = ["kind", "ord", "bucket", "block", "n", "keys", "a", "b"]
-    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
+    return pa.table([pa.array(c, t) for c, t in zip(columns, _KINDS[:8])], names=list(_NAMES[:8]))
 
 
-def _ask_counts(blocks: DataFrame, order: int, bits: int) -> DataFrame:
+def _ask_counts(blocks: DataFrame, order: int, upto: int, bits: int) -> DataFrame:
+    """Requests for the totals of all n-grams of up to ``upto`` words."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                block = Block(row, order)
-                for k in range(1, order + 1):
-                    kinds, counts = block.kinds[k - 1], block.training_counts(k)
-                    yield _asked([
-                        (k, b, row["block"], s.stop - s.start, pack_ascending(kinds[s]), pack(counts[s]), None, None)
-                        for b, s in buckets_of(kinds, bits)
-                    ])
+                block = Block(row, order, upto)
+                for k in range(1, upto + 1):
+                    yield from _asked(block.asked_counts(k, np.ones(len(block.kinds[k - 1]), bool), bits)).to_batches()
 
     return blocks.mapInArrow(run, _ASKED)
 
 
-def _add_counts(order: int, model: bool):
+def _stats(k: int, order: int, kinds: np.ndarray, totals: np.ndarray) -> np.ndarray:
+    """Counts of counts, then tokens, different n-grams, and tokens of n-grams too frequent to be discounted."""
+    seen = totals > 0
+    counted = seen & (kinds != _start_key(k)) if k < order else seen
+    of = np.bincount(np.minimum(totals[counted], MOST_DISCOUNTED + 2), minlength=MOST_DISCOUNTED + 3)
+    large = int(totals[counted & (totals > MOST_DISCOUNTED)].sum())
+    return np.concatenate([of, [int(totals[counted].sum()), int(counted.sum()), large]]).astype(np.int64)
+
+
+def _add_counts(order: int, model: bool, table: pa.Table) -> pa.Table:
     """Partitions of the model, or else the blocks' answers and the counts of counts."""
+    rows, kinds, at, ends = gathered(table)
+    k, bucket = rows[0]["ord"], rows[0]["bucket"]
+    counts = np.concatenate([unpack(r["a"], r["n"], np.int64) for r in rows])
+    totals = np.bincount(at, counts, minlength=len(kinds)).astype(np.int64)
+    if model:
+        seen = totals > 0
+        return _told([("model", k, bucket, -1, int(seen.sum()), pack_ascending(kinds[seen]), pack(totals[seen]), None)])
+    # Of the blocks that trained on an n-gram the first one owns it.
+    trained = np.flatnonzero(counts > 0)[::-1]
+    owner = np.full(len(kinds), -1, np.int64)
+    owner[at[trained]] = trained
+    alone = np.bincount(at, minlength=len(kinds)) == 1
+    wanted = np.zeros(len(kinds), bool)
+    wanted[at[np.concatenate([unpack(r["b"], r["n"], np.uint8) for r in rows]) > 0]] = True
+    answer = totals[at] << 3 | wanted[at] << 2 | alone[at] << 1 | (owner[at] == np.arange(len(at)))
+    out = [
+        ("answer", k, bucket, r["block"], r["n"], None, pack(answer[e - r["n"] : e]), None) for r, e in zip(rows, ends)
+    ]
+    return _told(out + _stats_rows(k, _stats(k, order, kinds, totals)))
+
+
+def _stats_rows(k: int, stats: np.ndarray) -> list[tuple]:
+    return [("stats", k, i, -1, int(value), None, None, None) for i, value in enumerate(stats)]
+
+
+def _reply(order: int, model: bool = False):
+    """Answers to the requests of one kind, order and bucket; with ``model`` the model's tables instead."""
 
     def run(table: pa.Table) -> pa.Table:
-        rows, kinds, at, ends = gathered(table)
-        k, bucket = rows[0]["ord"], rows[0]["bucket"]
-        counts = np.concatenate([unpack(r["a"], r["n"], np.int64) for r in rows])
-        totals = np.bincount(at, counts, minlength=len(kinds)).astype(np.int64)
-        seen = totals > 0
-        if model:
-            return _told([("model", k, bucket, -1, int(seen.sum()), pack_ascending(kinds[seen]), pack(totals[seen]), None)])
-        # Of the blocks that trained on an n-gram the first one owns it.
-        trained = np.flatnonzero(counts > 0)[::-1]
-        owner = np.full(len(kinds), -1, np.int64)
-        owner[at[trained]] = trained
-        alone = np.bincount(at, minlength=len(kinds)) == 1
-        answer = totals[at] << 2 | alone[at] << 1 | (owner[at] == np.arange(len(at)))
-        out = [
-            ("answer", k, bucket, r["block"], r["n"], None, pack(answer[e - r["n"] : e]), None)
-            for r, e in zip(rows, ends)
-        ]
-        counted = seen & (kinds != _start_key(k)) if k < order else seen
-        of = np.bincount(np.minimum(totals[counted], MOST_DISCOUNTED + 2), minlength=MOST_DISCOUNTED + 3)
-        large = int(totals[counted & (totals > MOST_DISCOUNTED)].sum())
-        stats = np.concatenate([of, [int(totals[counted].sum()), int(counted.sum()), large]]).astype(np.int64)
-        out += [("stats", k, i, -1, int(value), None, None, None) for i, value in enumerate(stats)]
-        return _told(out)
+        kind = table.column("kind")[0].as_py()
+        if kind == "count":
+            return _add_counts(order, model, table)
+        if kind == "weight":
+            return _add_weights(model, table)
+        rows = table.to_pylist()
+        return _told(_stats_rows(rows[0]["ord"], sum(unpack(r["a"], r["n"], np.int64) for r in rows)))
 
     return run
 
 
+def _replies(asked: DataFrame, order: int, model: bool = False) -> DataFrame:
+    return asked.groupBy("kind", "ord", "bucket").applyInArrow(_reply(order, model), _TOLD)
+
+
 class Answered(Block):
-    """A block with the totals of its n-grams, and the backoff weights of its contexts of up to ``known`` words."""
+    """A block with the totals of its n-grams of up to ``counted`` words, and the backoff weights of its contexts
+    of up to ``known`` words: of those whose value counts here (with ``every``, of all that only this block has),
+    and the sign of all others."""
 
-    def __init__(self, table: pa.Table, model: Model, known: int):
+    def __init__(self, table: pa.Table, model: Model, counted: int, known: int, upto: int | None = None, every: bool = False):
         rows = table.to_pylist()
         own = next(r for r in rows if r["kind"] == "block")
-        super().__init__(own, model.order)
-        self.number, self.model = own["block"], model
-        self.counts, self.owned, self.alone, self.weights = [], [], [], []
-        for k in range(1, model.order + 1):
-            parts = sorted((r for r in rows if r["kind"] == "answer" and r["ord"] == k), key=lambda r: r["bucket"])
-            coded = np.concatenate([np.zeros(0, np.int64)] + [unpack(r["a"], r["n"], np.int64) for r in parts])
-            self.counts.append(coded >> 2)
+        super().__init__(own, model.order, upto or counted)
+        self.model = model
+        self.counts, self.owned, self.alone, self.wanted, self.weights = [], [], [], [], []
+
+        def answers(kind: str, k: int) -> list[dict]:
+            return sorted((r for r in rows if r["kind"] == kind and r["ord"] == k), key=lambda r: r["bucket"])
+
+        for k in range(1, counted + 1):
+            coded = np.concatenate([np.zeros(0, np.int64)] + [unpack(r["a"], r["n"], np.int64) for r in answers("answer", k)])
+            if k > 2:
+                trained = self.training_counts(k)
+                told, coded = coded, trained << 3 | 2 | (trained > 0)
+                coded[self.shared(k)] = told
+            self.counts.append(coded >> 3)
+            self.wanted.append((coded & 4).astype(bool))
             self.alone.append((coded & 2).astype(bool))
             self.owned.append((coded & 1).astype(bool))
         for k in range(1, known + 1):
-            parts = sorted((r for r in rows if r["kind"] == "weight" and r["ord"] == k), key=lambda r: r["bucket"])
-            alone = self.alone[k - 1]
-            weight = np.empty(len(alone))
-            weight[~alone] = np.concatenate([np.zeros(0)] + [unpack(r["a"], r["n"], np.float64) for r in parts])
-            mass, lower, _ = self.context_sums(k)
-            weight[alone] = _weights(mass[alone], lower[alone], self.counts[k - 1][alone])
+            sent, need, _, raised = self.weight_request(k)
+            here = self.alone[k - 1] & (need | raised | every)
+            weight = np.ones(len(here))
+            weight[here] = _weights(*(x[here] for x in (*self.context_sums(k, here), self.counts[k - 1])))
+            kinds, need, told = self.kinds[k - 1][sent], need[sent], np.ones(int(sent.sum()))
+            for r, (_, s) in zip(answers("weight", k), buckets_of(kinds, model.bits), strict=True):
+                part = np.where(unpack(r["b"], r["n"], np.uint8) > 0, -1.0, 1.0)
+                part[need[s]] = unpack(r["a"], int(need[s].sum()), np.float64)
+                told[s] = part
+            weight[sent] = told
             self.weights.append(weight)
 
-    def log_probability(self, k: int) -> np.ndarray:
-        """log10 probability of each position's token after ``k - 1`` words: from the counts, or backing off."""
-        model, at = self.model, self.at[k - 1]
-        token = np.flatnonzero(self.token)
-        counts = self.counts[k - 1][at[token]]
-        out = np.zeros(len(self.doc))
-        mass = model.mass(k, np.maximum(counts, 1))
+    def shared(self, k: int) -> np.ndarray:
+        """Which n-grams of ``k`` words other blocks may have: those without a shorter one that is only here."""
+        if k <= 2:
+            return np.ones(len(self.kinds[k - 1]), bool)
+        first, at, alone = self.first[k - 1], self.at[k - 2], self.alone[k - 2]
+        here = [(i >= 0) & alone[i] for i in (at[first], at[first - 1])]
+        return ~(here[0] | here[1])
+
+    def weight_request(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The contexts of ``k`` words to ask for, those whose weight's value is used here, those whose sums are sent
+        (of contexts of held-out texts, and of such that may have to be raised), and those that may have to be raised."""
+        token = np.flatnonzero(self.token & self.held[self.doc])
+        unseen = token[self.counts[k][self.at[k][token]] == 0]
+        need = np.zeros(len(self.kinds[k - 1]), bool)
+        need[self.at[k - 1][unseen - 1]] = True
+        raised = self.model.may_be_raised(k, self.counts[k - 1])
+        summed = self.followed(k) & (self.wanted[k - 1] | raised)
+        return ~self.alone[k - 1] & (need | summed | raised), need, summed, raised
+
+    def log_probability(self, k: int, token: np.ndarray) -> np.ndarray:
+        """log10 probability of the tokens at these positions after ``k - 1`` words: from the counts, or backing off."""
+        model = self.model
+        counts = self.counts[k - 1][self.at[k - 1][token]]
+        seen = counts > 0
+        out = np.empty(len(token))
+        mass = model.mass(k, counts[seen])
         if k == 1:
             with np.errstate(divide="ignore"):
-                unknown = np.log10(model.unknown)
-            out[token] = np.where(counts > 0, np.log10(mass / model.total), unknown)
+                out[~seen] = np.log10(model.unknown)
+            out[seen] = np.log10(mass / model.total)
             return out
         before = self.at[k - 2][token - 1]
-        weight, raised = np.abs(self.weights[k - 2][before]), self.weights[k - 2][before] < 0
-        context = self.counts[k - 2][before]
-        lower = self.log_probability(k - 1)[token]
-        seen = counts > 0
-        direct = np.log10(mass) - np.log10(np.maximum(context + raised, 1))
-        out[token] = np.where(seen, direct, np.log10(weight) + lower)
+        weight, context = self.weights[k - 2], before[seen]
+        out[seen] = np.log10(mass) - np.log10(np.maximum(self.counts[k - 2][context] + (weight[context] < 0), 1))
+        out[~seen] = np.log10(np.abs(weight[before[~seen]])) + self.log_probability(k - 1, token[~seen])
         return out
 
-    def context_sums(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """For each different context of ``k`` words: the mass and the shorter n-grams' probability of owned successors."""
-        own = self.owned[k] & (self.counts[k] > 0) & self.token[self.first[k]]
-        place = self.first[k][own]
-        context = self.at[k - 1][place - 1]
-        n = len(self.kinds[k - 1])
-        mass = np.bincount(context, self.model.mass(k + 1, self.counts[k][own]), minlength=n)
-        lower = np.bincount(context, 10.0 ** self.log_probability(k)[place], minlength=n)
-        return mass, lower, np.bincount(context, minlength=n) > 0
+    def successors(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The n-grams that follow contexts of ``k`` words and are owned here, and the context of each."""
+        own = np.flatnonzero(self.owned[k] & (self.counts[k] > 0) & self.token[self.first[k]])
+        return own, self.at[k - 1][self.first[k][own] - 1]
+
+    def context_sums(self, k: int, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For the contexts of ``k`` words that ``of`` marks: the mass and the shorter n-grams' probability of owned successors."""
+        own, context = self.successors(k)
+        own, context = own[of[context]], context[of[context]]
+        mass = np.bincount(context, self.model.mass(k + 1, self.counts[k][own]), minlength=len(of))
+        lower = np.bincount(context, 10.0 ** self.log_probability(k, self.first[k][own]), minlength=len(of))
+        return mass, lower
+
+    def followed(self, k: int) -> np.ndarray:
+        """Which contexts of ``k`` words have owned successors."""
+        some = np.zeros(len(self.kinds[k - 1]), bool)
+        some[self.successors(k)[1]] = True
+        return some
 
 
 def _weights(mass: np.ndarray, lower: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -258,52 +359,80 @@ def _weights(mass: np.ndarray, lower: np.ndarray, counts: np.ndarray) -> np.ndar
     return np.where(raised, -weight, weight)
 
 
-def _ask_weights(answered: DataFrame, model: Model, k: int, bits: int) -> DataFrame:
+def _asked_weights(block: Answered, k: int, every: bool = False) -> list[tuple]:
+    """Requests for the weights of shared contexts: of those ``weight_request`` has, or of all."""
+    sent, need, summed, _ = block.weight_request(k)
+    if every:
+        sent, summed = ~block.alone[k - 1], block.followed(k)
+    mass, lower = block.context_sums(k, sent & summed)
+    kinds, counts, need, summed, mass, lower = (x[sent] for x in (block.kinds[k - 1], block.counts[k - 1], need, summed, mass, lower))
+    rows = []
+    for b, s in buckets_of(kinds, block.model.bits):
+        own = summed[s]
+        sums = np.concatenate([mass[s][own], lower[s][own]])
+        known = pack(counts[s]), pack(own.astype(np.uint8) | need[s].astype(np.uint8) << 1), pack(sums)
+        rows.append(("weight", k, b, block.number, s.stop - s.start, pack_ascending(kinds[s]), *known))
+    return rows
+
+
+def _ask(answered: DataFrame, model: Model, k: int) -> DataFrame:
+    """Requests for the weights of contexts of ``k`` words, and for the totals of n-grams of two words more."""
+
     def run(table: pa.Table) -> pa.Table:
-        block = Answered(table, model, k - 1)
-        sent = ~block.alone[k - 1]
-        kinds, counts = block.kinds[k - 1][sent], block.counts[k - 1][sent]
-        mass, lower, some = (x[sent] for x in block.context_sums(k))
-        rows = []
-        for b, s in buckets_of(kinds, bits):
-            # Which contexts have owned successors, and the sums of those.
-            own = some[s]
-            sums = np.concatenate([mass[s][own], lower[s][own]])
-            known = pack(counts[s]), pack(own.astype(np.uint8)), pack(sums)
-            rows.append((k, b, block.number, s.stop - s.start, pack_ascending(kinds[s]), *known))
-        return pa.Table.from_batches([_asked(rows)])
+        more = k + 2 <= model.order
+        block = Answered(table, model, k + 1, k - 1, k + 1 + more)
+        rows = _asked_weights(block, k)
+        if more:
+            sent = block.shared(k + 2)
+            rows += block.asked_counts(k + 2, sent, model.bits)
+            own = _stats(k + 2, model.order, block.kinds[k + 1][~sent], block.training_counts(k + 2)[~sent])
+            # Dealt out over as many groups as there are buckets.
+            rows.append(("stats", k + 2, block.number % (1 << model.bits), block.number, len(own), None, pack(own), None, None))
+        return _asked(rows)
 
     return answered.groupBy("block").applyInArrow(run, _ASKED)
 
 
-def _add_weights(table: pa.Table) -> pa.Table:
+def _ask_all_weights(answered: DataFrame, model: Model, k: int) -> DataFrame:
+    def run(table: pa.Table) -> pa.Table:
+        return _asked(_asked_weights(Answered(table, model, k + 1, k - 1), k, every=True))
+
+    return answered.groupBy("block").applyInArrow(run, _ASKED)
+
+
+def _add_weights(model: bool, table: pa.Table) -> pa.Table:
     rows, kinds, at, ends = gathered(table)
     mass, lower, counts = np.zeros(len(kinds)), np.zeros(len(kinds)), np.zeros(len(kinds), np.int64)
-    for r, e in zip(rows, ends):
+    flags = [unpack(r["b"], r["n"], np.uint8) for r in rows]
+    for r, e, flag in zip(rows, ends, flags):
         own = at[e - r["n"] : e]
         counts[own] = unpack(r["a"], r["n"], np.int64)
-        summed = own[unpack(r["b"], r["n"], np.uint8).astype(bool)]
+        summed = own[(flag & 1).astype(bool)]
         sums = unpack(r["c"], 2 * len(summed), np.float64)
         mass[summed] += sums[: len(summed)]
         lower[summed] += sums[len(summed) :]
-    seen = mass > 0
     weight = _weights(mass, lower, counts)
     k, bucket = rows[0]["ord"], rows[0]["bucket"]
-    out = [("weight", k, bucket, r["block"], r["n"], None, pack(weight[at[e - r["n"] : e]]), None) for r, e in zip(rows, ends)]
-    out.append(("backoff", k, bucket, -1, int(seen.sum()), pack_ascending(kinds[seen]), pack(weight[seen]), None))
+    if model:
+        seen = mass > 0
+        return _told([("backoff", k, bucket, -1, int(seen.sum()), pack_ascending(kinds[seen]), pack(weight[seen]), None)])
+    out = []
+    for r, e, flag in zip(rows, ends, flags):
+        part = weight[at[e - r["n"] : e]]
+        out.append(("weight", k, bucket, r["block"], r["n"], None, pack(part[(flag & 2).astype(bool)]), pack((part < 0).astype(np.uint8))))
     return _told(out)
 
 
-def _alone_weights(answered: DataFrame, model: Model, k: int, bits: int) -> DataFrame:
+def _alone_weights(answered: DataFrame, model: Model, k: int) -> DataFrame:
     """The model's backoff weights of contexts that a single block has."""
 
     def run(table: pa.Table) -> pa.Table:
-        block = Answered(table, model, k)
-        own = block.alone[k - 1] & block.context_sums(k)[2]
+        block = Answered(table, model, k + 1, k, every=True)
+        own = block.alone[k - 1] & block.followed(k)
         kinds, weight = block.kinds[k - 1][own], block.weights[k - 1][own]
         return _told([
             ("backoff", k, b, -1, s.stop - s.start, pack_ascending(kinds[s]), pack(weight[s]), None)
-            for b, s in buckets_of(kinds, bits)
+            for b, s in buckets_of(kinds, model.bits)
         ])
 
     return answered.groupBy("block").applyInArrow(run, _TOLD)
@@ -314,18 +443,18 @@ def _with_answers(blocks: DataFrame, answers: list[DataFrame]) -> DataFrame:
     own = blocks.withColumn("kind", F.lit("block"))
     out = own
     for a in answers:
-        out = out.unionByName(a.filter(F.col("kind").isin("answer", "weight")).select("kind", "ord", "bucket", "block", "n", "a"), allowMissingColumns=True)
+        out = out.unionByName(a.filter(F.col("kind").isin("answer", "weight")).select("kind", "ord", "bucket", "block", "n", "a", "b"), allowMissingColumns=True)
     return out
 
 
 def _scores(answered: DataFrame, model: Model) -> DataFrame:
     def run(table: pa.Table) -> pa.Table:
-        block = Answered(table, model, model.order - 1)
+        block = Answered(table, model, model.order, model.order - 1)
         token = np.flatnonzero(block.token)
         counts = block.counts[0][block.at[0][token]]
         base = np.log10((counts + 0.5) / (model.tokens + 0.5 * (model.words + 1)))
         doc, n = block.doc[token], len(block.ids)
-        score = block.log_probability(model.order)[token]
+        score = block.log_probability(model.order, token)
         return pa.table({
             "doc_id": pa.array(block.ids, pa.int64()),
             "held_out": pa.array(block.held),
@@ -343,8 +472,7 @@ def _scores(answered: DataFrame, model: Model) -> DataFrame:
 @dataclass(frozen=True)
 class Fitted:
     """A model with its tables: per order and bucket the keys with counts, and the contexts' backoff weights
-    (a negative weight marks a context whose count is raised by one). The counts, and the weights of contexts
-    that a single block has, are worked out when they are read."""
+    (a negative weight marks a context whose count is raised by one). Both are worked out when they are read."""
 
     model: Model | None
     counts: DataFrame
@@ -370,26 +498,29 @@ def fit_and_score(docs: DataFrame, held: Column, order: int = 2) -> Fitted:
     blocks = stored(block_rows(plain, {"doc_id": "long", "held": "boolean"}), "lm-blocks")
     total = blocks.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("n")).first()["n"]
     bits = bucket_bits(total)
-    asked = _ask_counts(blocks, order, bits)
-    counts = stored(asked.groupBy("ord", "bucket").applyInArrow(_add_counts(order, False), _TOLD), "lm-counts", "kind")
-    # A few numbers for each order, summed up on the executors.
-    sums = counts.filter("kind = 'stats'").groupBy("ord", F.col("bucket").alias("pos")).agg(F.sum("n").alias("n"))
-    by_order: dict[int, dict[int, int]] = {}
-    for r in sums.collect():
-        by_order.setdefault(r["ord"], {})[r["pos"]] = r["n"]
-    top = MOST_DISCOUNTED + 3
-    found = tuple(discounts(by_order.get(k, {})) for k in range(1, order + 1))
-    first = by_order.get(1, {})
-    mass = sum(found[0][r] * r * first.get(r, 0) for r in range(1, MOST_DISCOUNTED + 1)) + first.get(top + 2, 0)
-    model = Model(order, first.get(top, 0), first.get(top + 1, 0), found, float(mass))
-    answers = [counts]
-    backoff = []
-    for k in range(1, order):
-        answered = _with_answers(blocks, answers)
-        told = _ask_weights(answered, model, k, bits).groupBy("ord", "bucket").applyInArrow(_add_weights, _TOLD)
-        told = stored(told, "lm-weights", "kind")
+    stats: dict[int, dict[int, int]] = {}
+    answers: list[DataFrame] = []
+
+    def answered(asked: DataFrame) -> Model:
+        """Write the answers to the requests, and the model as far as it is known then."""
+        told = stored(_replies(asked, order), "lm-answers", "kind")
         answers.append(told)
-        alone = _alone_weights(_with_answers(blocks, answers), model, k, bits)
-        backoff.append(told.filter("kind = 'backoff'").unionByName(alone))
-    scores = _scores(_with_answers(blocks, answers), model)
-    return Fitted(model, asked.groupBy("ord", "bucket").applyInArrow(_add_counts(order, True), _TOLD), backoff, scores)
+        # A few numbers for each order, summed up on the executors.
+        sums = told.filter("kind = 'stats'").groupBy("ord", F.col("bucket").alias("pos")).agg(F.sum("n").alias("n"))
+        for r in sums.collect():
+            stats.setdefault(r["ord"], {})[r["pos"]] = r["n"]
+        top = MOST_DISCOUNTED + 3
+        found = tuple(discounts(stats.get(k, {})) for k in range(1, order + 1))
+        first = stats.get(1, {})
+        mass = sum(found[0][r] * r * first.get(r, 0) for r in range(1, MOST_DISCOUNTED + 1)) + first.get(top + 2, 0)
+        return Model(order, first.get(top, 0), first.get(top + 1, 0), found, float(mass), bits)
+
+    model = answered(_ask_counts(blocks, order, min(2, order), bits))
+    for k in range(1, order):
+        model = answered(_ask(_with_answers(blocks, answers), model, k))
+    known = _with_answers(blocks, answers)
+    backoff = [
+        _replies(_ask_all_weights(known, model, k), order, True).unionByName(_alone_weights(known, model, k)) for k in range(1, order)
+    ]
+    counts = _replies(_ask_counts(blocks, order, order, bits), order, True)
+    return Fitted(model, counts, backoff, _scores(known, model))

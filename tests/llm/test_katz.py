@@ -144,3 +144,47 @@ def test_backoff_weights_of_contexts_in_one_block_and_in_several(spark, parts):
     for k, stored in enumerate(fitted.backoff, 1):
         contexts = {c for c in model.contexts[k] if any(model.counts[k][c + (w,)] for w in model.followers[c])}
         assert stored.agg(F.sum("n")).first()[0] == len(contexts)
+
+
+@pytest.mark.parametrize("order", [3, 4])
+def test_scores_of_several_blocks_equal_the_plain_model(spark, monkeypatch, order):
+    from orderloom.llm import blocks
+
+    monkeypatch.setattr(blocks, "BUCKET_KEYS", 300)
+    # Frequent phrases besides, so that some contexts are never discounted and have to be raised.
+    rows = corpus(5, 80) + [(200 + i, "x y z x y z q") for i in range(30)]
+    got = katz.fit_and_score(documents(spark, rows).repartition(7), F.col("doc_id") % 5 == 1, order).scores.collect()
+    model = Plain([t for d, t in rows if d % 5 != 1], order)
+    want = sorted((d, model.score(t)) for d, t in rows)
+    for r, (d, score) in zip(sorted(got, key=lambda r: (r["doc_id"], r["score"])), want, strict=True):
+        assert r["doc_id"] == d and r["score"] == pytest.approx(score, rel=1e-9)
+
+
+def test_ngrams_around_one_that_no_other_block_has_are_not_sent(spark, monkeypatch):
+    sent = []
+    stored = katz.stored
+
+    def noted(df, name, *by):
+        out = stored(df, name, *by)
+        if name != "lm-blocks":
+            sent.append(dict(out.filter("kind = 'answer'").groupBy("ord").agg(F.sum("n")).collect()))
+            sent[-1] |= {f"weights {r['ord']}": r["n"] for r in out.filter("kind = 'weight'").groupBy("ord").agg(F.sum("n").alias("n")).collect()}
+        return out
+
+    monkeypatch.setattr(katz, "stored", noted)
+    # Two blocks with words of their own but for one text.
+    rows = [(i, " ".join(f"{'ab'[i % 2]}{i * 7 + j}" for j in range(9))) for i in range(20)] + [(20, "u v w"), (25, "u v w")]
+    katz.fit_and_score(documents(spark, rows).repartitionByRange(2, F.col("doc_id") % 2, "doc_id"), F.lit(False), 3)
+    assert sum(s.get(3, 0) for s in sent) <= 2 * 5
+    # Nothing is held out, so no weight is asked for but of contexts too frequent to be discounted.
+    assert sum(s.get("weights 1", 0) + s.get("weights 2", 0) for s in sent) <= 6
+
+
+def test_distinct_is_unique():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    # Many keys that only differ in the bits that give way to places, too.
+    for keys in (rng.integers(0, 1 << 63, 5000, np.uint64), rng.integers(0, 900, 5000).astype(np.uint64), np.zeros(0, np.uint64), np.full(3, 2**64 - 1, np.uint64)):
+        for got, want in zip(katz.distinct(keys), np.unique(keys, return_index=True, return_inverse=True), strict=True):
+            assert got.tolist() == want.tolist()
