@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from checks import domain, q_vendors
 from checks.domain import Domain
 from checks.registry import QUERIES
-from orderloom.operators import walk
+from orderloom.operators import records, walk
 from orderloom.operators.mapping import map_record, with_config
 from orderloom.plans import extract as extract_plan
 from orderloom.plans.extract import ExtractResult, extract_with_rejects
@@ -151,3 +151,30 @@ def test_few_documents_are_python_objects_at_a_time(monkeypatch):
         got = walk.mapped_of(pa.array(texts[:n], pa.string()), pa.array([entries] * n, pa.string()), pa.array([True] * n, pa.bool_()), False, False)
         assert [r["scalars"]["memo"] for r in got.to_pylist()] == [None if i == 4 else str(i) for i in range(n)]
     assert sizes == [3, 3, 3, 1, 0]
+
+
+def test_documents_take_their_mapping_along_without_its_entries(spark):
+    doc = {"mapping": {"fulfillment_table": [{"destination_field": "a", "source_field": "memo"}]}}
+    compiled = configs.compile_configs(configs.config_frame(spark, {1: doc}))
+    joined = with_config(spark.createDataFrame([(1, "{}")], "vendor_id bigint, body string"), compiled)
+    assert joined.schema["mapping"].dataType.fieldNames() == ["text", "nested"]
+
+
+def test_finishing_evaluates_costs_and_item_numbers_once(spark):
+    costs = spark.createDataFrame([("I1", "$1.50", "x", None)], "invoice_number string, ship_cost string, total string, extra_item_price string")
+    made = records.money_from_multi(costs)
+    assert made.first()["cost_errors"] == ["total: unreadable cost"]
+    assert "lambdafunction" not in plan_of(made.select("cost_errors"))
+    texts = "itemno mfg_itemno amount rate quantity_ordered quantity raw_quantity quantity_backordered invoice_status item_details".split()
+    schema = f"items array<struct<{', '.join(f'{t}: string' for t in texts)}, zero_fields: array<string>>>"
+
+    def item(amount, rate, quantity, zeros=()):
+        return ("a", None, amount, rate, "5", quantity, None, None, None, None, list(zeros))
+
+    rows = [item("7", "2", "3"), item("0", "2", "3", ["amount"]), item(None, "$2", "3 pcs"), item("", "2", ""), item("8", None, "3"), item(None, "x", "3")]
+    priced = spark.createDataFrame([(rows,)], schema).select(records.priced_items(F.col("items")).alias("p"))
+    assert [(p.amount, p.counted) for p in priced.first()["p"]] == [
+        (7.0, True), (6.0, True), (6.0, True), (None, False), (8.0, False), (None, True),
+    ]
+    assert str(records.priced_items(F.col("items"))).count("regexp_replace") == 6
+    assert str(records.record_item_statuses(F.col("items"))).count("array_contains") == 3
