@@ -178,3 +178,22 @@ def test_finishing_evaluates_costs_and_item_numbers_once(spark):
     ]
     assert str(records.priced_items(F.col("items"))).count("regexp_replace") == 6
     assert str(records.record_item_statuses(F.col("items"))).count("array_contains") == 3
+
+
+def test_carrier_rules_are_read_once_for_all_deliveries(spark):
+    schema = "deliveries array<struct<carrier: string, carriermethod: string>>, cfg struct<carrier: struct<services: map<string, map<string, int>>, " + (
+        "check_character_for_mapping: string, check_string_for_mapping: string, carriermethod_for_mapping: string, change_carriermethod_to_lowercase: string>>"
+    )
+    boxes = [("UPS", "Ground"), ("DHL", "Ground"), ("", "Ground"), (None, "x")]
+    by_letter = ({"ups": {"ground": 3}, "nonups": {"dhl": 4}}, "true", "0", "carriermethod", "true")
+    by_name = ({"ups": {"UPS": 5}}, "", "1", None, "false")
+    df = spark.createDataFrame([(boxes, (by_letter,)), (boxes, (by_name,)), (boxes, (None,))], schema)
+    made = records.normalize_carriers(df).select("deliveries")
+    assert [[tuple(d) for d in r[0]] for r in made.collect()] == [
+        [("ups", "3"), ("nonups", "0"), ("", "Ground"), (None, "x")],
+        [("ups", "5"), ("nonups", "0"), ("", "Ground"), (None, "x")],
+        boxes,
+    ]
+    # The false values of a flag are asked for outside of the deliveries' lambda only.
+    inner = str(records._normalized_deliveries()).split("transform(", 1)[1]
+    assert "'null'" not in inner.split(" -> ", 1)[1]
