@@ -92,7 +92,7 @@ def map_record(
     share_library(df.sparkSession)
     flagged = F.lit(None).cast("boolean") if is_serialized is None else F.col(is_serialized)
     texts = df.select(
-        *others, F.to_json(F.col(doc)).alias("_document"), F.col("mapping.text").alias("_entries"), flagged.alias("_serialized"),
+        *others, F.col(doc).alias("_document"), F.col("mapping.text").alias("_entries"), flagged.alias("_serialized"),
         F.col("mapping.nested").alias("_nested"),
     )
     walked = texts.select(*others, _mapped_column(lone_lists, legacy_index).alias("_mapped"), "_nested")

@@ -197,3 +197,25 @@ def test_carrier_rules_are_read_once_for_all_deliveries(spark):
     # The false values of a flag are asked for outside of the deliveries' lambda only.
     inner = str(records._normalized_deliveries()).split("transform(", 1)[1]
     assert "'null'" not in inner.split(" -> ", 1)[1]
+
+
+def test_documents_are_walked_as_stored(spark):
+    docs = spark.createDataFrame([(1, '{"a":[{"b":"x","c":10.0},{"b":1e10,"c":-0.5}],"s":[{"t":"é"}]}', True)], "vendor_id bigint, body string, need_serial_no boolean")
+    pairs = [("a[i].b", "items.itemno"), ("a[i].c", "items.rate"), ("s[i].t", "deliveries.carrier")]
+    doc = {"mapping": {"fulfillment_table": [{"destination_field": p, "source_field": t} for p, t in pairs]}}
+    compiled = configs.compile_configs(configs.config_frame(spark, {1: doc}))
+    mapped = map_record(with_config(docs.withColumn("doc", F.try_parse_json("body")), compiled))
+    assert "to_json(doc" not in plan_of(mapped)  # which takes longer than the walk
+    row = mapped.first()
+    assert [(i.itemno, i.rate) for i in row["items"]] == [("x", "10"), ("1.0E10", "-0.5")]
+    assert [d.carrier for d in row.deliveries] == ["é"]
+
+
+def test_a_hit_of_a_suffix_rule_gives_way_to_the_literal_path():
+    entry = {"ord": 0, "path": "o.s", "target": "items.rate", "grp": "items", "field": "rate", "kind": "suffix", "first": "o", "last": "s", "ends": "o|s", "nested": False}
+
+    def rates(*texts):
+        columns = pa.array(texts, pa.string()), pa.array([json.dumps([entry])] * len(texts), pa.string()), pa.array([True] * len(texts), pa.bool_())
+        return [r["items"] and [i["rate"] for i in r["items"]] for r in walk.mapped_of(*columns, False, False).to_pylist()]
+
+    assert rates('{"o":{"l":[{"s":"1"},{"s":"2"}]}}', '{"o":{"l":[{"s":"1"},{"s":"2"}],"s":"3"}}', '{"o":{}}') == [["1", "2"], ["3"], None]
