@@ -38,6 +38,10 @@ BOUNDARY = 1.15
 REACH = 0.98
 #: Vectors and queries of one unit of work.
 PIECE, QUERY_PIECE = 4096, 1024
+#: Distances that are worked out at a time, and rows that are handed on at a time: both grow with the lists otherwise.
+AT_A_TIME, ROWS_OUT = 1 << 20, 10_000
+#: Lists whose answers to a query are put together at a time, about.
+TOGETHER = 64
 
 
 @dataclass(frozen=True)
@@ -66,11 +70,22 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.maximum(0.0, (a**2).sum(1)[:, None] - 2 * a @ b.T + (b**2).sum(1)[None])
 
 
+def _near(a: np.ndarray, b: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """``_distances`` in blocks of rows of ``a``, each with its first row."""
+    step = max(1, AT_A_TIME // max(1, len(b)))
+    for start in range(0, len(a), step):
+        yield start, _distances(a[start : start + step], b)
+
+
+def _nearest(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.concatenate([d.argmin(axis=1) for _, d in _near(a, b)]) if len(a) else np.zeros(0, np.int64)
+
+
 def _kmeans(points: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 12) -> tuple[np.ndarray, np.ndarray]:
     centroids = points[rng.choice(len(points), k, replace=False)]
     near = np.zeros(len(points), np.int64)
     for _ in range(rounds):
-        near = _distances(points, centroids).argmin(axis=1)
+        near = _nearest(points, centroids)
         sums = np.zeros_like(centroids)
         np.add.at(sums, near, points)
         counts = np.bincount(near, minlength=k)
@@ -131,13 +146,15 @@ def _walk(index: Index, query: np.ndarray, width: int) -> tuple[np.ndarray, np.n
 
 def _lists_of(index: Index, points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(point, list, own)``: the nearest centroid (``own``), and further ones for points near a boundary."""
-    d = _distances(points, index.centroids)
-    k = min(COPIES, d.shape[1])
-    near = np.argpartition(d, k - 1, axis=1)[:, :k]
-    dist = np.take_along_axis(d, near, 1)
-    good = dist <= dist.min(axis=1, keepdims=True) * BOUNDARY
-    rows, cols = np.nonzero(good)
-    return rows, near[rows, cols], cols == dist.argmin(axis=1)[rows]
+    k = min(COPIES, len(index.centroids))
+    parts = []
+    for start, d in _near(points, index.centroids):
+        near = np.argpartition(d, k - 1, axis=1)[:, :k]
+        dist = np.take_along_axis(d, near, 1)
+        good = dist <= dist.min(axis=1, keepdims=True) * BOUNDARY
+        rows, cols = np.nonzero(good)
+        parts.append((rows + start, near[rows, cols], cols == dist.argmin(axis=1)[rows]))
+    return tuple(np.concatenate(column) for column in zip(*parts))
 
 
 def _searched(index: Index, queries: np.ndarray, held: np.ndarray, least: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -161,8 +178,7 @@ def fit(sample: np.ndarray, scale: float, n: int, k: int) -> Index:
     points = _augmented(sample, scale)
     lists = int(np.clip(-(-n // LIST_SIZE), 1, min(MOST_LISTS, max(1, len(points) // 4))))
     centroids = _balanced(points, lists) if len(points) > 1 else points
-    between = _distances(centroids, centroids)
-    graph = np.argsort(between, axis=1, kind="stable")[:, 1 : DEGREE + 1]
+    graph = np.concatenate([np.argsort(d, axis=1, kind="stable")[:, 1 : DEGREE + 1] for _, d in _near(centroids, centroids)])
     # A ring over all centroids keeps the graph connected.
     ring = np.roll(np.arange(len(centroids)), -1)[:, None]
     graph = np.concatenate([graph, ring], axis=1)
@@ -222,6 +238,33 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
+def _pairs(index: Index, vectors: np.ndarray, held: np.ndarray | None, least: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """``(row, list, own)`` of vectors, or of queries where ``held`` is given, about ``ROWS_OUT`` at a time."""
+    if held is None:
+        at, lists, own = _lists_of(index, _augmented(vectors, index.scale))
+        for start in range(0, len(at), ROWS_OUT):
+            yield at[start : start + ROWS_OUT], lists[start : start + ROWS_OUT], own[start : start + ROWS_OUT]
+        return
+    rows: list[int] = []
+    found: list[np.ndarray] = []
+
+    def together() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        lists = np.concatenate(found)
+        return np.repeat(np.array(rows, np.int64), [len(x) for x in found]), lists, np.zeros(len(lists), bool)
+
+    n = 0
+    for i, lists in _searched(index, _as_queries(vectors), held, least):
+        # A query may search any share of the lists.
+        if found and n + len(lists) > ROWS_OUT:
+            yield together()
+            rows, found, n = [], [], 0
+        rows.append(i)
+        found.append(lists)
+        n += len(lists)
+    if found:
+        yield together()
+
+
 def _to_lists(rows: DataFrame, key: str, index, held: np.ndarray | None = None, least: int = 0) -> DataFrame:
     """``list, key, v, own`` for every list of every row; rows are queries where ``held`` is given."""
     shared = rows.sparkSession.sparkContext.broadcast((index, held))  # at most MOST_LISTS centroids
@@ -231,18 +274,11 @@ def _to_lists(rows: DataFrame, key: str, index, held: np.ndarray | None = None,
         for batch in batches:
             for start in range(0, batch.num_rows, 2048):
                 part = batch.slice(start, 2048)
-                vectors = _matrix(part.column("v"))
-                if held is not None:
-                    pairs = [(i, x) for i, lists in _searched(index, _as_queries(vectors), held, least) for x in lists.tolist()]
-                    at = np.array([i for i, _ in pairs], np.int64)
-                    lists = np.array([x for _, x in pairs], np.int64)
-                    own = np.zeros(len(at), bool)
-                else:
-                    at, lists, own = _lists_of(index, _augmented(vectors, index.scale))
-                taken = part.take(pa.array(at))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(lists.astype(np.int32)), taken.column(key), taken.column("v"), pa.array(own)], names=["list", key, "v", "own"]
-                )
+                for at, lists, own in _pairs(index, _matrix(part.column("v")), held, least):
+                    taken = part.take(pa.array(at))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(lists.astype(np.int32)), taken.column(key), taken.column("v"), pa.array(own)], names=["list", key, "v", "own"]
+                    )
 
     return rows.select(key, "v").mapInArrow(run, f"list int, {key} long, v array<double>, own boolean")
 
@@ -282,6 +318,14 @@ def _best(k: int):
     return run
 
 
+def _merged(found: DataFrame, by: list[str], k: int) -> DataFrame:
+    """``by, best``: the ``k`` best of several lists of answers ``near``."""
+    # Sorted, what several lists hold of one vector is side by side.
+    gathered = found.groupBy(*by).agg(F.sort_array(F.flatten(F.collect_list("near"))).alias("all"))
+    once = F.filter("all", lambda x, i: (i == 0) | (x["vec_id"] != F.get("all", i - 1)["vec_id"]))
+    return gathered.select(*by, F.slice(once, 1, k).alias("best"))
+
+
 def search(vectors: DataFrame, is_query: Column | str, k: int = 20) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest other vectors found for every row that ``is_query`` holds for.
 
@@ -326,10 +370,12 @@ def search(vectors: DataFrame, is_query: Column | str, k: int = 20) -> DataFrame
     found = left.groupBy(*unit).cogroup(right.groupBy(*unit)).applyInArrow(_best(k + 1), "q long, ids array<long>, scores array<double>")
     # The best k + 1 of a class of queries: one of them may be a query's own row. At most k + 1 of each list meet here.
     near = F.transform(F.arrays_zip("scores", "ids"), lambda x: F.struct((F.lit(0.0) - x["scores"]).alias("minus"), x["ids"].alias("vec_id")))
-    # Sorted, what several lists hold of one vector is side by side.
-    gathered = found.groupBy("q").agg(F.sort_array(F.flatten(F.collect_list(near))).alias("all"))
-    once = F.filter("all", lambda x, i: (i == 0) | (x["vec_id"] != F.get("all", i - 1)["vec_id"]))
-    best = gathered.select("q", F.slice(once, 1, k + 1).alias("best"))
+    found = found.select("q", near.alias("near"))
+    parts = len(index.centroids) // TOGETHER
+    if parts > 1:
+        slot = F.pmod(F.xxhash64("near"), F.lit(parts)).alias("slot")
+        found = _merged(found.select("*", slot), ["q", "slot"], k + 1).select("q", F.col("best").alias("near"))
+    best = _merged(found, ["q"], k + 1)
     own = queries.select("query_id", F.col("c").alias("q")).distinct().join(best, "q")
     others = F.slice(F.filter("best", lambda b: b["vec_id"] != F.col("query_id")), 1, k)
     ranked = own.select("query_id", F.posexplode(others).alias("pos", "b"))

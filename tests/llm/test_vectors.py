@@ -135,3 +135,31 @@ def test_answers_of_many_lists_are_merged_once_each_and_not_compared_in_pairs(sp
     # Spark's array_distinct compares structs in pairs.
     found.explain(True)
     assert "array_distinct" not in capsys.readouterr().out
+
+
+def test_rows_handed_on_do_not_grow_with_the_lists(monkeypatch):
+    rng = np.random.default_rng(3)
+    points = rng.normal(size=(600, 8))
+    index = vectors.fit(points, float(np.linalg.norm(points, axis=1).max()), 600 * 512, 20)
+    held = np.ones(len(index.centroids), np.int64)
+    pairs = lambda h: [*vectors._pairs(index, points, h, 21)]
+    whole = {"lists": pairs(None), "queries": pairs(held)}
+    assert max(len(at) for at, _, _ in whole["queries"]) > 100
+    monkeypatch.setattr(vectors, "ROWS_OUT", 100)
+    monkeypatch.setattr(vectors, "AT_A_TIME", 1000)
+    for name, h in (("lists", None), ("queries", held)):
+        cut = pairs(h)
+        # A single query's lists stay together.
+        assert all(len(at) <= max(100, len(index.centroids)) for at, _, _ in cut) and len(cut) > len(whole[name])
+        for column in range(3):
+            assert np.array_equal(np.concatenate([c[column] for c in cut]), np.concatenate([c[column] for c in whole[name]]))
+
+
+def test_answers_put_together_in_parts_are_the_same(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=6)) for i in range(700)]
+    monkeypatch.setattr(vectors, "LIST_SIZE", 16)
+    table = frame(spark, rows).select("vec_id", "embedding")
+    whole = answers(vectors.search(table, IS_QUERY, k=5))
+    monkeypatch.setattr(vectors, "TOGETHER", 2)
+    assert answers(vectors.search(table, IS_QUERY, k=5)) == whole and len(whole) == 35
