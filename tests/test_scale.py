@@ -219,3 +219,27 @@ def test_a_hit_of_a_suffix_rule_gives_way_to_the_literal_path():
         return [r["items"] and [i["rate"] for i in r["items"]] for r in walk.mapped_of(*columns, False, False).to_pylist()]
 
     assert rates('{"o":{"l":[{"s":"1"},{"s":"2"}]}}', '{"o":{"l":[{"s":"1"},{"s":"2"}],"s":"3"}}', '{"o":{}}') == [["1", "2"], ["3"], None]
+
+
+def test_second_documents_take_the_mapping_along_as_text(spark, monkeypatch):
+    found = []
+
+    def look(calling, second, **_):
+        found.append(second.schema["mapping"].dataType.fieldNames())
+        raise Seen
+
+    monkeypatch.setattr(extract_plan, "enrich_second_call", look)
+    with pytest.raises(Seen):
+        QUERIES["second_call_job"](spark, FOLDER)
+    assert found == [["text", "nested"]]
+
+
+def test_documents_with_second_calls_are_mapped_once(spark):
+    # The first documents are written; only the second ones are still to be mapped.
+    assert plan_of(QUERIES["enrich_second_call"](spark, FOLDER)).count("ArrowEvalPython") == 1
+
+
+def test_statuses_meet_without_their_items(spark):
+    plan = plan_of(QUERIES["item_status"](spark, FOLDER))
+    above = plan[: plan.index("Join")]
+    assert "quantity" not in above and "status" in above
